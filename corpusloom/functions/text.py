@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 # Fixed value: what str.split() treats as a separator. Java's (?U)\s lacks the
 # four control characters 1C-1F.
-_WHITESPACE = "(?U)[\\s\\x1c-\\x1f]+"
+_SPACE = "\\s\\x1c-\\x1f"
+_WHITESPACE = f"(?U)[{_SPACE}]+"
 
 
 def normalize_ws(c: Column) -> Column:
@@ -34,10 +35,20 @@ def word_count(normalized: Column) -> Column:
     one trailing space, which is no word boundary.
     """
     c = F.rtrim(normalized)
-    spaces = F.length(c) - F.length(F.translate(c, " ", ""))
+    spaces = F.octet_length(c) - F.octet_length(F.replace(c, F.lit(" "), F.lit("")))
     return F.when(c == "", F.lit(0)).otherwise(spaces + 1)
 
 
+def at_least_words(c: Column, n: int) -> Column:
+    """Whether any text, normalised or not, has ``n`` words or more. Reading
+    stops at the n-th word, which makes this the cheap form of a length rule."""
+    if n <= 0:
+        return F.lit(True)
+    word = f"[^{_SPACE}]++[{_SPACE}]++"
+    pattern = f"(?U)^[{_SPACE}]*+(?:{word}){{{n - 1}}}[^{_SPACE}]"
+    return F.coalesce(c.rlike(pattern), F.lit(False))
+
+
 def letter_count(c: Column) -> Column:
     """Characters that are Unicode letters."""
     return F.length(F.regexp_replace(c, "[^\\p{L}]+", ""))

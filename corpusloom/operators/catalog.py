@@ -26,16 +26,19 @@ def build_catalog(
     text_dim: int = vectors.TEXT_DIM,
     clip_dim: int = vectors.CLIP_DIM,
 ) -> DataFrame:
-    """Flatten manifest rows and attach their vectors (``id, embedding, pos``).
+    """Flatten manifest rows and attach their vectors (``id, embedding, pos``,
+    or an ``embedding`` column the rows already carry).
 
     Rows without a vector of the right length get a zero vector and
     ``has_embedding`` false. The join is by id on both sides and is left to
     the optimizer: vectors grow with the data and are never broadcast by hand.
     """
-    if embedded is None:
-        joined = manifest.withColumn("embedding", F.lit(None).cast("array<float>"))
+    if embedded is not None:
+        joined = manifest.drop("embedding").join(last_vectors(embedded), "id", "left")
+    elif "embedding" in manifest.columns:
+        joined = manifest
     else:
-        joined = manifest.join(last_vectors(embedded), "id", "left")
+        joined = manifest.withColumn("embedding", F.lit(None).cast("array<float>"))
     modality = F.col("modality")
     as_text = F.when(modality.isin(TEXT_SPACE), F.col("embedding"))
     as_clip = F.when(modality.isin(CLIP_SPACE), F.col("embedding"))

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import vectors
@@ -43,6 +43,16 @@ _BLOCK = 2048
 _DECIDED = "pos bigint, dup_of bigint, kept boolean, vec array<float>"
 
 
+# Room for the clips of one source row in ``order_key``.
+_SUB_BITS = 20
+
+
+def order_key(idx: str = "idx", sub_idx: str = "sub_idx") -> Column:
+    """One number that orders rows by ``idx`` and then ``sub_idx``. It is all
+    the order near-dedup needs; no ranking over the table takes place."""
+    return F.shiftleft(F.col(idx).cast("long"), _SUB_BITS) + F.col(sub_idx)
+
+
 def exact_dedup(
     df: DataFrame, key: str = "content_hash", order: tuple[str, ...] = ("idx", "sub_idx", "id")
 ) -> DataFrame:

@@ -29,10 +29,9 @@ def _when(failed: Column, reason: str) -> Column:
 
 def text_rules(body: Column) -> list[Column]:
     """Reasons against a text, judged as a whole."""
-    clean = text.normalize_ws(body)
     raw = F.coalesce(body, F.lit(""))
     return [
-        _when(text.word_count(clean) < MIN_WORDS, "too_short"),
+        _when(~text.at_least_words(raw, MIN_WORDS), "too_short"),
         _when(text.alpha_ratio(raw) < MIN_ALPHA, "low_alpha_ratio"),
     ]
 
@@ -160,7 +159,7 @@ def drop_reasons(gated: DataFrame, by: list[str] | None = None) -> DataFrame:
 def extended_rules(
     body: Column,
     duration_s: Column,
-    copy_rank: Column,
+    is_copy: Column,
     max_space_share: float = 0.5,
     duration_range: tuple[float, float] = (0.5, 3600.0),
 ) -> list[Column]:
@@ -173,7 +172,7 @@ def extended_rules(
     modality = F.col("modality")
     timed = modality.isin("video", "audio")
     return [
-        _when(copy_rank > 1, "exact_duplicate"),
+        _when(is_copy, "exact_duplicate"),
         _when((F.length(raw) > 0) & (share > max_space_share), "extreme_whitespace"),
         _when(timed & ((duration_s < low) | (duration_s > high)), "duration_out_of_range"),
         _when((modality == "audio") & (visible == 0), "no_transcript"),
@@ -181,6 +180,18 @@ def extended_rules(
     ]
 
 
+def mark_copies(df: DataFrame, keys: list[str], order: str = "id") -> DataFrame:
+    """Add ``is_copy``: another row with the same keys comes before.
+
+    The first row of each key comes from a partially aggregated minimum and is
+    matched back by the row's own unique ``order`` value, so neither side of
+    the join has a hot key however many copies there are.
+    """
+    first = df.groupBy(*keys).agg(F.min(order).alias("_first")).select("_first")
+    joined = df.join(first, F.col(order) == F.col("_first"), "left")
+    return joined.withColumn("is_copy", F.col("_first").isNull()).drop("_first")
+
+
 def extended_report(marked: DataFrame) -> DataFrame:
     """Per modality: rows in, kept, dropped, and drops by cause."""
 

@@ -19,9 +19,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.functions import paths
+from corpusloom.session import stage_table
 
-# The query matrix that is sent to every task may take this much memory.
-QUERY_BYTES = 64 * 1024 * 1024
+# So many queries are sent to every task as one matrix (64 MB at 512 components).
+MAX_QUERIES = 16384
+# Queries are compared with a batch this many at a time.
+_QUERY_BLOCK = 256
 CAPTION_CHARS = 700
 # Distances are compared to this many digits, so that equal vectors tie and
 # the id decides.
@@ -55,17 +58,28 @@ class _Best:
         self.k = k
         self.ids: list[list] = [[] for _ in range(n_queries)]
         self.distances = [np.empty(0) for _ in range(n_queries)]
-
-    def add(self, distances: np.ndarray, ids: np.ndarray) -> None:
-        for q, row in enumerate(distances):
-            at = np.arange(len(row))
-            if len(row) > self.k:
-                at = np.flatnonzero(row <= np.partition(row, self.k - 1)[self.k - 1])
-            every = np.concatenate([self.distances[q], row[at]])
-            names = self.ids[q] + list(ids[at])
-            order = sorted(range(len(names)), key=lambda i: (every[i], names[i]))[: self.k]
-            self.distances[q] = every[order]
-            self.ids[q] = [names[i] for i in order]
+        self.worst = np.full(n_queries, np.inf)
+
+    def scan(self, queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, metric: str) -> None:
+        for start in range(0, len(queries), _QUERY_BLOCK):
+            block = _distances(queries[start : start + _QUERY_BLOCK], rows, metric)
+            # Rows farther than the k-th best so far change nothing.
+            worst = self.worst[start : start + _QUERY_BLOCK]
+            for at in np.flatnonzero((block <= worst[:, None]).any(axis=1)):
+                self._merge(start + at, block[at], ids)
+
+    def _merge(self, q: int, row: np.ndarray, ids: np.ndarray) -> None:
+        bound = self.worst[q]
+        if len(row) > self.k:
+            bound = min(bound, np.partition(row, self.k - 1)[self.k - 1])
+        at = np.flatnonzero(row <= bound)
+        every = np.concatenate([self.distances[q], row[at]])
+        names = self.ids[q] + list(ids[at])
+        order = sorted(range(len(names)), key=lambda i: (every[i], names[i]))[: self.k]
+        self.distances[q] = every[order]
+        self.ids[q] = [names[i] for i in order]
+        if len(order) == self.k:
+            self.worst[q] = self.distances[q][-1]
 
 
 def _scan(sent, k: int, metric: str):
@@ -79,7 +93,7 @@ def _scan(sent, k: int, metric: str):
                 query_ids, matrix = by_group[group]
                 rows = np.vstack(part["vec"].to_numpy()).astype(np.float64)
                 found = best.setdefault(group, _Best(len(query_ids), k))
-                found.add(_distances(matrix, rows, metric), part["id"].to_numpy())
+                found.scan(matrix, rows, part["id"].to_numpy(), metric)
         for group, found in best.items():
             yield _hits(by_group[group][0], group, found)
 
@@ -108,7 +122,7 @@ def _block_scan(k: int, metric: str):
             found = _Best(len(asked), k)
             matrix = np.vstack(asked["vec"].to_numpy()).astype(np.float64)
             table = np.vstack(part["vec"].to_numpy()).astype(np.float64)
-            found.add(_distances(matrix, table, metric), part["id"].to_numpy())
+            found.scan(matrix, table, part["id"].to_numpy(), metric)
             out.append(_hits(asked["query_id"].to_numpy(), group, found))
         empty = pd.DataFrame(columns=["query_id", "grp", "id", "distance"])
         return pd.concat(out) if out else empty
@@ -121,7 +135,7 @@ def nearest(
     queries: DataFrame,
     k: int = 5,
     metric: str = "l2sq",
-    max_queries: int | None = None,
+    max_queries: int = MAX_QUERIES,
 ) -> DataFrame:
     """The ``k`` nearest rows of every query inside its group.
 
@@ -139,10 +153,8 @@ def nearest(
     rows = rows.where(F.size("vec") > 0).select("id", "grp", "vec")
     queries = queries.select("query_id", "grp", "vec")
 
-    width = queries.agg(F.coalesce(F.max(F.size("vec")), F.lit(1))).first()[0]
-    fits = max_queries or max(QUERY_BYTES // (8 * max(width, 1)), 1)
-    small = queries.limit(fits + 1).toPandas()
-    if len(small) <= fits:
+    small = queries.limit(max_queries + 1).toPandas()
+    if len(small) <= max_queries:
         by_group = {
             g: (p["query_id"].tolist(), np.vstack(p["vec"].to_numpy()).astype(np.float64))
             for g, p in small.groupby("grp", sort=False)
@@ -150,19 +162,19 @@ def nearest(
         sent = spark.sparkContext.broadcast(by_group)
         hits = rows.mapInPandas(_scan(sent, k, metric), schema)
     else:
-        hits = _nearest_blocks(rows, queries, k, metric, schema, fits)
+        hits = _nearest_blocks(rows, queries, k, metric, schema)
     order = W.partitionBy("query_id", "grp").orderBy("distance", "id")
     ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "grp", "rank", "id", "distance")
 
 
 def _nearest_blocks(
-    rows: DataFrame, queries: DataFrame, k: int, metric: str, schema: str, fits: int
+    rows: DataFrame, queries: DataFrame, k: int, metric: str, schema: str
 ) -> DataFrame:
     """Query blocks × row blocks; both are cut by a hash of the unique id, so
     blocks are even whatever the groups look like."""
     sizes = queries.agg(F.count("*")).first()[0], rows.agg(F.count("*")).first()[0]
-    n_query = math.ceil(sizes[0] / min(fits, 4096))
+    n_query = math.ceil(sizes[0] / 4096)
     n_row = max(1, math.ceil(sizes[1] / 50_000))
 
     def block(c: str, n: int) -> Column:
@@ -180,6 +192,21 @@ def _nearest_blocks(
     )
 
 
+# Hits up to this many rows are sent to the table they are looked up in.
+_FEW_HITS = 200_000
+
+
+def with_details(hits: DataFrame, details: DataFrame, on: list[str]) -> DataFrame:
+    """Look further columns of the hits up in a large table.
+
+    The hits are written out and counted. A few are broadcast, so that the
+    table is only scanned; more than that are joined by shuffle.
+    """
+    found = stage_table(hits, "hits")
+    few = found.limit(_FEW_HITS + 1).count() <= _FEW_HITS
+    return (F.broadcast(found) if few else found).join(details, on)
+
+
 def catalog_rows(catalog: DataFrame, modalities: list[str] | None = None) -> DataFrame:
     """Searchable rows of a catalog: ``id, grp, vec``, only those embedded."""
     some = catalog.where("has_embedding")
@@ -194,9 +221,7 @@ def search_all(catalog: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     do not compare.
 
     ``queries`` holds ``query_id, modality, vec``. The scan reads ids and
-    vectors; the descriptive columns are read for the hits alone. Those are k
-    rows per query and modality, so they are joined without a broadcast hint
-    and Spark broadcasts them if they are few.
+    vectors; the descriptive columns are joined to the hits alone.
     """
     asked = queries.select("query_id", F.col("modality").alias("grp"), "vec")
     hits = nearest(catalog_rows(catalog), asked, k).withColumnRenamed("grp", "modality")
@@ -212,7 +237,7 @@ def search_all(catalog: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         "content_hash",
     )
     url = F.when(F.col("modality") != "text", paths.asset_url(F.col("id")))
-    return hits.join(details, ["id", "modality"]).withColumn("asset_url", url)
+    return with_details(hits, details, ["id", "modality"]).withColumn("asset_url", url)
 
 
 def search_texts(

@@ -206,16 +206,17 @@ def train_eval_split(items: DataFrame, eval_ratio: float = 0.1) -> DataFrame:
     else is in the table.
 
     Modalities are split independently, and one too small to get an eval row
-    by its hashes gives the row with the smallest bucket. The lookup has one
-    row per modality.
+    by its hashes gives the row with the smallest bucket. The lookup is
+    broadcast: it has one row for each of the four modalities.
     """
     cut = int(round(eval_ratio * 10000))
     placed = items.withColumn("_bucket", _hash_bucket(F.col("id")))
-    smallest = placed.groupBy("modality").agg(
+    known = placed.where(F.col("modality").isin(schemas.MODALITIES))
+    smallest = known.groupBy("modality").agg(
         F.min(F.struct("_bucket", "id")).alias("_first")
     )
     joined = placed.join(F.broadcast(smallest), "modality", "left")
-    is_first = (F.col("_first.id") == F.col("id")) & F.lit(cut > 0)
+    is_first = F.coalesce(F.col("_first.id") == F.col("id"), F.lit(False)) & F.lit(cut > 0)
     split = F.when((F.col("_bucket") < cut) | is_first, "eval").otherwise("train")
     return joined.withColumn("split", split).drop("_bucket", "_first")
 

@@ -18,8 +18,8 @@ from corpusloom import schemas
 from corpusloom.functions import vectors
 from corpusloom.operators import catalog as cat
 from corpusloom.operators import dedup, embed, quality, shards, versions
-from corpusloom.operators.ranking import with_position
 from corpusloom.operators.search import CLIP_SPACE
+from corpusloom.session import stage_table
 
 # Manifest file name of each modality.
 MANIFEST_NAMES = {
@@ -136,15 +136,20 @@ def curate(
     manifest: DataFrame, vector_dim: int, threshold: float = dedup.THRESHOLD
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Gate, then exact and near dedup of one modality's manifest that carries
-    ``embedding``: ``(gated, passed and unique, kept)``.
+    ``embedding``: ``(gated, passed and unique ids, kept rows)``.
 
-    Everything is marked; only the returned views leave rows out.
+    Everything is marked; only the returned views leave rows out. What stays
+    is decided on keys and vectors, written out once; the wide rows are
+    touched by a single semi join at the end.
     """
     gated = quality.quality_gate(manifest)
-    unique = dedup.exact_dedup(quality.passed(gated))
-    placed = with_position(unique, "idx", "sub_idx", "id")
-    kept = dedup.near_dedup(placed, "pos", "embedding", vector_dim, threshold)
-    return gated, placed, kept
+    keys = quality.passed(gated).select("id", "idx", "sub_idx", "content_hash", "embedding")
+    placed = dedup.exact_dedup(keys).select(
+        "id", dedup.order_key().alias("pos"), "embedding"
+    )
+    unique = stage_table(placed, "unique")
+    kept = dedup.near_dedup(unique, "pos", "embedding", vector_dim, threshold)
+    return gated, unique, gated.join(kept.select("id"), "id", "left_semi")
 
 
 def stage_connectors(run: Run, modality: str, force: bool = False) -> dict:
@@ -198,9 +203,11 @@ def stage_catalog(run: Run, force: bool = True) -> dict:
         if row_count(run.spark, path) is None:
             continue
         rows = run.spark.read.parquet(path)
-        got = rows.select("id", "embedding", F.lit(0).cast("long").alias("pos"))
-        flat = cat.build_catalog(rows, got, run.text_model.dim, run.clip_model.dim)
-        parts.append(flat)
+        parts.append(
+            cat.build_catalog(
+                rows, text_dim=run.text_model.dim, clip_dim=run.clip_model.dim
+            )
+        )
     if not parts:
         empty = run.spark.createDataFrame([], schemas.CATALOG)
         cat.replace_catalog(empty, run.layout.catalog)

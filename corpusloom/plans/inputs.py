@@ -21,14 +21,14 @@ from corpusloom.operators.ranking import with_position
 from corpusloom.operators.search import CLIP_SPACE
 from corpusloom.plans.curation import embed_manifest
 from corpusloom.sources import connectors as con
-from corpusloom.sources.readers import table
+from corpusloom.sources.readers import spread, table
 
 IMAGES, VIDEOS, CLIPS, FRAMES, AUDIO = "/m/images", "/m/videos", "/m/clips", "/m/frames", "/m/audio"
 FPS = 24.0
 
 
 def raw_text(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select(
+    return spread(table(spark, d, "documents").select("doc_id", "text", "n_chars")).select(
         F.col("doc_id").alias("idx"),
         "text",
         F.lit("").alias("url"),
@@ -40,7 +40,7 @@ def raw_images(spark: SparkSession, d: str) -> DataFrame:
     def inside(tag: str):
         return F.regexp_extract("html", f"(?s)<{tag}>(.*?)</{tag}>", 1)
 
-    return table(spark, d, "pages").select(
+    return spread(table(spark, d, "pages")).select(
         F.col("page_id").alias("idx"),
         F.array(inside("title"), inside("h1")).alias("sentences_raw"),
         F.col("page_id").alias("cocoid"),

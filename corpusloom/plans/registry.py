@@ -241,8 +241,6 @@ def drop_reasons(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _extended(spark: SparkSession, d: str) -> DataFrame:
-    from pyspark.sql import Window as W
-
     turns = inputs.raw_audio(spark, d).select(
         F.concat(F.lit("a"), F.col("idx").cast("string")).alias("id"),
         F.lit("audio").alias("modality"),
@@ -256,16 +254,11 @@ def _extended(spark: SparkSession, d: str) -> DataFrame:
         F.lit(None).cast("double").alias("duration_s"),
     )
     rows = docs.unionByName(turns).withColumn("content_hash", text.content_hash(F.col("text")))
-    # Only the key columns are ranked; the rank beyond the first is not needed,
-    # so the first of each hash is found by a partial aggregate.
-    first = rows.groupBy("modality", "content_hash").agg(F.min("id").alias("first_id"))
-    ranked = rows.join(first, ["modality", "content_hash"]).withColumn(
-        "copy_rank", F.when(F.col("id") == F.col("first_id"), 1).otherwise(2)
-    )
+    marked = quality.mark_copies(rows, ["modality", "content_hash"])
     rules = quality.extended_rules(
-        F.col("text"), F.col("duration_s"), F.col("copy_rank"), 0.16, (0.5, 20.0)
+        F.col("text"), F.col("duration_s"), F.col("is_copy"), 0.16, (0.5, 20.0)
     )
-    return quality.mark(ranked, rules)
+    return quality.mark(marked, rules)
 
 
 @query
@@ -595,7 +588,7 @@ def retrieval_eval(spark: SparkSession, d: str) -> DataFrame:
             asked.select("query_id", F.lit("text").alias("grp"), "vec"),
             5,
         )
-        found = hits.join(texts.select("id", "payload.content"), "id").select(
+        found = search.with_details(hits, texts.select("id", "payload.content"), ["id"]).select(
             F.lit(name).alias("version"),
             "query_id",
             F.col("grp").alias("modality"),

@@ -92,9 +92,10 @@ def text_manifest(
 ) -> DataFrame:
     """Raw ``idx, text, url, token_count``; texts under 30 words are rejected."""
     body = text.truncate(text.normalize_ws(F.col("text")), max_chars)
+    judged = F.col("text") if max_chars is None else body
     rows = (
-        raw.withColumn("body", body)
-        .where(text.word_count(F.col("body")) >= min_words)
+        raw.where(text.at_least_words(judged, min_words))
+        .withColumn("body", body)
         .withColumn("id", text.padded_id("fineweb_", 8, F.col("idx")))
         .withColumn("content_hash", text.content_hash(F.col("body")))
         .withColumn("caption", text.truncate(F.col("body"), caption_chars))

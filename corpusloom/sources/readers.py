@@ -24,6 +24,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for costly work on a small input.
+
+    A file with one row group is one task. Only an input with fewer tasks than
+    cores is redistributed; a large one has more and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df if tasks >= cores else df.repartition(cores)
+
+
 def asset_listing(
     spark: SparkSession, root: str, glob: str = "*", with_hash: bool = False
 ) -> DataFrame:

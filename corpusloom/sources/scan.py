@@ -1,4 +1,8 @@
-"""Bounded scans: how many raw rows are looked at, how many are accepted."""
+"""Bounded scans: how many raw rows are looked at, how many are accepted.
+
+``idx`` numbers the raw rows from zero, so a bound on the rows looked at is a
+predicate on ``idx`` that the scan itself can apply.
+"""
 
 from __future__ import annotations
 
@@ -23,8 +27,7 @@ def bounded_scan(
     """First ``limit`` records that ``connector`` accepts out of the first
     ``max_scan`` raw rows (twenty per wanted record unless given).
 
-    The bound on ``idx`` is a plain predicate, so it reaches the scan. A limit
-    of zero or less reads nothing and keeps the schema.
+    A limit of zero or less reads nothing and keeps the schema.
     """
     if limit <= 0:
         return connector(raw).where(F.lit(False))
@@ -47,10 +50,9 @@ def sample_text(raw: DataFrame, limit: int = 2000, max_chars: int | None = None)
     bounded scan the result is usually smaller than the limit."""
     body = text.truncate(text.normalize_ws(F.col("text")), max_chars)
     return (
-        raw.orderBy("idx")
-        .limit(limit)
+        raw.where(F.col("idx") < limit)
         .withColumn("text", body)
-        .where(text.word_count(F.col("text")) >= 30)
+        .where(text.at_least_words(F.col("text"), 30))
         .select(
             F.col("idx").cast("string").alias("id"),
             "text",
@@ -65,8 +67,7 @@ def sample_images(raw: DataFrame, image_dir: str, limit: int = 500) -> DataFrame
     """First ``limit`` rows of ``idx, captions``, without empty captions."""
     image_id = text.padded_id("coco_dog_", 6, F.col("idx"))
     return (
-        raw.orderBy("idx")
-        .limit(limit)
+        raw.where(F.col("idx") < limit)
         .withColumn("caption", text.normalize_ws(F.col("captions")))
         .where("caption <> ''")
         .select(
