@@ -76,7 +76,12 @@ def _encode_chunks(encode: Encode, texts: list[str], size: int, dim: int) -> np.
 
 
 def embed_text(c: Column, model: Any, batch_size: int = 128) -> Column:
-    """Vector of a text column; null text gives null."""
+    """Vector of a text column; null text gives null.
+
+    Declared non-deterministic, because the optimizer copies a deterministic
+    call into every filter on its result and the model would run again for
+    each. Filters belong before embedding.
+    """
 
     @F.pandas_udf("array<float>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -90,7 +95,7 @@ def embed_text(c: Column, model: Any, batch_size: int = 128) -> Column:
                 out.iat[at] = row
             yield out
 
-    return run(c)
+    return run.asNondeterministic()(c)
 
 
 def embed_frames(c: Column, model: Any, batch_size: int = 128) -> Column:
@@ -112,7 +117,7 @@ def embed_frames(c: Column, model: Any, batch_size: int = 128) -> Column:
                 at += len(frames)
             yield pd.Series(out, dtype=object)
 
-    return run(c)
+    return run.asNondeterministic()(c)
 
 
 def embed_batches(

@@ -52,7 +52,7 @@ def raw_images(spark: SparkSession, d: str) -> DataFrame:
 
 def raw_clips(spark: SparkSession, d: str) -> DataFrame:
     text = F.when(F.col("p_type") == "PROMO", "").otherwise(F.col("p_name"))
-    return table(spark, d, "part").select(
+    return spread(table(spark, d, "part")).select(
         F.col("p_partkey").alias("idx"),
         F.when(F.col("p_size") < 50, F.encode("p_name", "UTF-8")).alias("mp4"),
         F.col("p_size").cast("double").alias("duration"),

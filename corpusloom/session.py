@@ -7,8 +7,10 @@ a lost executor only costs the tasks it was running.
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,7 +30,30 @@ def get_spark(app: str = "corpusloom", **conf: str) -> SparkSession:
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, once per session.
+
+    Functions that run in tasks are sent by name, so the executors need the
+    package itself wherever the driver was started from.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_corpusloom_shipped", False):
+        return
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="corpusloom-"), "corpusloom.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._corpusloom_shipped = True
 
 
 def shared_folder(spark: SparkSession) -> str:
