@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import vectors
 from corpusloom.operators.ranking import first_per_key
-from corpusloom.session import fresh_path, stage_table
+from corpusloom.session import discard, fresh_path, stage_at, stage_table
 
 THRESHOLD = 0.92
 # Memory the rows of one round may take on the driver and in each worker.
@@ -200,13 +200,15 @@ def _run_rounds(todo: DataFrame, threshold: float, round_rows: int) -> DataFrame
     spark = todo.sparkSession
     decided_path = fresh_path(spark, "decided")
     spark.createDataFrame([], _DECIDED).write.parquet(decided_path)
+    used: str | None = None
     while True:
         n, cut = _edge(todo, round_rows)
         if not n:
             break
         # At most round_rows rows: the one place that needs them in one task.
         head = todo.where(F.col("pos") <= cut).repartition(1)
-        decided = stage_table(head.mapInPandas(_decide_batch(threshold), _DECIDED), "head")
+        head_path = fresh_path(spark, "head")
+        decided = stage_at(head.mapInPandas(_decide_batch(threshold), _DECIDED), head_path)
         decided.write.mode("append").parquet(decided_path)
         if n < round_rows:
             break
@@ -214,10 +216,16 @@ def _run_rounds(todo: DataFrame, threshold: float, round_rows: int) -> DataFrame
             _read(decided.where("kept").select("pos", "vec"))
         )
         rest = todo.where(F.col("pos") > cut)
-        swept = stage_table(rest.mapInPandas(_drop_hits(kept, threshold), _DECIDED), "swept")
+        swept_path = fresh_path(spark, "swept")
+        swept = stage_at(rest.mapInPandas(_drop_hits(kept, threshold), _DECIDED), swept_path)
         kept.unpersist()
         swept.where("not kept").write.mode("append").parquet(decided_path)
         todo = swept.where("kept").select("pos", "vec")
+        # What this round started from has been read for the last time.
+        for path in (head_path, used):
+            if path:
+                discard(spark, path)
+        used = swept_path
     out = spark.read.schema(_DECIDED).parquet(decided_path)
     return out.withColumn("dup_of", F.when(~F.col("kept"), F.col("dup_of")))
 

@@ -110,24 +110,18 @@ def quality_gate(manifest: DataFrame, text_col: str = "payload.content") -> Data
 def with_listing(manifest: DataFrame, listing: DataFrame) -> DataFrame:
     """Add ``asset_exists`` by looking the content path up in a listing.
 
-    Inline texts have no file and their content is long, so only file-backed
-    rows take part in the join.
+    Inline texts have no file and are long, so only file-backed rows take part
+    in the join. Both halves select by modality, which prunes a table that is
+    laid out by it, so nothing is read twice.
     """
     is_text = F.col("modality") == "text"
     files = listing.select(F.col("path").alias("_path")).distinct()
-    keyed = manifest.withColumn(
-        "_path_key", F.when(~is_text, F.col("payload.content"))
+    inline = manifest.where(is_text).withColumn("asset_exists", F.lit(False))
+    backed = manifest.where(~is_text).join(
+        files, F.col("payload.content") == F.col("_path"), "left"
     )
-    inline = keyed.where(F.col("_path_key").isNull()).withColumn(
-        "asset_exists", F.lit(False)
-    )
-    backed = (
-        keyed.where(F.col("_path_key").isNotNull())
-        .join(files, F.col("_path_key") == F.col("_path"), "left")
-        .withColumn("asset_exists", F.col("_path").isNotNull())
-        .drop("_path")
-    )
-    return backed.unionByName(inline).drop("_path_key")
+    found = backed.withColumn("asset_exists", F.col("_path").isNotNull()).drop("_path")
+    return found.unionByName(inline)
 
 
 def passed(gated: DataFrame) -> DataFrame:

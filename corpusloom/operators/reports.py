@@ -125,6 +125,11 @@ def datasheet(header: DataFrame, items: DataFrame, catalog: DataFrame) -> DataFr
     return reduce(DataFrame.unionByName, fixed, counted)
 
 
+def save_report(report: DataFrame, path: str) -> None:
+    """A report as JSON lines beside, never over, the data it describes."""
+    report.write.mode("overwrite").json(path)
+
+
 def as_markdown(sheet: DataFrame) -> DataFrame:
     """The datasheet as lines of text; it has a few dozen of them."""
     return sheet.orderBy("section", "name").select(

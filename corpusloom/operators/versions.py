@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom import schemas
 from corpusloom.operators.catalog import path_exists
 from corpusloom.operators.ranking import limit_per_group, with_position
+from corpusloom.session import stage_table
 
 # The models a version records by default.
 MODELS = {
@@ -45,7 +46,10 @@ def select_items(
         chosen = chosen.where(F.col("quality_status") == "pass")
     chosen = chosen.select("id", "modality", "source", "content_hash")
     chosen = limit_per_group(chosen, "modality", mods, ["id"], limit_per_modality)
-    ordered = chosen.withColumn("_m", modality_order(F.col("modality"), mods))
+    # Ranking reads its input twice (once to find the ranges), so the narrow
+    # rows are written out first and the catalog is gone through once.
+    narrow = stage_table(chosen, "chosen")
+    ordered = narrow.withColumn("_m", modality_order(F.col("modality"), mods))
     placed = with_position(ordered, "_m", "id")
     return placed.select(F.lit(name).alias("version"), *schemas.VERSION_ITEMS.fieldNames()[1:])
 
@@ -235,7 +239,6 @@ def epoch_order(
     where it was.
     """
     mixed = F.sha2(F.concat(F.lit(f"{seed}:{epoch}:"), F.col(key).cast("string")), 256)
-    placed = with_position(
-        items.select(key).withColumn("_mixed", mixed), "_mixed", key, name="epoch_pos"
-    )
+    keys = stage_table(items.select(key), "keys")
+    placed = with_position(keys.withColumn("_mixed", mixed), "_mixed", key, name="epoch_pos")
     return placed.where(F.col("epoch_pos") >= resume_at).select(key, "epoch_pos")

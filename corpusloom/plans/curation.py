@@ -241,7 +241,7 @@ def stage_benchmark(run: Run, name: str) -> dict:
     if not cat.path_exists(run.spark, path):
         return {"status": "skipped", "reason": "no shards", "rows": 0}
     started = time.time()
-    stats = shards.shard_stats(shards.read_shards(run.spark, path))
+    stats = shards.shard_stats(shards.read_shards(run.spark, path, records=False))
     measured = shards.loader_metrics(stats, 1.0)
     seconds = max(time.time() - started, 1e-9)
     rates = {
@@ -283,6 +283,31 @@ def run_all(run: Run, version: str = "v001", force: bool = False) -> list[dict]:
     return out
 
 
+def artifact_freshness(
+    spark: SparkSession, artifacts: dict[str, str], made_from: dict[str, str]
+) -> DataFrame:
+    """``artifact, newest, stale``: when the newest file was written, and
+    whether the artifact it was made from has a newer one. Files are listed,
+    never opened."""
+
+    def newest(path: str):
+        if not cat.path_exists(spark, path):
+            return None
+        files = (
+            spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        )
+        return files.agg(F.max("modificationTime")).first()[0]
+
+    times = {name: newest(path) for name, path in artifacts.items()}
+
+    def stale(name: str) -> bool:
+        own, source = times[name], times.get(made_from.get(name, ""))
+        return source is not None and (own is None or own < source)
+
+    rows = [(name, times[name], stale(name)) for name in artifacts]
+    return spark.createDataFrame(rows, "artifact string, newest timestamp, stale boolean")
+
+
 def artifact_status(spark: SparkSession, artifacts: dict[str, str]) -> DataFrame:
     """``artifact, present, n_rows`` for every named parquet path."""
     rows = []

@@ -814,7 +814,7 @@ def shard_scan(spark: SparkSession, d: str) -> DataFrame:
     items = versions.select_items(table, "v001")
     path = fresh_path(spark, "shards")
     shards.write_shards(shards.plan_members(items, table, 500), path)
-    stats = shards.shard_stats(shards.read_shards(spark, path))
+    stats = shards.shard_stats(shards.read_shards(spark, path, records=False))
     return stats.select("shard", "items")
 
 

@@ -23,6 +23,8 @@ def get_spark(app: str = "corpusloom", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # Texts differ in length by orders of magnitude; bound batches by size.
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 * 1024 * 1024))
         .config(
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -83,7 +85,16 @@ def stage_table(df: DataFrame, label: str) -> DataFrame:
     The plan is computed a single time, survives executor loss, and later
     reads get parquet column pruning and row-group skipping.
     """
-    spark = df.sparkSession
-    path = fresh_path(spark, label)
+    return stage_at(df, fresh_path(df.sparkSession, label))
+
+
+def stage_at(df: DataFrame, path: str) -> DataFrame:
+    """``stage_table`` under a path the caller will ``discard``."""
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that nothing reads any more."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

@@ -43,6 +43,10 @@ def rows_of(pdf) -> tuple[list[str], list[tuple]]:
     return columns, sorted(rows, key=lambda r: tuple((x is None, str(type(x)), str(x)) for x in r))
 
 
+def _kind(dtype) -> str:
+    return {"i": "int", "u": "int", "f": "float", "b": "bool"}.get(dtype.kind, "other")
+
+
 def difference(got, want) -> str:
     """'' when equal, else what differs."""
     (c1, r1), (c2, r2) = rows_of(got), rows_of(want)
@@ -50,6 +54,13 @@ def difference(got, want) -> str:
         return f"columns {c1} != {c2}"
     if len(r1) != len(r2):
         return f"{len(r1)} rows != {len(r2)}"
+    kinds = [
+        f"{c}: {got[c].dtype} != {want[c].dtype}"
+        for c in c1
+        if len(r1) and _kind(got[c].dtype) != _kind(want[c].dtype)
+    ]
+    if kinds:
+        return f"types {kinds}"
     bad = [(a, b) for a, b in zip(r1, r2) if a != b]
     return f"{len(bad)} of {len(r1)} rows differ, first {str(bad[0])[:400]}" if bad else ""
 

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import session
 from corpusloom.operators import catalog as cat
-from corpusloom.operators import embed, quality
+from corpusloom.operators import embed, quality, reports
 from corpusloom.plans import curation, inputs
 from corpusloom.sources import connectors as con
 from corpusloom.streaming import flows
@@ -44,6 +44,22 @@ def test_full_run_then_nothing_left_to_do(spark, data, tmp_path):
     assert not [p for p in tmp_path.rglob("*.build-*")] + [p for p in tmp_path.rglob("*.old-*")]
 
 
+def test_freshness(spark, tmp_path):
+    old, new = str(tmp_path / "old"), str(tmp_path / "new")
+    spark.range(1).write.parquet(old)
+    spark.range(1).write.parquet(new)
+    named = {"old": old, "new": new, "none": str(tmp_path / "none")}
+    got = {
+        r.artifact: (r.newest is not None, r.stale)
+        for r in curation.artifact_freshness(
+            spark, named, {"old": "new", "new": "old", "none": "new"}
+        ).collect()
+    }
+    assert got == {"old": (True, True), "new": (True, False), "none": (False, True)}
+    reports.save_report(spark.range(2), str(tmp_path / "report"))
+    assert spark.read.json(str(tmp_path / "report")).count() == 2
+
+
 def test_decisions():
     assert curation.embed_decision(None, None, False) == ("skipped", "missing manifest")
     assert curation.embed_decision(0, None, False) == ("skipped", "empty manifest")
