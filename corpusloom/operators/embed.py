@@ -18,6 +18,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom import schemas
 from corpusloom.functions import vectors
@@ -134,6 +135,26 @@ def embed_batches(
     return spread.withColumn(out_col, embed_text(F.col(in_col), model, batch_size))
 
 
+def embed_on(
+    df: DataFrame, model: Any, in_col: str, out_col: str, profile, batch_size: int = 128
+) -> DataFrame:
+    """``embed_batches`` on executors of a resource profile (GPUs, memory).
+
+    Whole rows pass through Python here, because only a map over rows can ask
+    for a profile; select the columns needed first.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        encode = _warm(model)
+        for batch in batches:
+            rows = _encode_chunks(encode, batch[in_col].fillna("").tolist(), batch_size, model.dim)
+            found = pd.Series(list(rows.astype(np.float32)), index=batch.index, dtype=object)
+            yield batch.assign(**{out_col: found.where(batch[in_col].notna(), None)})
+
+    schema = T.StructType([*df.schema, T.StructField(out_col, schemas.VECTOR)])
+    return df.mapInPandas(run, schema, profile=profile)
+
+
 def run_embed(
     manifest: DataFrame, out_path: str, model: Any, in_col: str, batch_size: int = 128
 ) -> dict[str, float]:

@@ -1,7 +1,9 @@
 """Streaming forms. Each runs until the present input is used up
 (``availableNow``) or, without a trigger, for as long as files arrive.
 
-State and progress live in the shared folder. Batch outputs are written per
+``progress`` is where a flow remembers what it has taken in; started again
+with the same one it goes on from there, and without one it starts afresh in
+the shared folder. Batch outputs are written per
 batch id, so a batch that is run again after a failure replaces its own
 output instead of adding to it.
 """
@@ -16,7 +18,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from corpusloom import schemas
-from corpusloom.operators import catalog as cat
 from corpusloom.operators import dedup
 from corpusloom.session import fresh_path
 
@@ -36,13 +37,16 @@ def arrivals(
 
 
 def _start(
-    stream: DataFrame, each: Callable[[DataFrame, int], None], mode: str = "append"
+    stream: DataFrame,
+    each: Callable[[DataFrame, int], None],
+    progress: str | None,
+    mode: str = "append",
 ) -> StreamingQuery:
-    progress = fresh_path(stream.sparkSession, "progress")
+    at = progress or fresh_path(stream.sparkSession, "progress")
     return (
         stream.writeStream.foreachBatch(each)
         .outputMode(mode)
-        .option("checkpointLocation", progress)
+        .option("checkpointLocation", at)
         .trigger(availableNow=True)
         .start()
     )
@@ -58,7 +62,10 @@ def _batch_path(root: str, batch_id: int) -> str:
 
 
 def append_to_catalog(
-    stream: DataFrame, to_catalog: Callable[[DataFrame], DataFrame], path: str
+    stream: DataFrame,
+    to_catalog: Callable[[DataFrame], DataFrame],
+    path: str,
+    progress: str | None = None,
 ) -> StreamingQuery:
     """Turn every batch of raw rows into catalog rows and add them."""
 
@@ -66,7 +73,7 @@ def append_to_catalog(
         rows = to_catalog(batch).select(*schemas.CATALOG.fieldNames())
         rows.write.mode("overwrite").parquet(_batch_path(path, batch_id))
 
-    return _start(stream, each)
+    return _start(stream, each, progress)
 
 
 def read_appended(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -74,7 +81,9 @@ def read_appended(spark: SparkSession, path: str, schema: StructType | None = No
     return spark.read.schema(schema or schemas.CATALOG).parquet(path)
 
 
-def first_by_hash(stream: DataFrame, path: str, order: str = "idx") -> StreamingQuery:
+def first_by_hash(
+    stream: DataFrame, path: str, order: str = "idx", progress: str | None = None
+) -> StreamingQuery:
     """Smallest ``order`` per content hash, whatever order rows arrive in.
 
     The state is one number per hash in the state store; copies are reduced
@@ -85,7 +94,7 @@ def first_by_hash(stream: DataFrame, path: str, order: str = "idx") -> Streaming
     def each(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(_batch_path(path, batch_id))
 
-    return _start(first, each, "update")
+    return _start(first, each, progress, "update")
 
 
 def read_firsts(spark: SparkSession, path: str) -> DataFrame:
@@ -101,6 +110,7 @@ def near_dedup_stream(
     dim: int,
     path: str,
     threshold: float = dedup.THRESHOLD,
+    progress: str | None = None,
 ) -> StreamingQuery:
     """Keep what is not similar to anything kept before.
 
@@ -110,7 +120,8 @@ def near_dedup_stream(
     """
     spark = stream.sparkSession
     schema = "pos bigint, vec array<float>, batch_id bigint"
-    spark.createDataFrame([], "pos bigint, vec array<float>").write.parquet(_batch_path(path, -1))
+    nothing = spark.createDataFrame([], "pos bigint, vec array<float>")
+    nothing.write.mode("ignore").parquet(_batch_path(path, -1))
 
     def each(batch: DataFrame, batch_id: int) -> None:
         table = batch.sparkSession.read.schema(schema).parquet(path)
@@ -118,11 +129,17 @@ def near_dedup_stream(
         fresh = dedup.kept_of_batch(batch, kept, pos, vec, dim, threshold)
         fresh.select("pos", "vec").write.mode("overwrite").parquet(_batch_path(path, batch_id))
 
-    return _start(stream, each)
+    return _start(stream, each, progress)
 
 
 def window_counts(
-    stream: DataFrame, ts: str, path: str, width: str, lateness: str, by: list[Column]
+    stream: DataFrame,
+    ts: str,
+    path: str,
+    width: str,
+    lateness: str,
+    by: list[Column],
+    progress: str | None = None,
 ) -> StreamingQuery:
     """Rows and newest timestamp per time window and group; rows later than
     ``lateness`` behind the newest are left out, which bounds the state."""
@@ -138,7 +155,7 @@ def window_counts(
     def each(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(_batch_path(path, batch_id))
 
-    return _start(counted, each, "update")
+    return _start(counted, each, progress, "update")
 
 
 def read_windows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
@@ -148,8 +165,3 @@ def read_windows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return updates.groupBy("window_start", *keys).agg(last).select(
         "window_start", *keys, "last.n_rows", "last.newest"
     )
-
-
-def store_catalog(rows: DataFrame, path: str) -> None:
-    """Batch twin of ``append_to_catalog``."""
-    cat.append_catalog(rows, path)

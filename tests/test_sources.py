@@ -2,7 +2,6 @@ import hashlib
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from corpusloom import schemas
 from corpusloom.plans import inputs
@@ -120,7 +119,7 @@ def test_audio_defaults(spark):
     assert [(r.idx, r.payload.metadata.sampling_rate) for r in rows] == [(0, 8000), (1, 16000)]
     assert rows[0].payload.metadata.chapter_id == ""
     kinds = values(raw.orderBy("idx"), probe.resolve_audio())
-    assert [k[0] for k in kinds] == ["array", "bytes", "path", None][0:1] + ["path", None, "array"]
+    assert [k[0] for k in kinds] == ["array", "path", None, "array"]
 
 
 def test_bounded_scan(spark, data):

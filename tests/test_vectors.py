@@ -43,6 +43,13 @@ def test_embedding(spark):
         assert np.allclose(got[i], _by_hand(texts[i], 16), atol=1e-6)
 
 
+def test_embedding_rows_gives_the_same(spark):
+    df = spark.createDataFrame([(0, "a b"), (1, None), (2, "")], "i int, t string")
+    model = embed.HashingModel(8)
+    one = pairs(embed.embed_on(df, model, "t", "v", None, 2).select("i", "v"))
+    assert one == pairs(embed.embed_batches(df, model, "t", "v").select("i", "v"))
+
+
 def test_frames_are_pooled(spark):
     df = spark.createDataFrame([(0, ["a", "b"]), (1, []), (2, None)], "i int, f array<string>")
     got = pairs(df.select("i", embed.embed_frames(F.col("f"), embed.HashingModel(8))))
