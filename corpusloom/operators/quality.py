@@ -174,12 +174,12 @@ def extended_rules(
     ]
 
 
-def mark_copies(df: DataFrame, keys: list[str], order: str = "id") -> DataFrame:
+def mark_copies(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Add ``is_copy``: another row with the same keys comes before.
 
-    The first row of each key comes from a partially aggregated minimum and is
-    matched back by the row's own unique ``order`` value, so neither side of
-    the join has a hot key however many copies there are.
+    ``order`` is a number that identifies rows (see ``dedup.order_key``). The first row of each key comes from a partially aggregated minimum and is
+    matched back by that row's own number, so neither side of the join has a
+    hot key however many copies there are.
     """
     first = df.groupBy(*keys).agg(F.min(order).alias("_first")).select("_first")
     joined = df.join(first, F.col(order) == F.col("_first"), "left")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from corpusloom.functions import vectors
@@ -75,10 +76,9 @@ def drift_monitor(catalog: DataFrame, vec: Column | None = None) -> DataFrame:
         .groupBy("metric", "key")
         .agg(F.count("*").alias("n"))
     )
-    totals = counts.groupBy("metric").agg(F.sum("n").alias("total"))
-    return counts.join(totals, "metric").select(
-        "metric", "key", "n", F.round(F.col("n") / F.col("total"), 6).alias("share")
-    )
+    # The counts are few; a window over them spares a second pass over the rows.
+    total = F.sum("n").over(W.partitionBy("metric"))
+    return counts.withColumn("share", F.round(F.col("n") / total, 6))
 
 
 def copy_rate(manifest: DataFrame) -> DataFrame:

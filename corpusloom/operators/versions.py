@@ -201,29 +201,29 @@ def diff_versions(a: DataFrame, b: DataFrame) -> DataFrame:
     return old.join(new, "id", "full").select("id", change.alias("change"))
 
 
-def _hash_bucket(c: Column) -> Column:
-    """Ten thousand even buckets from the first 32 bits of the SHA-256."""
-    return F.conv(F.substring(F.sha2(c, 256), 1, 8), 16, 10).cast("long") % 10000
+def _hash_number(c: Column, digits: int) -> Column:
+    """The first hex digits of the SHA-256 as a number."""
+    return F.conv(F.substring(F.sha2(c, 256), 1, digits), 16, 10).cast("long")
 
 
 def train_eval_split(items: DataFrame, eval_ratio: float = 0.1) -> DataFrame:
     """Add ``split`` from a hash of the id: the same on every run, whatever
     else is in the table.
 
-    Modalities are split independently, and one too small to get an eval row
-    by its hashes gives the row with the smallest bucket. The lookup is
-    broadcast: it has one row for each of the four modalities.
+    The first 32 bits fall into ten thousand even buckets. Modalities are
+    split independently, and one too small to get an eval row that way gives
+    the row with the smallest hash. The lookup of those is broadcast: it has
+    one row for each of the four modalities.
     """
     cut = int(round(eval_ratio * 10000))
-    placed = items.withColumn("_bucket", _hash_bucket(F.col("id")))
+    placed = items.withColumn("_hash", _hash_number(F.col("id"), 15))
     known = placed.where(F.col("modality").isin(schemas.MODALITIES))
-    smallest = known.groupBy("modality").agg(
-        F.min(F.struct("_bucket", "id")).alias("_first")
-    )
+    smallest = known.groupBy("modality").agg(F.min("_hash").alias("_first"))
     joined = placed.join(F.broadcast(smallest), "modality", "left")
-    is_first = F.coalesce(F.col("_first.id") == F.col("id"), F.lit(False)) & F.lit(cut > 0)
-    split = F.when((F.col("_bucket") < cut) | is_first, "eval").otherwise("train")
-    return joined.withColumn("split", split).drop("_bucket", "_first")
+    is_first = F.coalesce(F.col("_first") == F.col("_hash"), F.lit(False)) & F.lit(cut > 0)
+    chosen = (_hash_number(F.col("id"), 8) % 10000 < cut) | is_first
+    split = F.when(chosen, "eval").otherwise("train")
+    return joined.withColumn("split", split).drop("_hash", "_first")
 
 
 def split_report(split: DataFrame) -> DataFrame:

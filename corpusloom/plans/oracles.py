@@ -259,10 +259,11 @@ lic as (select *, {LICENSE} as license from sourced)"""
 EXTENDED = rf"""a_raw as (
     select row_number() over (order by conv_id, turn) - 1 as idx, text from conversations),
 allrows as (
-    select 't' || doc_id as id, 'text' as modality, text, null::double as dur from documents
-    union all select 'a' || idx, 'audio', text, length(text) / 100 from a_raw),
+    select 't' || doc_id as id, doc_id as idx, 'text' as modality, text, null::double as dur
+    from documents
+    union all select 'a' || idx, idx, 'audio', text, length(text) / 100 from a_raw),
 ranked as (
-    select *, row_number() over (partition by modality, sha256(text) order by id) as rk,
+    select *, row_number() over (partition by modality, sha256(text) order by idx) as rk,
         length(regexp_replace(text, '\s+', '', 'g')) as vis from allrows),
 ext as (
     select id, modality, concat_ws('|',
@@ -755,10 +756,11 @@ _q(
 )
 SPLIT = f"""{MAN},
 bucketed as (
-    select id, modality, ('0x' || substr(sha256(id), 1, 8))::bigint % 10000 as bucket from man),
+    select id, modality, ('0x' || substr(sha256(id), 1, 8))::bigint % 10000 as bucket,
+        substr(sha256(id), 1, 15) as fine from man),
 split as (
     select id, modality, case when bucket < 1000 or row_number() over (
-        partition by modality order by bucket, id) = 1 then 'eval' else 'train' end as split
+        partition by modality order by fine) = 1 then 'eval' else 'train' end as split
     from bucketed)"""
 _q("train_eval_split", "select id, modality, split from split", SPLIT)
 _q(

@@ -177,7 +177,8 @@ def asset_scan(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _texts(spark: SparkSession, d: str) -> DataFrame:
-    return readers.table(spark, d, "documents").select("doc_id", "text", "source", "lang")
+    rows = readers.table(spark, d, "documents").select("doc_id", "text", "source", "lang")
+    return readers.spread(rows)
 
 
 @query
@@ -243,18 +244,20 @@ def drop_reasons(spark: SparkSession, d: str) -> DataFrame:
 def _extended(spark: SparkSession, d: str) -> DataFrame:
     turns = inputs.raw_audio(spark, d).select(
         F.concat(F.lit("a"), F.col("idx").cast("string")).alias("id"),
+        (F.col("idx") * 2 + 1).alias("row"),
         F.lit("audio").alias("modality"),
         "text",
         (F.length("text") / 100).alias("duration_s"),
     )
-    docs = readers.table(spark, d, "documents").select(
+    docs = _texts(spark, d).select(
         F.concat(F.lit("t"), F.col("doc_id").cast("string")).alias("id"),
+        (F.col("doc_id") * 2).alias("row"),
         F.lit("text").alias("modality"),
         "text",
         F.lit(None).cast("double").alias("duration_s"),
     )
     rows = docs.unionByName(turns).withColumn("content_hash", text.content_hash(F.col("text")))
-    marked = quality.mark_copies(rows, ["modality", "content_hash"])
+    marked = quality.mark_copies(rows, ["modality", "content_hash"], "row")
     rules = quality.extended_rules(
         F.col("text"), F.col("duration_s"), F.col("is_copy"), 0.16, (0.5, 20.0)
     )

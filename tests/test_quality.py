@@ -89,12 +89,12 @@ def test_listing_join_keeps_every_row(spark):
 
 def test_extended_safety_and_contract(spark):
     df = spark.createDataFrame(
-        [("1", "text", "same", None), ("2", "text", "same", None), ("3", "text", "a      b", None),
-         ("4", "audio", "", 1.0), ("5", "video", "ok", 9999.0), ("6", "text", " ", None)],
-        "id string, modality string, t string, d double",
+        [("1", 1, "text", "same", None), ("2", 2, "text", "same", None), ("3", 3, "text", "a      b", None),
+         ("4", 4, "audio", "", 1.0), ("5", 5, "video", "ok", 9999.0), ("6", 6, "text", " ", None)],
+        "id string, row int, modality string, t string, d double",
     )
     marked = quality.mark(
-        quality.mark_copies(df, ["modality", "t"]),
+        quality.mark_copies(df, ["modality", "t"], "row"),
         quality.extended_rules(F.col("t"), F.col("d"), F.col("is_copy")),
     )
     assert pairs(marked.select("id", "quality_reason")) == {
