@@ -11,7 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom import schemas
@@ -125,11 +125,15 @@ def embed_input(modality: str):
     return F.col("payload.caption")
 
 
-def embed_manifest(manifest: DataFrame, modality: str, model: Any) -> DataFrame:
-    """Manifest rows with ``embedding``."""
+def embed_manifest(
+    manifest: DataFrame, modality: str, model: Any, only: Column | None = None
+) -> DataFrame:
+    """Manifest rows with ``embedding``. Rows outside ``only`` reach the model
+    as null, which it skips, and keep a null vector."""
     given = embed_input(modality)
+    wanted = given if only is None else F.when(only, given)
     run_model = embed.embed_frames if modality == "video" else embed.embed_text
-    return manifest.withColumn("embedding", run_model(given, model))
+    return manifest.withColumn("embedding", run_model(wanted, model))
 
 
 def curate(
@@ -168,7 +172,12 @@ def stage_preprocessing(run: Run, modality: str, force: bool = False) -> dict:
     if status == "skipped":
         return {"status": status, "reason": reason, "rows": n_done or 0}
     manifest = run.spark.read.parquet(source)
-    cat.publish(embed_manifest(manifest, modality, run.model(modality)), target)
+    # The gate is cheap and the model is not: failing rows stay in the
+    # artifact but are not embedded.
+    gated = quality.quality_gate(run.probe(manifest))
+    passing = F.col("quality_status") == "pass"
+    embedded = embed_manifest(gated, modality, run.model(modality), passing)
+    cat.publish(embedded.select(*manifest.columns, "embedding"), target)
     return {"status": "ok", "reason": reason, "rows": row_count(run.spark, target)}
 
 

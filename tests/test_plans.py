@@ -29,6 +29,9 @@ def test_full_run_then_nothing_left_to_do(spark, data, tmp_path):
     text = done[("quality", "text")]
     assert text["total"] == done[("connectors", "text")]["rows"]
     assert text["rows"] + text["near_duplicates_removed"] <= text["passed"]
+    embedded = spark.read.parquet(run.layout.embedded("audio"))
+    assert embedded.count() == done[("connectors", "audio")]["rows"]
+    assert embedded.where("embedding is not null").count() == done[("quality", "audio")]["passed"]
     kept = sum(done[("quality", m)]["rows"] for m in run.modalities)
     assert done[("catalog", "all")]["rows"] == kept == done[("version", "all")]["rows"]
     assert done[("benchmark", "all")]["rows"] == kept
