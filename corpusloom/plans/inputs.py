@@ -201,10 +201,6 @@ def catalog(spark: SparkSession, d: str, with_vectors: bool = True) -> DataFrame
     return cat.build_catalog(rows, vecs.select("id", "embedding", F.col("idx").alias("pos")))
 
 
-def passed_catalog(spark: SparkSession, d: str, with_vectors: bool = False) -> DataFrame:
-    return catalog(spark, d, with_vectors).where("quality_status = 'pass'")
-
-
 def stored_vectors(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "embeddings").select("vec_id", "embedding", "label")
 

@@ -816,7 +816,8 @@ def shard_manifest(spark: SparkSession, d: str) -> DataFrame:
 @query
 def shard_scan(spark: SparkSession, d: str) -> DataFrame:
     """Passing rows written as tar shards and read back."""
-    table = stage_table(inputs.passed_catalog(spark, d), "catalog")
+    every = stage_table(inputs.catalog(spark, d, with_vectors=False), "catalog")
+    table = every.where("quality_status = 'pass'")
     items = versions.select_items(table, "v001")
     path = fresh_path(spark, "shards")
     shards.write_shards(shards.plan_members(items, table, 500), path)
