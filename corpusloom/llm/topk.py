@@ -136,8 +136,8 @@ def _search(sent, k: int):
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own_row, queries, floor, pivots, longest = sent.value
-        lifted = _lifted(queries, longest)
-        to_pivot = _distances(lifted, pivots)
+        # A query has nothing in the coordinate that was added.
+        to_pivot = _distances(np.c_[queries, np.zeros(len(queries))], pivots)
         reach = (queries.astype(np.float64) ** 2).sum(axis=1) + longest
         best = _Best(floor.copy(), k)
         for batch in batches:

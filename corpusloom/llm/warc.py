@@ -52,8 +52,9 @@ _MOST_HEADER = 1 << 16
 # Rows and payload bytes that go back to Spark at a time.
 _OUT_ROWS = 500
 _OUT_BYTES = 32 << 20
-# Where a member or a version line may start.
-_START = re.compile(rb"\x1f\x8b\x08|(?:(?<=\n)|\A)WARC/")
+# Where a member or a version line may start; after a record that was cut off
+# it need not be at the start of a line.
+_START = re.compile(rb"\x1f\x8b\x08|WARC/\d")
 FOUND = (
     "file string, kind string, offset bigint, length bigint, reason string, type string, "
     "record_id string, refers_to string, uri string, payload_bytes bigint, "
