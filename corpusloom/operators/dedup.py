@@ -6,24 +6,25 @@ to a dropped row stay.
 
 How it runs. Equal vectors share one fate, so they are collapsed first by a
 partially aggregated group-by; a group of copies of any size becomes one row
-there. Then, in rounds:
-
-1. the first rows still undecided (as many as fit a fixed memory budget) are
-   decided among themselves in order, which is final because everything
-   before them is decided;
-2. the rows just kept are sent to all tasks, and one narrow pass over the rest
-   drops what they match.
-
-Step 2 is the only work that grows with the data. It neither shuffles nor
-emits pairs: each row is read once and leaves with at most one match. The
-comparisons made are exactly row × kept row, which is what the rule asks for.
-Each round is written to the shared folder, so a lost executor repeats tasks
-of the current round only.
+there. Every distinct vector belongs to the cell of its nearest pivot. A pair
+over the threshold spans at most a fixed angle, so a vector visits only the
+cells that such a neighbour could live in: those whose pivot is no farther than
+the cell's radius and that angle. Large cells are split into blocks of bounded
+size. Home rows of a block are compared with each other and with its visitors,
+which pass through in batches; a task returns at most two positions per row
+(its first similar row that is kept, and that is undecided), never its pairs.
+
+Rounds go on until nothing is undecided: a row without an earlier similar row is
+kept; one whose first similar row is kept is dropped; the others wait. Only
+waiting rows and those just kept are compared again. Each round is written to
+the shared folder, so a lost executor repeats tasks of the current round only.
+The driver sees counts, the pivots and one radius per pivot.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -31,26 +32,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import vectors
-from corpusloom.operators.ranking import first_per_key
+from corpusloom.operators.ranking import first_per_key, salted_lookup
 from corpusloom.session import discard, fresh_path, stage_at, stage_table
 
 THRESHOLD = 0.92
-# Memory the rows of one round may take on the driver and in each worker.
-ROUND_BYTES = 64 * 1024 * 1024
+# Memory that the home rows of a block may take in a worker.
+BLOCK_BYTES = 64 * 1024 * 1024
+PIVOTS = 64
+# Pivots are chosen among so many rows; visitors are dealt in chunks of so many.
+_SAMPLE_ROWS = 4096
+_CHUNK_ROWS = 250_000
+# Once a few rounds are over, so few waiting rows are decided in one go.
+_TAIL_ROWS = 1024
+_TAIL_AFTER = 4
 # Slack for the single-precision screen; hits are confirmed in double.
 _SLACK = 1e-4
 _BLOCK = 2048
 _DECIDED = "pos bigint, dup_of bigint, kept boolean, vec array<float>"
+_STATE = "pos bigint, vec array<float>, best bigint, open boolean"
+_NEVER = (1 << 63) - 1
 
 
-# Room for the clips of one source row in ``order_key``.
+# Room for the pieces of one source row in ``order_key``.
 _SUB_BITS = 20
 
 
 def order_key(idx: str = "idx", sub_idx: str = "sub_idx") -> Column:
     """One number that orders rows by ``idx`` and then ``sub_idx``. It is all
-    the order near-dedup needs; no ranking over the table takes place."""
-    return F.shiftleft(F.col(idx).cast("long"), _SUB_BITS) + F.col(sub_idx)
+    the order near-dedup needs; no ranking over the table takes place. Values
+    without room (``idx`` from 2**43, ``sub_idx`` from 2**20, negative ones)
+    are an error: two rows never share a number."""
+    i, j = F.col(idx).cast("long"), F.col(sub_idx).cast("long")
+    fits = i.between(0, (1 << 63 - _SUB_BITS) - 1) & j.between(0, (1 << _SUB_BITS) - 1)
+    number = F.shiftleft(i, _SUB_BITS).bitwiseOR(j)
+    problem = F.concat_ws(" ", F.lit("no order key for"), i, j)
+    return F.when(fits, number).otherwise(F.raise_error(problem).cast("long"))
 
 
 def exact_dedup(
@@ -83,31 +99,23 @@ def first_hits(rows: np.ndarray, kept: np.ndarray, threshold: float) -> np.ndarr
     return found
 
 
-def decide_in_order(rows: np.ndarray, threshold: float) -> np.ndarray:
-    """Greedy rule inside one batch: the kept row that drops each row, or -1
-    for the rows that stay."""
-    verdict = np.full(len(rows), -1)
-    kept: list[int] = []
-    for start in range(0, len(rows), 512):
-        block = rows[start : start + 512]
-        hits = first_hits(block, rows[kept], threshold) if kept else np.full(len(block), -1)
-        verdict[start : start + len(block)] = np.where(
-            hits >= 0, np.asarray(kept + [-1])[hits], -1
-        )
-        near = block @ block.T > threshold
-        fresh: list[int] = []
-        for i in np.flatnonzero(hits < 0):
-            matches = np.flatnonzero(near[i, fresh])
-            if len(matches):
-                verdict[start + i] = start + fresh[matches[0]]
-            else:
-                fresh.append(i)
-        kept.extend(start + i for i in fresh)
-    return verdict
+def decide_in_order(
+    rows: np.ndarray, threshold: float, best: np.ndarray, pos: np.ndarray
+) -> np.ndarray:
+    """Greedy rule inside one small batch in order of ``pos``. ``best`` is each
+    row's first similar row kept elsewhere; the result is the first one of all,
+    ``_NEVER`` for the rows that stay."""
+    near = rows @ rows.T > threshold
+    out = best.copy()
+    for i in range(len(rows)):
+        kept = np.flatnonzero(near[i, :i] & (out[:i] == _NEVER))
+        if len(kept):
+            out[i] = min(out[i], pos[kept[0]])
+    return out
 
 
-def _round_rows(dim: int) -> int:
-    return int(min(max(ROUND_BYTES // (8 * dim), 256), 65536))
+def _block_rows(dim: int) -> int:
+    return int(min(max(BLOCK_BYTES // (8 * dim), 256), 65536))
 
 
 def _usable(df: DataFrame, pos: str, vec: str, dim: int) -> DataFrame:
@@ -148,84 +156,261 @@ def _width(pdf: pd.DataFrame) -> int:
     return len(pdf["vec"].iloc[0]) if len(pdf) else 0
 
 
-def _decide_batch(threshold: float):
+@dataclass(frozen=True)
+class _Cells:
+    """How vectors are dealt: pivots (unit rows), and per pivot the radius of
+    its cell and the number of blocks it is split into."""
+
+    pivots: np.ndarray
+    radius: np.ndarray
+    blocks: np.ndarray
+    reach: float
+    chunks: int
+
+    def homes(self, unit: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        angles = np.arccos(np.clip(unit @ self.pivots.T, -1, 1))
+        home = angles.argmin(axis=1)
+        return angles, home, _mixed(pos) % self.blocks[home]
+
+    def groups(self, unit: np.ndarray, pos: np.ndarray) -> tuple[list, list]:
+        """Per row the blocks it lives in (one per chunk of visitors) and those
+        it visits: later blocks of its own cell, and of later cells that a
+        neighbour over the threshold may live in. So a pair meets once."""
+        angles, home, block = self.homes(unit, pos)
+        first = np.r_[0, np.cumsum(self.blocks)]
+        chunk = _mixed(pos, 1) % self.chunks
+        own = (first[home] + block)[:, None] * self.chunks + np.arange(self.chunks)
+        near = angles <= self.radius + self.reach
+        visits = []
+        for i in range(len(pos)):
+            cells = np.flatnonzero(near[i, home[i] + 1 :]) + home[i] + 1
+            parts = [np.arange(first[home[i]] + block[i] + 1, first[home[i] + 1])]
+            parts += [np.arange(first[c], first[c + 1]) for c in cells]
+            visits.append(np.concatenate(parts) * self.chunks + chunk[i])
+        return list(own), visits
+
+
+def _mixed(pos: np.ndarray, turn: int = 0) -> np.ndarray:
+    mixed = (pos.astype(np.uint64) + np.uint64(turn)) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed ^ (mixed >> np.uint64(29))) >> np.uint64(8)).astype(np.int64)
+
+
+def _unit(batch: pd.DataFrame) -> np.ndarray:
+    return vectors.unit_rows(vectors.matrix(batch["vec"], _width(batch)))
+
+
+def _cells(todo: DataFrame, threshold: float, block_rows: int) -> _Cells | None:
+    """Pivots from a bounded sample, and what each cell holds (a row each)."""
+    sample = todo.orderBy(F.xxhash64("pos"), "pos").limit(_SAMPLE_ROWS).toPandas()
+    if not len(sample):
+        return None
+    pick = np.random.default_rng(0).permutation(len(sample))[:PIVOTS]
+    pivots = _unit(sample.iloc[np.sort(pick)])
+    one = np.ones(len(pivots), np.int64)
+    bare = _Cells(pivots, one * np.pi, one, 0.0, 1)
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                angles, home, _ = bare.homes(_unit(batch), batch["pos"].to_numpy())
+                yield pd.DataFrame({"home": home, "angle": angles.min(axis=1)})
+
+    placed = todo.mapInPandas(measure, "home int, angle double")
+    held = placed.groupBy("home").agg(F.count("*").alias("n"), F.max("angle").alias("far")).collect()
+    radius, counts = np.full(len(pivots), -np.inf), np.zeros(len(pivots), np.int64)
+    for row in held:
+        radius[row["home"]], counts[row["home"]] = row["far"], row["n"]
+    blocks = np.maximum(-(-counts // block_rows), 1)
+    chunks = int(-(-counts.sum() // _CHUNK_ROWS))
+    return _Cells(pivots, radius, blocks, float(np.arccos(threshold)) + _SLACK, chunks)
+
+
+def _dealt(state: DataFrame, cells: _Cells) -> DataFrame:
+    """A row per block that a row lives in (``home``) or visits."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        parts = list(batches)
-        if not parts:
-            return
-        head = pd.concat(parts).sort_values("pos", ignore_index=True)
-        if not len(head):
-            return
-        rows = vectors.unit_rows(vectors.matrix(head["vec"], _width(head)))
-        verdict = decide_in_order(rows, threshold)
-        pos = head["pos"].to_numpy()
-        dropped = verdict >= 0
+        for batch in batches:
+            if len(batch):
+                own, visits = cells.groups(_unit(batch), batch["pos"].to_numpy())
+                yield batch[["pos", "vec", "open"]].assign(own=own, visits=visits)
+
+    schema = "pos bigint, vec array<float>, open boolean, own array<bigint>, visits array<bigint>"
+    placed = state.select("pos", "vec", "open").mapInPandas(run, schema)
+    ways = F.array(
+        F.struct(F.lit(True).alias("home"), F.col("own").alias("groups")),
+        F.struct(F.lit(False).alias("home"), F.col("visits").alias("groups")),
+    )
+    return (
+        placed.select("pos", "vec", "open", F.inline(ways))
+        .select("pos", "vec", "open", "home", F.explode("groups").alias("block"))
+        .repartition("block")
+        .sortWithinPartitions("block", F.desc("home"))
+    )
+
+
+class _Block:
+    """The home rows of one block, and what they and their visitors found."""
+
+    def __init__(self, threshold: float):
+        self.threshold = threshold
+        self.rows, self.pos, self.open = None, np.zeros(0, np.int64), np.zeros(0, bool)
+
+    def live(self, part: pd.DataFrame) -> None:
+        rows = _unit(part)
+        self.rows = rows if self.rows is None else np.concatenate([self.rows, rows])
+        self.pos = np.r_[self.pos, part["pos"].to_numpy()]
+        self.open = np.r_[self.open, part["open"].to_numpy()]
+
+    def among_homes(self) -> Iterator[pd.DataFrame]:
+        if self.rows is not None:
+            yield from self._compare(self.rows, self.pos, self.open, same=True)
+
+    def visit(self, part: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        if self.rows is not None:
+            yield from self._compare(
+                _unit(part), part["pos"].to_numpy(), part["open"].to_numpy(), same=False
+            )
+
+    def _compare(self, rows, pos, open_, same) -> Iterator[pd.DataFrame]:
+        kept, wait = {}, {}
+        homes32 = self.rows.astype(np.float32)
+        for i in range(0, len(rows), 512):
+            some = rows[i : i + 512].astype(np.float32)
+            for j in range(0, len(self.rows), _BLOCK):
+                if same and j + _BLOCK <= i:
+                    continue
+                near = some @ homes32[j : j + _BLOCK].T > self.threshold - _SLACK
+                a, b = np.nonzero(near)
+                a, b = a + i, b + j
+                if same:
+                    a, b = a[a < b], b[a < b]
+                later = np.where(pos[a] > self.pos[b], open_[a], self.open[b])
+                a, b = a[later], b[later]
+                sure = np.einsum("ij,ij->i", rows[a], self.rows[b]) > self.threshold
+                a, b = a[sure], b[sure]
+                swap = pos[a] < self.pos[b]
+                late = np.where(swap, self.pos[b], pos[a])
+                early = np.where(swap, pos[a], self.pos[b])
+                waits = np.where(swap, open_[a], self.open[b])
+                _lowest(wait, late[waits], early[waits])
+                _lowest(kept, late[~waits], early[~waits])
+        found = list(kept.keys() | wait.keys())
         yield pd.DataFrame(
             {
-                "pos": pos,
-                "dup_of": np.where(dropped, pos[verdict], -1),
-                "kept": ~dropped,
-                "vec": head["vec"].where(~dropped, None),
+                "pos": np.array(found, np.int64),
+                "kept": np.array([kept.get(p, _NEVER) for p in found], np.int64),
+                "wait": np.array([wait.get(p, _NEVER) for p in found], np.int64),
             }
         )
 
-    return run
 
+def _lowest(held: dict, keys: np.ndarray, values: np.ndarray) -> None:
+    """Keep the lowest value per key."""
+    if not len(keys):
+        return
+    order = np.lexsort((values, keys))
+    keys, values = keys[order], values[order]
+    first = np.r_[True, keys[1:] != keys[:-1]]
+    for key, value in zip(keys[first].tolist(), values[first].tolist()):
+        if value < held.get(key, _NEVER):
+            held[key] = value
 
-def _drop_hits(kept, threshold: float):
+
+def _meet(threshold: float, chunks: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        kept_pos, kept_rows = kept.value
+        at, block, settled = None, None, False
         for batch in batches:
-            if not len(batch):
-                continue
-            rows = vectors.unit_rows(vectors.matrix(batch["vec"], _width(batch)))
-            hits = first_hits(rows, kept_rows, threshold)
-            gone = hits >= 0
+            for group, rows in batch.groupby("block", sort=False):
+                if group != at:
+                    if block is not None and not settled:
+                        yield from block.among_homes()
+                    at, block, settled = group, _Block(threshold), group % chunks != 0
+                home = rows["home"].to_numpy()
+                if home.any():
+                    block.live(rows[home])
+                if not home.all():
+                    yield from block.visit(rows[~home])
+        if block is not None and not settled:
+            yield from block.among_homes()
+
+    return run
+
+
+def _earliest(state: DataFrame, threshold: float, cells: _Cells) -> DataFrame:
+    """``pos, kept, wait`` of undecided rows: the first earlier similar row that
+    is kept, and that is undecided (``_NEVER`` for none)."""
+    met = _dealt(state, cells).mapInPandas(
+        _meet(threshold, cells.chunks), "pos bigint, kept bigint, wait bigint"
+    )
+    return met.groupBy("pos").agg(F.min("kept").alias("kept"), F.min("wait").alias("wait"))
+
+
+def _tail(threshold: float):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        parts = [b for b in batches if len(b)]
+        if parts:
+            rows = pd.concat(parts).sort_values("pos", ignore_index=True)
+            pos = rows["pos"].to_numpy()
+            first = decide_in_order(_unit(rows), threshold, rows["best"].to_numpy(), pos)
+            stays = first == _NEVER
             yield pd.DataFrame(
-                {
-                    "pos": batch["pos"],
-                    "dup_of": np.where(gone, kept_pos[hits], -1),
-                    "kept": ~gone,
-                    "vec": batch["vec"].where(~gone, None),
-                }
+                {"pos": pos, "dup_of": first, "kept": stays, "vec": rows["vec"].where(stays, None)}
             )
 
     return run
 
 
-def _run_rounds(todo: DataFrame, threshold: float, round_rows: int) -> DataFrame:
-    """Decide distinct vectors (a table written by ``_in_order``); returns
-    ``pos, dup_of, kept, vec`` where ``dup_of`` is the first kept position
-    that drops the row, null for rows that stay."""
+def _run_rounds(todo: DataFrame, threshold: float, block_rows: int) -> DataFrame:
+    """Decide distinct vectors (``pos, vec``); returns ``pos, dup_of, kept,
+    vec`` where ``dup_of`` is the first kept position that drops the row, null
+    for rows that stay."""
     spark = todo.sparkSession
     decided_path = fresh_path(spark, "decided")
     spark.createDataFrame([], _DECIDED).write.parquet(decided_path)
+    cells = _cells(todo, threshold, block_rows)
+    state = todo.select(
+        "pos", "vec", F.lit(_NEVER).alias("best"), F.lit(True).alias("open")
+    )
     used: str | None = None
-    while True:
-        n, cut = _edge(todo, round_rows)
-        if not n:
-            break
-        # At most round_rows rows: the one place that needs them in one task.
-        head = todo.where(F.col("pos") <= cut).repartition(1)
-        head_path = fresh_path(spark, "head")
-        decided = stage_at(head.mapInPandas(_decide_batch(threshold), _DECIDED), head_path)
-        decided.write.mode("append").parquet(decided_path)
-        if n < round_rows:
-            break
-        kept = spark.sparkContext.broadcast(
-            _read(decided.where("kept").select("pos", "vec"))
+    turn = 0
+    while cells is not None:
+        turn += 1
+        found = _earliest(state, threshold, cells)
+        path = fresh_path(spark, "round")
+        judged = state.join(found, "pos", "left").select(
+            "pos",
+            "vec",
+            "open",
+            F.least("best", F.coalesce("kept", F.lit(_NEVER))).alias("best"),
+            F.coalesce("wait", F.lit(_NEVER)).alias("wait"),
         )
-        rest = todo.where(F.col("pos") > cut)
-        swept_path = fresh_path(spark, "swept")
-        swept = stage_at(rest.mapInPandas(_drop_hits(kept, threshold), _DECIDED), swept_path)
-        kept.unpersist()
-        swept.where("not kept").write.mode("append").parquet(decided_path)
-        todo = swept.where("kept").select("pos", "vec")
+        judged = stage_at(judged.where("open"), path)
+        n_open = judged.count()
+        if turn > _TAIL_AFTER and n_open <= _TAIL_ROWS:
+            last = judged.select("pos", "vec", "best").repartition(1).mapInPandas(_tail(threshold), _DECIDED)
+            last.write.mode("append").parquet(decided_path)
+            n_open = 0
+        stays = (F.col("best") == _NEVER) & (F.col("wait") == _NEVER)
+        goes = F.col("best") < F.col("wait")
+        if n_open:
+            judged.where(stays | goes).select(
+                "pos", F.col("best").alias("dup_of"), stays.alias("kept"), F.when(stays, F.col("vec")).alias("vec")
+            ).write.mode("append").parquet(decided_path)
+            next_path = fresh_path(spark, "waiting")
+            rest = judged.where(~goes).select("pos", "vec", "best", (~stays).alias("open"))
+            state = stage_at(rest, next_path)
+            n_open = state.where("open").count()
+        else:
+            next_path = None
         # What this round started from has been read for the last time.
-        for path in (head_path, used):
-            if path:
-                discard(spark, path)
-        used = swept_path
+        for old in (path, used):
+            if old:
+                discard(spark, old)
+        used = next_path
+        if not n_open:
+            break
+    if used:
+        discard(spark, used)
     out = spark.read.schema(_DECIDED).parquet(decided_path)
     return out.withColumn("dup_of", F.when(~F.col("kept"), F.col("dup_of")))
 
@@ -241,7 +426,7 @@ def near_dup_links(
     vec: str,
     dim: int,
     threshold: float = THRESHOLD,
-    round_rows: int | None = None,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """``pos, dup_of`` for every dropped row; ``dup_of`` is the first kept row
     above the threshold."""
@@ -249,14 +434,16 @@ def near_dup_links(
     usable = _usable(df, pos, vec, dim)
     if threshold >= 1:
         return usable.select("pos", F.col("pos").alias("dup_of")).where(F.lit(False))
-    firsts = _in_order(_collapse_copies(usable), "distinct-vectors")
-    decided = _run_rounds(firsts, threshold, round_rows or _round_rows(dim))
+    firsts = stage_table(_collapse_copies(usable), "distinct-vectors")
+    decided = _run_rounds(firsts, threshold, block_rows or _block_rows(dim))
     fate = decided.select(
         F.col("pos").alias("first_pos"), F.coalesce("dup_of", "pos").alias("dup_of")
     )
-    members = usable.join(firsts.withColumnRenamed("pos", "first_pos"), "vec")
-    links = members.select("pos", "first_pos").join(fate, "first_pos")
-    return links.where("pos <> dup_of").select("pos", "dup_of")
+    # 96 bits name a vector, so that copies meet neither on it nor in one task.
+    name = [F.xxhash64("vec").alias("h1"), F.hash("vec").alias("h2")]
+    named = firsts.select(F.col("pos").alias("first_pos"), *name).join(fate, "first_pos")
+    members = salted_lookup(usable.select("pos", *name), named.drop("first_pos"), ["h1", "h2"], "pos")
+    return members.where("pos <> dup_of").select("pos", "dup_of")
 
 
 def kept_vectors(
@@ -265,15 +452,15 @@ def kept_vectors(
     vec: str,
     dim: int,
     threshold: float = THRESHOLD,
-    round_rows: int | None = None,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """``pos, vec`` of the rows with a usable vector that stay."""
     _check(threshold)
     usable = _usable(df, pos, vec, dim)
     if threshold >= 1:
         return usable
-    firsts = _in_order(_collapse_copies(usable), "distinct-vectors")
-    decided = _run_rounds(firsts, threshold, round_rows or _round_rows(dim))
+    firsts = stage_table(_collapse_copies(usable), "distinct-vectors")
+    decided = _run_rounds(firsts, threshold, block_rows or _block_rows(dim))
     return decided.where("kept").select("pos", "vec")
 
 
@@ -283,11 +470,11 @@ def near_dedup(
     vec: str,
     dim: int,
     threshold: float = THRESHOLD,
-    round_rows: int | None = None,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """The rows of ``df`` that stay. Rows without a usable vector survive;
     ``pos`` gives the order and identifies rows."""
-    kept = kept_vectors(df, pos, vec, dim, threshold, round_rows)
+    kept = kept_vectors(df, pos, vec, dim, threshold, block_rows)
     usable = _usable(df, pos, vec, dim).select("pos")
     dropped = usable.join(kept.select("pos"), "pos", "left_anti")
     return df.join(dropped.withColumnRenamed("pos", pos), pos, "left_anti")
@@ -310,7 +497,7 @@ def _hit_probes(probes, threshold: float):
 
 
 def matched_by(
-    probes: DataFrame, kept: DataFrame, threshold: float, round_rows: int
+    probes: DataFrame, kept: DataFrame, threshold: float, block_rows: int
 ) -> DataFrame:
     """Positions of ``probes`` similar to some row of ``kept``.
 
@@ -323,14 +510,14 @@ def matched_by(
     spark.createDataFrame([], "pos bigint").write.parquet(out_path)
     rest = probes
     while True:
-        n, cut = _edge(rest, round_rows)
+        n, cut = _edge(rest, block_rows)
         if not n:
             break
         sent = spark.sparkContext.broadcast(_read(rest.where(F.col("pos") <= cut)))
         hits = kept.select("vec").mapInPandas(_hit_probes(sent, threshold), "pos bigint")
         hits.distinct().write.mode("append").parquet(out_path)
         sent.unpersist()
-        if n < round_rows:
+        if n < block_rows:
             break
         rest = probes.where(F.col("pos") > cut)
     return spark.read.schema("pos bigint").parquet(out_path)
@@ -343,13 +530,13 @@ def kept_of_batch(
     vec: str,
     dim: int,
     threshold: float = THRESHOLD,
-    round_rows: int | None = None,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Incremental form: ``pos, vec`` of the new rows that stay, given the
     vectors kept so far (``kept`` holds ``vec``). Append the result to
     ``kept`` before the next batch."""
     _check(threshold)
-    size = round_rows or _round_rows(dim)
+    size = block_rows or _block_rows(dim)
     usable = _usable(batch, pos, vec, dim)
     if threshold >= 1:
         return usable

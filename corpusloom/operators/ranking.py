@@ -10,6 +10,8 @@ from corpusloom.session import stage_table
 
 # monotonically_increasing_id() = partition number << 33 | row in partition.
 _ROW_BITS = 33
+# Rows of one key are spread over so many tasks in ``salted_lookup``.
+_SALTS = 256
 
 
 def with_position(df: DataFrame, *order: str, name: str = "pos") -> DataFrame:
@@ -54,6 +56,18 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return df.withColumn("_rank", rank).where("_rank = 1").drop("_rank")
 
 
+def salted_lookup(rows: DataFrame, table: DataFrame, keys: list[str], salt: str) -> DataFrame:
+    """``rows`` left-joined to ``table`` (one row per ``keys``).
+
+    A key may hold a third of ``rows``. They are dealt by key and a hash of the
+    unique column ``salt``; the table is joined to the distinct (key, hash)
+    pairs first, of which a key has at most ``_SALTS``.
+    """
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64(salt), F.lit(_SALTS)))
+    pairs = salted.select(*keys, "_salt").distinct().join(table, keys)
+    return salted.join(pairs, [*keys, "_salt"], "left").drop("_salt")
+
+
 def limit_per_group(
     df: DataFrame, column: str, values: list[str], order: list[str], n: int | None
 ) -> DataFrame:

@@ -69,9 +69,9 @@ def test_rounds_equal_the_sequential_rule(spark, seed):
     t = float(rng.choice([0.3, 0.8, 0.92]))
     want = greedy(rows, t)
     df = _frame(spark, rows).repartition(3)
-    for size in (7, 64, 10_000):
-        assert _kept(df, 8, t, round_rows=size) == [i for i, h in want.items() if h is None]
-    links = dedup.near_dup_links(df, "pos", "vec", 8, t, round_rows=16)
+    for size in (7, 10_000):
+        assert _kept(df, 8, t, block_rows=size) == [i for i, h in want.items() if h is None]
+    links = dedup.near_dup_links(df, "pos", "vec", 8, t, block_rows=16)
     assert dict(values(links, "pos", "dup_of")) == {i: h for i, h in want.items() if h is not None}
 
 
@@ -83,7 +83,7 @@ def test_batches_in_turn_equal_one_pass(spark):
     kept = spark.createDataFrame([], KIND)
     for low in range(0, 90, 30):
         batch = df.where(f"pos >= {low} and pos < {low + 30}")
-        kept = kept.unionByName(dedup.kept_of_batch(batch, kept, "pos", "vec", 4, 0.9, round_rows=8))
+        kept = kept.unionByName(dedup.kept_of_batch(batch, kept, "pos", "vec", 4, 0.9, block_rows=8))
     assert sorted(r[0] for r in values(kept, "pos")) == want
 
 
