@@ -110,14 +110,16 @@ def quality_gate(manifest: DataFrame, text_col: str = "payload.content") -> Data
 def with_listing(manifest: DataFrame, listing: DataFrame) -> DataFrame:
     """Add ``asset_exists`` by looking the content path up in a listing.
 
-    Inline texts have no file and are long, so only file-backed rows take part
-    in the join. Both halves select by modality, which prunes a table that is
-    laid out by it, so nothing is read twice.
+    Inline texts have no file and are long, so only rows that name a file take
+    part in the join; those without a path would all meet in one task. Every
+    row is in exactly one half, also with a null modality or path.
     """
-    is_text = F.col("modality") == "text"
+    content = F.col("payload.content")
+    named = (F.col("modality") != "text") & (content != "")
+    has_file = F.coalesce(named, F.lit(False))
     files = listing.select(F.col("path").alias("_path")).distinct()
-    inline = manifest.where(is_text).withColumn("asset_exists", F.lit(False))
-    backed = manifest.where(~is_text).join(
+    inline = manifest.where(~has_file).withColumn("asset_exists", F.lit(False))
+    backed = manifest.where(has_file).join(
         files, F.col("payload.content") == F.col("_path"), "left"
     )
     found = backed.withColumn("asset_exists", F.col("_path").isNotNull()).drop("_path")

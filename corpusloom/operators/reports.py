@@ -137,23 +137,36 @@ def as_markdown(sheet: DataFrame) -> DataFrame:
     )
 
 
+STATES = ("pending", "running", "succeeded", "failed")
+
+
 def job_status(attempts: DataFrame, max_retries: int = 3) -> DataFrame:
     """State of every job from its attempt log ``job_key, ts, seq, state``.
 
     The latest attempt decides; a failed job that has used up its retries is
-    a dead letter. Two plain aggregates, so a job with very many attempts is
-    reduced before the shuffle.
+    a dead letter. The first aggregate has one row per job and timestamp, the
+    second one per job; numbers and positions of states are all they hold, so
+    both hash and are reduced before the shuffle. A state that is not one of
+    ``STATES`` counts as an attempt of unknown state.
     """
-    latest = F.max(F.struct("ts", "seq", "state"))
-    per_job = attempts.groupBy("job_key").agg(
-        latest.alias("last"),
+    known = F.array(*[F.lit(s) for s in STATES])
+    place = F.array_position(known, F.col("state"))
+    # Later ones win: by time, then by sequence number.
+    per_time = attempts.groupBy("job_key", "ts").agg(
+        F.max_by(place, F.col("seq")).alias("state"),
         F.count("*").alias("attempts"),
         F.count_if(F.col("state") == "failed").alias("failures"),
     )
-    dead = (F.col("last.state") == "failed") & (F.col("failures") > max_retries)
+    per_job = per_time.groupBy("job_key").agg(
+        F.max_by("state", "ts").alias("state"),
+        F.sum("attempts").alias("attempts"),
+        F.sum("failures").alias("failures"),
+    )
+    last = F.get(known, F.col("state").cast("int") - 1)
+    dead = (last == "failed") & (F.col("failures") > max_retries)
     return per_job.select(
         "job_key",
-        F.when(dead, "dead_letter").otherwise(F.col("last.state")).alias("state"),
+        F.when(dead, "dead_letter").otherwise(last).alias("state"),
         "attempts",
         "failures",
     )

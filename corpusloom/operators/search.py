@@ -25,7 +25,6 @@ from corpusloom.session import stage_table
 MAX_QUERIES = 16384
 # Queries are compared with a batch this many at a time.
 _QUERY_BLOCK = 256
-CAPTION_CHARS = 700
 # Distances are compared to this many digits, so that equal vectors tie and
 # the id decides.
 DIGITS = 9
@@ -216,19 +215,25 @@ def catalog_rows(catalog: DataFrame, modalities: list[str] | None = None) -> Dat
     return some.select("id", F.col("modality").alias("grp"), vec.alias("vec"))
 
 
-def search_all(catalog: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
+def search_all(
+    catalog: DataFrame, queries: DataFrame, k: int = 5, caption_chars: int | None = None
+) -> DataFrame:
     """Per-modality result lists, never merged: distances of different models
     do not compare.
 
     ``queries`` holds ``query_id, modality, vec``. The scan reads ids and
-    vectors; the descriptive columns are joined to the hits alone.
+    vectors; the descriptive columns are joined to the hits alone. Captions are
+    whole unless ``caption_chars`` cuts them for display.
     """
     asked = queries.select("query_id", F.col("modality").alias("grp"), "vec")
     hits = nearest(catalog_rows(catalog), asked, k).withColumnRenamed("grp", "modality")
+    caption = F.col("caption")
+    if caption_chars is not None:
+        caption = F.substring(caption, 1, caption_chars)
     details = catalog.select(
         "id",
         "modality",
-        F.substring("caption", 1, CAPTION_CHARS).alias("caption"),
+        caption.alias("caption"),
         "content_path",
         "source",
         "metadata_json",

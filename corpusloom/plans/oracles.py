@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from corpusloom.functions.vectors import CLIP_DIM, TEXT_DIM
 from corpusloom.operators.versions import MODELS
 from corpusloom.plans.inputs import AUDIO, CLIPS, FRAMES, IMAGES, VIDEOS
 from corpusloom.plans.registry import NEAR
+from corpusloom.schemas import MODALITIES
 from corpusloom.sources import connectors as con
 from corpusloom.sources.probe import PRESETS
 from corpusloom.sources.scan import IMAGE_SAMPLE_SOURCE, TEXT_SAMPLE_SOURCE
@@ -56,7 +59,7 @@ m_image as (
 M_CLIP = f"""c_raw as (
     select p_partkey as idx, p_size::double as dur, p_type, p_brand,
         {_norm("case when p_type <> 'PROMO' and p_name <> '' then p_name else p_brand end")} as caption,
-        unnest(range(greatest(1, least(2, floor(p_size / 8.0)::int)))) as clip_idx
+        unnest(range(greatest(1, ceil(p_size / 8.0)::int))) as clip_idx
     from part where p_size < 50),
 c_ids as (
     select *, printf('finevideo_%08d_clip_%03d', idx, clip_idx) as id,
@@ -275,7 +278,7 @@ ext as (
     from ranked),
 exts as (select *, {STATUS} as quality_status from ext)"""
 
-FITTING = "greatest(1, least(2, floor(p_size / 8.0)::int))"
+FITTING = "greatest(1, ceil(p_size / 8.0)::int)"
 _KEYS = "dict keys=[''bytes'', ''path'', ''path_exists'']"
 JUDGED = f"""judged as (
     select p_partkey as idx, case when p_size < 40 then 'accept' else 'unusable payload' end as outcome,
@@ -328,11 +331,19 @@ _q(
 _q(
     "clip_plan",
     f"""select {_FLAT}, n_keyframes, dur as source_duration_seconds,
-        sub_idx * 8.0::double as clip_start_seconds, 8.0::double as clip_duration_seconds,
+        sub_idx * 8.0::double as clip_start_seconds,
+        least(8.0, dur - sub_idx * 8.0)::double as clip_duration_seconds,
         p_type as content_parent_category, p_brand as youtube_title, '' as youtube_channel, idx, sub_idx
     from m_video""",
     M_CLIP,
 )
+_q(
+    "clip_plan_bounded",
+    """select id, sub_idx, n_keyframes, sub_idx * 8.0::double as clip_start_seconds,
+        8.0::double as clip_duration_seconds
+    from m_video where sub_idx < greatest(1, least(2, floor(dur / 8.0)::int))""",
+    M_CLIP,
+)
 _q(
     "segment_plan",
     """select idx, piece_idx::int as piece_idx, piece_idx * 10.0::double as piece_start,
@@ -602,7 +613,7 @@ _q(
 _q(
     "search_all",
     """select query_id, modality, rank, id, round(d, 6) as distance,
-        substr(caption, 1, 700) as caption, license, quality_status,
+        caption, license, quality_status,
         case when modality <> 'text' then '/asset/' || id end as asset_url
     from top join gated using (id, modality) where rank <= 5""",
     f"""{GATED}, {V_ALL}, {PROBES},
@@ -785,9 +796,22 @@ _SECTIONS = " union all ".join(
     f"select '{c}' as section, {c} as name, count(*)::varchar as value from passing group by {c}"
     for c in ("modality", "source", "license", "quality_status")
 )
+_PINNED = json.dumps(
+    {
+        "modalities": MODALITIES,
+        "sources": None,
+        "exclude_sources": None,
+        "quality_filter": True,
+        "limit_per_modality": None,
+        "models": MODELS,
+        "transforms": {"clip_seconds": 8.0},
+    },
+    sort_keys=True,
+)
 _q(
     "datasheet",
     f"""{_SECTIONS}
+    union all select 'transforms', 'config', '{_PINNED}'
     union all select 'version', 'v001', count(*)::varchar from passing
     union all select * from (values {_MODEL_ROWS})""",
     f"{GATED}, passing as (select * from gated where quality_status = 'pass')",

@@ -85,6 +85,17 @@ def clip_plan(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def clip_plan_bounded(spark: SparkSession, d: str) -> DataFrame:
+    """At most two whole clips per video."""
+    rows = con.clip_manifest(
+        inputs.raw_clips(spark, d), inputs.CLIPS, inputs.FRAMES, clips_per_video=2
+    )
+    meta = [F.col(f"payload.metadata.{m}").alias(m) for m in (
+        "n_keyframes", "clip_start_seconds", "clip_duration_seconds")]
+    return rows.select("id", "sub_idx", *meta)
+
+
 @query
 def segment_plan(spark: SparkSession, d: str) -> DataFrame:
     videos = inputs.raw_clips(spark, d).select("idx", "duration")
@@ -785,7 +796,7 @@ def datasheet(spark: SparkSession, d: str) -> DataFrame:
     table = stage_table(inputs.catalog(spark, d, with_vectors=False), "catalog")
     header = versions.create_version(table, root, "v001", config={"clip_seconds": 8.0})
     items = versions.load_version(spark, root, "v001")
-    return reports.datasheet(header, items, table).where("section <> 'transforms'")
+    return reports.datasheet(header, items, table)
 
 
 # -- shards and assets -----------------------------------------------------
@@ -933,12 +944,12 @@ def copy_rate(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def freshness(spark: SparkSession, d: str) -> DataFrame:
-    schema = readers.table(spark, d, "events").schema
-    out = fresh_path(spark, "windows")
-    stream = flows.arrivals(spark, d, schema, "events.parquet")
-    flows.run(
-        flows.window_counts(stream, "ts", out, "1 day", "1 hour", [F.col("event_type")])
-    )
+    """Events arrive in four files, one batch each, in no order of time."""
+    events = readers.table(spark, d, "events")
+    folder, out = fresh_path(spark, "arrivals"), fresh_path(spark, "windows")
+    events.repartition(4).write.parquet(folder)
+    stream = flows.arrivals(spark, folder, events.schema, files_per_batch=1)
+    flows.run(flows.window_counts(stream, "ts", out, "1 day", [F.col("event_type")]))
     return flows.read_windows(spark, out, ["event_type"]).select(
         F.date_format("window_start", "yyyy-MM-dd").alias("day"),
         "event_type",

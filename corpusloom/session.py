@@ -98,3 +98,23 @@ def discard(spark: SparkSession, path: str) -> None:
     """Delete a staged table that nothing reads any more."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """What stands directly in a folder; nothing when it is missing."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return []
+    return [str(x.getPath().toString()) for x in fs.listStatus(at)]
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename on the file system that ``source`` names, replacing ``target``."""
+    a, b = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    fs = a.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(b):
+        fs.delete(b, True)
+    fs.mkdirs(b.getParent())
+    if not fs.rename(a, b):
+        raise OSError(f"could not move {source} to {target}")

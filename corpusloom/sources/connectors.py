@@ -189,13 +189,21 @@ def video_manifest(
     return _manifest(rows, "video", F.lit(VIDEO_SOURCE), content, meta)
 
 
+def count_clips(duration: Column, clip_s: float, max_clips: int | None = None) -> Column:
+    """All clips, the last one possibly short; with ``max_clips`` as many
+    whole ones as fit up to that number. At least one."""
+    if max_clips is None:
+        return F.greatest(F.lit(1), F.ceil(duration / clip_s).cast("int"))
+    whole = F.floor(duration / clip_s).cast("int")
+    return F.greatest(F.lit(1), F.least(F.lit(max_clips), whole))
+
+
 def plan_clips(
-    rows: DataFrame, duration: str, clip_s: float = 8.0, max_clips: int = 2
+    rows: DataFrame, duration: str, clip_s: float = 8.0, max_clips: int | None = None
 ) -> DataFrame:
-    """Add ``clip_idx, clip_start``: as many whole clips as fit, at least one
-    and at most ``max_clips``."""
-    fitting = F.floor(F.col(duration) / clip_s).cast("int")
-    n = F.greatest(F.lit(1), F.least(F.lit(max_clips), fitting))
+    """Add ``clip_idx, clip_start``: at least one clip, and as many as the
+    duration has room for. See ``count_clips``."""
+    n = count_clips(F.col(duration), clip_s, max_clips)
     return (
         rows.where(F.col(duration).isNotNull())
         .withColumn("clip_idx", F.explode(F.sequence(F.lit(0), n - 1)))
@@ -230,14 +238,16 @@ def clip_manifest(
     raw: DataFrame,
     clip_dir: str,
     keyframe_dir: str,
-    clips_per_video: int = 2,
+    clips_per_video: int | None = None,
     clip_seconds: float = 8.0,
     keyframe_stride: int = 24,
     max_chars: int | None = None,
 ) -> DataFrame:
     """Several clips per row. Raw ``idx, mp4, duration, fps, json{…}``.
 
-    A clip has no bytes of its own before it is cut, so its hash covers its id
+    By default the clips cover the whole video and each tells its own length;
+    with ``clips_per_video`` only the first whole ones are made, of the nominal
+    length. A clip has no bytes of its own before it is cut, so its hash covers its id
     and caption.
     """
     caption = text.first_nonempty(*[F.col(f) for f in CLIP_CAPTION_FIELDS])
@@ -260,7 +270,7 @@ def clip_manifest(
         n_keyframes=F.col("n"),
         source_duration_seconds=F.col("duration"),
         clip_start_seconds=F.col("clip_start"),
-        clip_duration_seconds=F.lit(float(clip_seconds)),
+        clip_duration_seconds=seconds if clips_per_video is None else F.lit(float(clip_seconds)),
         **{f: F.coalesce(F.col(f"json.{f}"), F.lit("")) for f in CLIP_PROVENANCE},
     )
     content = F.concat(F.lit(clip_dir.rstrip("/") + "/"), "id", F.lit(".mp4"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpusloom.functions import text
-from corpusloom.sources.connectors import CLIP_CAPTION_FIELDS, has_bytes
+from corpusloom.sources.connectors import CLIP_CAPTION_FIELDS, count_clips, has_bytes
 
 # Field names tried when a source names none itself.
 CAPTION_FIELDS = ["caption", "text", "sentence"]
@@ -139,7 +139,7 @@ def judge_rows(
     path_exists: Column | None = None,
     max_scan: int | None = None,
     clip_seconds: float = 8.0,
-    max_clips: int = 2,
+    max_clips: int | None = None,
 ) -> DataFrame:
     """``idx, outcome, shape, clips`` for every scanned row; ``outcome`` is
     ``accept`` or the reason the row is skipped."""
@@ -173,8 +173,7 @@ def judge_rows(
         outcome.alias("outcome"),
         F.coalesce(*shapes, F.lit(None).cast("string")).alias("shape"),
     )
-    fitting = F.floor(F.col("duration") / clip_seconds).cast("int")
-    n = F.greatest(F.lit(1), F.least(F.lit(max_clips), fitting))
+    n = count_clips(F.col("duration"), clip_seconds, max_clips)
     return judged.select(
         "idx", "outcome", "shape", F.when(F.col("outcome") == "accept", n).otherwise(0).alias("clips")
     )

@@ -1,5 +1,5 @@
-"""Streaming forms. Each runs until the present input is used up
-(``availableNow``) or, without a trigger, for as long as files arrive.
+"""Streaming forms. Each runs until the present input is used up, or with
+``trigger={"processingTime": "1 minute"}`` for as long as files arrive.
 
 ``progress`` is where a flow remembers what it has taken in; started again
 with the same one it goes on from there, and without one it starts afresh in
@@ -19,7 +19,10 @@ from pyspark.sql.types import StructType
 
 from corpusloom import schemas
 from corpusloom.operators import dedup
-from corpusloom.session import fresh_path
+from corpusloom.session import discard, fresh_path, list_folder, move
+
+
+UNTIL_DONE = {"availableNow": True}
 
 
 def arrivals(
@@ -40,14 +43,13 @@ def _start(
     stream: DataFrame,
     each: Callable[[DataFrame, int], None],
     progress: str | None,
-    mode: str = "append",
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     at = progress or fresh_path(stream.sparkSession, "progress")
     return (
         stream.writeStream.foreachBatch(each)
-        .outputMode(mode)
         .option("checkpointLocation", at)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or UNTIL_DONE))
         .start()
     )
 
@@ -66,6 +68,7 @@ def append_to_catalog(
     to_catalog: Callable[[DataFrame], DataFrame],
     path: str,
     progress: str | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Turn every batch of raw rows into catalog rows and add them."""
 
@@ -73,7 +76,7 @@ def append_to_catalog(
         rows = to_catalog(batch).select(*schemas.CATALOG.fieldNames())
         rows.write.mode("overwrite").parquet(_batch_path(path, batch_id))
 
-    return _start(stream, each, progress)
+    return _start(stream, each, progress, trigger)
 
 
 def read_appended(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -82,19 +85,23 @@ def read_appended(spark: SparkSession, path: str, schema: StructType | None = No
 
 
 def first_by_hash(
-    stream: DataFrame, path: str, order: str = "idx", progress: str | None = None
+    stream: DataFrame,
+    path: str,
+    order: str = "idx",
+    progress: str | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Smallest ``order`` per content hash, whatever order rows arrive in.
 
-    The state is one number per hash in the state store; copies are reduced
-    before they reach it.
+    A batch adds its own minima to the table at ``path``; no state is held, and
+    ``compact_firsts`` keeps the table as small as the number of hashes.
     """
-    first = stream.groupBy("content_hash").agg(F.min(order).alias("first_idx"))
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(_batch_path(path, batch_id))
+        first = batch.groupBy("content_hash").agg(F.min(order).alias("first_idx"))
+        first.write.mode("overwrite").parquet(_batch_path(path, batch_id))
 
-    return _start(first, each, progress, "update")
+    return _start(stream, each, progress, trigger)
 
 
 def read_firsts(spark: SparkSession, path: str) -> DataFrame:
@@ -103,6 +110,23 @@ def read_firsts(spark: SparkSession, path: str) -> DataFrame:
     return updates.groupBy("content_hash").agg(F.min("first_idx").alias("first_idx"))
 
 
+def compact_firsts(spark: SparkSession, path: str) -> None:
+    """Fold what the batches added into one part, between two runs of a flow.
+
+    The folded part is written first and the old ones go then; if that is cut
+    off, minima stand twice, which changes no result.
+    """
+    old = [p for p in list_folder(spark, path) if "batch_id=" in p]
+    if len(old) < 2:
+        return
+    last = max(int(p.rsplit("batch_id=", 1)[1]) for p in old)
+    folded = f"{path.rstrip('/')}.folded-{last}"
+    read_firsts(spark, path).write.mode("overwrite").parquet(folded)
+    move(spark, folded, _batch_path(path, -1 - last))
+    for part in old:
+        discard(spark, part)
+
+
 def near_dedup_stream(
     stream: DataFrame,
     pos: str,
@@ -111,6 +135,7 @@ def near_dedup_stream(
     path: str,
     threshold: float = dedup.THRESHOLD,
     progress: str | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Keep what is not similar to anything kept before.
 
@@ -129,7 +154,7 @@ def near_dedup_stream(
         fresh = dedup.kept_of_batch(batch, kept, pos, vec, dim, threshold)
         fresh.select("pos", "vec").write.mode("overwrite").parquet(_batch_path(path, batch_id))
 
-    return _start(stream, each, progress)
+    return _start(stream, each, progress, trigger)
 
 
 def window_counts(
@@ -137,31 +162,29 @@ def window_counts(
     ts: str,
     path: str,
     width: str,
-    lateness: str,
     by: list[Column],
     progress: str | None = None,
+    trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Rows and newest timestamp per time window and group; rows later than
-    ``lateness`` behind the newest are left out, which bounds the state."""
-    counted = (
-        stream.withColumn(ts, F.col(ts).cast("timestamp"))
-        .withWatermark(ts, lateness)
-        .groupBy(F.window(ts, width), *by)
-        .agg(F.count("*").alias("n_rows"), F.max(ts).alias("newest"))
-        .withColumn("window_start", F.col("window.start"))
-        .drop("window")
-    )
+    """Rows and newest timestamp per time window and group.
+
+    A batch adds its own counts to the table at ``path``; no state is held and
+    no watermark leaves rows out, so a late row counts like any other.
+    """
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(_batch_path(path, batch_id))
+        timed = batch.withColumn(ts, F.col(ts).cast("timestamp"))
+        counted = timed.groupBy(F.window(ts, width), *by).agg(
+            F.count("*").alias("n_rows"), F.max(ts).alias("newest")
+        )
+        rows = counted.withColumn("window_start", F.col("window.start")).drop("window")
+        rows.write.mode("overwrite").parquet(_batch_path(path, batch_id))
 
-    return _start(counted, each, progress, "update")
+    return _start(stream, each, progress, trigger)
 
 
 def read_windows(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """The latest update of every window."""
-    updates = spark.read.parquet(path)
-    last = F.max(F.struct("batch_id", "n_rows", "newest")).alias("last")
-    return updates.groupBy("window_start", *keys).agg(last).select(
-        "window_start", *keys, "last.n_rows", "last.newest"
+    """Rows and newest timestamp of every window over all batches."""
+    return spark.read.parquet(path).groupBy("window_start", *keys).agg(
+        F.sum("n_rows").alias("n_rows"), F.max("newest").alias("newest")
     )

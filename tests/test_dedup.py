@@ -75,6 +75,25 @@ def test_rounds_equal_the_sequential_rule(spark, seed):
     assert dict(values(links, "pos", "dup_of")) == {i: h for i, h in want.items() if h is not None}
 
 
+def test_long_chain_across_cells(spark):
+    """Each vector is similar to the next only, in any order of positions."""
+    angles = np.radians(np.arange(0, 340, 20.0))
+    rows = np.c_[np.cos(angles), np.sin(angles)]
+    for seed in (0, 1):
+        order = np.arange(len(rows)) if seed == 0 else np.random.default_rng(seed).permutation(len(rows))
+        want = [i for i, h in greedy(rows[order], 0.92).items() if h is None]
+        assert _kept(_frame(spark, rows[order]), 2, 0.92, block_rows=3) == want
+
+
+def test_a_tail_is_decided_like_the_rest(spark, monkeypatch):
+    rng = np.random.default_rng(12)
+    rows = rng.normal(size=(80, 3))
+    want = {i: h for i, h in greedy(rows, 0.6).items() if h is not None}
+    monkeypatch.setattr(dedup, "_TAIL_AFTER", 1)
+    links = dedup.near_dup_links(_frame(spark, rows), "pos", "vec", 3, 0.6, block_rows=9)
+    assert dict(values(links, "pos", "dup_of")) == want
+
+
 def test_batches_in_turn_equal_one_pass(spark):
     rng = np.random.default_rng(9)
     rows = rng.normal(size=(90, 4))
@@ -124,6 +143,16 @@ def test_order_key(spark):
     assert got == [(0, 0), (0, 1), (1, 0), (5, 3)]
 
 
+def test_order_key_never_wraps(spark):
+    """Hashed ids have no room: an error, not two rows with one key."""
+    for row in [(1 << 44, 0), (0, 1 << 20), (-1, 0), (0, -1)]:
+        df = spark.createDataFrame([row], "idx bigint, sub_idx int")
+        with pytest.raises(Exception, match="no order key"):
+            df.select(dedup.order_key()).collect()
+    df = spark.createDataFrame([((1 << 43) - 1, (1 << 20) - 1)], "idx bigint, sub_idx int")
+    assert df.select(dedup.order_key()).first()[0] == (1 << 63) - 1
+
+
 def test_report(spark):
     before, after = spark.range(5), spark.range(3)
     assert tuple(dedup.dedup_report(before, after).first()) == (5, 2, 3)

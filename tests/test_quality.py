@@ -80,11 +80,12 @@ def test_reports(spark):
 def test_listing_join_keeps_every_row(spark):
     kind = "id string, modality string, payload struct<content:string>"
     df = spark.createDataFrame(
-        [("a", "image", ("/x",)), ("b", "image", ("/y",)), ("c", "text", ("/x",)), ("d", "audio", (None,))], kind
+        [("a", "image", ("/x",)), ("b", "image", ("/y",)), ("c", "text", ("/x",)), ("d", "audio", (None,)),
+         ("e", None, ("/x",)), ("f", "image", ("",)), ("g", "image", None)], kind
     )
     files = spark.createDataFrame([("/x",), ("/x",)], "path string")
     got = pairs(quality.with_listing(df, files).select("id", "asset_exists"))
-    assert got == {"a": True, "b": False, "c": False, "d": False}
+    assert got == {"a": True, **dict.fromkeys("bcdefg", False)}
 
 
 def test_extended_safety_and_contract(spark):

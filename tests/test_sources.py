@@ -45,11 +45,13 @@ def test_cut_is_judged_after_cutting(spark):
     assert con.text_manifest(raw, max_chars=20).count() == 0
 
 
-@pytest.mark.parametrize("seconds,clips", [(3, 1), (8, 1), (16, 2), (100, 2), (0.5, 1)])
+@pytest.mark.parametrize("seconds,clips", [(3, 1), (8, 1), (16, 2), (17, 3), (100, 13), (0.5, 1)])
 def test_clip_plan(spark, seconds, clips):
     df = spark.createDataFrame([(0, float(seconds))], "idx bigint, d double")
     got = values(con.plan_clips(df, "d"), "clip_idx", "clip_start")
     assert got == [(i, 8.0 * i) for i in range(clips)]
+    some = values(con.plan_clips(df, "d", max_clips=2), "clip_idx")
+    assert some == [(i,) for i in range(max(1, min(2, int(seconds // 8))))]
 
 
 def test_frames_and_segments(spark):
