@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom import schemas
-from corpusloom.functions import vectors
+from corpusloom.functions import paths, vectors
 from corpusloom.operators import catalog as cat
 from corpusloom.operators import dedup, embed, quality, shards, versions
 from corpusloom.operators.search import CLIP_SPACE
@@ -67,19 +67,24 @@ class Layout:
     def shards(self, version: str) -> str:
         return f"{self.root}/shards/{version}"
 
+    def shard_manifest(self, version: str) -> str:
+        return f"{self.root}/shards/{version}.manifest"
+
 
 @dataclass
 class Run:
     """What a run works on: the manifests to write, how to embed, limits.
 
     ``probe`` adds the probe columns the quality gate reads for file-backed
-    rows (see ``operators.quality``).
+    rows (see ``operators.quality``); ``contents`` gives the asset files
+    (``path, content``) that go into the shards.
     """
 
     spark: SparkSession
     layout: Layout
     manifests: dict[str, Callable[[], DataFrame]]
     probe: Callable[[DataFrame], DataFrame] = lambda rows: rows
+    contents: Callable[[], DataFrame] | None = None
     text_model: Any = field(default_factory=lambda: embed.HashingModel(vectors.TEXT_DIM))
     clip_model: Any = field(default_factory=lambda: embed.HashingModel(vectors.CLIP_DIM))
     threshold: float = dedup.THRESHOLD
@@ -237,10 +242,15 @@ def stage_version(run: Run, name: str) -> dict:
 def stage_shards(run: Run, name: str) -> dict:
     catalog = cat.read_catalog(run.spark, run.layout.catalog)
     items = versions.load_version(run.spark, run.layout.versions, name)
-    members = shards.plan_members(items, catalog, run.shard_size)
-    path = run.layout.shards(name)
-    shards.write_shards(members, path)
-    return {"status": "ok", "rows": shards.shard_manifest(items, members, run.shard_size).count()}
+    listing = None if run.contents is None else run.contents().select(
+        paths.local_part(F.col("path")).alias("path")
+    )
+    members = stage_table(shards.plan_members(items, catalog, run.shard_size, listing), "members")
+    contents = None if run.contents is None else run.contents()
+    shards.write_shards(members, run.layout.shards(name), items, contents, run.shard_size)
+    manifest = shards.shard_manifest(items, members, run.shard_size)
+    cat.publish(manifest, run.layout.shard_manifest(name))
+    return {"status": "ok", "rows": run.spark.read.parquet(run.layout.shard_manifest(name)).count()}
 
 
 def stage_benchmark(run: Run, name: str) -> dict:

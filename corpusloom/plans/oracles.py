@@ -834,8 +834,13 @@ _q(
 )
 _q(
     "shard_scan",
-    """select printf('shard-%06d.tar', pos // 500) as shard, count(*) as items
-    from vi group by pos // 500""",
+    """select printf('shard-%06d.tar', pos // 500) as shard, count(*) as items,
+        sum(('0x' || substr(md5(concat_ws('|', id, modality, caption, license, txt)), 1, 8))::bigint)::bigint
+            as checksum,
+        sum(strlen(txt))::bigint as text_bytes
+    from (select pos, id, g.modality, caption, license,
+              case when g.modality = 'text' then content else '' end as txt
+          from vi join gated g using (id)) group by pos // 500""",
     VERSION,
 )
 _q("cas_layout", "select id, content_hash, src, dest from lay", CAS)

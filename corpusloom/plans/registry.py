@@ -826,14 +826,23 @@ def shard_manifest(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def shard_scan(spark: SparkSession, d: str) -> DataFrame:
-    """Passing rows written as tar shards and read back."""
+    """Passing rows written as tar shards and read back: items, and from their
+    records a checksum and the bytes of text."""
     every = stage_table(inputs.catalog(spark, d, with_vectors=False), "catalog")
     table = every.where("quality_status = 'pass'")
     items = versions.select_items(table, "v001")
     path = fresh_path(spark, "shards")
-    shards.write_shards(shards.plan_members(items, table, 500), path)
-    stats = shards.shard_stats(shards.read_shards(spark, path, records=False))
-    return stats.select("shard", "items")
+    shards.write_shards(shards.plan_members(items, table, 500), path, items, shard_size=500)
+    members = shards.read_shards(spark, path).where(F.col("name").endswith(".json"))
+    kind = "id string, modality string, caption string, license string, text string"
+    record = members.select("shard", F.from_json("json", kind).alias("r")).select("shard", "r.*")
+    said = F.concat_ws("|", "id", "modality", "caption", "license", "text")
+    mark = F.conv(F.substring(F.md5(said), 1, 8), 16, 10).cast("bigint")
+    return record.groupBy("shard").agg(
+        F.count("*").alias("items"),
+        F.sum(mark).alias("checksum"),
+        F.sum(F.octet_length("text")).alias("text_bytes"),
+    )
 
 
 @query

@@ -74,9 +74,14 @@ def shared_folder(spark: SparkSession) -> str:
     return made
 
 
+def fresh_name(label: str) -> str:
+    """A name that nothing else has."""
+    return f"{label}-{uuid.uuid4().hex}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{fresh_name(label)}"
 
 
 def stage_table(df: DataFrame, label: str) -> DataFrame:
@@ -118,3 +123,13 @@ def move(spark: SparkSession, source: str, target: str) -> None:
     fs.mkdirs(b.getParent())
     if not fs.rename(a, b):
         raise OSError(f"could not move {source} to {target}")
+
+
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """All files of a folder and its folders."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    found, out = fs.listFiles(at, True), []
+    while found.hasNext():
+        out.append(str(found.next().getPath().toString()))
+    return out

@@ -10,7 +10,7 @@ from corpusloom import schemas
 from corpusloom.operators import assets, reports, shards, versions
 from corpusloom.operators import catalog as cat
 from corpusloom.operators.ranking import limit_per_group, with_position
-from corpusloom.sources import readers
+from corpusloom.sources import readers, tarshard
 from conftest import pairs, values
 
 
@@ -164,20 +164,53 @@ def test_shards(spark, tmp_path):
         "shard-000000.tar": 2, "shard-000001.tar": 1,
     }
     out = tmp_path / "shards"
-    shards.write_shards(members, str(out))
-    assert sorted(p.name for p in out.iterdir()) == ["shard-000000.tar", "shard-000001.tar"]
+    contents = spark.read.format("binaryFile").load(str(tmp_path / "*.jpg"))
+    shards.write_shards(members, str(out), items, contents, 2)
+    assert _tars(out) == ["shard-000000.tar", "shard-000001.tar"]
     with tarfile.open(out / "shard-000000.tar") as tar:
         names = tar.getnames()
         record = json.load(io.BytesIO(tar.extractfile("b.json").read()))
+        assert tar.extractfile("b.jpg").read() == b"picture"
     assert names == ["a.json", "b.jpg", "b.json"]
     assert record["embedding"] == [2.0] and record["asset"] == "b.jpg" and record["license"] == "mit"
     stats = {r.shard: r for r in shards.shard_stats(shards.read_shards(spark, str(out))).collect()}
     assert stats["shard-000000.tar"].items == 2 and stats["shard-000001.tar"].items == 1
+    heads = shards.shard_stats(shards.read_shards(spark, str(out), records=False))
+    assert {r.shard: r.bytes for r in heads.collect()} == {k: r.bytes for k, r in stats.items()}
     total = shards.loader_metrics(shards.shard_stats(shards.read_shards(spark, str(out))), 2.0)
     assert total["items"] == 3 and total["items_per_second"] == 1.5
-    # Writing again replaces the files and leaves nothing else.
-    shards.write_shards(members, str(out))
-    assert len(list(out.iterdir())) == 2
+    # A smaller write leaves no old shard, one that fails nothing at all.
+    shards.write_shards(members.where("shard_idx = 0"), str(out), None, contents, 2)
+    assert _tars(out) == ["shard-000000.tar"]
+    with pytest.raises(Exception, match="no content for"):
+        shards.write_shards(members, str(out), items, contents.where("false"), 2)
+    assert _tars(out) == ["shard-000000.tar"]
+    with pytest.raises(ValueError):
+        shards.write_shards(members, str(out), items)
+    with pytest.raises(Exception, match="nosuch"):
+        shards.write_shards(members.where("id = 'a'"), "nosuch://x/shards")
+
+
+def _tars(folder):
+    return sorted(p.name for p in folder.iterdir() if not p.name.startswith("."))
+
+
+@pytest.mark.parametrize("size", [0, 1, 400, 512, 1024, 3000])
+def test_entries_end_in_a_zero(size):
+    data = tarshard.entry("i", "x" * size, "f.bin", b"y" * size)
+    assert data[-1] == 0 and len(data) % 512 == 0
+    with tarfile.open(fileobj=io.BytesIO(data + bytes(1024))) as tar:
+        assert tar.extractfile("f.bin").read() == b"y" * size
+        assert tar.extractfile("i.json").read().decode().rstrip("\n") == "x" * size
+
+
+def test_empty_shard_is_an_empty_tar(spark, tmp_path):
+    items, members = _shard_parts(spark, tmp_path)
+    out = tmp_path / "shards"
+    contents = spark.read.format("binaryFile").load(str(tmp_path / "*.jpg"))
+    shards.write_shards(members.where("shard_idx = 0"), str(out), items, contents, 2)
+    with tarfile.open(out / "shard-000001.tar") as tar:
+        assert tar.getnames() == []
 
 
 def test_unknown_shard_is_empty(spark, tmp_path):
