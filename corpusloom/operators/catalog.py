@@ -85,8 +85,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def publish(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     """Replace the table at ``path``: build beside it, then swap by rename.
 
-    Readers see the old table until the new one is complete; an empty frame
-    publishes an empty table, so no stale rows stay behind.
+    The new table is complete before the old one is touched, and the old one
+    comes back if the swap fails; between the two renames there is no table at
+    ``path``. An empty frame publishes an empty table, so no stale rows stay
+    behind.
     """
     spark = df.sparkSession
     fs, live = _fs(spark, path)
@@ -99,6 +101,8 @@ def publish(df: DataFrame, path: str, partition_by: str | None = None) -> None:
     if fs.exists(live) and not fs.rename(live, old_at):
         raise OSError(f"could not set aside {path}")
     if not fs.rename(new_at, live):
+        if fs.exists(old_at):
+            fs.rename(old_at, live)
         raise OSError(f"could not publish {path}")
     if fs.exists(old_at):
         fs.delete(old_at, True)

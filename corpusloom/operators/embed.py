@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from corpusloom import schemas
 from corpusloom.functions import vectors
-from corpusloom.operators.ranking import first_per_key
+from corpusloom.operators.ranking import first_per_key, salted_lookup
 from corpusloom.session import stage_table
 
 Encode = Callable[[list[str]], np.ndarray]
@@ -185,18 +185,22 @@ def embed_metrics(embedded: DataFrame, by: str = "modality") -> DataFrame:
     )
 
 
-def _partial_sums(group: str, vec: str):
+def _sums(group: str, in_order: bool = False):
+    """Vector sums per group of ``total, n`` rows. Rows in order of the group
+    give one row per group; others give one per group and 4096 groups."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         totals: dict[Any, tuple[np.ndarray, int]] = {}
         for batch in batches:
             for key, rows in batch.groupby(group, sort=False):
-                m = np.vstack(rows[vec].to_numpy()).astype(np.float64)
-                total, n = totals.get(key, (0.0, 0))
-                totals[key] = (total + m.sum(axis=0), n + len(m))
+                m = np.vstack(rows["total"].to_numpy()).astype(np.float64)
+                total, n = totals.pop(key, (0.0, 0))
+                totals[key] = (total + m.sum(axis=0), n + int(rows["n"].sum()))
             # Groups are usually close together; do not hold all of them.
             if len(totals) > 4096:
+                last = {key: totals.pop(key)} if in_order else {}
                 yield _sums_frame(group, totals)
-                totals = {}
+                totals = last
         if totals:
             yield _sums_frame(group, totals)
 
@@ -217,20 +221,19 @@ def mean_pool(df: DataFrame, group: str, vec: str, out: str = "pooled") -> DataF
     """Mean vector per group.
 
     Vectors are summed inside each task first, so what is shuffled is one row
-    per group and task, however many vectors a group has.
+    per group and task, however many vectors a group has; those are summed the
+    same way where they meet.
     """
     kind = df.schema[group].dataType.simpleString()
-    known = df.where(F.col(group).isNotNull() & (F.size(vec) > 0)).select(group, vec)
-    partial = known.mapInPandas(
-        _partial_sums(group, vec), f"`{group}` {kind}, total array<double>, n bigint"
-    )
-    parts = partial.select(group, "n", F.posexplode("total").alias("at", "part"))
-    means = parts.groupBy(group, "at").agg(
-        (F.sum("part") / F.sum("n")).alias("mean"), F.sum("n").alias("n")
-    )
-    packed = F.array_sort(F.collect_list(F.struct("at", "mean")))
-    return means.groupBy(group).agg(
-        F.transform(packed, lambda x: x["mean"]).alias(out), F.max("n").alias("n_vectors")
+    schema = f"`{group}` {kind}, total array<double>, n bigint"
+    known = df.where(F.col(group).isNotNull() & (F.size(vec) > 0))
+    one = known.select(group, F.col(vec).alias("total"), F.lit(1).cast("bigint").alias("n"))
+    partial = one.mapInPandas(_sums(group), schema)
+    met = partial.repartition(group).sortWithinPartitions(group)
+    return met.mapInPandas(_sums(group, in_order=True), schema).select(
+        group,
+        F.transform("total", lambda x: x / F.col("n")).alias(out),
+        F.col("n").alias("n_vectors"),
     )
 
 
@@ -290,28 +293,40 @@ def embed_with_cache(
 
     Each distinct content is embedded at most once; vectors of another model
     version are never used. The new rows are written out before they are used
-    twice, so the model runs once.
+    twice, so the model runs once. Of the cache only wanted rows are ranked,
+    and a content with very many rows is looked up in many tasks.
     """
+    keys = ["content_hash", "model_version"]
     misses = cache_misses(manifest, cache, version)
     computed = embed_batches(misses.withColumn("_in", F.col(in_col)), model, "_in")
     columns = schemas.EMBEDDING_CACHE.fieldNames()
     fresh = stage_table(computed.select(*columns), "embeddings")
-    known = first_per_key(
-        cache.select(*columns), ["content_hash", "model_version"], ["modality"]
-    )
-    every = known.withColumn("cached", F.lit(True)).unionByName(
-        fresh.withColumn("cached", F.lit(False))
-    )
     wanted = manifest.select(
         "id",
         "content_hash",
         model_version(F.col("modality"), version).alias("model_version"),
     )
-    found = wanted.join(
-        every.select("content_hash", "model_version", "embedding", "cached"),
-        ["content_hash", "model_version"],
+    used = cache.select(*columns).join(wanted.select(*keys).distinct(), keys, "left_semi")
+    known = first_per_key(used, keys, ["modality"])
+    every = known.withColumn("cached", F.lit(True)).unionByName(
+        fresh.withColumn("cached", F.lit(False))
     )
-    return found, fresh
+    found = salted_lookup(wanted, every.select(*keys, "embedding", "cached"), keys, "id")
+    return found.where(F.col("cached").isNotNull()), fresh
+
+
+def embed_through_cache(
+    manifest: DataFrame, path: str, model: Any, in_col: str, version: int = 1
+) -> DataFrame:
+    """Vectors by id from the cache table at ``path``, which is created when it
+    is missing and gets what it did not hold. Running again computes nothing."""
+    spark = manifest.sparkSession
+    spark.createDataFrame([], schemas.EMBEDDING_CACHE).write.mode("append").parquet(path)
+    cache = spark.read.schema(schemas.EMBEDDING_CACHE).parquet(path)
+    found, fresh = embed_with_cache(manifest, cache, model, in_col, version)
+    found = stage_table(found, "found-vectors")
+    fresh.write.mode("append").parquet(path)
+    return found
 
 
 def enrich(df: DataFrame, model: Any, in_col: str, out_col: str, keep: list[str]) -> DataFrame:

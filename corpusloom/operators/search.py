@@ -4,13 +4,13 @@ Searching is an exact scan. The queries are the small side: they are sent to
 every task as a matrix, each task keeps its own k best per query and group,
 and only those leave the task, so the catalog is neither shuffled nor paired
 up row by row. The queries' size is checked first; more of them than fit are
-matched block by block against catalog blocks instead.
+written out once and sent block by block, one scan each.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -90,6 +90,10 @@ def _scan(sent, k: int, metric: str):
                 if group not in by_group:
                     continue
                 query_ids, matrix = by_group[group]
+                # A vector of another length has no distance to the queries.
+                part = part[part["vec"].map(len) == matrix.shape[1]]
+                if not len(part):
+                    continue
                 rows = np.vstack(part["vec"].to_numpy()).astype(np.float64)
                 found = best.setdefault(group, _Best(len(query_ids), k))
                 found.scan(matrix, rows, part["id"].to_numpy(), metric)
@@ -111,24 +115,6 @@ def _hits(query_ids, group, found: _Best) -> pd.DataFrame:
     )
 
 
-def _block_scan(k: int, metric: str):
-    def run(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        for group, part in rows.groupby("grp", sort=False):
-            asked = queries[queries["grp"] == group]
-            if not len(asked):
-                continue
-            found = _Best(len(asked), k)
-            matrix = np.vstack(asked["vec"].to_numpy()).astype(np.float64)
-            table = np.vstack(part["vec"].to_numpy()).astype(np.float64)
-            found.scan(matrix, table, part["id"].to_numpy(), metric)
-            out.append(_hits(asked["query_id"].to_numpy(), group, found))
-        empty = pd.DataFrame(columns=["query_id", "grp", "id", "distance"])
-        return pd.concat(out) if out else empty
-
-    return run
-
-
 def nearest(
     rows: DataFrame,
     queries: DataFrame,
@@ -139,7 +125,8 @@ def nearest(
     """The ``k`` nearest rows of every query inside its group.
 
     ``rows`` holds ``id, grp, vec`` and ``queries`` ``query_id, grp, vec``;
-    vectors of one group have one length. Returns ``query_id, grp, rank, id,
+    queries of one group have one length, rows of another one are passed over.
+    Returns ``query_id, grp, rank, id,
     distance`` (squared L2, or one minus cosine), ties in order of id.
     """
     if metric not in ("l2sq", "cosine"):
@@ -152,43 +139,39 @@ def nearest(
     rows = rows.where(F.size("vec") > 0).select("id", "grp", "vec")
     queries = queries.select("query_id", "grp", "vec")
 
-    small = queries.limit(max_queries + 1).toPandas()
-    if len(small) <= max_queries:
+    def scan(some: pd.DataFrame) -> DataFrame:
         by_group = {
             g: (p["query_id"].tolist(), np.vstack(p["vec"].to_numpy()).astype(np.float64))
-            for g, p in small.groupby("grp", sort=False)
+            for g, p in some.groupby("grp", sort=False)
         }
         sent = spark.sparkContext.broadcast(by_group)
-        hits = rows.mapInPandas(_scan(sent, k, metric), schema)
+        return rows.mapInPandas(_scan(sent, k, metric), schema)
+
+    small = queries.limit(max_queries + 1).toPandas()
+    if len(small) <= max_queries:
+        hits = scan(small)
     else:
-        hits = _nearest_blocks(rows, queries, k, metric, schema)
+        hits = _nearest_blocks(rows, queries, scan, max_queries)
     order = W.partitionBy("query_id", "grp").orderBy("distance", "id")
     ranked = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "grp", "rank", "id", "distance")
 
 
 def _nearest_blocks(
-    rows: DataFrame, queries: DataFrame, k: int, metric: str, schema: str
+    rows: DataFrame, queries: DataFrame, scan: Callable, max_queries: int
 ) -> DataFrame:
-    """Query blocks × row blocks; both are cut by a hash of the unique id, so
-    blocks are even whatever the groups look like."""
-    sizes = queries.agg(F.count("*")).first()[0], rows.agg(F.count("*")).first()[0]
-    n_query = math.ceil(sizes[0] / 4096)
-    n_row = max(1, math.ceil(sizes[1] / 50_000))
-
-    def block(c: str, n: int) -> Column:
-        return F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
-
-    def every(n: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    left = queries.withColumn("qb", block("query_id", n_query)).withColumn("rb", every(n_row))
-    right = rows.withColumn("rb", block("id", n_row)).withColumn("qb", every(n_query))
-    return (
-        left.groupBy("qb", "rb")
-        .cogroup(right.groupBy("qb", "rb"))
-        .applyInPandas(_block_scan(k, metric), schema)
-    )
+    """Blocks of queries one after another, each sent to one scan of the rows.
+    Blocks are cut by a hash and planned at half the size that may be sent."""
+    spark = rows.sparkSession
+    queries = stage_table(queries, "queries")
+    n_blocks = math.ceil(2 * queries.count() / max_queries)
+    out = None
+    for block in range(n_blocks):
+        some = queries.where(F.pmod(F.xxhash64("query_id", "grp"), F.lit(n_blocks)) == block)
+        # Written, so that a block is over before the next one is sent.
+        found = stage_table(scan(some.toPandas()), "block-hits")
+        out = found if out is None else out.unionAll(found)
+    return out
 
 
 # Hits up to this many rows are sent to the table they are looked up in.

@@ -29,16 +29,30 @@ MANIFEST_NAMES = {
     "audio": "librispeech",
 }
 
-# Stage names in order and other names they go by.
 STAGES = ["connectors", "preprocessing", "quality", "catalog", "version", "shards", "benchmark"]
-ALIASES = {
-    "embed": "preprocessing",
-    "filter": "quality",
-    "dedup": "quality",
-    "quality_dedup": "quality",
-    "versioning": "version",
-    "sharding": "shards",
+# The names by which each stage can be resumed.
+RESUME_NAMES = {
+    "connectors": ["connector", "connectors", "stage1", "stage_01"],
+    "preprocessing": ["preprocess", "preprocessing", "stage2", "stage_02", "stage3"],
+    "quality": ["quality", "dedup", "quality_dedup", "stage4", "stage_03"],
+    "catalog": ["catalog", "stage5", "stage6", "stage_04"],
+    "version": ["version", "versioning", "stage7", "stage_05"],
+    "shards": ["shard", "shards", "sharding", "stage8", "stage_06"],
+    "benchmark": ["benchmark", "stage9", "stage_07"],
 }
+# Further names of this library.
+OWN_NAMES = {"embed": "preprocessing", "filter": "quality"}
+
+
+def stage_named(name: str) -> str:
+    """The stage that a name in any case, with hyphens or not, stands for."""
+    plain = name.lower().replace("-", "_")
+    for stage, names in RESUME_NAMES.items():
+        if plain in names:
+            return stage
+    if plain in OWN_NAMES:
+        return OWN_NAMES[plain]
+    raise ValueError(f"unknown stage {name!r}")
 
 
 @dataclass(frozen=True)
@@ -275,22 +289,22 @@ def resume(
     run: Run, stage: str, modality: str = "all", force: bool = False, version: str = "v001"
 ) -> list[dict]:
     """One stage, for one modality or for all of them."""
-    name = ALIASES.get(stage, stage)
+    name, asked = stage_named(stage), modality.lower() or "all"
+    if asked != "all" and asked not in run.modalities:
+        raise ValueError(f"unknown modality {modality!r} for stage {name}")
     per_modality = {
         "connectors": stage_connectors,
         "preprocessing": stage_preprocessing,
         "quality": stage_quality,
     }
     if name in per_modality:
-        chosen = run.modalities if modality == "all" else [modality]
+        chosen = run.modalities if asked == "all" else [asked]
         return [
             {"stage": name, "modality": m, **per_modality[name](run, m, force)} for m in chosen
         ]
     if name == "catalog":
         return [{"stage": name, "modality": "all", **stage_catalog(run)}]
     by_version = {"version": stage_version, "shards": stage_shards, "benchmark": stage_benchmark}
-    if name not in by_version:
-        raise ValueError(f"unknown stage {stage!r}")
     return [{"stage": name, "modality": "all", **by_version[name](run, version)}]
 
 

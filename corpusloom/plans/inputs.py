@@ -132,20 +132,18 @@ def all_manifests(spark: SparkSession, d: str) -> DataFrame:
     return _union(_by_modality(spark, d))
 
 
-def listing_of(spark: SparkSession, d: str, made: dict[str, DataFrame]) -> DataFrame:
+def listings_of(
+    spark: SparkSession, d: str, made: dict[str, DataFrame]
+) -> dict[str, DataFrame]:
     """Asset files that exist: images of pages without a fragment in their
     address, all clips of videos over three seconds, all audio."""
     images = table(spark, d, "pages").where(~F.col("url").contains("#"))
     clips = made["video"].where("payload.metadata.source_duration_seconds > 3")
-    return (
-        images.select(F.format_string(f"{IMAGES}/coco_%012d.jpg", "page_id").alias("path"))
-        .unionByName(clips.select(F.col("payload.content").alias("path")))
-        .unionByName(made["audio"].select(F.col("payload.content").alias("path")))
-    )
-
-
-def listing(spark: SparkSession, d: str) -> DataFrame:
-    return listing_of(spark, d, _by_modality(spark, d))
+    return {
+        "image": images.select(F.format_string(f"{IMAGES}/coco_%012d.jpg", "page_id").alias("path")),
+        "video": clips.select(F.col("payload.content").alias("path")),
+        "audio": made["audio"].select(F.col("payload.content").alias("path")),
+    }
 
 
 def with_probes(rows: DataFrame) -> DataFrame:
@@ -161,13 +159,22 @@ def with_probes(rows: DataFrame) -> DataFrame:
     )
 
 
-def _gate(spark: SparkSession, d: str, made: dict[str, DataFrame]) -> DataFrame:
-    rows = quality.with_listing(_union(made), listing_of(spark, d, made))
-    return quality.quality_gate(with_probes(rows))
+def _gate(spark: SparkSession, d: str, made: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Each modality against the part of the listing that can hold its files."""
+    files = listings_of(spark, d, made)
+
+    def one(modality: str, rows: DataFrame) -> DataFrame:
+        if modality in files:
+            rows = quality.with_listing(rows, files[modality])
+        else:
+            rows = rows.withColumn("asset_exists", F.lit(False))
+        return quality.quality_gate(with_probes(rows))
+
+    return {m: one(m, rows) for m, rows in made.items()}
 
 
 def gated(spark: SparkSession, d: str) -> DataFrame:
-    return _gate(spark, d, _by_modality(spark, d))
+    return _union(_gate(spark, d, _by_modality(spark, d)))
 
 
 def text_model() -> embed.HashingModel:
@@ -192,13 +199,20 @@ def all_embedded(spark: SparkSession, d: str) -> DataFrame:
 
 
 def catalog(spark: SparkSession, d: str, with_vectors: bool = True) -> DataFrame:
-    """Gated rows of all modalities as catalog rows, failing ones marked."""
+    """Gated rows of all modalities as catalog rows, failing ones marked. The
+    rows carry their vectors: nothing is joined back."""
+    return catalog_and_listing(spark, d, with_vectors)[0]
+
+
+def catalog_and_listing(
+    spark: SparkSession, d: str, with_vectors: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """``catalog`` and the asset files it was checked against."""
     made = _by_modality(spark, d)
     rows = _gate(spark, d, made)
-    if not with_vectors:
-        return cat.build_catalog(rows)
-    vecs = _union({m: _embed(part, m) for m, part in made.items()})
-    return cat.build_catalog(rows, vecs.select("id", "embedding", F.col("idx").alias("pos")))
+    if with_vectors:
+        rows = {m: _embed(part, m) for m, part in rows.items()}
+    return cat.build_catalog(_union(rows)), _union(listings_of(spark, d, made))
 
 
 def stored_vectors(spark: SparkSession, d: str) -> DataFrame:

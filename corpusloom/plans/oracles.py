@@ -565,6 +565,12 @@ _q(
     f"""{M_TEXT}, {V_TEXT}, firsts as (
         select content_hash, lang from m_text join documents on doc_id = idx {_FIRST})""",
 )
+_q(
+    "embed_cache_stored",
+    """select unnest([1, 2])::int as run, unnest([n, n]) as n_rows, unnest([0::bigint, n]) as n_cached,
+        unnest([0::bigint, 0]) as n_null from (select count(*) as n from m_text)""",
+    M_TEXT,
+)
 _q(
     "embed_cache_misses",
     f"""select id, content_hash, 'text_v001' as model_version from m_text
@@ -604,6 +610,17 @@ _q(
     from (select *, {_top('c', 'query_id')} from dist) where rank <= 5""",
     f"{CENTROIDS}, {_DIST}",
 )
+_q(
+    "vector_search_blocks",
+    """select query_id, rank, id, round(d, 6) as distance from (
+        select *, row_number() over (partition by query_id order by round(d, 9), id) as rank from pairs)
+    where rank <= 3""",
+    """vecs as (select vec_id as id, list_transform(embedding, lambda x: x::double) as v from embeddings),
+    pairs as (
+        select a.id as query_id, b.id, greatest(list_dot_product(a.v, a.v)
+            + list_dot_product(b.v, b.v) - 2 * list_dot_product(a.v, b.v), 0) as d
+        from vecs a, vecs b where a.id % 2 = 0)""",
+)
 _q(
     "search_groups",
     f"""select query_id, label as grp, rank, id, round(d, 6) as distance

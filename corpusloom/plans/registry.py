@@ -165,12 +165,7 @@ def source_schema(spark: SparkSession, d: str) -> DataFrame:
 def source_presets(spark: SparkSession, d: str) -> DataFrame:
     """How every preset would judge the same source."""
     raw = inputs.raw_videos(spark, d)
-    out = None
-    for name, preset in probe.PRESETS.items():
-        judged = probe.judge_rows(raw, preset, F.col("video.path_exists"))
-        counts = probe.probe_source(judged).select(F.lit(name).alias("preset"), "*")
-        out = counts if out is None else out.unionByName(counts)
-    return out
+    return probe.probe_presets(raw, probe.PRESETS, F.col("video.path_exists"))
 
 
 @query
@@ -469,6 +464,24 @@ def embed_cache(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def embed_cache_stored(spark: SparkSession, d: str) -> DataFrame:
+    """Two runs over one stored cache: the second finds everything."""
+    texts = inputs.manifest(spark, d, "text")
+    path = fresh_path(spark, "vector-cache")
+    runs = []
+    for number in (1, 2):
+        found = embed.embed_through_cache(texts, path, inputs.text_model(), "payload.content")
+        counts = found.agg(
+            F.lit(number).alias("run"),
+            F.count("*").alias("n_rows"),
+            F.count_if("cached").alias("n_cached"),
+            F.count_if(F.col("embedding").isNull()).alias("n_null"),
+        )
+        runs.append(stage_table(counts, "cache-run"))
+    return runs[0].unionByName(runs[1])
+
+
 @query
 def embed_cache_misses(spark: SparkSession, d: str) -> DataFrame:
     """Cached so far: what the labelled documents hold."""
@@ -530,6 +543,17 @@ def vector_search_cosine(spark: SparkSession, d: str) -> DataFrame:
     return hits.select("query_id", "rank", "id", F.round("distance", 6).alias("distance"))
 
 
+@query
+def vector_search_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """The stored vectors with an even id as queries, in several blocks."""
+    rows = inputs.stored_vectors(spark, d).select(
+        F.col("vec_id").alias("id"), F.lit("all").alias("grp"), F.col("embedding").alias("vec")
+    )
+    asked = rows.where("id % 2 = 0").withColumnRenamed("id", "query_id")
+    hits = search.nearest(rows, asked, 3, max_queries=64)
+    return hits.select("query_id", "rank", "id", F.round("distance", 6).alias("distance"))
+
+
 @query
 def search_groups(spark: SparkSession, d: str) -> DataFrame:
     """The same per label: every mean against every label's own list."""
@@ -804,10 +828,10 @@ def datasheet(spark: SparkSession, d: str) -> DataFrame:
 
 def _plan(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """All rows are in the version; the catalog lost the failing ones since."""
-    table = stage_table(inputs.catalog(spark, d, with_vectors=False), "catalog")
+    rows, files = inputs.catalog_and_listing(spark, d, with_vectors=False)
+    table = stage_table(rows, "catalog")
     items = stage_table(versions.select_items(table, "v001", quality_filter=False), "items")
     present = table.where("quality_status = 'pass'")
-    files = inputs.listing(spark, d)
     return items, shards.plan_members(items, present, 100, files)
 
 

@@ -133,18 +133,14 @@ def schema_summary(raw: DataFrame) -> DataFrame:
     return first.select(F.inline(described))
 
 
-def judge_rows(
-    raw: DataFrame,
+def judgement(
+    schema: T.StructType,
     preset: Preset,
     path_exists: Column | None = None,
-    max_scan: int | None = None,
     clip_seconds: float = 8.0,
     max_clips: int | None = None,
-) -> DataFrame:
-    """``idx, outcome, shape, clips`` for every scanned row; ``outcome`` is
-    ``accept`` or the reason the row is skipped."""
-    schema = raw.schema
-    scanned = raw if max_scan is None else raw.where(F.col("idx") < max_scan)
+) -> list[Column]:
+    """``outcome, shape, clips`` of a row under a preset."""
     present, usable, shapes = [], [], []
     for name in preset.video_fields:
         kind = field_type(schema, name)
@@ -167,15 +163,41 @@ def judge_rows(
         .when(F.col("duration").isNull(), F.lit("no duration"))
         .otherwise(F.lit("accept"))
     )
-    judged = scanned.select(
-        "idx",
-        "duration",
+    n = count_clips(F.col("duration"), clip_seconds, max_clips)
+    return [
         outcome.alias("outcome"),
         F.coalesce(*shapes, F.lit(None).cast("string")).alias("shape"),
-    )
-    n = count_clips(F.col("duration"), clip_seconds, max_clips)
-    return judged.select(
-        "idx", "outcome", "shape", F.when(F.col("outcome") == "accept", n).otherwise(0).alias("clips")
+        F.when(outcome == "accept", n).otherwise(0).alias("clips"),
+    ]
+
+
+def judge_rows(
+    raw: DataFrame,
+    preset: Preset,
+    path_exists: Column | None = None,
+    max_scan: int | None = None,
+    clip_seconds: float = 8.0,
+    max_clips: int | None = None,
+) -> DataFrame:
+    """``idx, outcome, shape, clips`` for every scanned row; ``outcome`` is
+    ``accept`` or the reason the row is skipped."""
+    scanned = raw if max_scan is None else raw.where(F.col("idx") < max_scan)
+    return scanned.select("idx", *judgement(raw.schema, preset, path_exists, clip_seconds, max_clips))
+
+
+def probe_presets(
+    raw: DataFrame, presets: dict[str, Preset], path_exists: Column | None = None
+) -> DataFrame:
+    """``preset, outcome, n_rows, n_clips``: how each preset judges the same
+    rows, in one scan."""
+
+    def one(name: str, preset: Preset) -> Column:
+        outcome, _, clips = judgement(raw.schema, preset, path_exists)
+        return F.struct(F.lit(name).alias("preset"), outcome, clips)
+
+    judged = raw.select(F.inline(F.array(*[one(n, p) for n, p in presets.items()])))
+    return judged.groupBy("preset", "outcome").agg(
+        F.count("*").alias("n_rows"), F.sum("clips").alias("n_clips")
     )
 
 

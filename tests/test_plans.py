@@ -71,6 +71,16 @@ def test_decisions():
     assert curation.embed_decision(5, 5, True) == ("build", "force rebuild requested")
 
 
+def test_resume_names(spark, data, tmp_path):
+    for stage, names in curation.RESUME_NAMES.items():
+        for name in names:
+            assert curation.stage_named(name.upper().replace("_", "-")) == stage
+    run = _run(spark, data, tmp_path)
+    for bad in ({"stage": "stage10"}, {"stage": "embed", "modality": "bogus"}):
+        with pytest.raises(ValueError):
+            curation.resume(run, **bad)
+
+
 def test_missing_inputs(spark, data, tmp_path):
     run = _run(spark, data, tmp_path)
     assert curation.resume(run, "embed", "text")[0]["reason"] == "missing manifest"
