@@ -2,4 +2,168 @@
 
 from __future__ import annotations
 
+from corpusloom.llm import mixing, secrets, topk, vectors_dedup, warc
+from corpusloom.llm.queries import DOMAINS, WEIGHTS
+
 SQL: dict[str, str] = {}
+
+
+# -- secrets -----------------------------------------------------------------
+
+
+def _quoted(x: str) -> str:
+    return "'" + x.replace("'", "''") + "'"
+
+
+def _found(kind: int, pattern: str, group: int) -> str:
+    p = _quoted(pattern)
+    return f"""select id, {kind} as kind, unnest(range(1, len(hits) + 1)) as i, gaps, hits, vals
+        from (select id, string_split_regex(text, {p}) as gaps, regexp_extract_all(text, {p}) as hits,
+                  regexp_extract_all(text, {p}, {group}) as vals from texts)"""
+
+
+_KIND = "(case kind " + " ".join(f"when {i} then '{k}'" for i, k in enumerate(secrets.KINDS)) + " end)"
+_SPAN = f"string_agg({_KIND} || ':' || s || ':' || e, ',' order by s, kind, e)"
+SQL["op2_secret_spans"] = f"""
+with texts as (select doc_id as id, source, coalesce(text, '') as text from documents),
+found as ({_found(0, secrets.ASSIGN, 2)} union all {_found(1, secrets.ACCESS, 0)}
+    union all {_found(2, secrets.HEX, 0)}),
+placed as (
+    select id, kind, vals[i] as val, length(hits[i]) as n,
+        list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+            + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) as s
+    from found),
+base as (
+    select id, kind, s, s + n as e, s + n - length(val) as vs, val from placed
+    where length(val) >= {secrets.MIN_VALUE}),
+owned as (
+    select val, count(distinct coalesce(source, '')) as owners from base join texts using (id) group by val),
+added as (
+    select distinct id, case when owners >= {secrets.COPIED_OWNERS} then 4 else 3 end as kind, vs as s, e
+    from base join owned using (val)
+    where owners >= {secrets.COPIED_OWNERS}
+        or (len(list_distinct(string_split(val, ''))) >= {secrets.LIVE_CHARACTERS}
+            and regexp_matches(val, '[0-9]') and not regexp_matches(val, {_quoted(secrets.PLACEHOLDER)}))),
+spans as (select id, kind, s, e from base union all select * from added),
+told as (
+    select id, count(*) filter (kind = 0) as n_assign, count(*) filter (kind = 1) as n_access,
+        count(*) filter (kind = 2) as n_hex, count(*) filter (kind = 3) as n_live,
+        count(*) filter (kind = 4) as n_copied, {_SPAN} as spans, {_SPAN} filter (kind < 3) as base_spans
+    from spans group by id),
+most as (select id, max(owners) as most_owners from base join owned using (val) group by id)
+select id as doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access,
+    coalesce(n_hex, 0) as n_hex, sha256(coalesce(base_spans, '')) as base_sha256,
+    coalesce(spans, '') as spans, coalesce(n_live, 0) as n_live, coalesce(n_copied, 0) as n_copied,
+    coalesce(most_owners, 0) as most_owners
+from texts left join told using (id) left join most using (id)"""
+
+
+# -- vectors -------------------------------------------------------------------
+
+SQL["op3_vector_near_dedup"] = f"""
+with recursive vecs as (
+    select vec_id, list_transform(embedding, lambda x: x::double) as v from embeddings),
+links as (
+    select a.vec_id as a, b.vec_id as b from vecs a, vecs b
+    where a.vec_id <> b.vec_id and list_cosine_similarity(a.v, b.v) >= {vectors_dedup.THRESHOLD}),
+reach as (
+    select vec_id as a, vec_id as b from vecs
+    union select reach.a, links.b from reach join links on reach.b = links.a),
+counts as (select a, count(*) as n from links group by a)
+select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept
+from vecs left join counts on a = vec_id
+join (select a as vec_id, min(b) as component_id from reach group by a) using (vec_id)"""
+
+SQL["op8_exact_top_k"] = f"""
+with vecs as (
+    select vec_id, list_transform(embedding, lambda x: floor({topk.SCALE} * x::double)) as v from embeddings),
+scored as (
+    select q.vec_id as query_id, c.vec_id, list_dot_product(q.v, c.v)::bigint as score
+    from vecs q, vecs c where q.vec_id % 50 = 0 and q.vec_id <> c.vec_id)
+select * from (
+    select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank,
+        vec_id, score from scored)
+where rank <= 5"""
+
+
+# -- archives --------------------------------------------------------------------
+
+SQL["op5_warc_round_trip"] = f"""
+with payloads as (
+    select page_id, strlen(coalesce(html, '')) as n, sha256(coalesce(html, '')) as digest from pages),
+firsts as (select digest, min(page_id) as first_id from payloads where n >= {warc.MIN_REVISIT} group by digest)
+select page_id, n::bigint as payload_bytes, digest as payload_digest,
+    case when first_id is null or first_id = page_id then 'response' else 'revisit' end as record_type,
+    case when first_id <> page_id then first_id end as refers_to
+from payloads left join firsts using (digest)"""
+
+
+# -- mixing ----------------------------------------------------------------------
+
+_LEVELS = ["domain", "lang", "source"]
+
+
+def _weight(depth: int) -> str:
+    path = " || chr(31) || ".join(_LEVELS[:depth])
+    cases = " ".join(
+        f"when {_quoted('~'.join(p))} then {w}" for p, w in WEIGHTS.items() if len(p) == depth
+    )
+    return f"(case replace({path}, chr(31), '~') {cases} else 1 end)" if cases else "1"
+
+
+def _fill(depth: int) -> str:
+    """The level's nodes with their part of the parent's budget."""
+    own, key = ", ".join(_LEVELS[:depth]), _LEVELS[depth - 1]
+    by = f"partition by {', '.join(_LEVELS[: depth - 1])}" if depth > 1 else ""
+    before = f"over ({by} order by ratio, {key} rows between unbounded preceding and 1 preceding)"
+    source = f"join take{depth - 1} using ({', '.join(_LEVELS[: depth - 1])})" if depth > 1 else ", total"
+    budget = "take" if depth > 1 else "budget"
+    return f"""
+caps{depth} as (
+    select {own}, (sum(tokens) * {mixing.MAX_EPOCHS})::hugeint as cap, {_weight(depth)}::hugeint as weight
+    from leaves group by {own}),
+nodes{depth} as (
+    select {own}, cap, weight, cap::double / weight::double as ratio,
+        least({budget}, sum(cap) over ({by}))::hugeint as budget
+    from caps{depth} {source}),
+ordered{depth} as (
+    select *, (budget - coalesce(sum(cap) {before}, 0)) * weight
+        >= cap * (sum(weight) over ({by}) - coalesce(sum(weight) {before}, 0)) as is_full
+    from nodes{depth}),
+parts{depth} as (
+    select *, case when is_full then cap else
+        ((budget - coalesce(sum(cap) filter (is_full) over ({by}), 0))::hugeint * weight)
+            // (sum(weight) filter (not is_full) over ({by}))::hugeint end as part,
+        row_number() over ({by} order by is_full, {key}) as turn
+    from ordered{depth}),
+take{depth} as (
+    select {own}, (part + case when not is_full and turn <= budget - sum(part) over ({by}) then 1 else 0 end)
+        ::bigint as take
+    from parts{depth})"""
+
+
+SQL["op4_source_mix"] = rf"""
+with counted as (
+    select doc_id, 'domain' || coalesce(try_cast(nullif(regexp_extract(source, '([0-9]+)$', 1), '') as int), 0)
+            % {DOMAINS} as domain,
+        coalesce(lang, '') as lang, coalesce(source, '') as source,
+        len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as tokens
+    from documents where text is not null),
+leaves as (
+    select domain, lang, source, sum(tokens)::hugeint as tokens from counted where tokens > 0 group by all),
+total as (select sum(tokens)::hugeint as budget from leaves),
+{_fill(1)}, {_fill(2)}, {_fill(3)},
+plan as (
+    select *, take // tokens as epochs, take % tokens as rest from leaves join take3 using (domain, lang, source)),
+docs as (
+    select c.*, p.epochs, p.rest from counted c
+    join plan p on c.domain = p.domain and c.lang = p.lang and c.source = p.source where c.tokens > 0),
+cut as (
+    select *, rest - coalesce(sum(tokens) over (
+        partition by domain, lang, source order by md5('{mixing.SEED}:' || epochs || ':' || doc_id), doc_id
+        rows between unbounded preceding and 1 preceding), 0) as room
+    from docs)
+select doc_id, domain, lang, source, unnest(range(epochs::bigint))::bigint as epoch, tokens::bigint as tokens
+from docs
+union all
+select doc_id, domain, lang, source, epochs::bigint, least(tokens, room)::bigint from cut where room > 0"""
