@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import os
 import shutil
+import uuid
 from collections.abc import Iterator
 
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,15 +46,27 @@ def cas_get(layout: DataFrame, listing: DataFrame) -> DataFrame:
     ).drop("_held")
 
 
+def _store(path: str):
+    """File system and path for a plain path or a URI; one whose scheme is not
+    known is an error."""
+    if "://" in path or path.startswith("file:"):
+        return fs.FileSystem.from_uri(path)
+    return fs.LocalFileSystem(), path
+
+
 def _copy(rows: Iterator) -> None:
     for row in rows:
-        if not os.path.isfile(row.src) or os.path.exists(row.dest):
+        (source, src), (target, dest) = _store(row.src), _store(row.dest)
+        if source.get_file_info(src).type != fs.FileType.File:
+            continue
+        if target.get_file_info(dest).type != fs.FileType.NotFound:
             continue
-        os.makedirs(os.path.dirname(row.dest), exist_ok=True)
+        target.create_dir(dest.rpartition("/")[0], recursive=True)
         # A copy that is cut off must not look complete.
-        partial = f"{row.dest}.{os.getpid()}.part"
-        shutil.copy2(row.src, partial)
-        os.replace(partial, row.dest)
+        partial = f"{dest}.{uuid.uuid4().hex}.part"
+        with source.open_input_stream(src) as data, target.open_output_stream(partial) as out:
+            shutil.copyfileobj(data, out, 1 << 20)
+        target.move(partial, dest)
 
 
 def cas_put(missing: DataFrame) -> None:

@@ -19,7 +19,7 @@ from corpusloom.functions import paths, vectors
 from corpusloom.operators import catalog as cat
 from corpusloom.operators import dedup, embed, quality, shards, versions
 from corpusloom.operators.search import CLIP_SPACE
-from corpusloom.session import stage_table
+from corpusloom.session import scratch, stage_table
 
 # Manifest file name of each modality.
 MANIFEST_NAMES = {
@@ -161,11 +161,13 @@ def curate(
     """Gate, then exact and near dedup of one modality's manifest that carries
     ``embedding``: ``(gated, passed and unique ids, kept rows)``.
 
-    Everything is marked; only the returned views leave rows out. What stays
+    Everything is marked; only the returned views leave rows out. Rows that
+    carry their status from an earlier stage are not judged again. What stays
     is decided on keys and vectors, written out once; the wide rows are
     touched by a single semi join at the end.
     """
-    gated = quality.quality_gate(manifest)
+    judged = "quality_status" in manifest.columns
+    gated = manifest if judged else quality.quality_gate(manifest)
     keys = quality.passed(gated).select("id", "idx", "sub_idx", "content_hash", "embedding")
     placed = dedup.exact_dedup(keys).select(
         "id", dedup.order_key().alias("pos"), "embedding"
@@ -196,7 +198,9 @@ def stage_preprocessing(run: Run, modality: str, force: bool = False) -> dict:
     gated = quality.quality_gate(run.probe(manifest))
     passing = F.col("quality_status") == "pass"
     embedded = embed_manifest(gated, modality, run.model(modality), passing)
-    cat.publish(embedded.select(*manifest.columns, "embedding"), target)
+    # The verdict stays in the artifact; later stages do not read texts for it.
+    kept = embedded.select(*manifest.columns, "quality_status", "quality_reason", "embedding")
+    cat.publish(kept, target)
     return {"status": "ok", "reason": reason, "rows": row_count(run.spark, target)}
 
 
@@ -208,7 +212,9 @@ def stage_quality(run: Run, modality: str, force: bool = False) -> dict:
     source = run.layout.embedded(modality)
     if row_count(run.spark, source) is None:
         return {"status": "skipped", "reason": "missing manifest", "rows": 0}
-    embedded = run.probe(run.spark.read.parquet(source))
+    embedded = run.spark.read.parquet(source)
+    if "quality_status" not in embedded.columns:
+        embedded = run.probe(embedded)
     gated, unique, kept = curate(embedded, run.model(modality).dim, run.threshold)
     cat.publish(kept, target)
     final = row_count(run.spark, target)
@@ -288,7 +294,13 @@ def stage_benchmark(run: Run, name: str) -> dict:
 def resume(
     run: Run, stage: str, modality: str = "all", force: bool = False, version: str = "v001"
 ) -> list[dict]:
-    """One stage, for one modality or for all of them."""
+    """One stage, for one modality or for all of them. What it stages on the
+    way is deleted when it ends."""
+    with scratch(run.spark):
+        return _resume(run, stage, modality, force, version)
+
+
+def _resume(run: Run, stage: str, modality: str, force: bool, version: str) -> list[dict]:
     name, asked = stage_named(stage), modality.lower() or "all"
     if asked != "all" and asked not in run.modalities:
         raise ValueError(f"unknown modality {modality!r} for stage {name}")

@@ -400,6 +400,15 @@ _q(
         unnest(['list len=2', 'bigint', 'binary', 'string', 'null']) as shape
     from (select * from pages order by page_id limit 1)""",
 )
+_q(
+    "asset_scan",
+    """select folder, strlen(body)::bigint as length, sha256(body) as content_hash,
+        '/cas/' || substr(sha256(body), 1, 2) || '/' || substr(sha256(body), 3, 2) || '/'
+            || sha256(body) || '.txt' as dest
+    from (select (page_id % 64)::varchar as folder,
+              string_agg(coalesce(html, '') || chr(10), '' order by page_id) as body
+          from pages group by 1)""",
+)
 _q(
     "source_presets",
     "select * from counts union all select 'finevideo', 'no caption', count(*), 0 from part",

@@ -170,9 +170,16 @@ def source_presets(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def asset_scan(spark: SparkSession, d: str) -> DataFrame:
-    files = readers.asset_listing(spark, d, "*.parquet", with_hash=True)
+    """The pages written out as 64 folders with a file each, then scanned."""
+    pages = readers.table(spark, d, "pages").select(
+        F.pmod("page_id", F.lit(64)).alias("folder"), "page_id", F.coalesce("html", F.lit("")).alias("html")
+    )
+    root = fresh_path(spark, "assets")
+    ordered = pages.repartition(8, "folder").sortWithinPartitions("folder", "page_id")
+    ordered.select("folder", "html").write.partitionBy("folder").text(root)
+    files = readers.asset_listing(spark, root, "part-*", with_hash=True)
     return files.select(
-        F.regexp_extract("path", "([^/]+)$", 1).alias("name"),
+        F.regexp_extract("path", "folder=([0-9]+)/[^/]+$", 1).alias("folder"),
         "length",
         "content_hash",
         paths.cas_path("/cas", F.col("content_hash"), paths.suffix(F.col("path"))).alias("dest"),

@@ -11,6 +11,7 @@ import os
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,14 +65,34 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local-mode session may fall back to a folder of its own; on a
     cluster a missing setting is an error rather than a machine-local path.
     """
+    inner = getattr(spark.sparkContext, "_corpusloom_scratch", [])
+    if inner:
+        return inner[-1]
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    made = tempfile.mkdtemp(prefix="corpusloom-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    context = spark.sparkContext
+    if not hasattr(context, "_corpusloom_folder"):
+        context._corpusloom_folder = tempfile.mkdtemp(prefix="corpusloom-")
+    return context._corpusloom_folder
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables staged inside are deleted at the end, so that work which ends with
+    a written result leaves nothing else in the shared folder."""
+    path = fresh_path(spark, "scratch")
+    context = spark.sparkContext
+    if not hasattr(context, "_corpusloom_scratch"):
+        context._corpusloom_scratch = []
+    context._corpusloom_scratch.append(path)
+    try:
+        yield path
+    finally:
+        context._corpusloom_scratch.remove(path)
+        discard(spark, path)
 
 
 def fresh_name(label: str) -> str:

@@ -19,7 +19,7 @@ from pyspark.sql.types import StructType
 
 from corpusloom import schemas
 from corpusloom.operators import dedup
-from corpusloom.session import discard, fresh_path, list_folder, move
+from corpusloom.session import discard, fresh_path, list_folder, move, scratch
 
 
 UNTIL_DONE = {"availableNow": True}
@@ -151,8 +151,9 @@ def near_dedup_stream(
     def each(batch: DataFrame, batch_id: int) -> None:
         table = batch.sparkSession.read.schema(schema).parquet(path)
         kept = table.where(F.col("batch_id") < batch_id)
-        fresh = dedup.kept_of_batch(batch, kept, pos, vec, dim, threshold)
-        fresh.select("pos", "vec").write.mode("overwrite").parquet(_batch_path(path, batch_id))
+        with scratch(batch.sparkSession):
+            fresh = dedup.kept_of_batch(batch, kept, pos, vec, dim, threshold)
+            fresh.select("pos", "vec").write.mode("overwrite").parquet(_batch_path(path, batch_id))
 
     return _start(stream, each, progress, trigger)
 
