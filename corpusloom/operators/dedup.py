@@ -44,7 +44,7 @@ _SAMPLE_ROWS = 4096
 _CHUNK_ROWS = 250_000
 # Once a few rounds are over, so few waiting rows are decided in one go.
 _TAIL_ROWS = 1024
-_TAIL_AFTER = 4
+_TAIL_AFTER = 2
 # Slack for the single-precision screen; hits are confirmed in double.
 _SLACK = 1e-4
 _BLOCK = 2048
@@ -387,14 +387,18 @@ def _run_rounds(todo: DataFrame, threshold: float, block_rows: int) -> DataFrame
         judged = stage_at(judged.where("open"), path)
         n_open = judged.count()
         if turn > _TAIL_AFTER and n_open <= _TAIL_ROWS:
-            last = judged.select("pos", "vec", "best").repartition(1).mapInPandas(_tail(threshold), _DECIDED)
+            few = judged.select("pos", "vec", "best").repartition(1)
+            last = few.mapInPandas(_tail(threshold), _DECIDED)
             last.write.mode("append").parquet(decided_path)
             n_open = 0
         stays = (F.col("best") == _NEVER) & (F.col("wait") == _NEVER)
         goes = F.col("best") < F.col("wait")
         if n_open:
             judged.where(stays | goes).select(
-                "pos", F.col("best").alias("dup_of"), stays.alias("kept"), F.when(stays, F.col("vec")).alias("vec")
+                "pos",
+                F.col("best").alias("dup_of"),
+                stays.alias("kept"),
+                F.when(stays, F.col("vec")).alias("vec"),
             ).write.mode("append").parquet(decided_path)
             next_path = fresh_path(spark, "waiting")
             rest = judged.where(~goes).select("pos", "vec", "best", (~stays).alias("open"))

@@ -179,7 +179,8 @@ def extended_rules(
 def mark_copies(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     """Add ``is_copy``: another row with the same keys comes before.
 
-    ``order`` is a number that identifies rows (see ``dedup.order_key``). The first row of each key comes from a partially aggregated minimum and is
+    ``order`` is a number that identifies rows (see ``dedup.order_key``). The
+    first row of each key comes from a partially aggregated minimum and is
     matched back by that row's own number, so neither side of the join has a
     hot key however many copies there are.
     """
