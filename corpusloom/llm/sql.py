@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import mixing, secrets, topk, vectors_dedup, warc
+from corpusloom.llm import licenses, mixing, secrets, topk, vectors_dedup, warc
+from corpusloom.llm.license_rules import rules
 from corpusloom.llm.queries import DOMAINS, WEIGHTS
 
 SQL: dict[str, str] = {}
@@ -167,3 +168,67 @@ select doc_id, domain, lang, source, unnest(range(epochs::bigint))::bigint as ep
 from docs
 union all
 select doc_id, domain, lang, source, epochs::bigint, least(tokens, room)::bigint from cut where room > 0"""
+
+
+# -- licences --------------------------------------------------------------------
+
+
+def _pattern(rule: str) -> str:
+    """Two blanks between words and one at both ends: this dialect has no
+    look-around, so a match takes its blanks and leaves the next word its own."""
+    return f" (?:{rule.replace(' ?', '(?: )?').replace(' ', '  ')}) "
+
+
+_RULES = ",\n    ".join(
+    f"({_quoted(r.label)}, ' {r.keyword} ', {_quoted(_pattern(r.pattern))}, {r.priority}, {i}, {r.weight})"
+    for i, r in enumerate(rules())
+)
+
+
+def _phrase(phrase: str) -> str:
+    first, *rest = phrase.split(" ")
+    ahead = [f"w{i} = '{w}'" for i, w in enumerate(rest, 1)]
+    return " and ".join([f"w = '{first}'", *ahead])
+
+
+_PHRASES = " ".join(f"when {_phrase(p)} then '{label}'" for p, label in licenses.PHRASES.items())
+_ORDER = "({0}.s, -{0}.e, {0}.priority, {0}.rule)"
+SQL["op10_license_scan"] = rf"""
+with texts as (
+    select doc_id as id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+            'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+    from documents),
+tokens as (select id, unnest(words) as w, unnest(range(len(words))) as i from texts),
+ahead as (
+    select *, lead(w, 1) over (partition by id order by i) as w1,
+        lead(w, 2) over (partition by id order by i) as w2 from tokens),
+base as (
+    select id, i, case {_PHRASES} end as label from ahead),
+told as (
+    select id, count(*) as n, min(i) as first, max(i) as last, list(distinct label) as labels
+    from base where label is not null group by id),
+known(label, keyword, pattern, priority, rule, weight) as (values
+    {_RULES}),
+spaced as (select id, ' ' || array_to_string(words, '  ') || ' ' as t from texts where len(words) > 0),
+found as (
+    select id, label, priority, rule, weight, regexp_extract_all(t, pattern) as hits,
+        string_split_regex(t, pattern) as gaps
+    from spaced join known on contains(t, keyword)),
+places as (
+    select *, unnest(range(1, len(hits) + 1)) as i from found),
+dets as (
+    select id, label, priority, rule, weight, s, s + length(hits[i]) as e from (
+        select *, list_sum(list_transform(gaps[1:i], lambda x: length(x)))
+            + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) as s from places)),
+kept as (
+    select * from dets d where not exists (
+        select 1 from dets o where o.id = d.id and (
+            ({_ORDER.format("o")} < {_ORDER.format("d")} and o.priority <= d.priority and o.e >= d.e)
+            or ({_ORDER.format("o")} > {_ORDER.format("d")} and o.priority < d.priority and o.e <= d.e)))),
+method as (select id, list(distinct label) as labels, max(weight) as score from kept group by id)
+select id as doc_id, len(words)::bigint as n_words, coalesce(n, 0) as n_base, first as first_word,
+    last as last_word, coalesce(array_to_string(list_sort(told.labels), ','), '') as base_labels,
+    array_to_string(list_sort(list_distinct(list_concat(coalesce(told.labels, []),
+        coalesce(method.labels, [])))), ',') as labels,
+    greatest(case when n > 0 then {licenses.BASE_SCORE} else 0 end, coalesce(score, 0))::double as score
+from texts left join told using (id) left join method using (id)"""
