@@ -188,6 +188,39 @@ def compare_versions(a: DataFrame, b: DataFrame) -> DataFrame:
     )
 
 
+def version_report(items: DataFrame, catalog: DataFrame) -> DataFrame:
+    """``metric, key, value``: items per modality, source and licence, and the
+    share of each modality of the catalog that the version leaves out."""
+    held = items.select("id").join(catalog.select("id", "modality", "source", "license"), "id")
+    facts = F.array(
+        *[
+            F.struct(F.lit(c).alias("metric"), F.col(c).alias("key"))
+            for c in ("modality", "source", "license")
+        ]
+    )
+    counts = held.select(F.inline(facts)).groupBy("metric", "key").agg(
+        F.count("*").cast("double").alias("value")
+    )
+    whole = catalog.groupBy(F.col("modality").alias("key")).agg(F.count("*").alias("n"))
+    own = counts.where("metric = 'modality'").select("key", "value")
+    rates = whole.join(own, "key", "left").select(
+        F.lit("drop_rate").alias("metric"),
+        "key",
+        F.round(1 - F.coalesce("value", F.lit(0.0)) / F.col("n"), 6).alias("value"),
+    )
+    return counts.unionByName(rates)
+
+
+def compare_reports(a: DataFrame, b: DataFrame, catalog: DataFrame) -> DataFrame:
+    """``metric, key, a, b, delta`` of the reports of two versions."""
+    first = version_report(a, catalog).withColumnRenamed("value", "a")
+    second = version_report(b, catalog).withColumnRenamed("value", "b")
+    in_a, in_b = F.coalesce("a", F.lit(0.0)), F.coalesce("b", F.lit(0.0))
+    return first.join(second, ["metric", "key"], "full").select(
+        "metric", "key", in_a.alias("a"), in_b.alias("b"), F.round(in_b - in_a, 6).alias("delta")
+    )
+
+
 def diff_versions(a: DataFrame, b: DataFrame) -> DataFrame:
     """``id, change``: added, removed, changed (other content) or common."""
     old = a.select("id", F.col("content_hash").alias("old"))

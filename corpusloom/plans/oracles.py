@@ -776,6 +776,30 @@ _q(
     full join (select modality, count(*) as n_b from vb group by 1) using (modality)""",
     TWO,
 )
+_q(
+    "version_report",
+    """select metric, key, coalesce(a, 0) as a, coalesce(b, 0) as b,
+        round(coalesce(b, 0) - coalesce(a, 0), 6) as delta
+    from (select * from counts where v = 'a') x
+    full join (select metric, key, b from (select metric, key, a as b, v from counts) where v = 'b') y
+        using (metric, key)""",
+    f"""{TWO},
+    held as (
+        select 'a' as v, * from gated where modality in ('text', 'image')
+        union all select 'b', * from gated where quality_status = 'pass'),
+    per as (
+        select v, metric, key, count(*)::double as n from (
+            select v, unnest(['modality', 'source', 'license']) as metric,
+                unnest([modality, source, license]) as key from held)
+        group by all),
+    whole as (select modality as key, count(*) as n from gated group by 1),
+    counts as (
+        select v, metric, key, n as a from per
+        union all
+        select v, 'drop_rate', whole.key, round(1 - coalesce(per.n, 0) / whole.n, 6)
+        from (select unnest(['a', 'b']) as v) cross join whole
+        left join per using (v, key) where coalesce(per.metric, 'modality') = 'modality')""",
+)
 _q(
     "version_diff",
     """select id, case when va.content_hash is null then 'added'
@@ -908,7 +932,11 @@ _q(
 )
 _q(
     "artifact_resume",
-    """select attempt, stage, modality, case when attempt = 1 then 'ok' else 'skipped' end as status, n as n_rows
+    """select attempt, stage, modality, case when attempt = 1 then 'ok' else 'skipped' end as status,
+        case when stage = 'connectors' and attempt = 1 then ''
+             when stage = 'connectors' then 'manifest already exists'
+             when attempt = 1 then 'no output yet' else 'preprocessed output already exists' end as reason,
+        n as n_rows
     from (select unnest([1, 2]) as attempt),
         (select unnest(['connectors', 'preprocessing']) as stage),
         (select 'image' as modality, count(*) as n from m_image

@@ -789,6 +789,15 @@ def version_compare(spark: SparkSession, d: str) -> DataFrame:
     return versions.compare_versions(*_two(spark, d))
 
 
+@query
+def version_report(spark: SparkSession, d: str) -> DataFrame:
+    """What two versions hold and leave out of the catalog they were cut from."""
+    table = stage_table(inputs.catalog(spark, d, with_vectors=False), "catalog")
+    a = versions.select_items(table, "a", modalities=["text", "image"], quality_filter=False)
+    b = versions.select_items(table, "b")
+    return versions.compare_reports(a, b, table)
+
+
 @query
 def version_diff(spark: SparkSession, d: str) -> DataFrame:
     return versions.diff_versions(*_two(spark, d))
@@ -940,11 +949,17 @@ def artifact_resume(spark: SparkSession, d: str) -> DataFrame:
         for stage in ("connectors", "embed"):
             for done in curation.resume(run, stage):
                 rows.append(
-                    (attempt, done["stage"], done["modality"], done["status"], done["rows"])
+                    (
+                        attempt,
+                        done["stage"],
+                        done["modality"],
+                        done["status"],
+                        done.get("reason", ""),
+                        done["rows"],
+                    )
                 )
-    return spark.createDataFrame(
-        rows, "attempt int, stage string, modality string, status string, n_rows bigint"
-    )
+    kind = "attempt int, stage string, modality string, status string, reason string, n_rows bigint"
+    return spark.createDataFrame(rows, kind)
 
 
 @query
