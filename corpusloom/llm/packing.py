@@ -35,7 +35,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from corpusloom.llm.pretokens import Memo, blocks, vocabulary_path
+from corpusloom.llm.pretokens import (
+    PIECES,
+    Memo,
+    blocks,
+    byte_letters,
+    merge_pairs,
+    read_json,
+    vocabulary_path,
+)
 
 WINDOW = 1024
 CLOSING_ID = 0
@@ -168,26 +176,49 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+@lru_cache(maxsize=2)
+def _ranked(path: str):
+    """The same vocabulary for tiktoken, which encodes a short text in a quarter
+    of the time. It merges by id, so ids must be in order of rank; None if not."""
+    spec = read_json(path)
+    letters, vocabulary = byte_letters(), spec["model"]["vocab"]
+    made = [vocabulary[a + b] for a, b in merge_pairs(spec)]
+    if any(a >= b for a, b in zip(made, made[1:])):
+        return None
+    import tiktoken
+
+    ranks = {bytes(letters[c] for c in token): i for token, i in vocabulary.items()}
+    return tiktoken.Encoding("ranked", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
+
+
 class Encoder:
-    """Ids of texts by the tokenizers library, which is asked once for each
-    block of text that is remembered."""
+    """Ids of texts as the tokenizers library gives them. Each block of text
+    that is remembered is encoded once; texts with special strings go through
+    the library whole."""
 
     def __init__(self, path: str, memo: int = MEMO):
-        self.library = _tokenizer(path)
+        self.library, self.ranked = _tokenizer(path), _ranked(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.memo = Memo(memo)
 
+    def _by_library(self, texts: list[str]) -> list[bytes]:
+        made = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in made]
+
+    def _ids(self, block: str) -> bytes:
+        return np.array(self.ranked.encode_ordinary(block), "<u4").tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        parts = [
-            [t] if any(s in t for s in self.special) else blocks(t) if t else [] for t in texts
-        ]
+        has_special = [any(s in t for s in self.special) for t in texts]
+        parts = [blocks(t) if t and not x else [] for t, x in zip(texts, has_special)]
         fresh = self.memo.missing(x for part in parts for x in part)
-        if fresh:
-            made = self.library.encode_batch_fast(fresh, add_special_tokens=False)
-            self.memo.add(fresh, [np.array(e.ids, "<u4").tobytes() for e in made])
+        made = self._by_library(fresh) if self.ranked is None else map(self._ids, fresh)
+        self.memo.add(fresh, made)
         known = self.memo.new.__getitem__
         out = [b"".join(map(known, part)) for part in parts]
+        for i in np.flatnonzero(has_special):
+            out[i] = self._by_library([texts[i]])[0]
         self.memo.turn()
         return out
 

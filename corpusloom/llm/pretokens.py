@@ -14,10 +14,11 @@ import regex
 
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Fixed value: the pattern of the byte-level vocabularies.
-PATTERN = regex.compile(
+PIECES = (
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{_SPACE}\p{{L}}\p{{N}}]+"
     rf"|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+"
 )
+PATTERN = regex.compile(PIECES)
 # A blank with white space or the end behind it.
 _LOOSE = regex.compile(rf" (?:[{_SPACE}]|\Z)")
 
@@ -35,6 +36,19 @@ def read_json(path: str) -> dict:
         return json.load(file)
 
 
+def byte_letters() -> dict[str, int]:
+    """The printable letters that stand for bytes in the file: printable ones
+    for themselves, the others for code points from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def merge_pairs(spec: dict) -> list[list[str]]:
+    """The merges in order of rank; files write a pair as a list or a string."""
+    return [x if isinstance(x, list) else x.split(" ") for x in spec["model"]["merges"]]
+
+
 def special_strings(spec: dict) -> dict[str, int]:
     return {t["content"]: t["id"] for t in spec["added_tokens"]}
 

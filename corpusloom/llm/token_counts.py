@@ -31,6 +31,8 @@ from corpusloom.llm.pretokens import (
     PATTERN,
     Memo,
     blocks,
+    byte_letters,
+    merge_pairs,
     read_json,
     special_strings,
     vocabulary_path,
@@ -45,25 +47,17 @@ _ROUND_BYTES = 1 << 21
 _NONE = np.int64(1 << 40)
 
 
-def _byte_letters() -> dict[str, int]:
-    """The printable letters that stand for bytes in the file: printable ones
-    for themselves, the others for code points from 256 on."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class Merges:
     """Ranks of pairs as open-addressed arrays: a pair of symbols is looked up
     for a whole array of pairs at once."""
 
     def __init__(self, spec: dict):
         vocabulary = spec["model"]["vocab"]
-        letters = _byte_letters()
+        letters = byte_letters()
         self.byte_ids = np.zeros(256, np.int64)
         for letter, byte in letters.items():
             self.byte_ids[byte] = vocabulary[letter]
-        pairs = [x if isinstance(x, list) else x.split(" ") for x in spec["model"]["merges"]]
+        pairs = merge_pairs(spec)
         left = np.array([vocabulary[a] for a, _ in pairs], np.int64)
         right = np.array([vocabulary[b] for _, b in pairs], np.int64)
         made = np.array([vocabulary[a + b] for a, b in pairs], np.int64)
