@@ -164,13 +164,15 @@ def test_probe_outcomes(spark):
     preset = probe.PRESETS["alexzigma"]
     got = values(probe.judge_rows(raw, preset).orderBy("idx"), "outcome", "clips")
     assert got == [
-        ("accept", 2),
+        ("accept", 3),
         ("unusable payload", 0),
         ("no caption", 0),
         ("unusable payload", 0),
         ("no video field", 0),
         ("no duration", 0),
     ]
+    few = values(probe.judge_rows(raw, preset, max_clips=2).orderBy("idx"), "clips")
+    assert few[0] == (2,)
     first = probe.probe_first(raw, preset, accepted_target=1)
     assert values(first, "id", "shape") == [("probe_00000000_clip_000", "dict.bytes")]
     assert probe.require_accepted(first) == 1
