@@ -163,27 +163,31 @@ def mix(
     complete = rows.where("epochs > 0").select(
         *out, F.explode(F.expr("sequence(0L, epochs - 1)")).alias("epoch"), "tokens"
     )
-    name = F.concat_ws(":", F.lit(str(seed)), "epochs", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    own = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    # The first 32 bits of the hash, cut into the leaf's buckets.
+    early = "cast(conv(substr(turn, 1, 8), 16, 10) as bigint)"
     ordered = (
         rows.where("rest > 0")
-        .withColumn("turn", F.md5(name))
-        .withColumn("bucket", F.expr("cast(conv(substr(turn, 1, 8), 16, 10) as bigint) * buckets div 4294967296"))
+        .withColumn("turn", F.md5(F.concat_ws(":", F.lit(str(seed)), "epochs", own)))
+        .withColumn("bucket", F.expr(f"{early} * buckets div 4294967296"))
     )
     sums = ordered.groupBy(*names, "bucket").agg(
         F.sum("tokens").alias("filled"), F.first("rest").alias("limit")
     )
-    earlier = Window.partitionBy(*names).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    until = (Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*names).orderBy("bucket").rowsBetween(*until)
     sums = sums.withColumn("start", F.coalesce(F.sum("filled").over(earlier), F.lit(0)))
     sums = sums.where("start < limit").select(*names, "bucket", "start", "filled")
     begun = ordered.join(sums, [*names, "bucket"])
-    whole = begun.where("start + filled <= rest").select(*out, F.col("epochs").alias("epoch"), "tokens")
+    last = F.col("epochs").alias("epoch")
+    whole = begun.where("start + filled <= rest").select(*out, last, "tokens")
     in_turn = Window.partitionBy(*names, "bucket").orderBy("turn", "doc_id", *ROW)
-    ahead = F.coalesce(F.sum("tokens").over(in_turn.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    ahead = F.coalesce(F.sum("tokens").over(in_turn.rowsBetween(*until)), F.lit(0))
     cut = (
         begun.where("start + filled > rest")
         .withColumn("room", F.col("rest") - F.col("start") - ahead)
         .where("room > 0")
-        .select(*out, F.col("epochs").alias("epoch"), F.least("tokens", "room").alias("tokens"))
+        .select(*out, last, F.least("tokens", "room").alias("tokens"))
     )
     return complete.unionByName(whole).unionByName(cut)
 
@@ -197,5 +201,7 @@ def select_documents(
     seed: int = SEED,
 ) -> DataFrame:
     """Whole rows of ``docs`` that the mix takes tokens from, once per epoch."""
-    chosen = stage_table(mix(docs, levels, weights, share, max_epochs, seed).select(*ROW), "mix-chosen")
-    return with_row(docs, F.col("*")).join(chosen, ROW).drop(*ROW)
+    taken = mix(docs, levels, weights, share, max_epochs, seed)
+    chosen = stage_table(taken.select(*ROW), "mix-chosen")
+    # Grows with the documents: hashed, never broadcast.
+    return with_row(docs, F.col("*")).join(chosen.hint("shuffle_hash"), ROW).drop(*ROW)

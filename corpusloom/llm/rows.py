@@ -41,8 +41,13 @@ def with_row(df: DataFrame, *columns: Column) -> DataFrame:
 
 
 def without(df: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows of ``df`` that ``gone`` (``ROW`` columns) does not name."""
-    return with_row(df, F.col("*")).join(gone.select(*ROW), ROW, "left_anti").drop(*ROW)
+    """The rows of ``df`` that ``gone`` (``ROW`` columns) does not name.
+
+    ``gone`` grows with ``df``, so it is never broadcast; it is the side that is
+    hashed, so the wide rows are dealt once and not sorted.
+    """
+    named = gone.select(*ROW).hint("shuffle_hash")
+    return with_row(df, F.col("*")).join(named, ROW, "left_anti").drop(*ROW)
 
 
 def salted_lookup(rows: DataFrame, table: DataFrame, keys: list[str], salt: str) -> DataFrame:
