@@ -2,7 +2,8 @@
 Parquet and read again as the next one's input.
 
 1. quality: documents that the classifier predicts as bad go.
-2. near_dedup: of each group of near copies one document stays.
+2. near_dedup: of each group of near copies (five-word shingles, similarity 0.8
+   or more as 384-bit fingerprints estimate it) one document stays.
 3. secrets: documents with a live-looking, owner-specific credential go.
 4. mixing: sources are cut to target weights, nothing is repeated.
 5. packing: what is left becomes sequences of token ids.
@@ -33,7 +34,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    gone = stage_table(simhash.repeats(simhash.near_dedup(docs)), "near-copies")
+    found = simhash.near_dedup(docs, scheme=simhash.SIMILAR)
+    gone = stage_table(simhash.repeats(found), "near-copies")
     return without(docs, gone)
 
 

@@ -38,8 +38,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def domain() -> Column:
-    number = F.coalesce(F.try_to_number(F.regexp_extract("source", "([0-9]+)$", 1), F.lit("99999")), F.lit(0))
-    return F.concat(F.lit("domain"), F.pmod(number.cast("int"), F.lit(DOMAINS)).cast("string"))
+    """By the number at the end of the source's name, 0 without one."""
+    number = F.regexp_extract("source", "([0-9]{1,9})$", 1).try_cast("int")
+    place = F.pmod(F.coalesce(number, F.lit(0)), F.lit(DOMAINS))
+    return F.concat(F.lit("domain"), place.cast("string"))
 
 
 def mix_levels() -> dict[str, Column]:
@@ -80,7 +82,7 @@ def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_dedup(table(spark, folder, "documents"))
     return found.select(
         "doc_id",
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        F.lower(F.hex("fp")).alias("fingerprint"),
         "component_id",
     )
 

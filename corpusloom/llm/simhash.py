@@ -1,10 +1,17 @@
 """Near-duplicate texts by SimHash fingerprints and pigeonhole blocks.
 
 A text's fingerprint has one bit per position: set where over half of the
-64-bit hashes of its word shingles have it set. Two fingerprints that differ
-in at most ``distance`` bits agree in at least one of ``distance + 1`` blocks
-of bits, so joining on each block and verifying the Hamming distance finds
-every such pair; nothing is approximate. Linked fingerprints form components.
+hashes of its word shingles have it set. Fingerprints are split into blocks of
+bits. Two that differ in at most ``distance`` bits agree in at least one of
+``distance + 1`` blocks, so joining on each block and verifying the Hamming
+distance finds every such pair. Linked fingerprints form components.
+
+For a Jaccard similarity J of the shingle sets about a share ``acos(2 J / (1 +
+J)) / pi`` of the bits differs, 15 % at J = 0.8. To find such pairs, fingerprints
+may be wider than 64 bits (further words are mixed from the same hash) and have
+fewer blocks than ``distance + 1``; what share of pairs then meets in a block is
+in ``found_share``, and everything that meets is still verified. Block bits
+should grow with the logarithm of the number of texts.
 
 Texts with one fingerprint are one class, so a group of copies of any size is
 one row in the join. A crowded block value is compared in cells of bounded
@@ -20,6 +27,7 @@ read. An empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -32,83 +40,137 @@ from corpusloom.llm.components import components
 from corpusloom.llm.rows import ROW, salted_join, salted_lookup, with_row
 from corpusloom.session import stage_table
 
-SHINGLE = 3
 SEED = 42
-BITS = 64
-DISTANCE = 2
 # Shingles whose bits are counted at a time: 64 bytes each.
 _COUNT = 65536
 
 
-def fingerprint(text: str | None, words_each: int = SHINGLE) -> int:
-    """The fingerprint of one text, from 0 to 2**64 - 1."""
+@dataclass(frozen=True)
+class Scheme:
+    """How texts are compared: shingles of ``words`` words, fingerprints of 64
+    times ``size`` bits, links at ``distance`` differing bits or fewer, found
+    through ``blocks`` blocks of ``block_bits`` bits (0: as even as can be)."""
+
+    words: int = 3
+    size: int = 1
+    distance: int = 2
+    blocks: int = 3
+    block_bits: int = 0
+
+    def edges(self) -> list[tuple[int, int]]:
+        """First bit and end of each block."""
+        if self.block_bits:
+            return [(i * self.block_bits, (i + 1) * self.block_bits) for i in range(self.blocks)]
+        cuts = [64 * self.size * i // self.blocks for i in range(self.blocks + 1)]
+        return list(zip(cuts, cuts[1:]))
+
+    def found_share(self, differing: float) -> float:
+        """Share of pairs that meet in a block when a share ``differing`` of
+        their bits differs, each bit on its own."""
+        missed = 1.0
+        for first, end in self.edges():
+            missed *= 1 - (1 - differing) ** (end - first)
+        return 1 - missed
+
+
+# Differing in 2 of 64 bits: three blocks find every such pair.
+CLOSE = Scheme()
+# Five words, similarity 0.8 or more: 58 of 384 bits differ on average at 0.8,
+# with a deviation of 7; 99 % of such pairs meet in a block.
+SIMILAR = Scheme(words=5, size=6, distance=68, blocks=32, block_bits=12)
+
+
+def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
+    """Further 64 bits per hash (the finaliser of SplitMix64); word 0 is the hash."""
+    if not word:
+        return hashes
+    x = hashes + np.uint64(word * 0x9E3779B97F4A7C15 % (1 << 64))
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprint(text: str | None, scheme: Scheme = CLOSE) -> bytes:
+    """The fingerprint of one text, as big-endian 64-bit words."""
     words = (text or "").encode("utf-8", "replace").lower().split()
     if not words:
-        return 0
+        return bytes(8 * scheme.size)
     whole = b" ".join(words)
-    if len(words) <= words_each:
-        return xxhash.xxh64_intdigest(whole, SEED)
-    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    ends = np.cumsum(lengths) - 1
-    starts = np.r_[0, ends[:-1] + 1]
-    n = len(words) - words_each + 1
-    pieces = map(slice, starts[:n].tolist(), ends[words_each - 1 :].tolist())
-    digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter((digest(whole[piece], SEED) for piece in pieces), np.uint64, n)
-    counts = np.zeros(BITS, np.int64)
+    digest, each = xxhash.xxh64_intdigest, scheme.words
+    if len(words) <= each:
+        hashes = np.array([digest(whole, SEED)], np.uint64)
+    else:
+        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+        ends = np.cumsum(lengths) - 1
+        starts = np.r_[0, ends[:-1] + 1]
+        n = len(words) - each + 1
+        pieces = map(slice, starts[:n].tolist(), ends[each - 1 :].tolist())
+        hashes = np.fromiter((digest(whole[piece], SEED) for piece in pieces), np.uint64, n)
+    counts = np.zeros((scheme.size, 64), np.int64)
     for at in range(0, len(hashes), _COUNT):
-        part = hashes[at : at + _COUNT].astype("<u8").view(np.uint8).reshape(-1, 8)
-        counts += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    set_bits = counts * 2 > len(hashes)
-    return int(np.packbits(set_bits, bitorder="little").view("<u8")[0])
+        for word in range(scheme.size):
+            part = _mixed(hashes[at : at + _COUNT], word).astype(">u8").view(np.uint8)
+            bits = np.unpackbits(part.reshape(-1, 8), axis=1)
+            counts[word] += bits.sum(axis=0, dtype=np.int64)
+    return np.packbits(counts * 2 > len(hashes), axis=1).tobytes()
 
 
-def _fingerprints(words_each: int):
-    @F.pandas_udf("bigint")
+def _fingerprints(scheme: Scheme):
+    @F.pandas_udf("binary")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in parts:
-            made = np.fromiter(
-                (fingerprint(t, words_each) for t in texts), np.uint64, len(texts)
+            yield pd.Series([fingerprint(t, scheme) for t in texts], dtype=object)
+
+    return run
+
+
+def _keys(scheme: Scheme):
+    edges = scheme.edges()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            data = np.frombuffer(b"".join(batch["fp"]), np.uint8).reshape(len(batch), -1)
+            bits = np.unpackbits(data, axis=1).astype(np.int64)
+            keys = np.stack(
+                [bits[:, a:b] @ (1 << np.arange(b - a, dtype=np.int64)) for a, b in edges], axis=1
             )
-            yield pd.Series(made.view(np.int64))
+            yield batch.assign(keys=list(keys))
 
     return run
 
 
-def _near(distance: int):
+def _near(scheme: Scheme):
     def load(held: pd.DataFrame):
-        prints = held["node"].to_numpy().view(np.uint64)
+        prints = np.frombuffer(b"".join(held["fp"]), np.uint64).reshape(len(held), -1)
 
         def near(a, b, outer=False):
-            left = prints[a][:, None] if outer else prints[a]
-            return np.bitwise_count(left ^ prints[b]) <= distance
+            shape = (len(a), len(b)) if outer else len(a)
+            differing = np.zeros(shape, np.int16)
+            for word in range(scheme.size):
+                left = prints[a, word]
+                left = left[:, None] if outer else left
+                differing += np.bitwise_count(left ^ prints[b, word])
+            return differing <= scheme.distance
 
         return near
 
     return load
 
 
-def blocks_of(distance: int) -> list[tuple[int, int]]:
-    """``(first bit, number of bits)`` of the blocks, as even as can be."""
-    edges = [BITS * i // (distance + 1) for i in range(distance + 2)]
-    return [(lo, hi - lo) for lo, hi in zip(edges, edges[1:])]
-
-
-def fingerprint_components(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """``node, root`` for the fingerprints (a column ``fp`` of distinct longs)
-    that link to another one; ``root`` names the component."""
-    blocks = F.array(
-        *[
-            F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << bits) - 1))
-            for lo, bits in blocks_of(distance)
-        ]
-    )
-    rows = prints.select(
-        F.posexplode(blocks).alias("bucket", "key"),
-        F.col("fp").alias("node"),
+def fingerprint_components(prints: DataFrame, scheme: Scheme = CLOSE) -> DataFrame:
+    """``node, root`` for the fingerprints (``node`` long, ``fp`` binary, each
+    once) that link to another one; ``root`` is the smallest node reachable."""
+    schema = "node bigint, fp binary, keys array<bigint>"
+    keyed = prints.select("node", "fp").mapInPandas(_keys(scheme), schema)
+    rows = keyed.select(
+        "node",
+        "fp",
+        F.posexplode("keys").alias("bucket", "key"),
         F.lit(1).cast("bigint").alias("weight"),
     )
-    found = compare(rows, _near(distance))
+    found = compare(rows, _near(scheme))
     return components(found, "node", "root")
 
 
@@ -116,22 +178,23 @@ def near_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    words_each: int = SHINGLE,
-    distance: int = DISTANCE,
+    scheme: Scheme = CLOSE,
 ) -> DataFrame:
-    """``doc_id, fp, root, component_id`` and the ``ROW`` columns per row.
+    """``doc_id, fp (binary), root, component_id`` and the ``ROW`` columns per row.
 
     ``component_id`` is the smallest id among the texts reachable by links,
-    ``root`` a fingerprint that names the component.
+    ``root`` a number that names the component.
     """
-    print_of = _fingerprints(words_each)(F.col(text_col))
+    print_of = _fingerprints(scheme)(F.col(text_col))
     rows = with_row(docs, F.col(id_col).alias("doc_id"), print_of.alias("fp"))
     rows = stage_table(rows, "fingerprints")
     classes = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
-    classes = stage_table(classes, "print-classes")
-    linked = fingerprint_components(classes.select("fp"), distance)
-    member = classes.join(linked.withColumnRenamed("node", "fp"), "fp", "left")
-    member = member.withColumn("root", F.coalesce("root", "fp"))
+    # Written with the number, so it does not change under a recomputation.
+    classes = stage_table(classes.withColumn("node", F.monotonically_increasing_id()), "print-classes")
+    linked = fingerprint_components(classes, scheme)
+    member = classes.join(linked, "node", "left").select(
+        "fp", "first_id", F.coalesce("root", "node").alias("root")
+    )
     heads = member.groupBy("root").agg(F.min("first_id").alias("component_id"))
     fate = salted_join(member.select("fp", "root"), heads, ["root"], "fp")
     return salted_lookup(rows, fate, ["fp"], ROW[1]).select(

@@ -210,7 +210,7 @@ def test_simhash_matches_brute_force(spark):
         if (prints[a] ^ prints[b]).bit_count() <= 2:
             forest.link(a, b)
     got = simhash.near_dedup(docs_of(spark, rows, extra=True)).collect()
-    assert {r.doc_id: r.fp % 2**64 for r in got} == prints
+    assert {r.doc_id: int.from_bytes(r.fp) for r in got} == prints
     assert {r.doc_id: r.component_id for r in got} == {i: forest.root(i) for i in prints}
     assert len(set(map(forest.root, prints))) < len(prints)
 
@@ -220,17 +220,35 @@ def test_simhash_crowded_blocks(spark, monkeypatch):
     from corpusloom.llm import cells
 
     prints = [0b1011 << 40 | x for x in range(64)] + [1 << 63, (1 << 63) | 3, 5 << 20]
-    frame = spark.createDataFrame([(p - 2**64 if p >> 63 else p,) for p in prints], "fp bigint")
-    forest = brute.Forest(prints)
-    for a, b in combinations(prints, 2):
-        if (a ^ b).bit_count() <= 2:
+    frame = spark.createDataFrame(
+        [(i, bytearray(p.to_bytes(8))) for i, p in enumerate(prints)], "node bigint, fp binary"
+    )
+    forest = brute.Forest(range(len(prints)))
+    for a, b in combinations(range(len(prints)), 2):
+        if (prints[a] ^ prints[b]).bit_count() <= 2:
             forest.link(a, b)
-    want = {frozenset(p for p in prints if forest.root(p) == r) for r in map(forest.root, prints)}
     monkeypatch.setattr(cells.compare, "__defaults__", (2,))
-    found = {}
-    for node, root in simhash.fingerprint_components(frame).collect():
-        found.setdefault(root, set()).add(node % 2**64)
-    assert {frozenset(x) for x in found.values()} == {x for x in want if len(x) > 1}
+    found = {r.node: r.root for r in simhash.fingerprint_components(frame).collect()}
+    assert {i: found.get(i, i) for i in forest.up} == {i: forest.root(i) for i in forest.up}
+
+
+def test_similar_texts_are_found(spark):
+    """Variants with a few changed places link; unrelated texts do not."""
+    rng = random.Random(13)
+    rows = []
+    for group in range(60):
+        words = [f"w{rng.randint(0, 300)}" for _ in range(rng.randint(150, 400))]
+        rows.append((10 * group, " ".join(words)))
+        for copy in range(1, 4):
+            changed = list(words)
+            for _ in range(len(words) // 60):
+                changed[rng.randrange(len(words))] = f"x{rng.random()}"
+            rows.append((10 * group + copy, " ".join(changed)))
+    got = simhash.near_dedup(docs_of(spark, rows), scheme=simhash.SIMILAR).collect()
+    right = sum(r.component_id == r.doc_id // 10 * 10 for r in got)
+    assert right >= 0.97 * len(rows)
+    assert all(r.component_id // 10 == r.doc_id // 10 for r in got)
+    assert simhash.SIMILAR.found_share(0.151) > 0.98 and simhash.CLOSE.found_share(0) == 1
 
 
 def test_repeats_leave_one_row_per_component(spark):
@@ -272,6 +290,20 @@ def test_token_counts_match_the_library(spark):
     assert token_counts.token_counts(docs_of(spark, [])).count() == 0
 
 
+def test_ids_of_random_strings():
+    rng = random.Random(5)
+    letters = "ab cdé\n\t.,'1 0日☃ st ll\u00a0\u2003ſK"
+    texts = ["".join(rng.choices(letters, k=rng.randint(0, 80))) for _ in range(800)] + TEXTS[1:]
+    lib, encoder = library(), packing.Encoder(pretokens.vocabulary_path(), memo=50)
+    assert encoder.ranked is not None
+    for at in range(0, len(texts), 100):
+        part = texts[at : at + 100]
+        want = [ids_of(t, lib) for t in part]
+        assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(part)] == want
+    encoder.ranked = None
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(part)] == want
+
+
 def test_counts_of_random_strings():
     rng = random.Random(2)
     letters = "ab cdé\n\t.,'1 0日☃ st ll"
