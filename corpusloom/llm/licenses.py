@@ -154,9 +154,10 @@ def _detections(words: Column, known: list[Rule]) -> Column:
     )
 
     def told(kept: Column) -> Column:
+        weights = F.transform(kept, lambda x: x["weight"])
         return F.struct(
             F.array_distinct(F.transform(kept, lambda x: x["label"])).alias("labels"),
-            F.coalesce(F.array_max(F.transform(kept, lambda x: x["weight"])), F.lit(0.0)).alias("score"),
+            F.coalesce(F.array_max(weights), F.lit(0.0)).alias("score"),
         )
 
     # One look for all keywords spares most texts the rules.

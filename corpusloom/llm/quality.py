@@ -125,7 +125,15 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
-def sample(docs: DataFrame, labels: DataFrame, use: int, rows: int, id_col, text_col, label_col) -> DataFrame:
+def sample(
+    docs: DataFrame,
+    labels: DataFrame,
+    use: int,
+    rows: int,
+    id_col: str,
+    text_col: str,
+    label_col: str,
+) -> DataFrame:
     """``text, label`` of at most ``rows`` labelled documents per label. The
     two uses (dictionaries 0, curve 1) never share a document."""
     turn = F.xxhash64(F.col(id_col), F.lit(SEED))
@@ -153,16 +161,19 @@ def fit(
     """The model; see the module for what it is fitted on."""
     args = (rows, id_col, text_col, label_col)
     # Cut in Spark, so that one very long text cannot fill the driver.
-    parts = sample(docs, labels, 0, *args).where(F.length("text") > 0).select(
-        "label",
-        "id",
-        F.posexplode(F.expr(f"transform(sequence(0, (length(text) - 1) div {PIECE}), k -> substring(text, k * {PIECE} + 1, {PIECE}))")),
+    cut = F.transform(
+        F.sequence(F.lit(0), F.floor((F.length("text") - 1) / PIECE).cast("int")),
+        lambda k: F.substring("text", k * PIECE + 1, F.lit(PIECE)),
     )
+    some = sample(docs, labels, 0, *args).where(F.length("text") > 0)
+    parts = some.select("label", "id", F.posexplode(cut))
     texts: dict[int, list[str]] = {}
     for label in (0, 1):
-        some = parts.where(F.col("label") == label).orderBy(F.xxhash64("id", "pos"), "id", "pos", "col")
-        texts[label] = [r["col"] for r in some.limit(most_pieces).collect()]
-    shared = {x for t in texts[0] for x in t.split("\n")} & {x for t in texts[1] for x in t.split("\n")}
+        turn = [F.xxhash64("id", "pos"), "id", "pos", "col"]
+        chosen = parts.where(F.col("label") == label).orderBy(*turn).limit(most_pieces)
+        texts[label] = [r["col"] for r in chosen.collect()]
+    lines = [{x for t in texts[k] for x in t.split("\n")} for k in (0, 1)]
+    shared = lines[0] & lines[1]
     good, bad = (train_dictionary(texts[k], shared) for k in (1, 0))
     model = Model(good, bad, 0.0, 0.0)
     found = sample(docs, labels, 1, *args).select(_difference(model)("text").alias("x"), "label")

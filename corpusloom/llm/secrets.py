@@ -131,7 +131,9 @@ def scan(
         "owners",
         F.when(
             kind.isNotNull(),
-            F.struct(F.col("value_start").alias("start"), kind.alias("kind"), F.col("end").alias("end")),
+            F.struct(
+                F.col("value_start").alias("start"), kind.alias("kind"), F.col("end").alias("end")
+            ),
         ).alias("added"),
     )
     judged = judged.groupBy(*ROW).agg(

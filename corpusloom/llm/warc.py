@@ -150,7 +150,8 @@ def _check(named: str | None, data) -> None:
     if kind not in ("sha1", "sha256", "md5"):
         return
     digest = hashlib.new(kind, data)
-    if value.lower() != digest.hexdigest() and value.upper() != base64.b32encode(digest.digest()).decode():
+    known = (digest.hexdigest(), base64.b32encode(digest.digest()).decode().lower())
+    if value.lower() not in known:
         raise Damaged("digest differs")
 
 
@@ -162,8 +163,8 @@ def _payload(header: dict, block) -> tuple[dict, bytes]:
     head, end, payload = data.partition(_END)
     if not end:
         return {}, data
-    lines = (x.partition(b":") for x in head.split(b"\r\n")[1:])
-    return {a.strip().lower().decode("latin-1"): b.strip().decode("latin-1") for a, _, b in lines}, payload
+    lines = (x.decode("latin-1").partition(":") for x in head.split(b"\r\n")[1:])
+    return {a.strip().lower(): b.strip() for a, _, b in lines}, payload
 
 
 def _name(value: str | None) -> str | None:
@@ -177,10 +178,18 @@ def _row(header: dict, block) -> dict:
     if kind == "revisit":
         size = http.get("content-length", "")
         told = header.get("warc-payload-digest", "")
-        own = {"payload_bytes": int(size) if size.isdigit() else None, "payload_digest": told.partition(":")[2] or None, "payload": None}
+        own = {
+            "payload_bytes": int(size) if size.isdigit() else None,
+            "payload_digest": told.partition(":")[2] or None,
+            "payload": None,
+        }
     else:
         _check(header.get("warc-payload-digest"), payload)
-        own = {"payload_bytes": len(payload), "payload_digest": hashlib.sha256(payload).hexdigest(), "payload": payload}
+        own = {
+            "payload_bytes": len(payload),
+            "payload_digest": hashlib.sha256(payload).hexdigest(),
+            "payload": payload,
+        }
     return own | {
         "type": kind,
         "record_id": _name(header.get("warc-record-id")),
