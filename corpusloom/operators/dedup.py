@@ -42,9 +42,9 @@ PIVOTS = 64
 # Pivots are chosen among so many rows; visitors are dealt in chunks of so many.
 _SAMPLE_ROWS = 4096
 _CHUNK_ROWS = 250_000
-# Once a few rounds are over, so few waiting rows are decided in one go.
+# After the first round, so few waiting rows are decided in one go.
 _TAIL_ROWS = 1024
-_TAIL_AFTER = 2
+_TAIL_AFTER = 1
 # Slack for the single-precision screen; hits are confirmed in double.
 _SLACK = 1e-4
 _BLOCK = 2048
