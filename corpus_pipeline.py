@@ -2,8 +2,9 @@
 Parquet and read again as the next one's input.
 
 1. quality: documents that the classifier predicts as bad go.
-2. near_dedup: of each group of near copies (five-word shingles, similarity 0.8
-   or more as 384-bit fingerprints estimate it) one document stays.
+2. near_dedup: of each group of near copies (Jaccard similarity of five-word
+   shingles 0.8 or more; 384-bit fingerprints choose what is compared) one
+   document stays.
 3. secrets: documents with a live-looking, owner-specific credential go.
 4. mixing: sources are cut to target weights, nothing is repeated.
 5. packing: what is left becomes sequences of token ids.

@@ -125,7 +125,6 @@ def _linked_pairs(near, starts, sizes, second, crossed):
             left, right = rows[~second[rows]], rows[second[rows]]
         else:
             left = right = rows
-        pairs = []
         for i in range(0, len(left), _STRIPE):
             stripe = left[i : i + _STRIPE]
             other = right if crossed[start] else right[i:]
@@ -133,9 +132,7 @@ def _linked_pairs(near, starts, sizes, second, crossed):
             x, y = stripe[x], other[y]
             if not crossed[start]:
                 x, y = x[x < y], y[x < y]
-            pairs.append((x, y))
-        if pairs:
-            yield np.concatenate([x for x, _ in pairs]), np.concatenate([y for _, y in pairs])
+            yield x, y
 
 
 def _spread(label: np.ndarray, node: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:

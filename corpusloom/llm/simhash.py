@@ -10,11 +10,16 @@ For a Jaccard similarity J of the shingle sets about a share ``acos(2 J / (1 +
 J)) / pi`` of the bits differs, 15 % at J = 0.8. To find such pairs, fingerprints
 may be wider than 64 bits (further words are mixed from the same hash) and have
 fewer blocks than ``distance + 1``; what share of pairs then meets in a block is
-in ``found_share``, and everything that meets is still verified. Block bits
-should grow with the logarithm of the number of texts.
+in ``found_share``, what share is also within the distance in ``kept_share``. Block bits should grow with the
+logarithm of the number of texts.
 
-Texts with one fingerprint are one class, so a group of copies of any size is
-one row in the join. A crowded block value is compared in cells of bounded
+With a ``similarity`` the bits only choose candidates. Repeated shingles count
+once, texts of one shingle set are one class, and candidates form groups in
+which every pair is compared by its shingle sets: a pair links exactly if its
+Jaccard similarity is that or more.
+
+Texts with one fingerprint (or shingle set) are one class, so a group of copies
+of any size is one row in the join. A crowded block value is compared in cells of bounded
 size (``cells``).
 
 Defined cases: a null text counts as empty; a text without words has
@@ -26,6 +31,7 @@ read. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -43,19 +49,25 @@ from corpusloom.session import stage_table
 SEED = 42
 # Shingles whose bits are counted at a time: 64 bytes each.
 _COUNT = 65536
+# Shingles of a cell held as bits at a time, and elements looked up at a time.
+_COLUMNS = 4096
+_LOOKUPS = 1 << 17
 
 
 @dataclass(frozen=True)
 class Scheme:
     """How texts are compared: shingles of ``words`` words, fingerprints of 64
     times ``size`` bits, links at ``distance`` differing bits or fewer, found
-    through ``blocks`` blocks of ``block_bits`` bits (0: as even as can be)."""
+    through ``blocks`` blocks of ``block_bits`` bits (0: as even as can be).
+    With a ``similarity`` such links are candidates, decided by the Jaccard
+    similarity of the shingle sets."""
 
     words: int = 3
     size: int = 1
     distance: int = 2
     blocks: int = 3
     block_bits: int = 0
+    similarity: float | None = None
 
     def edges(self) -> list[tuple[int, int]]:
         """First bit and end of each block."""
@@ -72,12 +84,22 @@ class Scheme:
             missed *= 1 - (1 - differing) ** (end - first)
         return 1 - missed
 
+    def kept_share(self, differing: float) -> float:
+        """Share of pairs within ``distance`` under the same assumption."""
+        n = 64 * self.size
+        return sum(
+            math.comb(n, d) * differing**d * (1 - differing) ** (n - d)
+            for d in range(self.distance + 1)
+        )
+
 
 # Differing in 2 of 64 bits: three blocks find every such pair.
 CLOSE = Scheme()
 # Five words, similarity 0.8 or more: 58 of 384 bits differ on average at 0.8,
-# with a deviation of 7; 99 % of such pairs meet in a block.
-SIMILAR = Scheme(words=5, size=6, distance=68, blocks=32, block_bits=12)
+# with a deviation of 7, and 72 with one of 8 for four shingles of five, the
+# smallest sets that can link. The distance is the latter plus four deviations.
+# Of pairs at 0.8 99.97 % meet in a block, of the smallest sets 99.4 %.
+SIMILAR = Scheme(words=5, size=6, distance=104, blocks=38, block_bits=10, similarity=0.8)
 
 
 def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
@@ -90,22 +112,31 @@ def _mixed(hashes: np.ndarray, word: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def fingerprint(text: str | None, scheme: Scheme = CLOSE) -> bytes:
-    """The fingerprint of one text, as big-endian 64-bit words."""
+def shingles(text: str | None, scheme: Scheme = CLOSE) -> np.ndarray:
+    """Hashes of the word shingles in their order; under a scheme
+    with a similarity each once and sorted."""
     words = (text or "").encode("utf-8", "replace").lower().split()
     if not words:
-        return bytes(8 * scheme.size)
+        return np.zeros(0, np.uint64)
     whole = b" ".join(words)
     digest, each = xxhash.xxh64_intdigest, scheme.words
     if len(words) <= each:
-        hashes = np.array([digest(whole, SEED)], np.uint64)
-    else:
-        lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
-        ends = np.cumsum(lengths) - 1
-        starts = np.r_[0, ends[:-1] + 1]
-        n = len(words) - each + 1
-        pieces = map(slice, starts[:n].tolist(), ends[each - 1 :].tolist())
-        hashes = np.fromiter((digest(whole[piece], SEED) for piece in pieces), np.uint64, n)
+        return np.array([digest(whole, SEED)], np.uint64)
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    ends = np.cumsum(lengths) - 1
+    starts = np.r_[0, ends[:-1] + 1]
+    n = len(words) - each + 1
+    pieces = map(slice, starts[:n].tolist(), ends[each - 1 :].tolist())
+    hashes = np.fromiter((digest(whole[piece], SEED) for piece in pieces), np.uint64, n)
+    return hashes if scheme.similarity is None else np.unique(hashes)
+
+
+def fingerprint(text: str | None, scheme: Scheme = CLOSE) -> bytes:
+    """The fingerprint of one text, as big-endian 64-bit words."""
+    return _bits(shingles(text, scheme), scheme)
+
+
+def _bits(hashes: np.ndarray, scheme: Scheme) -> bytes:
     counts = np.zeros((scheme.size, 64), np.int64)
     for at in range(0, len(hashes), _COUNT):
         for word in range(scheme.size):
@@ -115,15 +146,28 @@ def fingerprint(text: str | None, scheme: Scheme = CLOSE) -> bytes:
     return np.packbits(counts * 2 > len(hashes), axis=1).tobytes()
 
 
-def _fingerprints(scheme: Scheme):
+def _of_texts(scheme: Scheme, value):
     @F.pandas_udf("binary")
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in parts:
-            yield pd.Series([fingerprint(t, scheme) for t in texts], dtype=object)
+            yield pd.Series([value(shingles(t, scheme), scheme) for t in texts], dtype=object)
 
     return run
 
 
+def _class(hashes: np.ndarray, scheme: Scheme) -> bytes:
+    """What texts of one class have in common: the fingerprint and, where the
+    shingle set decides, its digest."""
+    bits = _bits(hashes, scheme)
+    if scheme.similarity is None:
+        return bits
+    return bits + xxhash.xxh3_128_digest(hashes.tobytes())
+
+
+def _packed(hashes: np.ndarray, scheme: Scheme) -> bytes:
+    return hashes.tobytes()
+
+
 def _keys(scheme: Scheme):
     edges = scheme.edges()
 
@@ -159,9 +203,94 @@ def _near(scheme: Scheme):
     return load
 
 
+def _similar(scheme: Scheme):
+    """Jaccard similarity of the shingle sets of a cell's rows."""
+
+    def load(held: pd.DataFrame):
+        sets = [np.frombuffer(x, np.uint64) for x in held["shingles"]]
+        sizes = np.array([len(x) for x in sets], np.int64)
+        first = np.cumsum(sizes) - sizes
+        values, ids = np.unique(np.concatenate(sets), return_inverse=True)
+        n_values = max(1, len(values))
+        # Sorted, as rows ascend and each row's numbers do.
+        keys = np.repeat(np.arange(len(sets)), sizes) * n_values + ids
+
+        def elements(rows):
+            """The numbers of some rows' shingles, and the place of the row."""
+            n = sizes[rows]
+            place = np.repeat(np.arange(len(rows)), n)
+            within = np.arange(len(place)) - np.repeat(np.cumsum(n) - n, n)
+            return ids[first[rows][place] + within], place
+
+        def common(a, b):
+            out = np.zeros(len(a), np.int64)
+            part = np.cumsum(sizes[a]) // _LOOKUPS
+            for k in np.unique(part):
+                pairs = np.flatnonzero(part == k)
+                number, place = elements(a[pairs])
+                want = b[pairs][place] * n_values + number
+                at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
+                out[pairs] = np.bincount(place[keys[at] == want], minlength=len(pairs))
+            return out
+
+        def common_all(a, b):
+            out = np.zeros((len(a), len(b)), np.int64)
+            number, times = np.unique(elements(np.union1d(a, b))[0], return_counts=True)
+            shared = number[times > 1]
+            sides = [(len(rows), *elements(rows)) for rows in (a, b)]
+            for at in range(0, len(shared), _COLUMNS):
+                part = shared[at : at + _COLUMNS]
+                left, right = (_has(n, *side, part) for n, *side in sides)
+                for i in range(len(a)):
+                    out[i] += np.bitwise_count(left[i] & right).sum(axis=1, dtype=np.int64)
+            return out
+
+        def near(a, b, outer=False):
+            if outer:
+                both, total = common_all(a, b), sizes[a][:, None] + sizes[b]
+            else:
+                both, total = np.zeros(len(a), np.int64), sizes[a] + sizes[b]
+                least, most = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
+                open_ = least >= scheme.similarity * most * (1 - 1e-9)
+                both[open_] = common(a[open_], b[open_])
+            return both / np.maximum(total - both, 1) >= scheme.similarity
+
+        return near
+
+    return load
+
+
+def _has(n: int, number: np.ndarray, place: np.ndarray, columns: np.ndarray) -> np.ndarray:
+    """A bit per row and column: set where the row has the column's number."""
+    at = np.minimum(np.searchsorted(columns, number), len(columns) - 1)
+    found = columns[at] == number
+    out = np.zeros((n, _COLUMNS), bool)
+    out[place[found], at[found]] = True
+    return np.packbits(out, axis=1).view(np.uint64)
+
+
+def _verified(texts: DataFrame, classes: DataFrame, groups: DataFrame, scheme: Scheme) -> DataFrame:
+    """``node, root`` for the classes that link by their shingle sets.
+
+    ``groups`` (``node, root``) joins all candidates. Each class is read once, by
+    the row it names, and compared with its whole group.
+    """
+    named = classes.join(groups, "node").select("node", F.col("root").alias("key"), "at.*")
+    rows = texts.join(named.hint("shuffle_hash"), ROW).select(
+        F.lit(0).alias("bucket"),
+        "key",
+        "node",
+        F.lit(1).cast("bigint").alias("weight"),
+        _of_texts(scheme, _packed)("text").alias("shingles"),
+    )
+    found = compare(stage_table(rows, "shingle-sets"), _similar(scheme))
+    return components(found, "node", "root")
+
+
 def fingerprint_components(prints: DataFrame, scheme: Scheme = CLOSE) -> DataFrame:
-    """``node, root`` for the fingerprints (``node`` long, ``fp`` binary, each
-    once) that link to another one; ``root`` is the smallest node reachable."""
+    """``node, root`` for the fingerprints (``node`` long, ``fp`` binary) that
+    are within the distance of another one; ``root`` is the smallest node
+    reachable."""
     schema = "node bigint, fp binary, keys array<bigint>"
     keyed = prints.select("node", "fp").mapInPandas(_keys(scheme), schema)
     rows = keyed.select(
@@ -185,20 +314,27 @@ def near_dedup(
     ``component_id`` is the smallest id among the texts reachable by links,
     ``root`` a number that names the component.
     """
-    print_of = _fingerprints(scheme)(F.col(text_col))
-    rows = with_row(docs, F.col(id_col).alias("doc_id"), print_of.alias("fp"))
+    kind = _of_texts(scheme, _class)(F.col(text_col))
+    rows = with_row(docs, F.col(id_col).alias("doc_id"), kind.alias("kind"))
     rows = stage_table(rows, "fingerprints")
-    classes = rows.groupBy("fp").agg(F.min("doc_id").alias("first_id"))
+    classes = rows.groupBy("kind").agg(
+        F.min("doc_id").alias("first_id"), F.min(F.struct(*ROW)).alias("at")
+    )
+    fp = F.substring("kind", 1, 8 * scheme.size)
     # Written with the number, so it does not change under a recomputation.
-    classes = stage_table(classes.withColumn("node", F.monotonically_increasing_id()), "print-classes")
+    classes = classes.withColumns({"fp": fp, "node": F.monotonically_increasing_id()})
+    classes = stage_table(classes, "print-classes")
     linked = fingerprint_components(classes, scheme)
+    if scheme.similarity is not None:
+        texts = with_row(docs, F.col(text_col).alias("text"))
+        linked = _verified(texts, classes, linked, scheme)
     member = classes.join(linked, "node", "left").select(
-        "fp", "first_id", F.coalesce("root", "node").alias("root")
+        "kind", "first_id", F.coalesce("root", "node").alias("root")
     )
     heads = member.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    fate = salted_join(member.select("fp", "root"), heads, ["root"], "fp")
-    return salted_lookup(rows, fate, ["fp"], ROW[1]).select(
-        *ROW, "doc_id", "fp", "root", "component_id"
+    fate = salted_join(member.select("kind", "root"), heads, ["root"], "kind")
+    return salted_lookup(rows, fate, ["kind"], ROW[1]).select(
+        *ROW, "doc_id", fp.alias("fp"), "root", "component_id"
     )
 
 

@@ -1,5 +1,7 @@
 """The pipeline's stages on given and awkward tables."""
 
+from itertools import combinations
+
 import llm_brute as brute
 import numpy as np
 import pytest
@@ -61,6 +63,19 @@ def test_near_dedup_keeps_the_first_of_each_component(stages):
     assert want <= kept and len(kept) <= 1.01 * len(want)
 
 
+def test_near_dedup_decides_by_jaccard(stages):
+    before, after = stages[1]
+    sets = {}
+    for r in sorted(rows(before), key=lambda r: r["doc_id"]):
+        words = (r["text"] or "").lower().split()
+        sets[r["doc_id"]] = {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+    forest = brute.Forest(sets)
+    for a, b in combinations(sets, 2):
+        if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+            forest.link(a, b)
+    assert {r["doc_id"] for r in rows(after)} == {i for i in sets if forest.root(i) == i}
+
+
 def test_secrets_stage_drops_live_credentials_only(stages):
     before, after = stages[2]
     gone = {r["doc_id"] for r in rows(before)} - {r["doc_id"] for r in rows(after)}

@@ -456,3 +456,64 @@ def test_mixing_awkward_rows(spark):
     assert mixing.mix(frame.limit(0), levels, {}).count() == 0
     with pytest.raises(ValueError):
         mixing.mix(frame, levels, {("en",): -1}).count()
+
+
+# -- near copies by their shingle sets -----------------------------------------
+
+
+def planted_pairs(shares, each=12, seed=21):
+    """Pairs of texts of which ``kept`` of ``union`` five-word shingles are shared."""
+    rng = random.Random(seed)
+    rows, want = [], {}
+    for share in shares:
+        for _ in range(each):
+            # Each replaced last word makes one shingle of each side its own.
+            n = rng.choice([200, 320])
+            shared = round(2 * n * share / (1 + share))
+            words = [f"w{rng.randint(0, 10**9)}" for _ in range(n + 4)]
+            other = words[: shared + 4] + [f"x{rng.randint(0, 10**9)}" for _ in range(n - shared)]
+            at = len(rows)
+            rows += [(at, " ".join(words)), (at + 1, " ".join(other))]
+            want[at] = shared / (2 * n - shared)
+    return rows, want
+
+
+def jaccard_roots(rows):
+    """The smallest id reachable over pairs of Jaccard similarity 0.8 or more."""
+    def shingle_set(text):
+        words = (text or "").lower().split()
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    sets = {i: shingle_set(t) for i, t in rows}
+    forest = brute.Forest(sets)
+    for a, b in combinations(sets, 2):
+        union = len(sets[a] | sets[b])
+        if not union or 5 * len(sets[a] & sets[b]) >= 4 * union:
+            forest.link(a, b)
+    return {i: forest.root(i) for i in sets}
+
+
+@pytest.mark.parametrize("block", [1024, 3])
+def test_near_copies_are_decided_by_jaccard(spark, monkeypatch, block):
+    from corpusloom.llm import cells
+
+    monkeypatch.setattr(cells.compare, "__defaults__", (block,))
+    rows, shares = planted_pairs([0.60, 0.70, 0.78, 0.80, 0.82, 0.85])
+    want = jaccard_roots(rows)
+    linked = {i for i in shares if want[i + 1] == i}
+    assert linked == {i for i in shares if shares[i] >= 0.8} and 0 < len(linked) < len(shares)
+    # A text of mostly one repeated passage, another with it once; short and empty ones.
+    rng = random.Random(4)
+    passage = [" ".join(f"p{rng.random()}" for _ in range(40)) for _ in range(3)]
+    tails = [" ".join(f"t{rng.random()}" for _ in range(60)) for _ in range(3)]
+    odd = [f"{(passage[0] + ' ') * 50}{tails[0]}", f"{(passage[0] + ' ') * 50}{tails[1]}"]
+    odd += [f"{(passage[1] + ' ') * 30}{tails[2]} {passage[2]}", f"{(passage[1] + ' ') * 2}{tails[2]} {passage[2]}"]
+    odd += ["one two", "One  two", "", None, "a b c d e f g h i j", "a b c d e f g h i k"]
+    rows += list(enumerate(odd, len(rows)))
+    # A crowd: every text shares eight tenths or so with the others.
+    crowd = [f"c{i}" for i in range(300)]
+    for k in range(40):
+        at = rng.randrange(296 - k)
+        rows.append((len(rows), " ".join(crowd[:at] + [f"y{k} z{j}" for j in range(k)] + crowd[at:])))
+    got = simhash.near_dedup(docs_of(spark, rows, extra=True), scheme=simhash.SIMILAR).collect()
+    assert {r.doc_id: r.component_id for r in got} == jaccard_roots(rows)
