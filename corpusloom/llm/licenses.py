@@ -2,7 +2,7 @@
 
 A text becomes its words, lower case, with one blank between them. Hundreds of
 rules (``license_rules``) are regular expressions, each looked for only in
-texts that hold its keyword. Overlapping detections are resolved by priority and
+texts that hold one of its keywords. Overlapping detections are resolved by priority and
 containment: one that lies inside another of at least its strength is
 suppressed, and so is one around another that is stronger. Of equal ones the
 stronger or, among equals, the one of the earlier rule stays.
@@ -121,7 +121,7 @@ def _detections(words: Column, known: list[Rule]) -> Column:
     table = F.array(
         *[
             F.struct(
-                F.lit(f" {r.keyword} ").alias("keyword"),
+                F.array(*[F.lit(f" {k} ") for k in r.keyword.split()]).alias("keywords"),
                 F.lit(_whole_words(r.pattern)).alias("pattern"),
                 F.lit(r.priority).alias("priority"),
                 F.lit(i).alias("rule"),
@@ -146,7 +146,7 @@ def _detections(words: Column, known: list[Rule]) -> Column:
             ),
         )
 
-    gated = F.filter(table, lambda r: F.contains(words, r["keyword"]))
+    gated = F.filter(table, lambda r: F.exists(r["keywords"], lambda k: F.contains(words, k)))
     found = F.array_sort(F.flatten(F.transform(gated, hits_of)))
     priorities = sorted({r.priority for r in known})
     nothing = F.struct(
@@ -161,7 +161,7 @@ def _detections(words: Column, known: list[Rule]) -> Column:
         )
 
     # One look for all keywords spares most texts the rules.
-    some = _whole_words("|".join(sorted({r.keyword for r in known})))
+    some = _whole_words("|".join(sorted({k for r in known for k in r.keyword.split()})))
     return F.when(words.rlike(some), let(_unsuppressed(found, priorities), told)).otherwise(nothing)
 
 

@@ -157,6 +157,51 @@ def test_hundreds_of_rules_compile():
         re.compile(rule.pattern)
 
 
+def _examples(pattern):
+    """Strings that a pattern of words, groups and optional parts matches: each
+    alternative and each option taken and left at least once."""
+    import re._parser as parser
+
+    def of(items):
+        made = [""]
+        for op, value in items:
+            name = str(op)
+            if name == "LITERAL":
+                part = [chr(value)]
+            elif name == "IN":
+                part = [chr(v) for _, v in value][:1]
+            elif name == "SUBPATTERN":
+                part = of(value[3])
+            elif name == "BRANCH":
+                part = [s for branch in value[1] for s in of(branch)]
+            else:
+                assert name == "MAX_REPEAT" and value[:2] == (0, 1)
+                part = ["", *of(value[2])]
+            made = [a + b for a in made for b in part]
+        return made
+
+    return of(parser.parse(pattern))
+
+
+def test_each_match_holds_a_keyword_of_its_rule():
+    for rule in licenses.rules():
+        for text in _examples(rule.pattern):
+            assert set(text.split()) & set(rule.keyword.split()), (rule, text)
+
+
+def test_keywords_change_nothing(spark):
+    """Scanning behind keywords finds what scanning every text finds."""
+    from dataclasses import replace
+
+    known = licenses.rules()
+    # The first and last example of a rule's names and sentences, each on its own.
+    texts = sorted({s for r in known if r.priority != 1 or r.weight == 0.9 for s in _examples(r.pattern)[:: max(1, len(_examples(r.pattern)) - 1)]})
+    frame = docs_of(spark, [(i, f"everywhere {t} end") for i, t in enumerate(texts)]).repartition(8)
+    frame.cache()
+    free = [replace(r, keyword="everywhere") for r in known]
+    assert rows_of(licenses.scan(frame)) == rows_of(licenses.scan(frame, free))
+
+
 def _kept(found):
     """(start, end, priority) that no other suppresses, by definition."""
     order = sorted(range(len(found)), key=lambda i: (found[i][0], -found[i][1], found[i][2], i))
