@@ -143,7 +143,7 @@ def _search(sent, k: int):
         for batch in batches:
             for rows in _annuli(batch):
                 pivot = rows["pivot"].iloc[0]
-                low, high = rows["distance"].iloc[0], rows["distance"].iloc[-1]
+                low, high = rows["distance"].min(), rows["distance"].max()
                 gap = np.maximum(np.maximum(to_pivot[:, pivot] - high, low - to_pivot[:, pivot]), 0)
                 # No row of the annulus scores higher; the slack covers rounding.
                 most = (reach - gap * gap) / 2 + 1e-6 * reach + 1
@@ -165,9 +165,14 @@ def _search(sent, k: int):
 
 
 def _annuli(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
-    """Runs of one pivot, of bounded length, in order of distance."""
-    pivot = batch["pivot"].to_numpy()
-    starts = np.flatnonzero(np.r_[True, pivot[1:] != pivot[:-1]]) if len(pivot) else []
+    """Runs of one pivot, of bounded length, in order of distance.
+
+    A batch may cross files, which come in any order, so a run also ends where
+    the distance falls.
+    """
+    pivot, distance = batch["pivot"].to_numpy(), batch["distance"].to_numpy()
+    new = (pivot[1:] != pivot[:-1]) | (distance[1:] < distance[:-1])
+    starts = np.flatnonzero(np.r_[True, new]) if len(pivot) else []
     for start, stop in zip(starts, np.r_[starts[1:], len(pivot)] if len(pivot) else []):
         for at in range(start, stop, _ANNULUS):
             yield batch.iloc[at : min(at + _ANNULUS, stop)]

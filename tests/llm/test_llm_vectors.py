@@ -150,3 +150,22 @@ def test_large_components_stay_exact(spark):
     rows = [(i, [2.0**18 + i, -(2.0**18) - i * 7]) for i in range(12)]
     frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
     assert tuples(topk.top_k(frame, F.col("vec_id") % 4 == 0)) == best_by_hand(rows, 4)
+
+
+def test_runs_of_one_pivot_may_be_out_of_order():
+    """Two files of a pivot that follow each other in the wrong order."""
+    from types import SimpleNamespace
+
+    import pandas as pd
+
+    x = np.array([3, 2, 1, 9, 8, 7])
+    # Lifted to length 9; the pivot is (9, 0).
+    distance = np.sqrt((x - 9.0) ** 2 + 81 - x**2)
+    batch = pd.DataFrame({"pivot": 0, "distance": distance, "row": np.arange(6), "vec_id": x})
+    batch["x"] = [np.array([a]) for a in x]
+    assert all(run["distance"].is_monotonic_increasing for run in topk._annuli(batch))
+    for query, floor in ((9, 50), (1, 5)):
+        sent = (np.array([99]), np.array([[query]]), np.array([floor]), np.array([[9.0, 0.0]]), 81.0)
+        found = pd.concat(topk._search(SimpleNamespace(value=sent), 3)([batch]))
+        want = sorted((query * a for a in x), reverse=True)[:3]
+        assert sorted(found["score"], reverse=True) == want
