@@ -30,7 +30,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.rows import ROW, salted_join, with_row
+from corpusloom.llm.rows import ROW, lasting, only, salted_join, with_row
 from corpusloom.session import stage_table
 
 SEED = 11
@@ -201,7 +201,6 @@ def select_documents(
     seed: int = SEED,
 ) -> DataFrame:
     """Whole rows of ``docs`` that the mix takes tokens from, once per epoch."""
+    docs = lasting(docs)
     taken = mix(docs, levels, weights, share, max_epochs, seed)
-    chosen = stage_table(taken.select(*ROW), "mix-chosen")
-    # Grows with the documents: hashed, never broadcast.
-    return with_row(docs, F.col("*")).join(chosen.hint("shuffle_hash"), ROW).drop(*ROW)
+    return only(docs, stage_table(taken.select(*ROW), "mix-chosen"))

@@ -8,46 +8,79 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.session import stage_table
+
 # Rows of one key spread over so many tasks where a table is joined to them.
 SALTS = 256
 # Names a row: the file it stands in and its place there.
 ROW = ["_row_file", "_row_place"]
 
-_SALT = "_salt"
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each made longer until no column of ``df`` is called so, in
+    either case of letters."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def lasting(df: DataFrame, label: str = "rows") -> DataFrame:
+    """A frame whose rows ``with_row`` names alike in every scan: ``df`` itself
+    where it reads files with row numbers, else ``df`` written once."""
+    return df if _placed(df) else stage_table(df, label)
+
+
+def _placed(df: DataFrame) -> bool:
+    try:
+        df.select(df.metadataColumn("_metadata")["row_index"]).schema  # is resolved here
+    except AnalysisException:
+        return False
+    return True
 
 
-def with_row(df: DataFrame, *columns: Column) -> DataFrame:
-    """``columns`` of ``df`` and the ``ROW`` columns that name each row.
+def with_row(df: DataFrame, *columns: Column, names: list[str] = ROW) -> DataFrame:
+    """``columns`` of ``df`` and columns ``names`` that name each row.
 
     Rows of files are named by file and place, which no task layout changes, so
     a decision on a row finds it again in a second scan even if executors came
-    or went in between. Ids may be null or repeat, so they can't do this. Rows
-    that do not come straight from files are numbered as they stand.
+    or went in between. Ids may be null or repeat, so they can't do this. Other
+    rows are numbered as they stand in this one scan; who scans twice makes the
+    frame ``lasting`` first. Beside all columns of a frame ``names`` have to be
+    free ones (``free_names``).
     """
-    place = [
-        F.xxhash64("_metadata.file_path").alias(ROW[0]),
-        F.col("_metadata.row_index").alias(ROW[1]),
-    ]
-    try:
-        named = df.select(*columns, *place)
-        named.schema  # is resolved here
-        return named
-    except AnalysisException:
-        numbered = [
-            F.lit(0).cast("bigint").alias(ROW[0]),
-            F.monotonically_increasing_id().alias(ROW[1]),
-        ]
-        return df.select(*columns, *numbered)
+    if _placed(df):
+        file = df.metadataColumn("_metadata")
+        place = [F.xxhash64(file["file_path"]), file["row_index"]]
+    else:
+        place = [F.lit(0).cast("bigint"), F.monotonically_increasing_id()]
+    return df.select(*columns, *[p.alias(n) for p, n in zip(place, names)])
 
 
-def without(df: DataFrame, gone: DataFrame) -> DataFrame:
-    """The rows of ``df`` that ``gone`` (``ROW`` columns) does not name.
+def _beside(df: DataFrame, chosen: DataFrame, how: str) -> DataFrame:
+    """Whole rows of ``df`` joined to the ``ROW`` columns of ``chosen``.
 
-    ``gone`` grows with ``df``, so it is never broadcast; it is the side that is
-    hashed, so the wide rows are dealt once and not sorted.
+    ``chosen`` grows with ``df``, so it is never broadcast; it is the side that
+    is hashed, so the wide rows are dealt once and not sorted.
     """
-    named = gone.select(*ROW).hint("shuffle_hash")
-    return with_row(df, F.col("*")).join(named, ROW, "left_anti").drop(*ROW)
+    names = free_names(df, *ROW)
+    keys = [F.col(r).alias(n) for r, n in zip(ROW, names)]
+    named = chosen.select(*keys).hint("shuffle_hash")
+    return with_row(df, F.col("*"), names=names).join(named, names, how).drop(*names)
+
+
+def without(df: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows of ``df`` (``lasting``) that ``gone`` does not name."""
+    return _beside(df, gone, "left_anti")
+
+
+def only(df: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of ``df`` (``lasting``) that ``chosen`` names, as often as it does."""
+    return _beside(df, chosen, "inner")
 
 
 def salted_lookup(rows: DataFrame, table: DataFrame, keys: list[str], salt: str) -> DataFrame:
@@ -57,9 +90,10 @@ def salted_lookup(rows: DataFrame, table: DataFrame, keys: list[str], salt: str)
     ``salt`` column; the table is first joined to the distinct (key, salt)
     pairs, at most ``SALTS`` per key, so no task gets a whole key.
     """
-    salted = rows.withColumn(_SALT, F.pmod(F.xxhash64(F.col(salt)), F.lit(SALTS)))
-    pairs = salted.select(*keys, _SALT).distinct().join(table, keys)
-    return salted.join(pairs, [*keys, _SALT], "left").drop(_SALT)
+    (name,) = free_names(rows.join(table, keys), "_salt")
+    salted = rows.withColumn(name, F.pmod(F.xxhash64(F.col(salt)), F.lit(SALTS)))
+    pairs = salted.select(*keys, name).distinct().join(table, keys)
+    return salted.join(pairs, [*keys, name], "left").drop(name)
 
 
 def salted_join(
@@ -67,10 +101,11 @@ def salted_join(
 ) -> DataFrame:
     """``rows`` left-joined to a narrow ``table`` (one row per ``keys``) that
     is repeated ``n`` times, so that a hot key's rows meet in ``n`` tasks."""
+    (name,) = free_names(rows.join(table, keys), "_salt")
     salts = F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>")
-    copies = table.withColumn(_SALT, F.explode(salts))
-    salted = rows.withColumn(_SALT, F.pmod(F.xxhash64(F.col(salt)), F.lit(n)))
-    return salted.join(copies, [*keys, _SALT], "left").drop(_SALT)
+    copies = table.withColumn(name, F.explode(salts))
+    salted = rows.withColumn(name, F.pmod(F.xxhash64(F.col(salt)), F.lit(n)))
+    return salted.join(copies, [*keys, name], "left").drop(name)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.cells import compare
 from corpusloom.llm.components import components
-from corpusloom.llm.rows import ROW, salted_join, salted_lookup, with_row
+from corpusloom.llm.rows import ROW, lasting, salted_join, salted_lookup, with_row
 from corpusloom.session import stage_table
 
 SEED = 42
@@ -314,6 +314,8 @@ def near_dedup(
     ``component_id`` is the smallest id among the texts reachable by links,
     ``root`` a number that names the component.
     """
+    if scheme.similarity is not None:
+        docs = lasting(docs)  # read again for the shingle sets
     kind = _of_texts(scheme, _class)(F.col(text_col))
     rows = with_row(docs, F.col(id_col).alias("doc_id"), kind.alias("kind"))
     rows = stage_table(rows, "fingerprints")

@@ -179,8 +179,12 @@ def _pattern(rule: str) -> str:
     return f" (?:{rule.replace(' ?', '(?: )?').replace(' ', '  ')}) "
 
 
+def _keywords(rule) -> str:
+    return "[" + ", ".join(_quoted(f" {word} ") for word in rule.keyword.split()) + "]"
+
+
 _RULES = ",\n    ".join(
-    f"({_quoted(r.label)}, ' {r.keyword} ', {_quoted(_pattern(r.pattern))}, {r.priority}, {i}, {r.weight})"
+    f"({_quoted(r.label)}, {_keywords(r)}, {_quoted(_pattern(r.pattern))}, {r.priority}, {i}, {r.weight})"
     for i, r in enumerate(rules())
 )
 
@@ -207,13 +211,13 @@ base as (
 told as (
     select id, count(*) as n, min(i) as first, max(i) as last, list(distinct label) as labels
     from base where label is not null group by id),
-known(label, keyword, pattern, priority, rule, weight) as (values
+known(label, keywords, pattern, priority, rule, weight) as (values
     {_RULES}),
 spaced as (select id, ' ' || array_to_string(words, '  ') || ' ' as t from texts where len(words) > 0),
 found as (
     select id, label, priority, rule, weight, regexp_extract_all(t, pattern) as hits,
         string_split_regex(t, pattern) as gaps
-    from spaced join known on contains(t, keyword)),
+    from spaced join known on len(list_filter(keywords, lambda k: contains(t, k))) > 0),
 places as (
     select *, unnest(range(1, len(hits) + 1)) as i from found),
 dets as (

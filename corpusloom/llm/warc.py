@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.rows import ROW, salted_lookup, with_row, without
+from corpusloom.llm.rows import ROW, lasting, salted_lookup, with_row, without
 from corpusloom.session import stage_table
 
 MIN_REVISIT = 100
@@ -308,6 +308,7 @@ def write(
     min_revisit: int = MIN_REVISIT,
 ) -> None:
     """Write ``pages`` as an archive folder at ``path``."""
+    pages = lasting(pages)
     judged = stage_table(duplicates(pages, id_col, payload_col, min_revisit), "page-fates")
     revisits = judged.where(F.col("refers_to").isNotNull())
     text = F.coalesce(F.col(payload_col), F.lit(""))
