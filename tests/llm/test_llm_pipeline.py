@@ -3,12 +3,11 @@
 from itertools import combinations
 
 import llm_brute as brute
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from corpusloom.llm import pretokens, quality, queries, simhash
+from corpusloom.llm import pretokens, quality, queries
 from llm_pieces import check_pieces
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint, row string, fp bigint"
@@ -46,23 +45,6 @@ def test_quality_drops_what_is_predicted_bad(spark, data, stages):
     assert {r["doc_id"] for r in rows(after)} == want
 
 
-def test_near_dedup_keeps_the_first_of_each_component(stages):
-    """All pairs that the blocks can miss are compared here."""
-    before, after = stages[1]
-    ids = sorted(r["doc_id"] for r in rows(before))
-    texts = {r["doc_id"]: r["text"] for r in rows(before)}
-    prints = [simhash.fingerprint(texts[i], simhash.SIMILAR) for i in ids]
-    bits = np.unpackbits(np.frombuffer(b"".join(prints), np.uint8).reshape(len(ids), -1), axis=1)
-    forest = brute.Forest(ids)
-    for k in range(len(ids)):
-        near = (bits[k + 1 :] != bits[k]).sum(axis=1) <= simhash.SIMILAR.distance
-        for j in np.flatnonzero(near):
-            forest.link(ids[k], ids[k + 1 + j])
-    want = {i for i in ids if forest.root(i) == i}
-    kept = {r["doc_id"] for r in rows(after)}
-    assert want <= kept and len(kept) <= 1.01 * len(want)
-
-
 def test_near_dedup_decides_by_jaccard(stages):
     before, after = stages[1]
     sets = {}
@@ -123,6 +105,30 @@ def test_stages_take_awkward_rows(spark, data, tmp_path):
                 docs = made
 
 
+@pytest.mark.parametrize("dealt", [False, True])
+def test_stages_take_columns_named_like_helpers(spark, data, tmp_path, stages, dealt):
+    """Row names never meet the user's columns; rows not from files are staged."""
+    names = ["_row_file", "_row_place", "_salt", "_SALT_", "row", "node", "bucket", "turn", "kind"]
+    docs = stages[0][1].withColumns({n: F.lit(7) for n in names})
+    if dealt:
+        text = str(tmp_path / "json")
+        docs.write.json(text)
+        docs = spark.read.schema(docs.schema).json(text).repartition(3)
+    for (step, stage), (_, plain) in list(zip(corpus_pipeline.STAGES, stages))[1:]:
+        out = stage(spark, docs, data)
+        out.write.parquet(str(tmp_path / step))
+        made = spark.read.parquet(str(tmp_path / step))
+        if step == "packing":
+            assert made.count() > 0
+            continue
+        assert made.columns == docs.columns
+        assert made.where("_row_file = 7 and _salt = 7").count() == plain.count()
+        assert {r[0] for r in made.select("doc_id").collect()} == {
+            r[0] for r in plain.select("doc_id").collect()
+        }
+        docs = made
+
+
 def test_all_queries_are_registered():
     import __spark_entry__
 
