@@ -16,6 +16,7 @@ from corpusloom.llm import (
     topk,
     vectors_dedup,
     warc,
+    whitening,
 )
 from corpusloom.session import fresh_path, ship_package
 
@@ -103,6 +104,10 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def op11_whitened_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(table(spark, folder, "embeddings"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -116,5 +121,6 @@ QUERIES = {
         op8_exact_top_k,
         op9_token_counts,
         op10_license_scan,
+        op11_whitened_vectors,
     )
 }
