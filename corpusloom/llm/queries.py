@@ -10,6 +10,7 @@ from corpusloom.llm import (
     mixing,
     packing,
     quality,
+    quality_rules,
     secrets,
     simhash,
     token_counts,
@@ -108,6 +109,10 @@ def op11_whitened_vectors(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(table(spark, folder, "embeddings"))
 
 
+def op12_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_rules.judge(table(spark, folder, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -122,5 +127,6 @@ QUERIES = {
         op9_token_counts,
         op10_license_scan,
         op11_whitened_vectors,
+        op12_quality_rules,
     )
 }

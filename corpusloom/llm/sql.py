@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import licenses, mixing, secrets, topk, vectors_dedup, warc
+from corpusloom.llm import licenses, mixing, quality_rules, secrets, topk, vectors_dedup, warc
 from corpusloom.llm.license_rules import rules
 from corpusloom.llm.queries import DOMAINS, WEIGHTS
 
@@ -236,3 +236,58 @@ select id as doc_id, len(words)::bigint as n_words, coalesce(n, 0) as n_base, fi
         coalesce(method.labels, [])))), ',') as labels,
     greatest(case when n > 0 then {licenses.BASE_SCORE} else 0 end, coalesce(score, 0))::double as score
 from texts left join told using (id) left join method using (id)"""
+
+
+# -- quality rules ---------------------------------------------------------------
+
+
+def _broken(rule: quality_rules.Rule) -> str:
+    share, bounds = f"100 * {rule.count}", []
+    if rule.least is not None:
+        bounds.append(f"{share} < {rule.least} * {rule.of}")
+    if rule.most is not None:
+        bounds.append(f"{share} > {rule.most} * {rule.of}")
+    ranges = " or ".join(bounds)
+    return f"case when {rule.of} > 0 and n_words >= {rule.from_words} and ({ranges}) then '{rule.name}' end"
+
+
+_STOPS = ", ".join(_quoted(w) for w in quality_rules.all_stop_words())
+_BROKEN = ",\n        ".join(_broken(r) for r in quality_rules.TABLE)
+_W = quality_rules.WINDOW
+SQL["op12_quality_rules"] = rf"""
+with texts as (
+    select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+worded as (
+    select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines
+    from texts),
+windows as (
+    select r, unnest(range(1, len(words) - {_W - 2})) as i, words from worded where len(words) >= {_W}),
+named as (select r, i, array_to_string(words[i:i + {_W - 1}], ' ') as w from windows),
+repeated as (select *, count(*) over (partition by r, w) as times from named),
+covered as (
+    select r, count(distinct i + k) as n from repeated, range({_W}) t(k) where times > 1 group by r),
+counted as (
+    select doc_id, len(words)::bigint as n_words,
+        coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::bigint as word_chars,
+        (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols,
+        (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines,
+        coalesce(n, 0)::bigint as n_repeat_words,
+        len(list_filter(words, lambda x: lower(x) in ({_STOPS})))::bigint as n_stop_words,
+        len(list_filter(words, lambda x: regexp_matches(x, '\p{{L}}')))::bigint as n_letter_words,
+        len(lines)::bigint as n_lines,
+        coalesce(list_sum(list_transform(lines, lambda x: length(x))), 0)::bigint as line_chars,
+        (coalesce(list_sum(list_transform(lines, lambda x: length(x))), 0)
+            - coalesce(list_sum(list_transform(list_distinct(lines), lambda x: length(x))), 0))::bigint
+            as dup_line_chars,
+        len(list_filter(lines, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*\x{{2022}}]')))::bigint
+            as n_bullet_lines,
+        len(list_filter(lines, lambda x: regexp_matches(x, '(?:\.\.\.|\x{{2026}})[\x20\x09-\x0D]*\z')))::bigint
+            as n_ellipsis_lines
+    from worded left join covered using (r)),
+judged as (
+    select *, n_words < {quality_rules.LEAST_WORDS}
+            or 100 * n_repeat_words > {quality_rules.MOST_REPEATED} * n_words as base_failed,
+        concat_ws(',', {_BROKEN}) as failed
+    from counted)
+select *, not base_failed and failed = '' as kept from judged"""
