@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import (
+    lexical,
     licenses,
     mixing,
     packing,
@@ -113,6 +114,10 @@ def op12_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judge(table(spark, folder, "documents"))
 
 
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.rank(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -128,5 +133,6 @@ QUERIES = {
         op10_license_scan,
         op11_whitened_vectors,
         op12_quality_rules,
+        op13_ranked_search,
     )
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from corpusloom.llm import licenses, mixing, quality_rules, secrets, topk, vectors_dedup, warc
+from corpusloom.llm import lexical, licenses, mixing, quality_rules, secrets, topk, vectors_dedup, warc
 from corpusloom.llm.license_rules import rules
 from corpusloom.llm.queries import DOMAINS, WEIGHTS
 
@@ -291,3 +291,35 @@ judged as (
         concat_ws(',', {_BROKEN}) as failed
     from counted)
 select *, not base_failed and failed = '' as kept from judged"""
+
+
+# -- ranked lexical search -------------------------------------------------------
+
+_TERMS = (
+    "regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+SQL["op13_ranked_search"] = f"""
+with items as (
+    select row_number() over () as q, item_id, list_distinct({_TERMS}) as terms from benchmark),
+asked as (select q, unnest(terms) as t from items),
+docs as (select row_number() over () as r, doc_id, {_TERMS} as terms from documents),
+held as (select r, unnest(terms) as t from docs),
+sizes as (select r, count(*)::hugeint as n from held group by r),
+totals as (select count(*)::hugeint as docs, sum(n)::hugeint as terms from sizes),
+counted as (
+    select r, t, count(*)::bigint as tf from held where t in (select t from asked) group by r, t),
+weights as (
+    select t, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+    from counted, totals group by t, docs),
+impacts as (
+    select r, t, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // totals.terms)))
+        as part
+    from counted join weights using (t) join sizes using (r), totals),
+scored as (
+    select q, r, sum(part)::bigint as score from asked join impacts using (t) group by q, r),
+ranked as (
+    select q, doc_id, score, row_number() over (partition by q order by score desc, doc_id) as rank
+    from scored join docs using (r) where score > 0)
+select item_id, rank::int as rank, doc_id, score from ranked join items using (q)
+where rank <= {lexical.K}"""

@@ -134,5 +134,5 @@ def test_all_queries_are_registered():
 
     known = __spark_entry__.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(known)
-    assert len([q for q in known if q.startswith("op") and q[2].isdigit()]) == 12
+    assert len([q for q in known if q.startswith("op") and q[2].isdigit()]) == 13
     assert pretokens.vocabulary_path().endswith("byte_bpe_50k.json")
