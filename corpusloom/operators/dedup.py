@@ -6,25 +6,23 @@ to a dropped row stay.
 
 How it runs. Equal vectors share one fate, so they are collapsed first by a
 partially aggregated group-by; a group of copies of any size becomes one row
-there. Every distinct vector belongs to the cell of its nearest pivot. A pair
-over the threshold spans at most a fixed angle, so a vector visits only the
-cells that such a neighbour could live in: those whose pivot is no farther than
-the cell's radius and that angle. Large cells are split into blocks of bounded
-size. Home rows of a block are compared with each other and with its visitors,
-which pass through in batches; a task returns at most two positions per row
-(its first similar row that is kept, and that is undecided), never its pairs.
+there. Distinct vectors meet in cells around pivots (``pivot_cells``), each pair
+that can be over the threshold in one block; a task returns at most two positions
+per row and batch (its first similar row that is kept, and that is undecided),
+never its pairs.
 
 Rounds go on until nothing is undecided: a row without an earlier similar row is
 kept; one whose first similar row is kept is dropped; the others wait. Only
 waiting rows and those just kept are compared again. Each round is written to
 the shared folder, so a lost executor repeats tasks of the current round only.
-The driver sees counts, the pivots and one radius per pivot.
+Once at most ``TAIL_ROWS`` rows wait, one task decides them in order.
+The driver sees counts, a bounded sample, the pivots and two angles per pivot.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -32,24 +30,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import vectors
+from corpusloom.operators import pivot_cells
 from corpusloom.operators.ranking import first_per_key, salted_lookup
-from corpusloom.session import discard, fresh_path, stage_at, stage_table
+from corpusloom.session import stage_table
 
 THRESHOLD = 0.92
-# Memory that the home rows of a block may take in a worker.
-BLOCK_BYTES = 64 * 1024 * 1024
-PIVOTS = 64
-# Pivots are chosen among so many rows; visitors are dealt in chunks of so many.
-_SAMPLE_ROWS = 4096
-_CHUNK_ROWS = 250_000
-# After the first round, so few waiting rows are decided in one go.
-_TAIL_ROWS = 1024
-_TAIL_AFTER = 1
-# Slack for the single-precision screen; hits are confirmed in double.
-_SLACK = 1e-4
-_BLOCK = 2048
-_DECIDED = "pos bigint, dup_of bigint, kept boolean, vec array<float>"
-_STATE = "pos bigint, vec array<float>, best bigint, open boolean"
+# So few waiting rows are decided in one task.
+TAIL_ROWS = 1024
+_ROUND = "pos bigint, vec array<float>, best bigint, wait bigint"
 _NEVER = (1 << 63) - 1
 
 
@@ -76,29 +64,6 @@ def exact_dedup(
     return first_per_key(df, [key], list(order))
 
 
-def first_hits(rows: np.ndarray, kept: np.ndarray, threshold: float) -> np.ndarray:
-    """For every row the first kept row above the threshold, or -1.
-
-    Both are unit rows in double. A single-precision product screens; only
-    possible hits are computed again in double.
-    """
-    found = np.full(len(rows), -1)
-    rows32 = rows.astype(np.float32)
-    for start in range(0, len(kept), _BLOCK):
-        block = kept[start : start + _BLOCK]
-        open_rows = np.flatnonzero(found < 0)
-        if not len(open_rows):
-            break
-        near = rows32[open_rows] @ block.astype(np.float32).T > threshold - _SLACK
-        for at in np.flatnonzero(near.any(axis=1)):
-            row = open_rows[at]
-            maybe = np.flatnonzero(near[at])
-            sure = maybe[block[maybe] @ rows[row] > threshold]
-            if len(sure):
-                found[row] = start + sure[0]
-    return found
-
-
 def decide_in_order(
     rows: np.ndarray, threshold: float, best: np.ndarray, pos: np.ndarray
 ) -> np.ndarray:
@@ -114,10 +79,6 @@ def decide_in_order(
     return out
 
 
-def _block_rows(dim: int) -> int:
-    return int(min(max(BLOCK_BYTES // (8 * dim), 256), 65536))
-
-
 def _usable(df: DataFrame, pos: str, vec: str, dim: int) -> DataFrame:
     """Rows with a full-size vector that has a direction."""
     full = df.where(vectors.has_dim(F.col(vec), dim))
@@ -132,178 +93,6 @@ def _collapse_copies(usable: DataFrame) -> DataFrame:
     return usable.groupBy("vec").agg(F.min("pos").alias("pos")).select("pos", "vec")
 
 
-def _in_order(rows: DataFrame, label: str) -> DataFrame:
-    """Written out in order, so that a bound on ``pos`` skips row groups."""
-    return stage_table(
-        rows.repartitionByRange("pos").sortWithinPartitions("pos"), label
-    )
-
-
-def _edge(todo: DataFrame, n: int) -> tuple[int, int | None]:
-    """How many rows the next ``n`` are, and the last position among them."""
-    first = todo.select("pos").orderBy("pos").limit(n)
-    row = first.agg(F.count("*").alias("n"), F.max("pos").alias("cut")).first()
-    return row["n"], row["cut"]
-
-
-def _read(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and unit rows of a table known to fit one round."""
-    got = df.toPandas().sort_values("pos")
-    return got["pos"].to_numpy(), vectors.unit_rows(vectors.matrix(got["vec"], _width(got)))
-
-
-def _width(pdf: pd.DataFrame) -> int:
-    return len(pdf["vec"].iloc[0]) if len(pdf) else 0
-
-
-@dataclass(frozen=True)
-class _Cells:
-    """How vectors are dealt: pivots (unit rows), and per pivot the radius of
-    its cell and the number of blocks it is split into."""
-
-    pivots: np.ndarray
-    radius: np.ndarray
-    blocks: np.ndarray
-    reach: float
-    chunks: int
-
-    def homes(self, unit: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        angles = np.arccos(np.clip(unit @ self.pivots.T, -1, 1))
-        home = angles.argmin(axis=1)
-        return angles, home, _mixed(pos) % self.blocks[home]
-
-    def groups(self, unit: np.ndarray, pos: np.ndarray) -> tuple[list, list]:
-        """Per row the blocks it lives in (one per chunk of visitors) and those
-        it visits: later blocks of its own cell, and of later cells that a
-        neighbour over the threshold may live in. So a pair meets once."""
-        angles, home, block = self.homes(unit, pos)
-        first = np.r_[0, np.cumsum(self.blocks)]
-        chunk = _mixed(pos, 1) % self.chunks
-        own = (first[home] + block)[:, None] * self.chunks + np.arange(self.chunks)
-        near = angles <= self.radius + self.reach
-        visits = []
-        for i in range(len(pos)):
-            cells = np.flatnonzero(near[i, home[i] + 1 :]) + home[i] + 1
-            parts = [np.arange(first[home[i]] + block[i] + 1, first[home[i] + 1])]
-            parts += [np.arange(first[c], first[c + 1]) for c in cells]
-            visits.append(np.concatenate(parts) * self.chunks + chunk[i])
-        return list(own), visits
-
-
-def _mixed(pos: np.ndarray, turn: int = 0) -> np.ndarray:
-    mixed = (pos.astype(np.uint64) + np.uint64(turn)) * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed ^ (mixed >> np.uint64(29))) >> np.uint64(8)).astype(np.int64)
-
-
-def _unit(batch: pd.DataFrame) -> np.ndarray:
-    return vectors.unit_rows(vectors.matrix(batch["vec"], _width(batch)))
-
-
-def _cells(todo: DataFrame, threshold: float, block_rows: int) -> _Cells | None:
-    """Pivots from a bounded sample, and what each cell holds (a row each)."""
-    sample = todo.orderBy(F.xxhash64("pos"), "pos").limit(_SAMPLE_ROWS).toPandas()
-    if not len(sample):
-        return None
-    pick = np.random.default_rng(0).permutation(len(sample))[:PIVOTS]
-    pivots = _unit(sample.iloc[np.sort(pick)])
-    one = np.ones(len(pivots), np.int64)
-    bare = _Cells(pivots, one * np.pi, one, 0.0, 1)
-
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                angles, home, _ = bare.homes(_unit(batch), batch["pos"].to_numpy())
-                yield pd.DataFrame({"home": home, "angle": angles.min(axis=1)})
-
-    placed = todo.mapInPandas(measure, "home int, angle double")
-    held = placed.groupBy("home").agg(F.count("*").alias("n"), F.max("angle").alias("far")).collect()
-    radius, counts = np.full(len(pivots), -np.inf), np.zeros(len(pivots), np.int64)
-    for row in held:
-        radius[row["home"]], counts[row["home"]] = row["far"], row["n"]
-    blocks = np.maximum(-(-counts // block_rows), 1)
-    chunks = int(-(-counts.sum() // _CHUNK_ROWS))
-    return _Cells(pivots, radius, blocks, float(np.arccos(threshold)) + _SLACK, chunks)
-
-
-def _dealt(state: DataFrame, cells: _Cells) -> DataFrame:
-    """A row per block that a row lives in (``home``) or visits."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                own, visits = cells.groups(_unit(batch), batch["pos"].to_numpy())
-                yield batch[["pos", "vec", "open"]].assign(own=own, visits=visits)
-
-    schema = "pos bigint, vec array<float>, open boolean, own array<bigint>, visits array<bigint>"
-    placed = state.select("pos", "vec", "open").mapInPandas(run, schema)
-    ways = F.array(
-        F.struct(F.lit(True).alias("home"), F.col("own").alias("groups")),
-        F.struct(F.lit(False).alias("home"), F.col("visits").alias("groups")),
-    )
-    return (
-        placed.select("pos", "vec", "open", F.inline(ways))
-        .select("pos", "vec", "open", "home", F.explode("groups").alias("block"))
-        .repartition("block")
-        .sortWithinPartitions("block", F.desc("home"))
-    )
-
-
-class _Block:
-    """The home rows of one block, and what they and their visitors found."""
-
-    def __init__(self, threshold: float):
-        self.threshold = threshold
-        self.rows, self.pos, self.open = None, np.zeros(0, np.int64), np.zeros(0, bool)
-
-    def live(self, part: pd.DataFrame) -> None:
-        rows = _unit(part)
-        self.rows = rows if self.rows is None else np.concatenate([self.rows, rows])
-        self.pos = np.r_[self.pos, part["pos"].to_numpy()]
-        self.open = np.r_[self.open, part["open"].to_numpy()]
-
-    def among_homes(self) -> Iterator[pd.DataFrame]:
-        if self.rows is not None:
-            yield from self._compare(self.rows, self.pos, self.open, same=True)
-
-    def visit(self, part: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        if self.rows is not None:
-            yield from self._compare(
-                _unit(part), part["pos"].to_numpy(), part["open"].to_numpy(), same=False
-            )
-
-    def _compare(self, rows, pos, open_, same) -> Iterator[pd.DataFrame]:
-        kept, wait = {}, {}
-        homes32 = self.rows.astype(np.float32)
-        for i in range(0, len(rows), 512):
-            some = rows[i : i + 512].astype(np.float32)
-            for j in range(0, len(self.rows), _BLOCK):
-                if same and j + _BLOCK <= i:
-                    continue
-                near = some @ homes32[j : j + _BLOCK].T > self.threshold - _SLACK
-                a, b = np.nonzero(near)
-                a, b = a + i, b + j
-                if same:
-                    a, b = a[a < b], b[a < b]
-                later = np.where(pos[a] > self.pos[b], open_[a], self.open[b])
-                a, b = a[later], b[later]
-                sure = np.einsum("ij,ij->i", rows[a], self.rows[b]) > self.threshold
-                a, b = a[sure], b[sure]
-                swap = pos[a] < self.pos[b]
-                late = np.where(swap, self.pos[b], pos[a])
-                early = np.where(swap, pos[a], self.pos[b])
-                waits = np.where(swap, open_[a], self.open[b])
-                _lowest(wait, late[waits], early[waits])
-                _lowest(kept, late[~waits], early[~waits])
-        found = list(kept.keys() | wait.keys())
-        yield pd.DataFrame(
-            {
-                "pos": np.array(found, np.int64),
-                "kept": np.array([kept.get(p, _NEVER) for p in found], np.int64),
-                "wait": np.array([wait.get(p, _NEVER) for p in found], np.int64),
-            }
-        )
-
-
 def _lowest(held: dict, keys: np.ndarray, values: np.ndarray) -> None:
     """Keep the lowest value per key."""
     if not len(keys):
@@ -316,31 +105,33 @@ def _lowest(held: dict, keys: np.ndarray, values: np.ndarray) -> None:
             held[key] = value
 
 
-def _meet(threshold: float, chunks: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, block, settled = None, None, False
-        for batch in batches:
-            for group, rows in batch.groupby("block", sort=False):
-                if group != at:
-                    if block is not None and not settled:
-                        yield from block.among_homes()
-                    at, block, settled = group, _Block(threshold), group % chunks != 0
-                home = rows["home"].to_numpy()
-                if home.any():
-                    block.live(rows[home])
-                if not home.all():
-                    yield from block.visit(rows[~home])
-        if block is not None and not settled:
-            yield from block.among_homes()
-
-    return run
+def _earlier(block: pivot_cells.Block, part: pd.DataFrame | None) -> Iterator[pd.DataFrame]:
+    """``pos, kept, wait`` per undecided row of the pairs that meet in a block."""
+    kept, wait = {}, {}
+    for a, b, pos, open_ in block.pairs(part):
+        swap = pos[a] < block.pos[b]
+        late = np.where(swap, block.pos[b], pos[a])
+        early = np.where(swap, pos[a], block.pos[b])
+        waits = np.where(swap, open_[a], block.open[b])
+        _lowest(wait, late[waits], early[waits])
+        _lowest(kept, late[~waits], early[~waits])
+    found = list(kept.keys() | wait.keys())
+    if found:
+        yield pd.DataFrame(
+            {
+                "pos": np.array(found, np.int64),
+                "kept": np.array([kept.get(p, _NEVER) for p in found], np.int64),
+                "wait": np.array([wait.get(p, _NEVER) for p in found], np.int64),
+            }
+        )
 
 
-def _earliest(state: DataFrame, threshold: float, cells: _Cells) -> DataFrame:
+def _earliest(state: DataFrame, threshold: float, cells: pivot_cells.Cells) -> DataFrame:
     """``pos, kept, wait`` of undecided rows: the first earlier similar row that
     is kept, and that is undecided (``_NEVER`` for none)."""
-    met = _dealt(state, cells).mapInPandas(
-        _meet(threshold, cells.chunks), "pos bigint, kept bigint, wait bigint"
+    dealt = pivot_cells.gathered(pivot_cells.deal(state, cells))
+    met = dealt.mapInPandas(
+        pivot_cells.meet(threshold, _earlier), "pos bigint, kept bigint, wait bigint"
     )
     return met.groupBy("pos").agg(F.min("kept").alias("kept"), F.min("wait").alias("wait"))
 
@@ -351,72 +142,52 @@ def _tail(threshold: float):
         if parts:
             rows = pd.concat(parts).sort_values("pos", ignore_index=True)
             pos = rows["pos"].to_numpy()
-            first = decide_in_order(_unit(rows), threshold, rows["best"].to_numpy(), pos)
-            stays = first == _NEVER
-            yield pd.DataFrame(
-                {"pos": pos, "dup_of": first, "kept": stays, "vec": rows["vec"].where(stays, None)}
-            )
+            unit = pivot_cells.unit_of(rows)
+            first = decide_in_order(unit, threshold, rows["best"].to_numpy(), pos)
+            yield rows[["pos", "vec"]].assign(best=first, wait=_NEVER)
 
     return run
 
 
-def _run_rounds(todo: DataFrame, threshold: float, block_rows: int) -> DataFrame:
+def _run_rounds(
+    todo: DataFrame, threshold: float, block_rows: int, tail_rows: int = TAIL_ROWS
+) -> DataFrame:
     """Decide distinct vectors (``pos, vec``); returns ``pos, dup_of, kept,
     vec`` where ``dup_of`` is the first kept position that drops the row, null
-    for rows that stay."""
+    for rows that stay.
+
+    A round is one table: what it decided is read from it at the end, what waits
+    and what it kept is read by the next round.
+    """
     spark = todo.sparkSession
-    decided_path = fresh_path(spark, "decided")
-    spark.createDataFrame([], _DECIDED).write.parquet(decided_path)
-    cells = _cells(todo, threshold, block_rows)
-    state = todo.select(
-        "pos", "vec", F.lit(_NEVER).alias("best"), F.lit(True).alias("open")
-    )
-    used: str | None = None
-    turn = 0
-    while cells is not None:
-        turn += 1
+    never = F.lit(_NEVER)
+    stays = (F.col("best") == never) & (F.col("wait") == never)
+    goes = F.col("best") < F.col("wait")
+    state = todo.select("pos", "vec", never.alias("best"), F.lit(True).alias("open"))
+    cells = pivot_cells.fit(todo, threshold, block_rows)
+    rounds = [spark.createDataFrame([], _ROUND)]
+    n_open = None
+    while cells is not None and n_open != 0:
         found = _earliest(state, threshold, cells)
-        path = fresh_path(spark, "round")
-        judged = state.join(found, "pos", "left").select(
+        judged = state.where("open").join(found, "pos", "left").select(
             "pos",
             "vec",
-            "open",
-            F.least("best", F.coalesce("kept", F.lit(_NEVER))).alias("best"),
-            F.coalesce("wait", F.lit(_NEVER)).alias("wait"),
+            F.least("best", F.coalesce("kept", never)).alias("best"),
+            F.coalesce("wait", never).alias("wait"),
         )
-        judged = stage_at(judged.where("open"), path)
-        n_open = judged.count()
-        if turn > _TAIL_AFTER and n_open <= _TAIL_ROWS:
-            few = judged.select("pos", "vec", "best").repartition(1)
-            last = few.mapInPandas(_tail(threshold), _DECIDED)
-            last.write.mode("append").parquet(decided_path)
-            n_open = 0
-        stays = (F.col("best") == _NEVER) & (F.col("wait") == _NEVER)
-        goes = F.col("best") < F.col("wait")
-        if n_open:
-            judged.where(stays | goes).select(
-                "pos",
-                F.col("best").alias("dup_of"),
-                stays.alias("kept"),
-                F.when(stays, F.col("vec")).alias("vec"),
-            ).write.mode("append").parquet(decided_path)
-            next_path = fresh_path(spark, "waiting")
-            rest = judged.where(~goes).select("pos", "vec", "best", (~stays).alias("open"))
-            state = stage_at(rest, next_path)
-            n_open = state.where("open").count()
-        else:
-            next_path = None
-        # What this round started from has been read for the last time.
-        for old in (path, used):
-            if old:
-                discard(spark, old)
-        used = next_path
-        if not n_open:
-            break
-    if used:
-        discard(spark, used)
-    out = spark.read.schema(_DECIDED).parquet(decided_path)
-    return out.withColumn("dup_of", F.when(~F.col("kept"), F.col("dup_of")))
+        if n_open is not None and n_open <= tail_rows:
+            judged = judged.select("pos", "vec", "best").repartition(1)
+            judged = judged.mapInPandas(_tail(threshold), _ROUND)
+        judged = stage_table(judged, "round")
+        rounds.append(judged.where(stays | goes))
+        state = judged.where(~goes).select("pos", "vec", "best", (~stays).alias("open"))
+        n_open = state.where("open").count()
+    return reduce(DataFrame.unionByName, rounds).select(
+        "pos",
+        F.when(goes, F.col("best")).alias("dup_of"),
+        stays.alias("kept"),
+        F.when(stays, F.col("vec")).alias("vec"),
+    )
 
 
 def _check(threshold: float) -> None:
@@ -431,6 +202,7 @@ def near_dup_links(
     dim: int,
     threshold: float = THRESHOLD,
     block_rows: int | None = None,
+    tail_rows: int = TAIL_ROWS,
 ) -> DataFrame:
     """``pos, dup_of`` for every dropped row; ``dup_of`` is the first kept row
     above the threshold."""
@@ -439,7 +211,7 @@ def near_dup_links(
     if threshold >= 1:
         return usable.select("pos", F.col("pos").alias("dup_of")).where(F.lit(False))
     firsts = stage_table(_collapse_copies(usable), "distinct-vectors")
-    decided = _run_rounds(firsts, threshold, block_rows or _block_rows(dim))
+    decided = _run_rounds(firsts, threshold, block_rows or pivot_cells.block_rows_of(dim), tail_rows)
     fate = decided.select(
         F.col("pos").alias("first_pos"), F.coalesce("dup_of", "pos").alias("dup_of")
     )
@@ -457,6 +229,7 @@ def kept_vectors(
     dim: int,
     threshold: float = THRESHOLD,
     block_rows: int | None = None,
+    tail_rows: int = TAIL_ROWS,
 ) -> DataFrame:
     """``pos, vec`` of the rows with a usable vector that stay."""
     _check(threshold)
@@ -464,7 +237,7 @@ def kept_vectors(
     if threshold >= 1:
         return usable
     firsts = stage_table(_collapse_copies(usable), "distinct-vectors")
-    decided = _run_rounds(firsts, threshold, block_rows or _block_rows(dim))
+    decided = _run_rounds(firsts, threshold, block_rows or pivot_cells.block_rows_of(dim), tail_rows)
     return decided.where("kept").select("pos", "vec")
 
 
@@ -475,56 +248,81 @@ def near_dedup(
     dim: int,
     threshold: float = THRESHOLD,
     block_rows: int | None = None,
+    tail_rows: int = TAIL_ROWS,
 ) -> DataFrame:
     """The rows of ``df`` that stay. Rows without a usable vector survive;
     ``pos`` gives the order and identifies rows."""
-    kept = kept_vectors(df, pos, vec, dim, threshold, block_rows)
+    kept = kept_vectors(df, pos, vec, dim, threshold, block_rows, tail_rows)
     usable = _usable(df, pos, vec, dim).select("pos")
     dropped = usable.join(kept.select("pos"), "pos", "left_anti")
     return df.join(dropped.withColumnRenamed("pos", pos), pos, "left_anti")
 
 
-def _hit_probes(probes, threshold: float):
+def _hits(block: pivot_cells.Block, part: pd.DataFrame | None) -> Iterator[pd.DataFrame]:
+    """Visitors of a block of kept rows that one of them is similar to."""
+    if part is not None:
+        hit = np.zeros(len(part), bool)
+        for a, _, _, _ in block.pairs(part):
+            hit[a] = True
+        if hit.any():
+            yield pd.DataFrame({"pos": part["pos"].to_numpy()[hit]})
+
+
+def reached_cells(rows: DataFrame, cells: pivot_cells.Cells) -> DataFrame:
+    """``pos, vec, open, visits, reached``: the blocks and cells that a row
+    similar to ``rows`` (``pos, vec``) may live in."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        probe_pos, probe_rows = probes.value
-        hit = np.zeros(len(probe_pos), bool)
         for batch in batches:
-            if not len(batch):
-                continue
-            rows = vectors.unit_rows(vectors.matrix(batch["vec"], _width(batch)))
-            open_probes = np.flatnonzero(~hit)
-            found = first_hits(probe_rows[open_probes], rows, threshold)
-            hit[open_probes[found >= 0]] = True
-        yield pd.DataFrame({"pos": probe_pos[hit]})
+            if len(batch):
+                may = cells.open(*cells.place(pivot_cells.unit_of(batch)))
+                reached = [np.flatnonzero(x) for x in may]
+                yield batch.assign(open=True, visits=cells.blocks_of(may), reached=reached)
 
-    return run
+    schema = "pos bigint, vec array<float>, open boolean, visits array<int>, reached array<int>"
+    return rows.select("pos", "vec").mapInPandas(run, schema)
 
 
 def matched_by(
-    probes: DataFrame, kept: DataFrame, threshold: float, block_rows: int
+    reached: DataFrame, kept: DataFrame, cells: pivot_cells.Cells, threshold: float
 ) -> DataFrame:
-    """Positions of ``probes`` similar to some row of ``kept``.
+    """Positions of ``reached`` rows similar to some row of ``kept`` (``pos, vec,
+    cell``). Visitors are always later: a kept row is only ever compared with them."""
+    first, blocks = cells.first_block()[:-1].tolist(), cells.blocks.tolist()
+
+    def at(numbers: list[int]) -> Column:
+        return F.element_at(F.lit(np.array(numbers, np.int64)), F.col("cell") + 1)
+
+    block = at(first) + F.pmod(F.xxhash64("pos"), at(blocks))
+    homes = kept.select(
+        F.lit(-(1 << 63)).cast("bigint").alias("pos"),
+        "vec",
+        F.lit(False).alias("open"),
+        F.lit(True).alias("lives"),
+        block.cast("int").alias("block"),
+    )
+    visitors = reached.select(
+        "pos", "vec", "open", F.lit(False).alias("lives"), F.explode("visits").alias("block")
+    )
+    met = (
+        homes.unionByName(visitors)
+        .repartition("block")
+        .sortWithinPartitions("block", F.desc("lives"))
+        .mapInPandas(pivot_cells.meet(threshold, _hits), "pos bigint")
+    )
+    return met.distinct()
 
-    ``kept`` is the large side and is only ever scanned; probes go out in
-    batches of bounded size, one scan each. A task reports each probe at most
-    once.
-    """
-    spark = probes.sparkSession
-    out_path = fresh_path(spark, "matched")
-    spark.createDataFrame([], "pos bigint").write.parquet(out_path)
-    rest = probes
-    while True:
-        n, cut = _edge(rest, block_rows)
-        if not n:
-            break
-        sent = spark.sparkContext.broadcast(_read(rest.where(F.col("pos") <= cut)))
-        hits = kept.select("vec").mapInPandas(_hit_probes(sent, threshold), "pos bigint")
-        hits.distinct().write.mode("append").parquet(out_path)
-        sent.unpersist()
-        if n < block_rows:
-            break
-        rest = probes.where(F.col("pos") > cut)
-    return spark.read.schema("pos bigint").parquet(out_path)
+
+def distinct_vectors(df: DataFrame, pos: str, vec: str, dim: int) -> DataFrame:
+    """``pos, vec``: the first row of every usable vector, written out."""
+    return stage_table(_collapse_copies(_usable(df, pos, vec, dim)), "distinct-vectors")
+
+
+def decide_fresh(
+    fresh: DataFrame, threshold: float, block_rows: int, tail_rows: int = TAIL_ROWS
+) -> DataFrame:
+    """``pos, vec`` of the distinct vectors that stay among themselves."""
+    return _run_rounds(fresh, threshold, block_rows, tail_rows).where("kept").select("pos", "vec")
 
 
 def kept_of_batch(
@@ -537,17 +335,27 @@ def kept_of_batch(
     block_rows: int | None = None,
 ) -> DataFrame:
     """Incremental form: ``pos, vec`` of the new rows that stay, given the
-    vectors kept so far (``kept`` holds ``vec``). Append the result to
-    ``kept`` before the next batch."""
+    vectors kept so far (``pos, vec``). Append the result to ``kept`` before the
+    next batch. ``kept_store`` keeps them by cell and reads only what a batch
+    can reach; here all of ``kept`` is dealt."""
     _check(threshold)
-    size = block_rows or _block_rows(dim)
-    usable = _usable(batch, pos, vec, dim)
+    size = block_rows or pivot_cells.block_rows_of(dim)
     if threshold >= 1:
-        return usable
-    firsts = _in_order(_collapse_copies(usable), "batch-vectors")
-    known = matched_by(firsts, kept, threshold, size)
-    fresh = _in_order(firsts.join(known, "pos", "left_anti"), "batch-fresh")
-    return _run_rounds(fresh, threshold, size).where("kept").select("pos", "vec")
+        return _usable(batch, pos, vec, dim)
+    firsts = distinct_vectors(batch, pos, vec, dim)
+    kept = kept.select("pos", "vec")
+    cells = pivot_cells.fit(kept, threshold, size)
+    if cells is not None:
+
+        def placed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for rows in batches:
+                if len(rows):
+                    yield rows.assign(cell=cells.place(pivot_cells.unit_of(rows))[1])
+
+        homes = kept.mapInPandas(placed, "pos bigint, vec array<float>, cell int")
+        known = matched_by(reached_cells(firsts, cells), homes, cells, threshold)
+        firsts = stage_table(firsts.join(known, "pos", "left_anti"), "batch-fresh")
+    return decide_fresh(firsts, threshold, size)
 
 
 def dedup_report(before: DataFrame, after: DataFrame) -> DataFrame:

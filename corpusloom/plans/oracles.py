@@ -511,6 +511,7 @@ _q(
     STORED,
     True,
 )
+SQL["near_dedup_rounds"] = SQL["near_dedup"]
 _q("near_dedup_incremental", "select pos as vec_id from kept", STORED, True)
 _q(
     "curate",

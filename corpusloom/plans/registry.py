@@ -348,6 +348,14 @@ def near_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dedup.near_dedup(rows, "vec_id", "embedding", 64, NEAR).select("vec_id", "label")
 
 
+@query
+def near_dedup_rounds(spark: SparkSession, d: str) -> DataFrame:
+    """Every vector decided in distributed rounds, the last few as well."""
+    rows = inputs.stored_vectors(spark, d)
+    kept = dedup.near_dedup(rows, "vec_id", "embedding", 64, NEAR, tail_rows=0)
+    return kept.select("vec_id", "label")
+
+
 @query
 def near_dedup_incremental(spark: SparkSession, d: str) -> DataFrame:
     """The vectors arrive in three deliveries, in order; the stream is started

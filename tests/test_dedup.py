@@ -85,13 +85,27 @@ def test_long_chain_across_cells(spark):
         assert _kept(_frame(spark, rows[order]), 2, 0.92, block_rows=3) == want
 
 
-def test_a_tail_is_decided_like_the_rest(spark, monkeypatch):
+@pytest.mark.parametrize("tail", [0, 20, 1024])
+def test_a_tail_is_decided_like_the_rest(spark, tail):
     rng = np.random.default_rng(12)
     rows = rng.normal(size=(80, 3))
     want = {i: h for i, h in greedy(rows, 0.6).items() if h is not None}
-    monkeypatch.setattr(dedup, "_TAIL_AFTER", 1)
-    links = dedup.near_dup_links(_frame(spark, rows), "pos", "vec", 3, 0.6, block_rows=9)
+    df = _frame(spark, rows)
+    links = dedup.near_dup_links(df, "pos", "vec", 3, 0.6, block_rows=9, tail_rows=tail)
+    assert dict(values(links, "pos", "dup_of")) == want
+
+
+def test_a_long_chain_takes_many_rounds(spark, monkeypatch):
+    """Every vector waits for the one before it."""
+    angles = np.radians(np.arange(0, 170, 20.0))
+    rows, turns = np.c_[np.cos(angles), np.sin(angles)], []
+    once = dedup._earliest
+    monkeypatch.setattr(dedup, "_earliest", lambda *a: turns.append(1) or once(*a))
+    df = _frame(spark, rows)
+    links = dedup.near_dup_links(df, "pos", "vec", 2, 0.92, tail_rows=0)
+    want = {i: h for i, h in greedy(rows, 0.92).items() if h is not None}
     assert dict(values(links, "pos", "dup_of")) == want
+    assert len(turns) > 3
 
 
 def test_batches_in_turn_equal_one_pass(spark):
