@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from corpusloom import schemas
 from corpusloom.functions import licenses, paths, vectors
+from corpusloom.operators import snapshots
 from corpusloom.operators.ranking import first_per_key
 from corpusloom.operators.search import CLIP_SPACE, TEXT_SPACE
 
@@ -83,29 +84,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def publish(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Replace the table at ``path``: build beside it, then swap by rename.
+    """Replace the table at ``path`` by a new snapshot of it (``snapshots``).
 
-    The new table is complete before the old one is touched, and the old one
-    comes back if the swap fails; between the two renames there is no table at
-    ``path``. An empty frame publishes an empty table, so no stale rows stay
-    behind.
+    Readers see the old table or the new one, whole, at every moment. The version
+    before stays for readers that began with it, older ones go. An empty frame
+    publishes an empty table, so no stale rows stay behind.
     """
-    spark = df.sparkSession
-    fs, live = _fs(spark, path)
-    tag = uuid.uuid4().hex
-    building, retired = f"{path}.build-{tag}", f"{path}.old-{tag}"
-    writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
-    writer.parquet(building)
-    new_at = _fs(spark, building)[1]
-    old_at = _fs(spark, retired)[1]
-    if fs.exists(live) and not fs.rename(live, old_at):
-        raise OSError(f"could not set aside {path}")
-    if not fs.rename(new_at, live):
-        if fs.exists(old_at):
-            fs.rename(old_at, live)
-        raise OSError(f"could not publish {path}")
-    if fs.exists(old_at):
-        fs.delete(old_at, True)
+    snapshots.replace(df, path, partition_by)
+    snapshots.expire(df.sparkSession, path, keep=2)
+
+
+def published(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+    """The table at ``path``, published or plain Parquet; None when it is missing."""
+    if snapshots.current(spark, path) is not None:
+        return snapshots.read(spark, path, schema)
+    if not path_exists(spark, path) or path_exists(spark, f"{path}/parts"):
+        return None  # nothing, or a first snapshot that is still being written
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path)
 
 
 def replace_catalog(catalog: DataFrame, path: str) -> None:
@@ -114,12 +110,12 @@ def replace_catalog(catalog: DataFrame, path: str) -> None:
 
 def append_catalog(catalog: DataFrame, path: str) -> None:
     """Add rows, creating the table when it does not exist."""
-    columns = schemas.CATALOG.fieldNames()
-    catalog.select(*columns).write.mode("append").partitionBy("modality").parquet(path)
+    snapshots.append(catalog.select(*schemas.CATALOG.fieldNames()), path, "modality")
 
 
-def read_catalog(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.CATALOG).parquet(path)
+def read_catalog(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """The newest version of a catalog, or an earlier one that has not expired."""
+    return snapshots.read(spark, path, schemas.CATALOG, version)
 
 
 def query_catalog(

@@ -79,7 +79,7 @@ def decide_in_order(
     return out
 
 
-def _usable(df: DataFrame, pos: str, vec: str, dim: int) -> DataFrame:
+def usable(df: DataFrame, pos: str, vec: str, dim: int) -> DataFrame:
     """Rows with a full-size vector that has a direction."""
     full = df.where(vectors.has_dim(F.col(vec), dim))
     pointing = F.exists(vec, lambda x: x != 0)
@@ -88,9 +88,9 @@ def _usable(df: DataFrame, pos: str, vec: str, dim: int) -> DataFrame:
     )
 
 
-def _collapse_copies(usable: DataFrame) -> DataFrame:
+def _collapse_copies(rows: DataFrame) -> DataFrame:
     """First position of every distinct vector."""
-    return usable.groupBy("vec").agg(F.min("pos").alias("pos")).select("pos", "vec")
+    return rows.groupBy("vec").agg(F.min("pos").alias("pos")).select("pos", "vec")
 
 
 def _lowest(held: dict, keys: np.ndarray, values: np.ndarray) -> None:
@@ -207,10 +207,10 @@ def near_dup_links(
     """``pos, dup_of`` for every dropped row; ``dup_of`` is the first kept row
     above the threshold."""
     _check(threshold)
-    usable = _usable(df, pos, vec, dim)
+    whole = usable(df, pos, vec, dim)
     if threshold >= 1:
-        return usable.select("pos", F.col("pos").alias("dup_of")).where(F.lit(False))
-    firsts = stage_table(_collapse_copies(usable), "distinct-vectors")
+        return whole.select("pos", F.col("pos").alias("dup_of")).where(F.lit(False))
+    firsts = stage_table(_collapse_copies(whole), "distinct-vectors")
     decided = _run_rounds(firsts, threshold, block_rows or pivot_cells.block_rows_of(dim), tail_rows)
     fate = decided.select(
         F.col("pos").alias("first_pos"), F.coalesce("dup_of", "pos").alias("dup_of")
@@ -218,7 +218,7 @@ def near_dup_links(
     # 96 bits name a vector, so that copies meet neither on it nor in one task.
     name = [F.xxhash64("vec").alias("h1"), F.hash("vec").alias("h2")]
     named = firsts.select(F.col("pos").alias("first_pos"), *name).join(fate, "first_pos")
-    members = salted_lookup(usable.select("pos", *name), named.drop("first_pos"), ["h1", "h2"], "pos")
+    members = salted_lookup(whole.select("pos", *name), named.drop("first_pos"), ["h1", "h2"], "pos")
     return members.where("pos <> dup_of").select("pos", "dup_of")
 
 
@@ -233,10 +233,10 @@ def kept_vectors(
 ) -> DataFrame:
     """``pos, vec`` of the rows with a usable vector that stay."""
     _check(threshold)
-    usable = _usable(df, pos, vec, dim)
+    whole = usable(df, pos, vec, dim)
     if threshold >= 1:
-        return usable
-    firsts = stage_table(_collapse_copies(usable), "distinct-vectors")
+        return whole
+    firsts = stage_table(_collapse_copies(whole), "distinct-vectors")
     decided = _run_rounds(firsts, threshold, block_rows or pivot_cells.block_rows_of(dim), tail_rows)
     return decided.where("kept").select("pos", "vec")
 
@@ -253,8 +253,8 @@ def near_dedup(
     """The rows of ``df`` that stay. Rows without a usable vector survive;
     ``pos`` gives the order and identifies rows."""
     kept = kept_vectors(df, pos, vec, dim, threshold, block_rows, tail_rows)
-    usable = _usable(df, pos, vec, dim).select("pos")
-    dropped = usable.join(kept.select("pos"), "pos", "left_anti")
+    whole = usable(df, pos, vec, dim).select("pos")
+    dropped = whole.join(kept.select("pos"), "pos", "left_anti")
     return df.join(dropped.withColumnRenamed("pos", pos), pos, "left_anti")
 
 
@@ -315,7 +315,7 @@ def matched_by(
 
 def distinct_vectors(df: DataFrame, pos: str, vec: str, dim: int) -> DataFrame:
     """``pos, vec``: the first row of every usable vector, written out."""
-    return stage_table(_collapse_copies(_usable(df, pos, vec, dim)), "distinct-vectors")
+    return stage_table(_collapse_copies(usable(df, pos, vec, dim)), "distinct-vectors")
 
 
 def decide_fresh(
@@ -341,7 +341,7 @@ def kept_of_batch(
     _check(threshold)
     size = block_rows or pivot_cells.block_rows_of(dim)
     if threshold >= 1:
-        return _usable(batch, pos, vec, dim)
+        return usable(batch, pos, vec, dim)
     firsts = distinct_vectors(batch, pos, vec, dim)
     kept = kept.select("pos", "vec")
     cells = pivot_cells.fit(kept, threshold, size)

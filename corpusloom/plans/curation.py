@@ -113,10 +113,9 @@ class Run:
 
 
 def row_count(spark: SparkSession, path: str) -> int | None:
-    """Rows of a parquet artifact, from its footers; None when it is missing."""
-    if not cat.path_exists(spark, path):
-        return None
-    return spark.read.schema("id string").parquet(path).count()
+    """Rows of an artifact, from its footers; None when it is missing."""
+    rows = cat.published(spark, path)
+    return None if rows is None else rows.select().count()
 
 
 def embed_decision(manifest_rows: int | None, embedded_rows: int | None, force: bool) -> tuple[str, str]:
@@ -192,7 +191,7 @@ def stage_preprocessing(run: Run, modality: str, force: bool = False) -> dict:
     status, reason = embed_decision(n_manifest, n_done, force)
     if status == "skipped":
         return {"status": status, "reason": reason, "rows": n_done or 0}
-    manifest = run.spark.read.parquet(source)
+    manifest = cat.published(run.spark, source)
     # The gate is cheap and the model is not: failing rows stay in the
     # artifact but are not embedded.
     gated = quality.quality_gate(run.probe(manifest))
@@ -212,7 +211,7 @@ def stage_quality(run: Run, modality: str, force: bool = False) -> dict:
     source = run.layout.embedded(modality)
     if row_count(run.spark, source) is None:
         return {"status": "skipped", "reason": "missing manifest", "rows": 0}
-    embedded = run.spark.read.parquet(source)
+    embedded = cat.published(run.spark, source)
     if "quality_status" not in embedded.columns:
         embedded = run.probe(embedded)
     gated, unique, kept = curate(embedded, run.model(modality).dim, run.threshold)
@@ -236,7 +235,7 @@ def stage_catalog(run: Run, force: bool = True) -> dict:
         path = run.layout.filtered(modality)
         if row_count(run.spark, path) is None:
             continue
-        rows = run.spark.read.parquet(path)
+        rows = cat.published(run.spark, path)
         parts.append(
             cat.build_catalog(
                 rows, text_dim=run.text_model.dim, clip_dim=run.clip_model.dim
@@ -270,7 +269,7 @@ def stage_shards(run: Run, name: str) -> dict:
     shards.write_shards(members, run.layout.shards(name), items, contents, run.shard_size)
     manifest = shards.shard_manifest(items, members, run.shard_size)
     cat.publish(manifest, run.layout.shard_manifest(name))
-    return {"status": "ok", "rows": run.spark.read.parquet(run.layout.shard_manifest(name)).count()}
+    return {"status": "ok", "rows": row_count(run.spark, run.layout.shard_manifest(name))}
 
 
 def stage_benchmark(run: Run, name: str) -> dict:

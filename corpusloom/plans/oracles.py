@@ -701,6 +701,17 @@ _q(
     from gated left join ({_sum_check('v_all')}) using (id)""",
     f"{GATED}, {V_ALL}",
 )
+_VERSIONS = [(1, "replace", "'text'"), (2, "append", "'text', 'image'"), (3, "replace", "'audio'"),
+    (4, "roll back", "'text', 'image'")]
+_q(
+    "catalog_versions",
+    " union all ".join(
+        f"""select {v} as version, '{action}' as action, modality, count(*) as n_rows
+        from gated where modality in ({names}) group by modality"""
+        for v, action, names in _VERSIONS
+    ),
+    GATED,
+)
 _q(
     "catalog_metadata",
     """select man.id, filename, n_keyframes::varchar as n_keyframes, conv_id::varchar as speaker_id

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import schemas
 from corpusloom.functions import paths, text, vectors
-from corpusloom.operators import assets, dedup, embed, quality, reports, search, shards, versions
+from corpusloom.operators import assets, dedup, embed, quality, reports, search, shards, snapshots, versions
 from corpusloom.operators import catalog as cat
 from corpusloom.operators.ranking import with_position
 from corpusloom.plans import curation, inputs
@@ -372,8 +372,7 @@ def near_dedup_incremental(spark: SparkSession, d: str) -> DataFrame:
         flows.run(
             flows.near_dedup_stream(stream, "vec_id", "embedding", 64, out, NEAR, progress)
         )
-    kept = spark.read.schema("pos bigint").parquet(out)
-    return kept.select(F.col("pos").alias("vec_id"))
+    return flows.read_kept(spark, out, 64).select(F.col("pos").alias("vec_id"))
 
 
 def _curated(spark: SparkSession, d: str):
@@ -682,6 +681,27 @@ def catalog_build(spark: SparkSession, d: str) -> DataFrame:
     return _catalog_flat(cat.read_catalog(spark, path))
 
 
+@query
+def catalog_versions(spark: SparkSession, d: str) -> DataFrame:
+    """A catalog replaced, appended to and rolled back: rows of every version."""
+    path = fresh_path(spark, "catalog")
+    rows = stage_table(inputs.catalog(spark, d, with_vectors=False), "catalog-rows")
+    cat.replace_catalog(rows.where("modality = 'text'"), path)
+    cat.append_catalog(rows.where("modality = 'image'"), path)
+    snapshots.replace(
+        rows.where("modality = 'audio'").select(*schemas.CATALOG.fieldNames()), path, "modality"
+    )
+    snapshots.roll_back(spark, path, 2)
+    out = None
+    for version in snapshots.history(spark, path):
+        held = cat.read_catalog(spark, path, version.number)
+        counted = held.groupBy("modality").agg(F.count("*").alias("n_rows")).select(
+            F.lit(version.number).alias("version"), F.lit(version.action).alias("action"), "modality", "n_rows"
+        )
+        out = counted if out is None else out.unionByName(counted)
+    return out
+
+
 @query
 def catalog_metadata(spark: SparkSession, d: str) -> DataFrame:
     """Fields read back out of the metadata JSON."""

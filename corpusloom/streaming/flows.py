@@ -18,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from corpusloom import schemas
-from corpusloom.operators import dedup
+from corpusloom.operators import dedup, kept_store
 from corpusloom.session import discard, fresh_path, list_folder, move, scratch
 
 
@@ -139,25 +139,24 @@ def near_dedup_stream(
 ) -> StreamingQuery:
     """Keep what is not similar to anything kept before.
 
-    Batches are decided in turn against the table of kept vectors. The batch
-    itself is excluded from that table, so that running it again decides it
-    the same way.
+    Batches are decided in turn against the store of kept vectors at ``path``
+    (``kept_store``), of which each reads only the cells it can reach. A batch reads
+    the batches before it, so that running it again decides it the same way.
     """
-    spark = stream.sparkSession
-    schema = "pos bigint, vec array<float>, batch_id bigint"
-    nothing = spark.createDataFrame([], "pos bigint, vec array<float>")
-    nothing.write.mode("ignore").parquet(_batch_path(path, -1))
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        table = batch.sparkSession.read.schema(schema).parquet(path)
-        kept = table.where(F.col("batch_id") < batch_id)
-        with scratch(batch.sparkSession):
-            fresh = dedup.kept_of_batch(batch, kept, pos, vec, dim, threshold)
-            fresh.select("pos", "vec").write.mode("overwrite").parquet(_batch_path(path, batch_id))
+        session = batch.sparkSession
+        with scratch(session):
+            kept_store.KeptStore(session, path, dim, threshold).add(batch, batch_id, pos, vec)
 
     return _start(stream, each, progress, trigger)
 
 
+def read_kept(spark: SparkSession, path: str, dim: int) -> DataFrame:
+    """``pos, vec, batch_id`` of what a near-dedup flow has kept so far."""
+    return kept_store.KeptStore(spark, path, dim).kept()
+
+
 def window_counts(
     stream: DataFrame,
     ts: str,
