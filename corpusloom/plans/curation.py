@@ -20,6 +20,7 @@ from corpusloom.operators import catalog as cat
 from corpusloom.operators import dedup, embed, quality, shards, versions
 from corpusloom.operators.search import CLIP_SPACE
 from corpusloom.session import scratch, stage_table
+from corpusloom.sources import tarshard
 
 # Manifest file name of each modality.
 MANIFEST_NAMES = {
@@ -276,7 +277,7 @@ def stage_benchmark(run: Run, name: str) -> dict:
     import time
 
     path = run.layout.shards(name)
-    if not cat.path_exists(run.spark, path):
+    if not tarshard.exists(run.spark, path):
         return {"status": "skipped", "reason": "no shards", "rows": 0}
     started = time.time()
     stats = shards.shard_stats(shards.read_shards(run.spark, path, records=False))

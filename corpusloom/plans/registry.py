@@ -900,7 +900,7 @@ def shard_scan(spark: SparkSession, d: str) -> DataFrame:
     table = every.where("quality_status = 'pass'")
     items = versions.select_items(table, "v001")
     path = fresh_path(spark, "shards")
-    shards.write_shards(shards.plan_members(items, table, 500), path, items, shard_size=500)
+    shards.write_shards(shards.plan_members(items, table, 500), path, items, None, 500)
     members = shards.read_shards(spark, path).where(F.col("name").endswith(".json"))
     kind = "id string, modality string, caption string, license string, text string"
     record = members.select("shard", F.from_json("json", kind).alias("r")).select("shard", "r.*")

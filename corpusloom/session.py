@@ -144,13 +144,3 @@ def move(spark: SparkSession, source: str, target: str) -> None:
     fs.mkdirs(b.getParent())
     if not fs.rename(a, b):
         raise OSError(f"could not move {source} to {target}")
-
-
-def files_below(spark: SparkSession, path: str) -> list[str]:
-    """All files of a folder and its folders."""
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
-    found, out = fs.listFiles(at, True), []
-    while found.hasNext():
-        out.append(str(found.next().getPath().toString()))
-    return out

@@ -166,8 +166,8 @@ def test_shards(spark, tmp_path):
     out = tmp_path / "shards"
     contents = spark.read.format("binaryFile").load(str(tmp_path / "*.jpg"))
     shards.write_shards(members, str(out), items, contents, 2)
-    assert _tars(out) == ["shard-000000.tar", "shard-000001.tar"]
-    with tarfile.open(out / "shard-000000.tar") as tar:
+    assert sorted(_tars(spark, out)) == ["shard-000000.tar", "shard-000001.tar"]
+    with tarfile.open(_tars(spark, out)["shard-000000.tar"]) as tar:
         names = tar.getnames()
         record = json.load(io.BytesIO(tar.extractfile("b.json").read()))
         assert tar.extractfile("b.jpg").read() == b"picture"
@@ -181,18 +181,56 @@ def test_shards(spark, tmp_path):
     assert total["items"] == 3 and total["items_per_second"] == 1.5
     # A smaller write leaves no old shard, one that fails nothing at all.
     shards.write_shards(members.where("shard_idx = 0"), str(out), None, contents, 2)
-    assert _tars(out) == ["shard-000000.tar"]
+    left = _tars(spark, out)
+    assert list(left) == ["shard-000000.tar"]
     with pytest.raises(Exception, match="no content for"):
         shards.write_shards(members, str(out), items, contents.where("false"), 2)
-    assert _tars(out) == ["shard-000000.tar"]
+    assert _tars(spark, out) == left
+    # Nothing of the failed write stays, of the first one nothing after two more.
+    assert len(list((out / "sets").iterdir())) == 2
+    shards.write_shards(members.where("shard_idx = 0"), str(out), None, contents, 2)
+    assert len(list((out / "sets").iterdir())) == 2
+    counted = {r.shard: r.n for r in shards.read_shards(spark, str(out)).groupBy("shard").agg(F.count("*").alias("n")).collect()}
+    assert counted == {"shard-000000.tar": 3}
     with pytest.raises(ValueError):
         shards.write_shards(members, str(out), items)
     with pytest.raises(Exception, match="nosuch"):
         shards.write_shards(members.where("id = 'a'"), "nosuch://x/shards")
 
 
-def _tars(folder):
-    return sorted(p.name for p in folder.iterdir() if not p.name.startswith("."))
+def _tars(spark, folder):
+    return {r.shard: r.file for r in shards.shard_files(spark, str(folder)).collect()}
+
+
+def test_shards_are_packed_by_bytes(spark):
+    """A large shard alone, small ones together, in order; all in the right task."""
+    sizes = spark.createDataFrame(
+        [(i, 1000 if i == 3 else 10, 1) for i in range(2500)], "shard_idx bigint, bytes bigint, items int"
+    )
+    got = pairs(tarshard.packed(sizes, 100).drop("items"))
+    before, want = 0, {}
+    for i in range(2500):
+        want[i] = before // 100
+        before += 1000 if i == 3 else 10
+    assert got == want
+
+
+def test_thousands_of_shards_take_few_tasks(spark, tmp_path):
+    n = 600
+    members = spark.range(n).select(
+        F.col("id").alias("shard_idx"), F.col("id").alias("pos"), F.format_string("i%d", "id").alias("id"),
+        *[F.lit("").alias(c) for c in ("source", "modality", "caption", "quality_status", "license")],
+        F.lit("{}").alias("metadata_json"), F.lit("").alias("asset"), F.lit("t").alias("text"),
+        F.array(F.lit(1.0).cast("float")).alias("embedding"), F.lit("").alias("content_path"),
+    )
+    out = str(tmp_path / "shards")
+    shards.write_shards(members, out, shard_size=1, task_bytes=1 << 19)
+    listed = shards.shard_files(spark, out)
+    assert listed.count() == n and listed.where("items = 1 and bytes % 512 = 0").count() == n
+    tasks = listed.select(F.regexp_extract("file", "part-([0-9]+)", 1)).distinct().count()
+    assert 3 <= tasks <= 6
+    stats = shards.shard_stats(shards.read_shards(spark, out, records=False))
+    assert stats.where("items = 1").count() == n
 
 
 @pytest.mark.parametrize("size", [0, 1, 400, 512, 1024, 3000])
@@ -209,7 +247,7 @@ def test_empty_shard_is_an_empty_tar(spark, tmp_path):
     out = tmp_path / "shards"
     contents = spark.read.format("binaryFile").load(str(tmp_path / "*.jpg"))
     shards.write_shards(members.where("shard_idx = 0"), str(out), items, contents, 2)
-    with tarfile.open(out / "shard-000001.tar") as tar:
+    with tarfile.open(_tars(spark, out)["shard-000001.tar"]) as tar:
         assert tar.getnames() == []
 
 
