@@ -66,7 +66,7 @@ with recursive vecs as (
     select vec_id, list_transform(embedding, lambda x: x::double) as v from embeddings),
 links as (
     select a.vec_id as a, b.vec_id as b from vecs a, vecs b
-    where a.vec_id <> b.vec_id and list_cosine_similarity(a.v, b.v) >= {vectors_dedup.THRESHOLD}),
+    where a.vec_id <> b.vec_id and len(a.v) = len(b.v) and list_cosine_similarity(a.v, b.v) >= {vectors_dedup.THRESHOLD}),
 reach as (
     select vec_id as a, vec_id as b from vecs
     union select reach.a, links.b from reach join links on reach.b = links.a),

@@ -3,64 +3,79 @@
 Components are scaled to whole numbers, so scores are exact. One more
 coordinate, ``sqrt(M - |x|^2)`` with ``M`` the largest squared length, turns the
 largest inner product into the smallest distance. Each vector belongs to its
-nearest pivot and is keyed by the distance to it; the index is sorted by pivot
-and distance, so a run of rows is an annulus around its pivot.
-
-A search expands annuli. The triangle inequality bounds how near an annulus can
-come to a query; once that is farther than the query's k-th best so far, the
-annulus is skipped for that query. The k-th best of a sample gives each query a
-bound to begin with. The bound only saves products: results are exact.
-
-Queries are searched in blocks of bounded size, each one pass over the index; a
-task returns at most k rows per query. Pivots are fitted on at most
-``SAMPLE_ROWS`` rows, chosen by a hash; every row is indexed.
-
-Defined cases: vectors that are null, empty, hold null or non-finite components
-or differ in length from the most frequent one take no part; rows with a null
-id are candidates but no queries. Rows that repeat an id are queries and
-candidates of their own. Scaled components are held within +-2**27, so that
-sums stay exact. An empty table gives an empty result.
+nearest pivot and is keyed by the distance to it; the index is stored in rings
+around the pivots and sorted by distance inside them, so a run of rows is an
+annulus around its pivot.
+
+A search expands rings outwards. The triangle inequality bounds how near a ring
+can come to a query. Each query begins with the rings it is nearest to and takes
+further ones in order, in waves that hold ``WAVE_GROWTH`` times as many rows each;
+a ring that is farther than the query's k-th best so far is left out, and the
+search stops when that holds for all rings left. A wave is one job that reads only
+the rings some query asks for; inside a ring annuli are left out the same way. The
+k-th best of a sample gives each query a bound to begin with. Bounds only save
+products: results are exact.
+
+Queries are searched in blocks of bounded size; a task returns at most k rows per
+query, and the driver sees a number per query and a row per ring (at most ``PIVOTS``
+times ``RINGS``). Pivots are fitted on at most ``SAMPLE_ROWS`` rows, chosen by a
+hash; every row is indexed.
+
+Defined cases: vectors that are null, empty or hold null or non-finite components
+take no part, nor do those with a component beyond ``+-2**50``, which scaled leave
+no room for exact sums. Vectors of different lengths have no inner product: each
+length is searched on its own. Where components are so large that a score may leave
+64 bits, products and ranks are computed in whole numbers of any size; a score that
+does leave them is returned as the nearest number of 64 bits. Rows with a null id
+are candidates but no queries. Rows that repeat an id are queries and candidates of
+their own. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.vectors_dedup import common_length, finite
-from corpusloom.session import stage_table
+from corpusloom.llm.vectors_dedup import finite
+from corpusloom.session import fresh_path, stage_table
 
 SCALE = 256
-BOUND = 1 << 27
+BOUND = float(1 << 50)
 PIVOTS = 64
+RINGS = 16
 SAMPLE_ROWS = 2048
 QUERY_BLOCK = 4096
+# Rows of a query's first rings at least, and how many times more each wave takes.
+FIRST_ROWS = 1024
+WAVE_GROWTH = 8
 SEED = 23
 _ANNULUS = 512
+_RING_ROWS = 4096
 _EXACT = float(1 << 53)
-_HITS = "query bigint, vec_id bigint, score bigint"
+_LONG = 1 << 63
+_LOWEST = -(10**38)
+_LAST_ID = _LONG - 1
 
 
 def scaled(vec: str, scale: int = SCALE) -> Column:
     """``floor(scale * x)`` of each component, in double precision."""
-    return F.transform(
-        vec,
-        lambda x: F.floor(
-            F.greatest(F.least(x.cast("double") * scale, F.lit(float(BOUND))), F.lit(float(-BOUND)))
-        ).cast("bigint"),
-    )
+    return F.transform(vec, lambda x: F.floor(x.cast("double") * scale).cast("bigint"))
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of rows of whole numbers."""
-    most = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * a.shape[1]
+    """Exact inner products of rows of whole numbers, as Python's own where 64 bits
+    may not hold them."""
+    most = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * a.shape[1]
     if most < _EXACT:
         return np.rint(a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
-    return a @ b.T
+    if most < _LONG / 2:
+        return a @ b.T
+    return a.astype(object) @ b.T.astype(object)
 
 
 def _lifted(rows: np.ndarray, longest: float) -> np.ndarray:
@@ -88,18 +103,26 @@ def fit_pivots(sample: np.ndarray, longest: float, n: int = PIVOTS) -> np.ndarra
     return centres
 
 
-def _keyed(pivots: np.ndarray, longest: float):
+def _keyed(pivots: np.ndarray, longest: float, rings: int):
+    """Pivot, distance and ring; lifted vectors are at most ``2 sqrt(M)`` apart."""
+    width = max(2 * np.sqrt(longest) / rings, 1e-300)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if not len(batch):
                 continue
             far = _distances(_lifted(np.stack(batch["x"].to_numpy()), longest), pivots)
             pivot = far.argmin(axis=1)
-            yield batch.assign(pivot=pivot, distance=far[np.arange(len(far)), pivot])
+            distance = far[np.arange(len(far)), pivot]
+            ring = np.minimum(distance / width, rings - 1).astype(np.int64)
+            yield batch.assign(pivot=pivot, distance=distance, cell=pivot * rings + ring)
 
     return run
 
 
+_NONE = np.zeros(0, np.int64)
+
+
 class _Best:
     """The k best candidates per query: by score, then by the smaller id."""
 
@@ -121,7 +144,7 @@ class _Best:
         self.waiting, self.n = [], 0
         if not len(query):
             return
-        order = np.lexsort((ids, -score, query))
+        order = _ranked(query, ids, score)
         query, ids, score = query[order], ids[order], score[order]
         starts = np.flatnonzero(np.r_[True, query[1:] != query[:-1]])
         place = np.arange(len(query)) - np.repeat(starts, np.diff(np.r_[starts, len(query)]))
@@ -131,11 +154,28 @@ class _Best:
         self.floor[query[last]] = np.maximum(self.floor[query[last]], score[last])
 
 
+def _ranked(query: np.ndarray, ids: np.ndarray, score: np.ndarray) -> np.ndarray:
+    if score.dtype == object:  # lexsort takes no whole numbers of any size
+        return np.array(sorted(range(len(ids)), key=lambda i: (query[i], -score[i], ids[i])), int)
+    return np.lexsort((ids, -score, query))
+
+
+def _gaps(to_pivot: np.ndarray, low, high) -> np.ndarray:
+    """How near what lies between two distances of a pivot can come."""
+    return np.maximum(np.maximum(to_pivot - high, low - to_pivot), 0)
+
+
+def _most(reach: np.ndarray, gap: np.ndarray) -> np.ndarray:
+    """No vector at least so far away scores higher; the slack covers rounding."""
+    return (reach - gap * gap) / 2 + 1e-6 * reach + 1
+
+
 def _search(sent, k: int):
-    """One pass over the index for the queries that were sent out."""
+    """One pass over some rings for the queries that were sent out; ``asked`` says
+    per cell which queries take it in this wave."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        own_row, queries, floor, pivots, longest = sent.value
+        own_row, queries, floor, pivots, longest, asked, wide = sent.value
         # A query has nothing in the coordinate that was added.
         to_pivot = _distances(np.c_[queries, np.zeros(len(queries))], pivots)
         reach = (queries.astype(np.float64) ** 2).sum(axis=1) + longest
@@ -143,11 +183,10 @@ def _search(sent, k: int):
         for batch in batches:
             for rows in _annuli(batch):
                 pivot = rows["pivot"].iloc[0]
-                low, high = rows["distance"].min(), rows["distance"].max()
-                gap = np.maximum(np.maximum(to_pivot[:, pivot] - high, low - to_pivot[:, pivot]), 0)
-                # No row of the annulus scores higher; the slack covers rounding.
-                most = (reach - gap * gap) / 2 + 1e-6 * reach + 1
-                live = np.flatnonzero(most >= best.floor)
+                takes = asked.get(int(rows["cell"].iloc[0]), _NONE)
+                distance = rows["distance"]
+                gap = _gaps(to_pivot[takes, pivot], distance.min(), distance.max())
+                live = takes[_most(reach[takes], gap) >= best.floor[takes]]
                 if not len(live):
                     continue
                 scores = _products(queries[live], np.stack(rows["x"].to_numpy()))
@@ -159,6 +198,8 @@ def _search(sent, k: int):
                 best.prune()
         best.prune()
         query, ids, score = best.held
+        if wide:
+            score = [Decimal(int(x)) for x in score]
         yield pd.DataFrame({"query": own_row[query], "vec_id": ids, "score": score})
 
     return run
@@ -170,7 +211,7 @@ def _annuli(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
     A batch may cross files, which come in any order, so a run also ends where
     the distance falls.
     """
-    pivot, distance = batch["pivot"].to_numpy(), batch["distance"].to_numpy()
+    pivot, distance = batch["cell"].to_numpy(), batch["distance"].to_numpy()
     new = (pivot[1:] != pivot[:-1]) | (distance[1:] < distance[:-1])
     starts = np.flatnonzero(np.r_[True, new]) if len(pivot) else []
     for start, stop in zip(starts, np.r_[starts[1:], len(pivot)] if len(pivot) else []):
@@ -182,6 +223,122 @@ def _matrix(rows, dim: int) -> np.ndarray:
     return np.array([r["x"] for r in rows], np.int64).reshape(len(rows), dim)
 
 
+def _index(rows: DataFrame, centres: np.ndarray, longest: float, rings: int) -> str:
+    """Writes ``vec_id, row, x, pivot, distance`` by cell (a ring of a pivot)."""
+    schema = "vec_id bigint, row bigint, x array<bigint>, pivot int, distance double, cell int"
+    index = rows.select("vec_id", "row", "x").mapInPandas(_keyed(centres, longest, rings), schema)
+    order = ["cell", "distance", "row"]
+    path = fresh_path(rows.sparkSession, "topk-index")
+    index = index.repartitionByRange(*order).sortWithinPartitions(*order)
+    index.write.partitionBy("cell").parquet(path)
+    return path
+
+
+class _Rings:
+    """What the driver knows of the index: a row per ring."""
+
+    def __init__(self, index: DataFrame, rings: int):
+        held = index.groupBy("cell").agg(
+            F.min("distance").alias("low"), F.max("distance").alias("high"), F.count("*").alias("n")
+        )
+        found = held.toPandas()
+        self.cell = found["cell"].to_numpy(np.int64)
+        self.pivot = self.cell // rings
+        self.low, self.high, self.n = (found[c].to_numpy() for c in ("low", "high", "n"))
+
+    def waves(self, to_pivot: np.ndarray, reach: np.ndarray, floor):
+        """Per wave ``{cell: queries}``, nearest rings first; ``floor`` is asked
+        for the k-th best so far before each one."""
+        gap = _gaps(to_pivot[:, self.pivot], self.low, self.high)
+        most = _most(reach[:, None], gap)
+        order = np.argsort(gap, axis=1, kind="stable")
+        place = np.argsort(order, axis=1, kind="stable")
+        # Rows in the rings before each one, in the query's own order.
+        ahead = np.cumsum(self.n[order], axis=1) - self.n[order]
+        ahead = np.take_along_axis(ahead, place, axis=1)
+        done, size = np.zeros(gap.shape, bool), FIRST_ROWS
+        while not done.all():
+            open_ = ~done & (most >= floor()[:, None])
+            if not open_.any():
+                return  # every ring left is too far for every query
+            now = open_ & (ahead < size)
+            done |= (ahead < size) | ~open_
+            size *= WAVE_GROWTH
+            if now.any():
+                yield {
+                    int(c): np.flatnonzero(now[:, i]) for i, c in enumerate(self.cell) if now[:, i].any()
+                }
+
+
+def _best_of(hits: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
+def _top_of_length(
+    usable: DataFrame, dim: int, is_query: Column, k: int, n_pivots: int, query_block: int
+) -> DataFrame | None:
+    """``query, rank, vec_id, score`` among vectors of one length."""
+    spark = usable.sparkSession
+    square = F.aggregate("x", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double"))
+    largest = F.array_max(F.transform("x", lambda v: F.abs(v)))
+    n, longest, most = usable.agg(F.count("*"), F.max(square), F.max(largest)).first()
+    wide = float(most) ** 2 * dim >= _LONG / 2
+    kind = object if wide else np.int64
+    lowest = _LOWEST if wide else np.iinfo(np.int64).min
+    turn = F.xxhash64("row", F.lit(SEED))
+    sample = usable.select("vec_id", "row", "x").orderBy(turn, "row").limit(SAMPLE_ROWS).collect()
+    sample_x, sample_row = _matrix(sample, dim), np.array([r["row"] for r in sample])
+    # Small tables have few pivots and rings, so that none is nearly empty.
+    n_pivots = int(min(n_pivots, max(1, np.ceil(np.sqrt(n) / 2))))
+    rings = int(min(max(n // (n_pivots * _RING_ROWS), 4), RINGS))
+    centres = fit_pivots(sample_x, longest, n_pivots)
+    path = _index(usable, centres, longest, rings)
+    index = spark.read.parquet(path)
+    known = _Rings(index, rings)
+    queries = stage_table(
+        usable.where(~F.col("nameless")).where(is_query).select("row", "x"), "topk-queries"
+    )
+    n_blocks = -(-queries.count() // query_block)
+    score = "decimal(38,0)" if wide else "bigint"
+    out = None
+    for block in range(n_blocks):
+        in_block = F.pmod(F.xxhash64("row"), F.lit(n_blocks)) == block
+        some = queries.where(in_block).collect()
+        if not some:
+            continue
+        x, own = _matrix(some, dim), np.array([r["row"] for r in some])
+        floors = np.full(len(x), lowest, kind)
+        if len(sample) > k:
+            seen = _products(x, sample_x).astype(kind)
+            seen[own[:, None] == sample_row] = lowest
+            floors = np.sort(seen, axis=1)[:, -k]
+        number = {int(r): i for i, r in enumerate(own)}
+        # A query has nothing in the coordinate that was added.
+        to_pivot = _distances(np.c_[x, np.zeros(len(x))], centres)
+        reach = (x.astype(np.float64) ** 2).sum(axis=1) + longest
+        best = None
+        for asked in known.waves(to_pivot, reach, lambda: floors):
+            sent = spark.sparkContext.broadcast((own, x, floors, centres, longest, asked, wide))
+            rows = index.where(F.col("cell").isin(list(asked)))
+            hits = rows.mapInPandas(_search(sent, k), f"query bigint, vec_id bigint, score {score}")
+            if best is not None:
+                hits = hits.unionByName(best.drop("rank"))
+            # Written, so that a wave is over before the next one is sent.
+            best = stage_table(_best_of(hits, k), "topk-best")
+            sent.unpersist()
+            for r in best.where(F.col("rank") == k).select("query", "score").collect():
+                at = number[r["query"]]
+                floors[at] = max(floors[at], int(r["score"]))
+        if best is not None:
+            out = best if out is None else out.unionByName(best)
+    return out
+
+
+def _matrix(rows, dim: int) -> np.ndarray:
+    return np.array([r["x"] for r in rows], np.int64).reshape(len(rows), dim)
+
+
 def top_k(
     vectors: DataFrame,
     is_query: Column,
@@ -199,61 +356,34 @@ def top_k(
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vec_col).alias("vec"))
-    dim = common_length(rows, "vec")
-    empty = spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    if not dim:
-        return empty
-    usable = rows.where(finite("vec") & (F.size("vec") == dim))
-    usable = usable.select(
+    small = F.forall("vec", lambda x: F.abs(x.cast("double")) <= BOUND)
+    usable = rows.where(finite("vec") & (F.size("vec") > 0) & small).select(
         # A null id goes after all others among equal scores.
-        F.coalesce("vec_id", F.lit((1 << 63) - 1)).alias("vec_id"),
+        F.coalesce("vec_id", F.lit(_LAST_ID)).alias("vec_id"),
         F.col("vec_id").isNull().alias("nameless"),
         F.monotonically_increasing_id().alias("row"),
         scaled("vec", scale).alias("x"),
     )
     usable = stage_table(usable, "topk-rows")
-    longest = usable.agg(
-        F.max(F.aggregate("x", F.lit(0.0), lambda a, v: a + v.cast("double") * v.cast("double")))
-    ).first()[0]
-    if longest is None:
-        return empty
-    turn = F.xxhash64("row", F.lit(SEED))
-    sample = usable.select("vec_id", "row", "x").orderBy(turn, "row").limit(SAMPLE_ROWS).collect()
-    sample_x, sample_row = _matrix(sample, dim), np.array([r["row"] for r in sample])
-    centres = fit_pivots(sample_x, longest, pivots)
-    schema = "vec_id bigint, row bigint, x array<bigint>, pivot int, distance double"
-    index = usable.select("vec_id", "row", "x").mapInPandas(_keyed(centres, longest), schema)
-    index = index.repartitionByRange("pivot", "distance", "row")
-    index = stage_table(index.sortWithinPartitions("pivot", "distance", "row"), "topk-index")
-    queries = usable.where(~F.col("nameless")).where(is_query).select("vec_id", "row", "x")
-    queries = stage_table(queries, "topk-queries")
-    n_blocks = -(-queries.count() // query_block)
-    hits = None
-    for block in range(n_blocks):
-        in_block = F.pmod(F.xxhash64("row"), F.lit(n_blocks)) == block
-        some = queries.where(in_block).collect()
-        if not some:
-            continue
-        x, own = _matrix(some, dim), np.array([r["row"] for r in some])
-        seen = _products(x, sample_x)
-        seen[own[:, None] == sample_row] = np.iinfo(np.int64).min
-        floor = np.full(len(x), np.iinfo(np.int64).min)
-        if len(sample) > k:
-            floor = np.partition(seen, -k, axis=1)[:, -k]
-        sent = spark.sparkContext.broadcast((own, x, floor, centres, longest))
-        found = index.mapInPandas(_search(sent, k), _HITS)
-        # Written, so that a block is over before the next one is sent.
-        found = stage_table(found, "topk-hits")
-        sent.unpersist()
-        hits = found if hits is None else hits.unionAll(found)
-    if hits is None:
-        return empty
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
-    best = hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-    names = queries.select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"))
-    return best.join(names, "query").select(
+    out = None
+    for r in usable.groupBy(F.size("x").alias("dim")).count().orderBy("dim").collect():
+        own = usable.where(F.size("x") == r["dim"])
+        best = _top_of_length(own, r["dim"], is_query, k, pivots, query_block)
+        if best is not None:
+            best = best.withColumn("score", _as_long(F.col("score")))
+            out = best if out is None else out.unionByName(best)
+    if out is None:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
+    names = usable.select(F.col("row").alias("query"), F.col("vec_id").alias("query_id"))
+    return out.join(names, "query").select(
         "query_id",
         F.col("rank").cast("int").alias("rank"),
-        F.nullif("vec_id", F.lit((1 << 63) - 1)).alias("vec_id"),
+        F.nullif("vec_id", F.lit(_LAST_ID)).alias("vec_id"),
         "score",
     )
+
+
+def _as_long(score: Column) -> Column:
+    bounds = [F.lit(x).cast("decimal(38,0)") for x in (str(-_LONG), str(_LONG - 1))]
+    inside = F.greatest(F.least(score.cast("decimal(38,0)"), bounds[1]), bounds[0])
+    return inside.cast("bigint")

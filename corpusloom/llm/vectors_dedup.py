@@ -14,10 +14,12 @@ Equal vectors are one class, so a group of copies of any size is one row per
 table; crowded buckets are compared in cells of bounded size (``cells``).
 Links form components by rounds of joins (``components``).
 
-Defined cases: vectors that are null, zero, hold null or non-finite components
-or differ in length from the most frequent one link with nothing, and so do
-rows with a null id; their component is their own id. Rows that repeat an id
-are vectors of their own. An empty table gives an empty result.
+Defined cases: vectors that are null, empty, zero or hold null or non-finite
+components link with nothing; their component is their own id. Vectors of
+different lengths link with their own length only. A row with a null id links like
+any other and belongs to the component of the smallest id it reaches; where all of
+them are null, the component is null and all its rows count as kept. Rows that
+repeat an id are vectors of their own. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,14 +29,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.cells import FOUND, compare
+from corpusloom.llm.cells import compare
 from corpusloom.llm.components import components
 from corpusloom.llm.rows import salted_lookup
 from corpusloom.session import stage_table
 
 THRESHOLD = 0.95
 TABLES = 16
-BITS = 14  # at most 16, a key is packed into two bytes
+BITS = 14  # at most 32, a key is packed into four bytes
 SEED = 17
 
 
@@ -44,29 +46,24 @@ def finite(vec: str) -> Column:
     return F.col(vec).isNotNull() & ~bad
 
 
-def common_length(vectors: DataFrame, vec: str) -> int:
-    """The most frequent length among vectors with components, the smaller of
-    equally frequent ones; 0 when there is none."""
-    sizes = vectors.where(F.size(vec) > 0).groupBy(F.size(vec).alias("n")).count()
-    top = sizes.orderBy(F.desc("count"), "n").first()
-    return top["n"] if top else 0
-
-
-def _sign_keys(dim: int, tables: int, bits: int, seed: int):
+def _sign_keys(tables: int, bits: int, seed: int):
     schema = "node bigint, weight bigint, vec array<double>, signs binary"
-    planes = np.random.default_rng(seed).standard_normal((dim, tables * bits))
     powers = (1 << np.arange(bits)).astype(np.int64)
+    planes: dict[int, np.ndarray] = {}
 
     def run(batches):
         for batch in batches:
-            if not len(batch):
-                continue
-            unit = _unit(np.stack(batch["vec"].to_numpy()))
-            signs = (unit @ planes > 0).reshape(len(batch), tables, bits)
-            keys = (signs @ powers).astype("<u2")
-            out = batch[["node", "weight", "vec"]].copy()
-            out["signs"] = [row.tobytes() for row in keys]
-            yield out
+            sizes = batch["vec"].map(len).to_numpy()
+            for dim in np.unique(sizes):
+                if dim not in planes:
+                    rng = np.random.default_rng(seed)
+                    planes[dim] = rng.standard_normal((dim, tables * bits))
+                out = batch.loc[sizes == dim, ["node", "weight", "vec"]].copy()
+                unit = _unit(np.stack(out["vec"].to_numpy()))
+                signs = (unit @ planes[dim] > 0).reshape(len(out), tables, bits)
+                keys = (signs @ powers).astype("<u4")
+                out["signs"] = [row.tobytes() for row in keys]
+                yield out
 
     return run, schema
 
@@ -80,8 +77,10 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 def _near(threshold: float, tables: int):
     def load(held: pd.DataFrame):
-        unit = _unit(np.stack(held["vec"].to_numpy()))
-        signs = np.frombuffer(b"".join(held["signs"]), "<u2").reshape(len(held), tables)
+        # Cells hold vectors of one length; zeros make those of several one matrix.
+        most = max(map(len, held["vec"]), default=0)
+        unit = _unit(np.stack([np.pad(v, (0, most - len(v))) for v in held["vec"]]))
+        signs = np.frombuffer(b"".join(held["signs"]), "<u4").reshape(len(held), tables)
         bucket = held["bucket"].to_numpy()
 
         def first_here(a, b):
@@ -106,18 +105,18 @@ def _near(threshold: float, tables: int):
 
 
 def vector_links(
-    classes: DataFrame, dim: int, threshold: float, tables: int, bits: int, seed: int
+    classes: DataFrame, threshold: float, tables: int, bits: int, seed: int
 ) -> DataFrame:
     """What the nodes of ``classes`` (``node, weight, vec``; distinct vectors)
     find: ``node, links, root``, a node possibly several times."""
-    if not dim:
-        return classes.sparkSession.createDataFrame([], FOUND)
-    run, schema = _sign_keys(dim, tables, bits, seed)
+    run, schema = _sign_keys(tables, bits, seed)
     signed = classes.mapInPandas(run, schema)
     keys = F.transform(
         F.sequence(F.lit(0), F.lit(tables - 1)),
-        # Two bytes of each table, as text and back, stay a built-in expression.
-        lambda t: F.conv(F.hex(F.substring("signs", t * 2 + 1, F.lit(2))), 16, 10).cast("bigint"),
+        # Four bytes of each table, as text and back, stay a built-in expression;
+        # above them the length, so that only vectors of one length meet.
+        lambda t: F.conv(F.hex(F.substring("signs", t * 4 + 1, F.lit(4))), 16, 10).cast("bigint")
+        + F.shiftleft(F.size("vec").cast("bigint"), 32),
     )
     rows = signed.select("node", "weight", "vec", "signs", F.posexplode(keys).alias("bucket", "key"))
     return compare(rows, _near(threshold, tables))
@@ -137,33 +136,31 @@ def near_dedup(
     ``n_links`` counts the other rows linked directly, copies included;
     ``component_id`` is the smallest id reachable by links.
     """
-    if not 0 < bits <= 16 or tables < 1 or not 0 < threshold <= 1:
-        raise ValueError("needs 1 to 16 bits, a table and a threshold in (0, 1]")
+    if not 0 < bits <= 32 or tables < 1 or not 0 < threshold <= 1:
+        raise ValueError("needs 1 to 32 bits, a table and a threshold in (0, 1]")
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vec_col).alias("vec"))
-    dim = common_length(rows, "vec")
-    usable = (
-        F.col("vec_id").isNotNull()
-        & finite("vec")
-        & (F.size("vec") == dim)
-        & F.exists("vec", lambda x: x != 0)
-    )
+    usable = finite("vec") & F.exists("vec", lambda x: x != 0)
     # 96 bits name a vector where only its class is looked up.
     name = [F.xxhash64("vec").alias("h1"), F.hash("vec").alias("h2")]
+    order = [F.col("first_id").asc_nulls_last(), "h1", "h2"]
     classes = (
         rows.where(usable)
         .select("vec_id", "vec", *name)
         .groupBy("h1", "h2", "vec")
         .agg(F.min("vec_id").alias("first_id"), F.count("*").alias("weight"))
-        .repartitionByRange("first_id", "h1", "h2")
-        .sortWithinPartitions("first_id", "h1", "h2")
+        .repartitionByRange(*order)
+        .sortWithinPartitions(*order)
         # Numbers in the order of the ids: the smallest node has the smallest id.
         .withColumn("node", F.monotonically_increasing_id())
     )
     classes = stage_table(classes, "vector-classes")
     found = vector_links(
         classes.select("node", "weight", F.col("vec").cast("array<double>").alias("vec")),
-        dim, threshold, tables, bits, seed,
-    )
+        threshold,
+        tables,
+        bits,
+        seed,
+    )
     found = stage_table(found, "vector-links")
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(found, "node", "root")

@@ -75,16 +75,29 @@ def test_awkward_vectors_link_with_nothing(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(1, [1.0, 0.0]), (2, [2.0, 0.0]), (2, [1.0, 0.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]),
             (6, [inf, 0.0]), (7, [None, 1.0]), (8, []), (9, [1.0, 0.0, 0.0]), (None, [1.0, 0.0]), (10, [-0.0, 1.0]),
-            (11, [0.0, 1.0])]
+            (11, [0.0, 1.0]), (12, [1.0, 0.01, 0.0]), (13, [1.0]), (14, [5.0]), (None, [-1.0, 0.0])]
     got = {}
     for r in vectors_dedup.near_dedup(vectors_of(spark, rows)).collect():
         got.setdefault(r.vec_id, []).append((r.n_links, r.component_id, r.kept))
-    assert got[1] == [(2, 1, True)] and got[2] == [(2, 1, False)] * 2
+    assert got[1] == [(3, 1, True)] and got[2] == [(3, 1, False)] * 2
+    # A null id links as well, with its own or with others.
+    assert sorted(got[None], key=str) == [(0, None, True), (3, 1, False)]
     assert got[10] == [(1, 10, True)] and got[11] == [(1, 10, False)]
-    assert all(got[i] == [(0, i, True)] for i in (3, 4, 5, 6, 7, 8, 9, None))
+    # Every length has its own links.
+    assert got[9] == [(1, 9, True)] and got[12] == [(1, 9, False)]
+    assert got[13] == [(1, 13, True)] and got[14] == [(1, 13, False)]
+    assert all(got[i] == [(0, i, True)] for i in (3, 4, 5, 6, 7, 8))
     assert vectors_dedup.near_dedup(vectors_of(spark, [])).count() == 0
 
 
+def test_vectors_of_two_lengths_and_wide_keys(spark):
+    short, long = clustered(seed=5, groups=4, dim=8), clustered(seed=6, groups=6, dim=12)
+    long = [(i + 1000, v) for i, v in long]
+    got = vectors_dedup.near_dedup(vectors_of(spark, short + long), tables=200, bits=18).collect()
+    want = expected(short) | expected(long)
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want
+
+
 def test_components_of_a_long_chain_and_a_hub(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(100, 100 + i) for i in range(1, 200)]
     edges += [(5, 5), (7, 6), (7, 6), (None, 3), (150, 90)]
@@ -104,7 +117,10 @@ def best_by_hand(rows, every, k=5):
     for q, (i, a) in enumerate(x):
         if i is None or i % every:
             continue
-        others = sorted((-int(a @ b), j) for p, (j, b) in enumerate(x) if p != q)[:k]
+        others = sorted(
+            (-int(a.astype(object) @ b.astype(object)), j) for p, (j, b) in enumerate(x)
+            if p != q and len(a) == len(b)
+        )[:k]
         out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(others)]
     return sorted(out)
 
@@ -140,6 +156,9 @@ def test_top_k_ties_and_awkward_rows(spark):
     got = topk.top_k(frame, F.col("vec_id") % 50 == 0)
     assert tuples(got) == best_by_hand(rows[:-1], 50)
     assert topk.top_k(vectors_of(spark, []), F.lit(True)).count() == 0
+    # Each length is searched on its own.
+    lengths = [(50 * i, [float(i)] * (1 + i % 3)) for i in range(12)]
+    assert tuples(topk.top_k(vectors_of(spark, lengths), F.col("vec_id") % 100 == 0)) == best_by_hand(lengths, 100)
     alone = topk.top_k(vectors_of(spark, [(0, [1.0])]), F.lit(True))
     assert alone.count() == 0
     nameless = topk.top_k(vectors_of(spark, [(0, [1.0]), (None, [3.0])]), F.col("vec_id") == 0)
@@ -152,6 +171,42 @@ def test_large_components_stay_exact(spark):
     assert tuples(topk.top_k(frame, F.col("vec_id") % 4 == 0)) == best_by_hand(rows, 4)
 
 
+def test_very_large_components_are_not_clamped(spark):
+    """Components that differ only beyond 2**27 keep their scores and their order."""
+    rows = [(0, [1.0, 0.0]), (1, [1e6, 0.0]), (2, [2e6, 1.0]), (3, [-1e9, 5.0]), (4, [1e9, 7.0]), (5, [1e9, 8.0])]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    assert tuples(topk.top_k(frame, F.col("vec_id") == 0)) == best_by_hand(rows[:1] + rows[1:], 1)[:5]
+    # Scores beyond 64 bits: the order is exact, what is returned is the nearest.
+    got = topk.top_k(frame, F.col("vec_id") >= 4, k=2).orderBy("query_id", "rank").collect()
+    assert [(r.query_id, r.vec_id) for r in got] == [(4, 5), (4, 2), (5, 4), (5, 2)]
+    assert got[0].score == (1 << 63) - 1
+    assert got[1].score == (1 << 63) - 1
+
+
+def test_search_expands_from_the_own_ring_and_stops(spark, monkeypatch):
+    """Far groups: the rings that are read are few, and their number is bounded."""
+    rng = np.random.default_rng(9)
+    rows = [
+        (c * 100 + i, (np.eye(24)[c] * 9 + 0.01 * rng.standard_normal(24)).tolist())
+        for c in range(24)
+        for i in range(100)
+    ]
+    asked = []
+    whole = topk._Rings.waves
+
+    def watched(self, *args):
+        for wave in whole(self, *args):
+            asked.append((sum(map(len, wave.values())), len(self.cell)))
+            yield wave
+
+    monkeypatch.setattr(topk._Rings, "waves", watched)
+    monkeypatch.setattr(topk, "FIRST_ROWS", 50)
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    assert tuples(topk.top_k(frame, F.col("vec_id") % 100 == 0)) == best_by_hand(rows, 100)
+    rings = asked[0][1]
+    assert rings >= 20 and sum(n for n, _ in asked) <= 24 * rings / 4
+
+
 def test_runs_of_one_pivot_may_be_out_of_order():
     """Two files of a pivot that follow each other in the wrong order."""
     from types import SimpleNamespace
@@ -161,11 +216,12 @@ def test_runs_of_one_pivot_may_be_out_of_order():
     x = np.array([3, 2, 1, 9, 8, 7])
     # Lifted to length 9; the pivot is (9, 0).
     distance = np.sqrt((x - 9.0) ** 2 + 81 - x**2)
-    batch = pd.DataFrame({"pivot": 0, "distance": distance, "row": np.arange(6), "vec_id": x})
+    batch = pd.DataFrame({"pivot": 0, "cell": 3, "distance": distance, "row": np.arange(6), "vec_id": x})
     batch["x"] = [np.array([a]) for a in x]
     assert all(run["distance"].is_monotonic_increasing for run in topk._annuli(batch))
     for query, floor in ((9, 50), (1, 5)):
-        sent = (np.array([99]), np.array([[query]]), np.array([floor]), np.array([[9.0, 0.0]]), 81.0)
+        asked = {3: np.array([0])}
+        sent = (np.array([99]), np.array([[query]]), np.array([floor]), np.array([[9.0, 0.0]]), 81.0, asked, False)
         found = pd.concat(topk._search(SimpleNamespace(value=sent), 3)([batch]))
         want = sorted((query * a for a in x), reverse=True)[:3]
         assert sorted(found["score"], reverse=True) == want
