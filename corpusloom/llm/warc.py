@@ -11,7 +11,7 @@ Reading: members and plain records are checked one after the other (gzip
 check sum, version line, header, length, end of record, digests). After a failed
 check the reader searches for the next place where a valid member or version
 line starts, goes on there and reports the bytes in between as a gap with the
-reason. An archive is handled by one task; the writer bounds its records.
+reason; inside a member that unpacks soundly it does the same by version lines. An archive is handled by one task; the writer bounds its records.
 
 Defined cases: a null or empty payload is an empty response; payloads under
 ``MIN_REVISIT`` bytes are always responses; rows that repeat the id of their
@@ -37,24 +37,27 @@ from corpusloom.llm.rows import ROW, lasting, salted_lookup, with_row, without
 from corpusloom.session import stage_table
 
 MIN_REVISIT = 100
-RECORDS_PER_FILE = 4000
-# Records from this payload size on are written uncompressed.
-PLAIN_FROM = 8 << 20
-# A record that unpacks to more is not read.
-MOST_BYTES = 1 << 30
+# Sizes of records below which so many go into a file: a file stays well under the
+# 2 GB that a reader takes as one value, whatever its records hold.
+RECORDS_PER_FILE = {256 << 10: 4000, 8 << 20: 200}
+# Longer records are written uncompressed, each in its own file.
+# A member that unpacks to more than a value of Spark may hold is not read.
+MOST_BYTES = (1 << 31) - 1
 DATE = "1970-01-01T00:00:00Z"
 LEVEL = 5
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _MAGIC = b"\x1f\x8b\x08"
 _END = b"\r\n\r\n"
 _FEED = 1 << 16
-_MOST_HEADER = 1 << 16
+_VERSION = re.compile(rb"WARC/\d+\.\d+\r?\n")
+_HEADER_END = re.compile(rb"\r\n\r\n")
 # Rows and payload bytes that go back to Spark at a time.
 _OUT_ROWS = 500
 _OUT_BYTES = 32 << 20
 # Where a member or a version line may start; after a record that was cut off
 # it need not be at the start of a line.
 _START = re.compile(rb"\x1f\x8b\x08|WARC/\d")
+_LINE = re.compile(rb"WARC/\d")
 FOUND = (
     "file string, kind string, offset bigint, length bigint, reason string, type string, "
     "record_id string, refers_to string, uri string, payload_bytes bigint, "
@@ -120,14 +123,15 @@ def _unpacked(data: memoryview, at: int) -> tuple[bytes, int]:
 def _parsed(data, at: int) -> tuple[dict, memoryview, int]:
     """Header, block and end of the record at ``at`` of a buffer."""
     view = memoryview(data)
-    opening = bytes(view[at : at + _MOST_HEADER])
-    if not re.match(rb"WARC/\d+\.\d+\r?\n", opening):
+    if not _VERSION.match(view, at):
         raise Damaged("no version line")
-    stop = opening.find(_END)
-    if stop < 0:
+    # A header line of any length; a header that never ends costs one search.
+    ended = _HEADER_END.search(view, at)
+    if not ended:
         raise Damaged("header does not end")
+    stop = ended.start() - at
     header = {}
-    for line in opening[:stop].split(b"\r\n")[1:]:
+    for line in bytes(view[at : at + stop]).split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
         if not colon:
             raise Damaged("header line without a colon")
@@ -198,24 +202,46 @@ def _row(header: dict, block) -> dict:
     }
 
 
+def _in_member(content: bytes) -> Iterator[dict]:
+    """Records of what a member holds, and a gap with its place inside (``inner``)
+    for each run of bytes that is none."""
+    pos, start, reason = 0, None, ""
+    while pos < len(content):
+        try:
+            header, block, end = _parsed(content, pos)
+            row = _row(header, block)
+        except Damaged as e:
+            if start is None:
+                start, reason = pos, str(e)
+            found = _LINE.search(content, pos + 1)
+            pos = found.start() if found else len(content)
+            continue
+        if start is not None:
+            yield {"gap": reason, "inner": start, "inner_length": pos - start}
+            start = None
+        yield row
+        pos = end
+    if start is not None:
+        yield {"gap": reason, "inner": start, "inner_length": len(content) - start}
+
+
 def _rows_at(data: memoryview, at: int) -> tuple[list[dict], int]:
-    """The records that start at ``at`` (a member may hold several)."""
+    """The records that start at ``at``. A member may hold several; one that
+    unpacks soundly is salvaged inside, if it holds any record at all."""
     if bytes(data[at : at + 3]) != _MAGIC:
         header, block, end = _parsed(data, at)
         return [_row(header, block)], end
     content, end = _unpacked(data, at)
-    rows, pos = [], 0
-    while pos < len(content):
-        header, block, pos = _parsed(content, pos)
-        rows.append(_row(header, block))
-    if not rows:
-        raise Damaged("empty member")
+    rows = list(_in_member(content))
+    if not any("gap" not in row for row in rows):
+        raise Damaged(rows[0]["gap"] if rows else "empty member")
     return rows, end
 
 
 def salvage(data: bytes) -> Iterator[dict]:
     """Records of an archive in order, and a gap for each run of bytes that is
-    none. Offsets and lengths are those of the archive's bytes."""
+    none. Offsets and lengths are those of the archive's bytes; a gap inside a
+    sound member has the member's, and its own in the reason."""
     view, at = memoryview(data), 0
     while at < len(data):
         try:
@@ -236,7 +262,11 @@ def salvage(data: bytes) -> Iterator[dict]:
             if rows is None:
                 return
         for row in rows:
-            yield row | {"kind": "record", "offset": at, "length": end - at}
+            if "gap" in row:
+                where = f"bytes {row['inner']} to {row['inner'] + row['inner_length']} of the member"
+                yield {"kind": "gap", "offset": at, "length": end - at, "reason": f"{row['gap']} ({where})"}
+            else:
+                yield row | {"kind": "record", "offset": at, "length": end - at}
         at = end
 
 
@@ -244,16 +274,19 @@ def salvage(data: bytes) -> Iterator[dict]:
 
 
 def duplicates(
-    pages: DataFrame, id_col: str, payload_col: str, min_revisit: int = MIN_REVISIT
+    pages: DataFrame, id_col: str, payload_col: str, uri_col: str, min_revisit: int = MIN_REVISIT
 ) -> DataFrame:
-    """``ROW, page_id, payload_bytes, payload_digest, refers_to`` per page;
-    ``refers_to`` is null for responses."""
+    """``ROW, page_id, payload_bytes, payload_digest, refers_to, record_bytes`` per
+    page; ``refers_to`` is null for responses, ``record_bytes`` is what the record
+    holds at most, besides its fixed parts."""
     payload = F.coalesce(F.col(payload_col), F.lit(""))
     rows = with_row(
         pages,
         F.col(id_col).alias("page_id"),
         F.octet_length(payload).cast("bigint").alias("payload_bytes"),
         F.sha2(payload, 256).alias("payload_digest"),
+        # A quoted byte takes three.
+        (F.coalesce(F.octet_length(F.col(uri_col)), F.lit(0)) * F.lit(3)).cast("bigint").alias("uri_bytes"),
     )
     rows = stage_table(rows, "payloads")
     firsts = rows.where(F.col("payload_bytes") >= min_revisit).groupBy("payload_digest").agg(
@@ -267,6 +300,9 @@ def duplicates(
         "payload_bytes",
         "payload_digest",
         F.when(revisits, F.col("first_id")).alias("refers_to"),
+        (F.when(revisits, F.lit(0)).otherwise(F.col("payload_bytes")) + F.col("uri_bytes")).alias(
+            "record_bytes"
+        ),
     )
 
 
@@ -292,11 +328,11 @@ def _members(plain: bool):
     return run
 
 
-def _write_records(rows: DataFrame, path: str, plain: bool) -> None:
+def _write_records(rows: DataFrame, path: str, plain: bool, per_file: int) -> None:
     made = rows.mapInArrow(_members(plain), "value binary")
     made.select(F.col("value").cast("string").alias("value")).write.mode("append").option(
         "lineSep", _END.decode() if plain else "\0"
-    ).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    ).option("maxRecordsPerFile", per_file).text(path)
 
 
 def write(
@@ -309,7 +345,7 @@ def write(
 ) -> None:
     """Write ``pages`` as an archive folder at ``path``."""
     pages = lasting(pages)
-    judged = stage_table(duplicates(pages, id_col, payload_col, min_revisit), "page-fates")
+    judged = stage_table(duplicates(pages, id_col, payload_col, uri_col, min_revisit), "page-fates")
     revisits = judged.where(F.col("refers_to").isNotNull())
     text = F.coalesce(F.col(payload_col), F.lit(""))
     responses = without(pages, revisits).select(
@@ -329,11 +365,19 @@ def write(
         F.lit(None).cast("string").alias("payload"),
         F.col("refers_to").cast("string").alias("refers"),
     )
-    large = F.octet_length("payload") >= PLAIN_FROM
-    _write_records(responses.where(~large), path, plain=False)
-    _write_records(again, path, plain=False)
-    if judged.where(F.col("refers_to").isNull() & (F.col("payload_bytes") >= PLAIN_FROM)).take(1):
-        _write_records(responses.where(large), path, plain=True)
+    uri_bytes = F.coalesce(F.octet_length("uri"), F.lit(0)) * 3
+    every = responses.unionByName(again)
+    size = F.coalesce(F.octet_length("payload"), F.lit(0)) + uri_bytes
+    low = 0
+    for high, per_file in [*RECORDS_PER_FILE.items(), (None, 1)]:
+        held = F.col("record_bytes") >= low
+        mine = size >= low
+        if high is not None:
+            held, mine = held & (F.col("record_bytes") < high), mine & (size < high)
+        # Most tables have no large records: what nothing needs is not written.
+        if low == 0 or judged.where(held).take(1):
+            _write_records(every.where(mine), path, plain=high is None, per_file=per_file)
+        low = high
 
 
 def _salvaged(with_payload: bool):

@@ -64,7 +64,7 @@ def test_round_trip(spark, tmp_path):
 
 
 def test_large_records_go_plain(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(warc, "PLAIN_FROM", 200)
+    monkeypatch.setattr(warc, "RECORDS_PER_FILE", {200: 4000})
     assert round_trip(spark, str(tmp_path / "a"), ROWS) == expected(ROWS)
 
 
@@ -138,6 +138,31 @@ def test_salvage_reasons_and_ends():
     assert len(rows) == 2
 
 
+def test_one_damaged_record_of_a_member_leaves_the_others():
+    made = records(3)
+    bad = made[1][2].replace(b"WARC-Block-Digest: sha256:", b"WARC-Block-Digest: sha256:0", 1)
+    whole = warc.member(made[0][2] + bad + made[2][2])
+    rows, gaps = found(whole + warc.member(made[1][2]))
+    assert rows == {name: payload for name, payload, _ in made}
+    (gap,) = gaps
+    assert (gap["offset"], gap["length"]) == (0, len(whole))
+    start, end = len(made[0][2]), len(made[0][2]) + len(bad)
+    assert gap["reason"] == f"digest differs (bytes {start} to {end} of the member)"
+    # The same records unpacked lose the same one.
+    rows, gaps = found(made[0][2] + bad + made[2][2])
+    assert sorted(rows) == [made[0][0], made[2][0]] and len(gaps) == 1
+
+
+def test_long_urls_and_large_payloads_come_back(spark, tmp_path, monkeypatch):
+    """Headers of any length; files by size of what they hold."""
+    monkeypatch.setattr(warc, "RECORDS_PER_FILE", {1000: 3, 50_000: 2})
+    rows = [(i, "http://h/" + "u" * (30 * i), "x" * (7 * i) + str(i)) for i in range(12)]
+    rows += [(20, "http://h/" + "é" * 100_000, "tiny"), (21, "http://h", "p" * 40_000), (22, "u" * 70_000, "p" * 40_000)]
+    assert round_trip(spark, str(tmp_path / "a"), rows) == expected(rows)
+    files = [f for f in (tmp_path / "a").iterdir() if f.name.startswith("part-")]
+    assert max(f.read_bytes().count(b"\x1f\x8b\x08") for f in files) <= 3
+
+
 def test_gaps_are_reported_by_file(spark, tmp_path):
     made = records(5)
     parts = [warc.member(x) for _, _, x in made]
