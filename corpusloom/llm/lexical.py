@@ -55,6 +55,7 @@ FIRST_WAVE = 8192
 WAVE_GROWTH = 4
 _LEVELS = 8  # per doubling of the length
 _BUCKET = 2048
+_PARTS = 16
 _LAST_ID = (1 << 63) - 1
 _SLACK = 1e-9
 _HITS = "query int, doc_id bigint, score bigint"
@@ -292,8 +293,15 @@ def _searched(sent, k: int):
 
 
 def _top(hits: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query").orderBy(F.desc("score"), "doc_id")
-    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    """The k best per item; first among parts of an item's hits, so that no task
+    gets those of every task for an item that many documents fit."""
+
+    def best(rows: DataFrame, *keys: str) -> DataFrame:
+        order = Window.partitionBy(*keys).orderBy(F.desc("score"), "doc_id")
+        return rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+    parts = hits.withColumn("part", F.pmod(F.xxhash64("doc_id"), F.lit(_PARTS)))
+    return best(best(parts, "query", "part").drop("part", "rank"), "query")
 
 
 def search_index(
