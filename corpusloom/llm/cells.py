@@ -20,6 +20,7 @@ from corpusloom.llm.rows import salted_join
 from corpusloom.session import stage_table
 
 BLOCK = 1024
+BLOCK_BYTES = 16 << 20
 # Rows of a cell compared at a time with the rest of it.
 _STRIPE = 256
 # Cells up to this size are compared together, shifted against themselves.
@@ -39,10 +40,13 @@ def compare(
 
     ``rows``: ``bucket`` (int, the table), ``key`` (long), ``node`` (long),
     ``weight`` (long, what a link to the node counts) and whatever ``load``
-    reads. ``load`` gets the rows of some cells and returns ``near``. ``links``
+    reads. With a column ``bytes`` blocks are also bounded by ``BLOCK_BYTES``. ``load`` gets the rows of some cells and returns ``near``. ``links``
     sums the weights of the nodes linked in that cell.
     """
-    large = rows.groupBy("bucket", "key").agg(F.count("*").alias("n")).where(F.col("n") > block)
+    n = F.count("*")
+    if "bytes" in rows.columns:
+        n = F.greatest(n, F.ceil(F.sum("bytes") * block / BLOCK_BYTES))
+    large = rows.groupBy("bucket", "key").agg(n.alias("n")).where(F.col("n") > block)
     large = stage_table(large, "large-buckets")
     found = salted_join(rows, large, ["bucket", "key"], "node")
     blocks = F.coalesce(F.ceil(F.col("n") / block), F.lit(1))

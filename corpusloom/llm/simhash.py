@@ -14,9 +14,12 @@ in ``found_share``, what share is also within the distance in ``kept_share``. Bl
 logarithm of the number of texts.
 
 With a ``similarity`` the bits only choose candidates. Repeated shingles count
-once, texts of one shingle set are one class, and candidates form groups in
-which every pair is compared by its shingle sets: a pair links exactly if its
-Jaccard similarity is that or more.
+once, and texts of one shingle set are one class. A pair links exactly if its
+Jaccard similarity is that or more. Candidates form groups, and what is wanted is
+which of them links join: so each candidate is first compared with the smallest one
+that it meets in a block, which joins a group of near copies of any size in as many
+comparisons as it has members. Only in groups that are not one component then,
+pairs of different components are compared, in cells bounded in rows and bytes.
 
 Texts with one fingerprint (or shingle set) are one class, so a group of copies
 of any size is one row in the join. A crowded block value is compared in cells of bounded
@@ -52,6 +55,8 @@ _COUNT = 65536
 # Shingles of a cell held as bits at a time, and elements looked up at a time.
 _COLUMNS = 4096
 _LOOKUPS = 1 << 17
+# Rows with shingle sets that a cell's side holds at most.
+_SET_BLOCK = 128
 
 
 @dataclass(frozen=True)
@@ -204,9 +209,10 @@ def _near(scheme: Scheme):
 
 
 def _similar(scheme: Scheme):
-    """Jaccard similarity of the shingle sets of a cell's rows."""
+    """Jaccard similarity of the shingle sets of a cell's rows of unlike labels."""
 
     def load(held: pd.DataFrame):
+        label = held["label"].to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in held["shingles"]]
         sizes = np.array([len(x) for x in sets], np.int64)
         first = np.cumsum(sizes) - sizes
@@ -253,7 +259,9 @@ def _similar(scheme: Scheme):
                 least, most = np.minimum(sizes[a], sizes[b]), np.maximum(sizes[a], sizes[b])
                 open_ = least >= scheme.similarity * most * (1 - 1e-9)
                 both[open_] = common(a[open_], b[open_])
-            return both / np.maximum(total - both, 1) >= scheme.similarity
+            hit = both / np.maximum(total - both, 1) >= scheme.similarity
+            # What is one component already gains nothing.
+            return hit & (label[a][:, None] != label[b] if outer else label[a] != label[b])
 
         return near
 
@@ -269,28 +277,71 @@ def _has(n: int, number: np.ndarray, place: np.ndarray, columns: np.ndarray) ->
     return np.packbits(out, axis=1).view(np.uint64)
 
 
-def _verified(texts: DataFrame, classes: DataFrame, groups: DataFrame, scheme: Scheme) -> DataFrame:
+def _links(scheme: Scheme):
+    """Whether two shingle sets reach the similarity."""
+
+    @F.pandas_udf("boolean")
+    def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for left, right in parts:
+            out = np.zeros(len(left), bool)
+            for i, (a, b) in enumerate(zip(left, right)):
+                x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+                if min(len(x), len(y)) >= scheme.similarity * max(len(x), len(y)) * (1 - 1e-9):
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    out[i] = both / max(len(x) + len(y) - both, 1) >= scheme.similarity
+            yield pd.Series(out)
+
+    return run
+
+
+def _verified(
+    texts: DataFrame, classes: DataFrame, found: DataFrame, groups: DataFrame, scheme: Scheme
+) -> DataFrame:
     """``node, root`` for the classes that link by their shingle sets.
 
-    ``groups`` (``node, root``) joins all candidates. Each class is read once, by
-    the row it names, and compared with its whole group.
+    ``found`` holds candidate links (``node, root``, each towards the smallest node
+    that it meets in a block), ``groups`` what they join. Each class is read once, by
+    the row it names.
     """
     named = classes.join(groups, "node").select("node", F.col("root").alias("key"), "at.*")
-    rows = texts.join(named.hint("shuffle_hash"), ROW).select(
+    sets = texts.join(named.hint("shuffle_hash"), ROW).select(
+        "key", "node", _of_texts(scheme, _packed)("text").alias("shingles")
+    )
+    sets = stage_table(sets, "shingle-sets")
+    stars = found.where("node <> root").select("node", "root").distinct()
+    left = stars.join(sets.select("node", F.col("shingles").alias("own")), "node")
+    right = sets.select(F.col("node").alias("root"), F.col("shingles").alias("other"))
+    # The smallest of a large group is the root of many.
+    met = salted_lookup(left, right, ["root"], "node")
+    links = met.where(_links(scheme)("own", "other")).select("node", "root")
+    links = stage_table(links, "similar-stars")
+    joined = stage_table(components(links, "node", "root"), "similar-joined")
+    label = F.coalesce("root", "node").alias("label")
+    labels = sets.select("key", "node").join(joined, "node", "left").select("key", "node", label)
+    labels = stage_table(labels, "similar-labels")
+    split = labels.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
+    # A group may be large, so its rows find out by key and node.
+    open_ = salted_lookup(
+        labels, split.where("low <> high").select("key", F.lit(True).alias("open")), ["key"], "node"
+    )
+    open_ = open_.where("open").select("node", "label")
+    rows = sets.join(open_, "node").select(
         F.lit(0).alias("bucket"),
         "key",
         "node",
         F.lit(1).cast("bigint").alias("weight"),
-        _of_texts(scheme, _packed)("text").alias("shingles"),
+        F.octet_length("shingles").cast("bigint").alias("bytes"),
+        "label",
+        "shingles",
     )
-    found = compare(stage_table(rows, "shingle-sets"), _similar(scheme))
-    return components(found, "node", "root")
+    more = compare(stage_table(rows, "unlike-sets"), _similar(scheme), _SET_BLOCK)
+    return components(links.unionByName(more.select("node", "root")), "node", "root")
 
 
-def fingerprint_components(prints: DataFrame, scheme: Scheme = CLOSE) -> DataFrame:
-    """``node, root`` for the fingerprints (``node`` long, ``fp`` binary) that
-    are within the distance of another one; ``root`` is the smallest node
-    reachable."""
+def fingerprint_links(prints: DataFrame, scheme: Scheme = CLOSE) -> DataFrame:
+    """``node, links, root`` per block in which a fingerprint (``node`` long, ``fp``
+    binary) is within the distance of another one; ``root`` is the smallest node
+    that it reaches there."""
     schema = "node bigint, fp binary, keys array<bigint>"
     keyed = prints.select("node", "fp").mapInPandas(_keys(scheme), schema)
     rows = keyed.select(
@@ -299,8 +350,13 @@ def fingerprint_components(prints: DataFrame, scheme: Scheme = CLOSE) -> DataFra
         F.posexplode("keys").alias("bucket", "key"),
         F.lit(1).cast("bigint").alias("weight"),
     )
-    found = compare(rows, _near(scheme))
-    return components(found, "node", "root")
+    return compare(rows, _near(scheme))
+
+
+def fingerprint_components(prints: DataFrame, scheme: Scheme = CLOSE) -> DataFrame:
+    """``node, root`` for the fingerprints that are within the distance of another
+    one; ``root`` is the smallest node reachable."""
+    return components(fingerprint_links(prints, scheme), "node", "root")
 
 
 def near_dedup(
@@ -326,10 +382,14 @@ def near_dedup(
     # Written with the number, so it does not change under a recomputation.
     classes = classes.withColumns({"fp": fp, "node": F.monotonically_increasing_id()})
     classes = stage_table(classes, "print-classes")
-    linked = fingerprint_components(classes, scheme)
-    if scheme.similarity is not None:
+    if scheme.similarity is None:
+        linked = fingerprint_components(classes, scheme)
+    else:
+        found = fingerprint_links(classes, scheme)
+        found = stage_table(found.select("node", "root").distinct(), "candidate-links")
+        groups = components(found, "node", "root")
         texts = with_row(docs, F.col(text_col).alias("text"))
-        linked = _verified(texts, classes, linked, scheme)
+        linked = _verified(texts, classes, found, groups, scheme)
     member = classes.join(linked, "node", "left").select(
         "kind", "first_id", F.coalesce("root", "node").alias("root")
     )

@@ -538,11 +538,30 @@ def jaccard_roots(rows):
     return {i: forest.root(i) for i in sets}
 
 
+def test_a_chain_joins_over_pairs_that_miss_the_smallest(spark, monkeypatch):
+    """Neighbours of a chain are alike, its ends are not; a second chain is apart."""
+    words = [f"c{i}" for i in range(260)]
+    rows = [(k, " ".join(words[6 * k : 6 * k + 120])) for k in range(20)]
+    rows += [(50 + k, " ".join(words[6 * k : 6 * k + 120][::-1])) for k in range(4)]
+    seen = []
+    compare = simhash.compare
+    monkeypatch.setattr(simhash, "compare", lambda *a: seen.append(a) or compare(*a))
+    got = simhash.near_dedup(docs_of(spark, rows), scheme=simhash.SIMILAR).collect()
+    assert {r.doc_id: r.component_id for r in got} == jaccard_roots(rows)
+    # A group that its smallest text joins is not compared pair by pair.
+    star = [(k, " ".join(words[:100] + [f"z{k}"] + words[100:])) for k in range(30)]
+    seen.clear()
+    got = simhash.near_dedup(docs_of(spark, star), scheme=simhash.SIMILAR).collect()
+    assert {r.component_id for r in got} == {0}
+    assert len(seen) == 2 and seen[1][0].count() == 0
+
+
 @pytest.mark.parametrize("block", [1024, 3])
 def test_near_copies_are_decided_by_jaccard(spark, monkeypatch, block):
     from corpusloom.llm import cells
 
     monkeypatch.setattr(cells.compare, "__defaults__", (block,))
+    monkeypatch.setattr(simhash, "_SET_BLOCK", block)
     rows, shares = planted_pairs([0.60, 0.70, 0.78, 0.80, 0.82, 0.85])
     want = jaccard_roots(rows)
     linked = {i for i in shares if want[i + 1] == i}
