@@ -853,6 +853,44 @@ _q(
     where epoch_pos >= 100""",
     M_TEXT,
 )
+
+
+def _network_back(source: str) -> str:
+    """``x`` of ``source`` (with ``n`` and ``key``) one pass back through the
+    network of ``operators.epochs``."""
+    sides = f"select *, greatest(ceil(sqrt(n)), 1)::bigint as a from ({source})"
+    sides = f"select *, ceil(n::double / a)::bigint as b from ({sides})"
+    rows = f"select *, x // b as l, x % b as r from ({sides})"
+    for step in reversed(range(6)):
+        half, other, side = ("r", "l", "b") if step % 2 else ("l", "r", "a")
+        noise = f"('0x' || substr(md5(key || ':{step}:' || {other}), 1, 8))::bigint"
+        rows = f"select * replace ((({half} - {noise}) % {side} + {side}) % {side} as {half}) from ({rows})"
+    return f"select id, what, l * b + r as x, n, key from ({rows})"
+
+
+_q(
+    "epoch_shards",
+    f"""size as (select max(idx) + 1 as n, (max(idx) + 64) // 64 as shards from m_text),
+    placed as (
+        select id, idx, idx // 64 as shard, n, shards,
+            case when idx // 64 = shards - 1 then n - 64 * (shards - 1) else 64 end as held
+        from m_text, size),
+    asked as (
+        select id, 'place' as what, shard as x, shards as n, '7:2' as key from placed
+        union all select id, 'inner', idx - 64 * shard, held, '7:2:' || shard from placed
+        union all select null, 'last', shards - 1, shards, '7:2' from size),
+    walk as ({_network_back("select * from asked")}
+        union all {_network_back("select * from walk where x >= n")}),
+    ends as (select id, what, x from walk where x < n)
+    select * from (
+        select p.id, shard as shard_idx,
+            a.x * 64 - case when l.x < a.x then 64 * shards - p.n else 0 end + i.x as epoch_pos
+        from placed p join ends a on a.id = p.id and a.what = 'place'
+        join ends i on i.id = p.id and i.what = 'inner' join ends l on l.what = 'last')
+    where epoch_pos >= (select n // 2 from size)""",
+    M_TEXT + ",",
+    True,
+)
 _MODEL_ROWS = ", ".join(f"('model', '{m}', '{v}')" for m, v in MODELS.items())
 _SECTIONS = " union all ".join(
     f"select '{c}' as section, {c} as name, count(*)::varchar as value from passing group by {c}"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from corpusloom import schemas
 from corpusloom.functions import paths, text, vectors
-from corpusloom.operators import assets, dedup, embed, quality, reports, search, shards, snapshots, versions
+from corpusloom.operators import assets, dedup, embed, epochs, quality, reports, search, shards, snapshots, versions
 from corpusloom.operators import catalog as cat
 from corpusloom.operators.ranking import with_position
 from corpusloom.plans import curation, inputs
@@ -853,6 +853,15 @@ def epoch_order(spark: SparkSession, d: str) -> DataFrame:
     return versions.epoch_order(inputs.all_manifests(spark, d), seed=7, epoch=1)
 
 
+@query
+def epoch_shards(spark: SparkSession, d: str) -> DataFrame:
+    """The second half of an epoch over the text manifest, without a sort."""
+    rows = inputs.manifest(spark, d, "text").select("id", F.col("idx").alias("pos"))
+    n = rows.agg(F.max("pos")).first()[0] + 1
+    placed = epochs.epoch_rows(rows, n, 64, seed=7, epoch=2, resume_at=n // 2)
+    return placed.select("id", "shard_idx", "epoch_pos")
+
+
 @query
 def epoch_resume(spark: SparkSession, d: str) -> DataFrame:
     return versions.epoch_order(inputs.manifest(spark, d, "text"), 7, 2, resume_at=100)
