@@ -77,9 +77,12 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 
 def _near(threshold: float, tables: int):
     def load(held: pd.DataFrame):
-        # Cells hold vectors of one length; zeros make those of several one matrix.
-        most = max(map(len, held["vec"]), default=0)
-        unit = _unit(np.stack([np.pad(v, (0, most - len(v))) for v in held["vec"]]))
+        sizes = held["vec"].map(len)
+        vecs, most = held["vec"].to_numpy(), sizes.max()
+        if (sizes != most).any():
+            # Cells hold vectors of one length; zeros make those of several one matrix.
+            vecs = [np.pad(v, (0, most - len(v))) for v in vecs]
+        unit = _unit(np.stack(vecs))
         signs = np.frombuffer(b"".join(held["signs"]), "<u4").reshape(len(held), tables)
         bucket = held["bucket"].to_numpy()
 
