@@ -7,6 +7,7 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusloom import schemas
 from corpusloom.operators.catalog import path_exists
@@ -75,6 +76,33 @@ def _paths(root: str, name: str) -> tuple[str, str]:
     return f"{base}/items", f"{base}/header"
 
 
+def content_fingerprint(rows: DataFrame) -> DataFrame:
+    """``n_rows, fingerprint``: what a table holds, whatever the order of its rows,
+    files and columns.
+
+    Each row is hashed over its columns in order of name, with their lengths, so that
+    no two rows read alike; the fingerprint is the sum of the hashes, in which copies
+    count. Sums meet in any order, so nothing is sorted and only sums are shuffled.
+    """
+    parts = []
+    for field in sorted(rows.schema.fields, key=lambda f: f.name):
+        value = F.col(f"`{field.name}`")
+        nested = not isinstance(field.dataType, T.AtomicType)
+        value = F.to_json(F.struct(value)) if nested else value.cast("string")
+        parts.append(F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("n")))
+    mark = F.conv(F.substring(F.sha2(F.concat(F.lit(""), *parts), 256), 1, 15), 16, 10)
+    return rows.agg(
+        F.count("*").alias("n_rows"),
+        F.coalesce(F.sum(mark.cast("decimal(20,0)")), F.lit(0)).cast("string").alias("fingerprint"),
+    )
+
+
+def pinned_inputs(inputs: dict[str, DataFrame]) -> dict[str, dict]:
+    """Rows and fingerprint of each input of a version, by the name of its table."""
+    found = {name: content_fingerprint(rows).first() for name, rows in sorted(inputs.items())}
+    return {n: {"rows": r["n_rows"], "fingerprint": r["fingerprint"]} for n, r in found.items()}
+
+
 def create_version(
     catalog: DataFrame,
     root: str,
@@ -86,11 +114,14 @@ def create_version(
     exclude_sources: list[str] | None = None,
     config: dict[str, Any] | None = None,
     models: dict[str, str] | None = None,
+    inputs: dict[str, DataFrame] | None = None,
 ) -> DataFrame:
     """Write a version and return its one-row header.
 
     A version never changes: creating an existing name again is an error
-    unless it would come out identical.
+    unless it would come out identical. ``inputs`` are the tables it was made from:
+    their names and the fingerprints of their content are pinned with it, so a name
+    is refused as well when an input has changed since.
     """
     spark = catalog.sparkSession
     mods = modalities or schemas.MODALITIES
@@ -106,6 +137,8 @@ def create_version(
             "limit_per_modality": limit_per_modality,
             "models": models or MODELS,
             "transforms": config or {},
+            # Versions that pin none read as they always did.
+            **({"inputs": pinned_inputs(inputs)} if inputs else {}),
         },
         sort_keys=True,
     )

@@ -762,6 +762,14 @@ _q(
           from gated where quality_status = 'pass' and modality in ('text', 'audio')) where rn <= 50""",
     GATED,
 )
+_q(
+    "version_inputs",
+    """select modality as input, count(*) as n_rows,
+        sum(('0x' || substr(sha256(length(content_hash) || ':' || content_hash || length(id) || ':' || id),
+            1, 15))::bigint)::hugeint::varchar as fingerprint
+    from man group by modality""",
+    MAN,
+)
 _PER = ", ".join(
     f"count(*) filter (modality = '{m}') as n_{m}" for m in ("text", "image", "video", "audio")
 )

@@ -783,6 +783,20 @@ def version_limited(spark: SparkSession, d: str) -> DataFrame:
     return items.select("pos", "id", "modality")
 
 
+@query
+def version_inputs(spark: SparkSession, d: str) -> DataFrame:
+    """What a version pins of the manifests it was made from."""
+    root = fresh_path(spark, "versions")
+    made = {m: inputs.manifest(spark, d, m).select("id", "content_hash") for m in schemas.MODALITIES}
+    table = inputs.catalog(spark, d, with_vectors=False).where("modality = 'text'")
+    header = versions.create_version(table, root, "v001", ["text"], inputs=made)
+    held = "map<string,struct<rows:bigint,fingerprint:string>>"
+    pinned = F.from_json(F.get_json_object("config", "$.inputs"), held)
+    return header.select(F.explode(pinned).alias("input", "held")).select(
+        "input", F.col("held.rows").alias("n_rows"), F.col("held.fingerprint").alias("fingerprint")
+    )
+
+
 @query
 def version_list(spark: SparkSession, d: str) -> DataFrame:
     root = fresh_path(spark, "versions")

@@ -131,6 +131,30 @@ def test_epoch_order_resumes(spark):
     assert whole != pairs(versions.epoch_order(df, 1, 1))
 
 
+def test_versions_pin_their_inputs(spark, tmp_path):
+    """The same name with changed inputs is refused, in whatever order rows come."""
+    table = cat.build_catalog(_manifest(spark), text_dim=2, clip_dim=2)
+    rows = spark.createDataFrame(
+        [(1, "a", [1.0]), (2, None, None), (2, None, None), (3, "", [])], "k int, s string, v array<double>"
+    )
+    root = str(tmp_path / "v")
+    first = versions.create_version(table, root, "v1", inputs={"t": rows}).first()
+    again = rows.repartition(3).select("v", "s", "k")
+    assert versions.create_version(table, root, "v1", inputs={"t": again}).first() == first
+    assert json.loads(first.config)["inputs"]["t"]["rows"] == 4
+    changed = [
+        rows.where("k < 3"), rows.unionByName(rows.where("k = 1")), rows.withColumn("s", F.coalesce("s", F.lit(""))),
+        rows.withColumn("k", F.col("k") + 1),
+    ]
+    for other in changed:
+        with pytest.raises(FileExistsError):
+            versions.create_version(table, root, "v1", inputs={"t": other})
+    with pytest.raises(FileExistsError):
+        versions.create_version(table, root, "v1", inputs={"u": rows})
+    empty = versions.content_fingerprint(rows.limit(0)).first()
+    assert (empty.n_rows, empty.fingerprint) == (0, "0")
+
+
 def _shard_parts(spark, folder):
     items = spark.createDataFrame(
         [("v", i, x, "text", "s", "h") for i, x in enumerate("abxc")], schemas.VERSION_ITEMS
