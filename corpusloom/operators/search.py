@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from corpusloom import schemas
 from corpusloom.functions import paths
 from corpusloom.session import stage_table
 
@@ -228,13 +229,57 @@ def search_all(
     return with_details(hits, details, ["id", "modality"]).withColumn("asset_url", url)
 
 
+def search_each(
+    catalog: DataFrame, queries: DataFrame, k: int = 5, modalities: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """``search_all`` with every modality on its own: the hits, and ``modality,
+    status, reason, n_hits`` of each one.
+
+    A modality is one job whose hits are written before the next one begins. What
+    fails there, such as queries of another length than its vectors, is its outcome
+    and leaves the lists of the others as they are.
+    """
+    spark = catalog.sparkSession
+    found, outcomes = None, []
+    for modality in modalities or schemas.MODALITIES:
+        asked = queries.where(F.col("modality") == modality)
+        try:
+            _check_lengths(catalog_rows(catalog, [modality]), asked, modality)
+            own = catalog.where(F.col("modality") == modality)
+            hits = stage_table(search_all(own, asked, k), f"hits-{modality}")
+            outcomes.append((modality, "ok", "", hits.count()))
+            found = hits if found is None else found.unionByName(hits)
+        except Exception as e:  # whatever it is, it is this modality's outcome
+            outcomes.append((modality, "error", str(e).split("\n")[0][:300], 0))
+    kind = "modality string, status string, reason string, n_hits bigint"
+    told = spark.createDataFrame(outcomes, kind)
+    if found is None:
+        found = search_all(catalog.where(F.lit(False)), queries.where(F.lit(False)), k)
+    return found, told
+
+
+def _check_lengths(rows: DataFrame, asked: DataFrame, modality: str) -> None:
+    """All queries of a modality have the length of its vectors."""
+    lengths = [
+        {r[0] for r in df.select(F.size("vec")).distinct().collect()} for df in (rows, asked)
+    ]
+    if lengths[0] and lengths[1] - lengths[0]:
+        raise ValueError(
+            f"{modality}: queries of length {sorted(lengths[1])}, vectors of {sorted(lengths[0])}"
+        )
+
+
 def search_texts(
     catalog: DataFrame, probes: DataFrame, text_model, clip_model, k: int = 5
 ) -> DataFrame:
-    """Search by query text: ``probes`` holds ``query_id, query``. The text is
-    embedded once for each of the two vector spaces."""
+    """Search by query text: ``probes`` holds ``query_id, query``."""
+    return search_all(catalog, text_queries(probes, text_model, clip_model), k)
+
+
+def text_queries(probes: DataFrame, text_model, clip_model) -> DataFrame:
+    """``query_id, modality, vec`` of query texts. A text is embedded once for each
+    of the two vector spaces."""
     from corpusloom.operators.embed import embed_text
-    from corpusloom.schemas import MODALITIES
 
     words = F.trim(F.coalesce(F.col("query"), F.lit("")))
     checked = probes.withColumn(
@@ -248,7 +293,7 @@ def search_texts(
         embed_text(F.col("query"), text_model).alias("in_text"),
         embed_text(F.col("query"), clip_model).alias("in_clip"),
     )
-    targets = F.explode(F.array(*[F.lit(m) for m in MODALITIES]))
+    targets = F.explode(F.array(*[F.lit(m) for m in schemas.MODALITIES]))
     spread = both.withColumn("modality", targets)
     vec = route_vector(F.col("modality"), F.col("in_text"), F.col("in_clip"))
-    return search_all(catalog, spread.select("query_id", "modality", vec.alias("vec")), k)
+    return spread.select("query_id", "modality", vec.alias("vec"))

@@ -660,6 +660,11 @@ _q(
     top as (
         select *, row_number() over (partition by query_id, modality order by d, id) as rank from hits)""",
 )
+SQL["search_isolation"] = f"""
+    select modality, 'ok' as status, count(*) as n_hits, count(*) as listed,
+        round(sum(distance), 4) as distances
+    from ({SQL["search_all"]}) where modality <> 'image' group by modality
+    union all select 'image', 'error', 0, 0, null"""
 _q(
     "search_images",
     f"""select query_id, rank, id, round(d, 6) as distance, '/image/' || id as image_url

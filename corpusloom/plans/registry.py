@@ -589,6 +589,21 @@ def _search(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query
+def search_isolation(spark: SparkSession, d: str) -> DataFrame:
+    """Image queries of a wrong length fail; the other lists stay whole."""
+    table = stage_table(inputs.catalog(spark, d), "catalog")
+    asked = search.text_queries(inputs.probes(spark, d), inputs.text_model(), inputs.clip_model())
+    cut = F.when(F.col("modality") == "image", F.slice("vec", 1, 100)).otherwise(F.col("vec"))
+    hits, told = search.search_each(table, stage_table(asked.withColumn("vec", cut), "asked"))
+    listed = hits.groupBy("modality").agg(
+        F.count("*").alias("listed"), F.round(F.sum("distance"), 4).alias("distances")
+    )
+    return told.join(listed, "modality", "left").select(
+        "modality", "status", "n_hits", F.coalesce("listed", F.lit(0)).alias("listed"), "distances"
+    )
+
+
 @query
 def search_all(spark: SparkSession, d: str) -> DataFrame:
     return _search(spark, d).select(

@@ -177,3 +177,24 @@ def test_search_by_text(spark):
 def test_bad_metric(spark):
     with pytest.raises(ValueError):
         search.nearest(spark.range(1), spark.range(1), metric="dot")
+
+
+def test_a_failing_modality_leaves_the_others(spark):
+    from corpusloom import schemas
+
+    rows = [(f"{m}{i}", m, [float(i), 1.0], [1.0, float(i), 0.0], True) for m in ("text", "image") for i in range(4)]
+    kind = "id string, modality string, text_vector array<float>, clip_vector array<float>, has_embedding boolean"
+    catalog = spark.createDataFrame(rows, kind)
+    for name in schemas.CATALOG.fieldNames():
+        if name not in catalog.columns:
+            catalog = catalog.withColumn(name, F.lit("x"))
+    good = [("q", "text", [1.0, 1.0]), ("q", "audio", [1.0, 1.0])]
+    for bad, status in (([1.0, 2.0], "error"), ([1.0, 2.0, 0.0], "ok")):
+        asked = spark.createDataFrame([*good, ("q", "image", bad)], "query_id string, modality string, vec array<float>")
+        hits, told = search.search_each(catalog, asked, 2)
+        got = {r.modality: (r.status, r.n_hits) for r in told.collect()}
+        assert got["text"] == ("ok", 2) and got["audio"] == got["video"] == ("ok", 0)
+        assert got["image"] == (status, 0 if status == "error" else 2)
+        reason = told.where("modality = 'image'").first().reason
+        assert ("length [2]" in reason) == (status == "error")
+        assert hits.where("modality = 'text'").count() == 2
