@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.rows import salted_join
@@ -33,6 +33,13 @@ FOUND = "node bigint, links bigint, root bigint"
 Near = Callable[..., np.ndarray]
 
 
+def crowd(bytes_: Column, block: int) -> Column:
+    """``n`` of a bucket, an aggregate: its rows, or so many that blocks stay under
+    ``BLOCK_BYTES`` as well."""
+    full = F.ceil(F.sum(bytes_) * block / BLOCK_BYTES)
+    return F.greatest(F.count("*"), full).cast("bigint")
+
+
 def compare(
     rows: DataFrame, load: Callable[[pd.DataFrame], Near], block: int = BLOCK
 ) -> DataFrame:
@@ -40,15 +47,16 @@ def compare(
 
     ``rows``: ``bucket`` (int, the table), ``key`` (long), ``node`` (long),
     ``weight`` (long, what a link to the node counts) and whatever ``load``
-    reads. With a column ``bytes`` blocks are also bounded by ``BLOCK_BYTES``. ``load`` gets the rows of some cells and returns ``near``. ``links``
+    reads. A column ``n`` (long) says how many rows a row's bucket has, where that is
+    known, or more than that to have smaller blocks (``crowd``). ``load`` gets the rows of some cells and returns ``near``. ``links``
     sums the weights of the nodes linked in that cell.
     """
-    n = F.count("*")
-    if "bytes" in rows.columns:
-        n = F.greatest(n, F.ceil(F.sum("bytes") * block / BLOCK_BYTES))
-    large = rows.groupBy("bucket", "key").agg(n.alias("n")).where(F.col("n") > block)
-    large = stage_table(large, "large-buckets")
-    found = salted_join(rows, large, ["bucket", "key"], "node")
+    if "n" in rows.columns:
+        found = rows
+    else:
+        large = rows.groupBy("bucket", "key").agg(F.count("*").alias("n")).where(F.col("n") > block)
+        large = stage_table(large, "large-buckets")
+        found = salted_join(rows, large, ["bucket", "key"], "node")
     blocks = F.coalesce(F.ceil(F.col("n") / block), F.lit(1))
     own = F.pmod(F.xxhash64("node", "bucket"), F.col("blocks"))
     cells = F.transform(

@@ -44,7 +44,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.cells import compare
+from corpusloom.llm.cells import compare, crowd
 from corpusloom.llm.components import components
 from corpusloom.llm.rows import ROW, lasting, salted_join, salted_lookup, with_row
 from corpusloom.session import stage_table
@@ -317,20 +317,23 @@ def _verified(
     links = stage_table(links, "similar-stars")
     joined = stage_table(components(links, "node", "root"), "similar-joined")
     label = F.coalesce("root", "node").alias("label")
-    labels = sets.select("key", "node").join(joined, "node", "left").select("key", "node", label)
+    sized = sets.select("key", "node", F.octet_length("shingles").alias("bytes"))
+    labels = sized.join(joined, "node", "left").select("key", "node", "bytes", label)
     labels = stage_table(labels, "similar-labels")
-    split = labels.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"))
-    # A group may be large, so its rows find out by key and node.
-    open_ = salted_lookup(
-        labels, split.where("low <> high").select("key", F.lit(True).alias("open")), ["key"], "node"
+    split = labels.groupBy("key").agg(
+        F.min("label").alias("low"),
+        F.max("label").alias("high"),
+        crowd(F.col("bytes"), _SET_BLOCK).alias("n"),
     )
-    open_ = open_.where("open").select("node", "label")
+    # A group may be large, so its rows find out by key and node.
+    open_ = salted_lookup(labels, split.where("low <> high").select("key", "n"), ["key"], "node")
+    open_ = open_.where("n is not null").select("node", "label", "n")
     rows = sets.join(open_, "node").select(
         F.lit(0).alias("bucket"),
         "key",
         "node",
         F.lit(1).cast("bigint").alias("weight"),
-        F.octet_length("shingles").cast("bigint").alias("bytes"),
+        "n",
         "label",
         "shingles",
     )
