@@ -12,10 +12,12 @@ import hashlib
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import islice
 from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +29,28 @@ from corpusloom.session import stage_table
 
 Encode = Callable[[list[str]], np.ndarray]
 
+# Words of which a worker holds the place, and the longest of them: some 10 MB.
+_WORDS_HELD = 65_536
+_WORD_CHARS = 64
+
+
+class _Places(dict):
+    """The component of each word, from ``dim`` on where its sign is minus.
+
+    The words seen first are held, which are mostly the frequent ones. Others and
+    long ones are hashed again, so that no vocabulary fills a worker."""
+
+    def __init__(self, dim: int) -> None:
+        self.dim = dim
+
+    def __missing__(self, word: str) -> int:
+        digest = hashlib.md5(word.encode()).digest()
+        found = int.from_bytes(digest[:4], "big") % self.dim
+        found += 0 if digest[4] < 128 else self.dim
+        if len(self) < _WORDS_HELD and len(word) <= _WORD_CHARS:
+            self[word] = found
+        return found
+
 
 @dataclass(frozen=True)
 class HashingModel:
@@ -38,25 +62,22 @@ class HashingModel:
     name: str = "hashing"
 
     def load(self) -> Encode:
-        places: dict[str, tuple[int, float]] = {}
-
-        def place(word: str) -> tuple[int, float]:
-            found = places.get(word)
-            if found is None:
-                digest = hashlib.md5(word.encode()).hexdigest()
-                sign = 1.0 if int(digest[8], 16) < 8 else -1.0
-                found = (int(digest[:8], 16) % self.dim, sign)
-                if len(places) < 1_000_000:
-                    places[word] = found
-            return found
+        places = _Places(self.dim)
 
         def encode(texts: list[str]) -> np.ndarray:
-            out = np.zeros((len(texts), self.dim))
-            for row, words in zip(out, (t.split() for t in texts)):
-                if words:
-                    spots, signs = zip(*map(place, words))
-                    row += np.bincount(spots, signs, self.dim)
-            return vectors.unit_rows(out)
+            sizes = []
+
+            def spots() -> Iterator[int]:
+                for text in texts:
+                    words = text.split()
+                    sizes.append(len(words))
+                    yield from map(places.__getitem__, words)
+
+            at = np.fromiter(spots(), np.int64)
+            at += np.repeat(np.arange(len(texts)) * 2 * self.dim, sizes)
+            signed = np.bincount(at, minlength=len(texts) * 2 * self.dim)
+            signed = signed.reshape(len(texts), 2, self.dim)
+            return vectors.unit_rows((signed[:, 0] - signed[:, 1]).astype(np.float64))
 
         return encode
 
@@ -76,6 +97,23 @@ def _encode_chunks(encode: Encode, texts: list[str], size: int, dim: int) -> np.
     return np.vstack(parts) if parts else np.empty((0, dim))
 
 
+def _slices(batches: Iterator[pa.Array], size: int) -> Iterator[pa.Array]:
+    """The rows of Arrow batches, ``size`` at a time. A batch may hold ten thousand
+    texts; Python sees a few of them at once, and so does what takes the vectors."""
+    for batch in batches:
+        for at in range(0, len(batch), size):
+            yield batch.slice(at, size)
+        if not len(batch):
+            yield batch
+
+
+def _vector_list(rows: np.ndarray, known: np.ndarray) -> pa.Array:
+    """One list per row of ``known``, null where it is false; ``rows`` are the others."""
+    ends = np.r_[0, np.cumsum(known) * rows.shape[1]].astype(np.int32)
+    values = pa.array(rows.astype(np.float32).ravel())
+    return pa.ListArray.from_arrays(pa.array(ends), values, mask=pa.array(~known))
+
+
 def embed_text(c: Column, model: Any, batch_size: int = 128) -> Column:
     """Vector of a text column; null text gives null.
 
@@ -84,17 +122,13 @@ def embed_text(c: Column, model: Any, batch_size: int = 128) -> Column:
     each. Filters belong before embedding.
     """
 
-    @F.pandas_udf("array<float>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<float>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = _warm(model)
-        for batch in batches:
-            out = pd.Series([None] * len(batch), dtype=object)
-            known = np.flatnonzero(batch.notna().to_numpy())
-            texts = batch.iloc[known].tolist()
-            rows = _encode_chunks(encode, texts, batch_size, model.dim)
-            for at, row in zip(known, rows.astype(np.float32)):
-                out.iat[at] = row
-            yield out
+        for part in _slices(batches, batch_size):
+            texts = part.drop_null().to_pylist()
+            rows = encode(texts) if texts else np.empty((0, model.dim))
+            yield _vector_list(rows, part.is_valid().to_numpy(zero_copy_only=False))
 
     return run.asNondeterministic()(c)
 
@@ -104,23 +138,38 @@ def embed_frames(c: Column, model: Any, batch_size: int = 128) -> Column:
     gives null. Frames are flattened into model batches and pooled in the
     same task, so a clip's frames are never shuffled."""
 
-    @F.pandas_udf("array<float>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<float>")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encode = _warm(model)
-        for batch in batches:
-            lists = [[] if x is None else list(x) for x in batch]
-            flat = [item for frames in lists for item in frames]
-            rows = _encode_chunks(encode, flat, batch_size, model.dim)
-            out, at = [], 0
-            for frames in lists:
-                part = rows[at : at + len(frames)]
-                out.append(part.mean(axis=0).astype(np.float32) if len(part) else None)
-                at += len(frames)
-            yield pd.Series(out, dtype=object)
+        for part in _slices(batches, batch_size):
+            lists = [x or [] for x in part.to_pylist()]
+            means = list(_frame_means(encode, lists, batch_size, model.dim))
+            known = np.array([len(frames) > 0 for frames in lists], bool)
+            yield _vector_list(np.array(means).reshape(-1, model.dim), known)
 
     return run.asNondeterministic()(c)
 
 
+def _frame_means(
+    encode: Encode, lists: list[list[str]], size: int, dim: int
+) -> Iterator[np.ndarray]:
+    """Mean vector per list that is not empty. Lists share model batches of ``size``
+    frames; of a list that goes over several only its sum is held."""
+    flat = (frame for frames in lists for frame in frames)
+    rows = np.empty((0, dim))
+    for frames in lists:
+        missing, total = len(frames), np.zeros((0, dim))
+        while missing:
+            if not len(rows):
+                rows = encode(list(islice(flat, size)))
+            part, rows = rows[:missing], rows[missing:]
+            missing -= len(part)
+            # One row after the other, as the sum of the whole list would be.
+            total = np.concatenate([total, part]).sum(axis=0, keepdims=True)
+        if frames:
+            yield total[0] / len(frames)
+
+
 def embed_batches(
     df: DataFrame,
     model: Any,

@@ -1,4 +1,5 @@
 import hashlib
+import tracemalloc
 from dataclasses import dataclass
 
 import numpy as np
@@ -57,6 +58,43 @@ def test_frames_are_pooled(spark):
     assert got[1] is None and got[2] is None
 
 
+def test_a_vocabulary_does_not_fill_the_worker():
+    """Every word is new; the places of a part of them are held."""
+    encode = embed.HashingModel(8).load()
+    tracemalloc.start()
+    for start in range(0, 400_000, 1000):
+        words = " ".join(f"w{i}" for i in range(start, start + 1000))
+        last = encode([words])
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 20e6, held
+    assert np.allclose(last[0], _by_hand(words, 8))
+
+
+@dataclass(frozen=True)
+class _Tall:
+    """Encodes at most ``most`` texts at once; the vector is their length."""
+
+    dim: int = 2
+    most: int = 3
+
+    def load(self):
+        def encode(texts):
+            assert 0 < len(texts) <= self.most
+            return np.array([[len(t), 1.0] for t in texts])
+
+        return encode
+
+
+def test_frames_of_many_rows_share_model_batches(spark):
+    """A list longer than a model batch, short and empty ones, nulls between."""
+    lists = [["x" * i] * (i % 5) if i % 4 else None for i in range(40)] + [["a", "bbb"] * 50]
+    df = spark.createDataFrame(list(enumerate(lists)), "i int, f array<string>").coalesce(1)
+    got = pairs(df.select("i", embed.embed_frames(F.col("f"), _Tall(), 3)))
+    want = {i: [float(np.mean([len(x) for x in f])), 1.0] if f else None for i, f in enumerate(lists)}
+    assert got == want
+
+
 def test_mean_pool_and_projection(spark):
     rng = np.random.default_rng(0)
     m = rng.normal(size=(40, 5)).astype(np.float32)
