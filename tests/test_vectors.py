@@ -192,6 +192,20 @@ def test_nearest_equals_brute_force(spark, metric, max_queries):
     assert got == want
 
 
+def test_many_queries_are_one_job(spark):
+    """Not one scan of the rows for every few of them."""
+    rng = np.random.default_rng(4)
+    rows = [(i, "a", rng.normal(size=4).tolist()) for i in range(300)]
+    table = spark.createDataFrame(rows, "id int, grp string, vec array<float>")
+    asked = table.where("id % 2 = 0").withColumnRenamed("id", "query_id")
+    spark.sparkContext.setJobGroup("many-queries", "")
+    hits = search.nearest(table, asked, 2, max_queries=3).collect()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("many-queries")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(hits) == 300 and all(h.id == h.query_id for h in hits if h.rank == 1)
+    assert len(jobs) < 12, len(jobs)
+
+
 def test_search_by_text(spark):
     model = embed.HashingModel(8)
     texts = [("t1", "text", "red bird"), ("t2", "text", "blue fish"), ("i1", "image", "red bird")]
