@@ -13,11 +13,13 @@ leave open, whatever the data:
 The number of pivots grows with the rows (``N ** 0.4``) and they are fitted to a
 sample, so dense regions get more and smaller cells. Even where no bound excludes
 anything, which is so for directions without any structure, a row is dealt at most
-once per two cells, and rows dealt grow with ``N ** 1.4``. Cells with more rows
-than fit a worker are split into blocks.
+once per two bundles. Cells with more rows than fit a worker are split into blocks;
+near blocks are bundled, so that a row travels once to all of a bundle. Up to as many
+rows as fit the workers there are 48 bundles and rows dealt grow with their number,
+at most 24 times for each; from there on more bundles are needed.
 
-A pair meets once: of two cells one visits the other, by turns around the ring of
-cells, so that no block gets more visitors than others. Rows of a block come before
+A pair meets once: of two bundles one visits the other, by turns around the ring of
+bundles, so that none gets more visitors than others. Rows of a bundle come before
 its visitors, which stream past in batches.
 
 Pairs are screened in single precision, for long vectors and high thresholds by the
@@ -42,6 +44,8 @@ from corpusloom.functions import vectors
 BLOCK_BYTES = 64 * 1024 * 1024
 MOST_PIVOTS = 2048
 _LEAST_PIVOTS = 8
+# Cells are dealt in so many bundles, more where their rows would not fit a worker.
+_BUNDLES = 48
 _SAMPLE_ROWS = 4096
 _SAMPLE_PER_PIVOT = 8
 _LLOYD = 3
@@ -71,7 +75,8 @@ def mixed(pos: np.ndarray) -> np.ndarray:
 @dataclass(frozen=True)
 class Cells:
     """Pivots (unit rows) and per cell how many rows it holds, the smallest and
-    largest angle to its pivot, and the number of blocks it is split into."""
+    largest angle to its pivot, and the number of blocks it is split into. ``bundle``
+    is the bundle of each block; without it each is one of its own."""
 
     pivots: np.ndarray
     counts: np.ndarray
@@ -79,6 +84,7 @@ class Cells:
     far: np.ndarray
     blocks: np.ndarray
     reach: float = 0.0
+    bundle: np.ndarray | None = None
 
     def place(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Products with the pivots, and the cell of each row."""
@@ -114,19 +120,36 @@ class Cells:
         return np.split(found, ends[:-1])
 
     def dealt(self, unit: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Per row its block and those it visits so that each pair meets once."""
+        """Per row its bundle of blocks and those it visits so that each pair meets once."""
         dots, home = self.place(unit)
         open_ = self.open(dots, home)
-        n = len(self.pivots)
-        ahead = (np.arange(n) - home[:, None]) % n
+        own = self._bundle[self.own_block(home, pos)]
+        row, bundle = np.nonzero(open_ @ self._holds)
+        n = self._holds.shape[1]
+        ahead = (bundle - own[row]) % n
         turn = (ahead > 0) & (2 * ahead < n)
-        turn |= (2 * ahead == n) & (np.arange(n) > home[:, None])
-        own = self.own_block(home, pos)
-        visits = self.blocks_of(open_ & turn)
-        last = self.first_block()[home + 1]
-        for i in np.flatnonzero(own + 1 < last):  # later blocks of a split cell
-            visits[i] = np.r_[np.arange(own[i] + 1, last[i]), visits[i]]
-        return own, visits
+        turn |= (2 * ahead == n) & (bundle > own[row])
+        ends = np.cumsum(np.bincount(row[turn], minlength=len(home)))
+        return own, np.split(bundle[turn], ends[:-1])
+
+    @property
+    def _bundle(self) -> np.ndarray:
+        return np.arange(self.blocks.sum()) if self.bundle is None else self.bundle
+
+    @cached_property
+    def _holds(self) -> np.ndarray:
+        """Which bundles hold blocks of each cell."""
+        held = np.zeros((len(self.blocks), self._bundle.max() + 1), bool)
+        held[np.repeat(np.arange(len(self.blocks)), self.blocks), self._bundle] = True
+        return held
+
+    def bundled(self, block_rows: int) -> Cells:
+        """``cells`` whose blocks are bundled with near ones. Decided once, on the
+        driver: every task must deal in the same way."""
+        cell = np.repeat(np.arange(len(self.blocks)), self.blocks)
+        sizes = self.counts[cell] / self.blocks[cell]
+        want = max(_BUNDLES, int(np.ceil(2 * sizes.sum() / block_rows)))
+        return replace(self, bundle=_bundles(self.pivots[cell], sizes, want))
 
     def with_rows(self, counts, near, far, block_rows: int, threshold: float) -> Cells:
         reach = float(np.arccos(min(threshold, 1.0)))
@@ -134,6 +157,25 @@ class Cells:
         return replace(self, counts=counts, near=near, far=far, blocks=blocks, reach=reach)
 
 
+def _bundles(places: np.ndarray, sizes: np.ndarray, want: int) -> np.ndarray:
+    """About ``want`` bundles of near places with about equal sums of ``sizes``: the
+    places are cut across the direction in which they spread most, again and again."""
+    out, made, todo = np.zeros(len(sizes), np.int64), 0, [(np.arange(len(sizes)), want)]
+    while todo:
+        some, n = todo.pop()
+        if n <= 1 or len(some) <= 1:
+            out[some], made = made, made + 1
+            continue
+        apart = places[some] - places[some].mean(axis=0)
+        along = apart @ np.linalg.svd(apart, full_matrices=False)[2][0]
+        some = some[np.argsort(along, kind="stable")]
+        held = np.cumsum(sizes[some])
+        cut = int(np.searchsorted(held, held[-1] * (n // 2) / n)) + 1
+        cut = min(max(cut, 1), len(some) - 1)
+        todo += [(some[:cut], n // 2), (some[cut:], n - n // 2)]
+    return out
+
+
 def bare(pivots: np.ndarray) -> Cells:
     n = len(pivots)
     one = np.ones(n, np.int64)
@@ -196,11 +238,12 @@ def fit(rows: DataFrame, threshold: float, block_rows: int) -> Cells | None:
     if pivots is None:
         return None
     cells = bare(pivots)
-    return measured(cells, measure(rows, cells).collect(), threshold, block_rows)
+    held = measure(rows, cells).collect()
+    return measured(cells, held, threshold, block_rows).bundled(block_rows)
 
 
 def deal(state: DataFrame, cells: Cells) -> DataFrame:
-    """``pos, vec, open, home, visits``: the block of each row and those it visits."""
+    """``pos, vec, open, home, visits``: the bundle of each row and those it visits."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -213,7 +256,7 @@ def deal(state: DataFrame, cells: Cells) -> DataFrame:
 
 
 def gathered(placed: DataFrame) -> DataFrame:
-    """A row per block that a row lives in or visits, home rows first."""
+    """A row per bundle that a row lives in or visits, home rows first."""
     ways = F.array(
         F.struct(F.lit(True).alias("lives"), F.array("home").alias("blocks")),
         F.struct(F.lit(False).alias("lives"), F.col("visits").alias("blocks")),

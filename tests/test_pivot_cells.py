@@ -71,6 +71,19 @@ def test_dealt_rows_grow_slower_than_their_number_to_one_and_a_half(spark):
         assert powers.max() < most, (dealt, powers)
 
 
+def test_near_cells_are_bundled(spark):
+    """Without structure a row visits half of the bundles, not of the cells; those
+    of a structured set hold rows that are near, so that few are visited."""
+    noise = np.random.default_rng(3).standard_normal((60_000, 8)).astype(np.float32)
+    report = pivot_cells.dealing(frame_of(spark, noise), 0.1, 65536).first()
+    assert report["cells"] > 80 and report["rows_dealt"] < 26 * 60_000, report
+    x = unit(clustered(5000, 16, spread=0.05))
+    cells = pivot_cells.bare(x[:500]).with_rows(np.full(500, 10), np.zeros(500), np.full(500, 0.5), 1000, 0.95)
+    some = cells.bundled(1000)
+    assert some.bundle.max() == 47 and (np.bincount(some.bundle) < 160).all()
+    assert all(len(v) < 24 for v in some.dealt(x[:50], np.arange(50))[1])
+
+
 def test_nothing_to_deal(spark):
     assert tuple(pivot_cells.dealing(frame_of(spark, np.zeros((0, 3))), 0.9, 10).first()) == (0, 0, 0, 0)
     frame = frame_of(spark, np.ones((1, 3)))
