@@ -21,7 +21,7 @@ from corpusloom.operators.ranking import with_position
 from corpusloom.operators.search import CLIP_SPACE
 from corpusloom.plans.curation import embed_manifest
 from corpusloom.sources import connectors as con
-from corpusloom.sources.readers import spread, table
+from corpusloom.sources.readers import spread, spread_rows, table
 
 IMAGES, VIDEOS, CLIPS, FRAMES, AUDIO = "/m/images", "/m/videos", "/m/clips", "/m/frames", "/m/audio"
 FPS = 24.0
@@ -52,7 +52,7 @@ def raw_images(spark: SparkSession, d: str) -> DataFrame:
 
 def raw_clips(spark: SparkSession, d: str) -> DataFrame:
     text = F.when(F.col("p_type") == "PROMO", "").otherwise(F.col("p_name"))
-    return spread(table(spark, d, "part")).select(
+    return spread_rows(table(spark, d, "part")).select(
         F.col("p_partkey").alias("idx"),
         F.when(F.col("p_size") < 50, F.encode("p_name", "UTF-8")).alias("mp4"),
         F.col("p_size").cast("double").alias("duration"),
@@ -76,7 +76,7 @@ def raw_videos(spark: SparkSession, d: str) -> DataFrame:
     ones as a path that does not."""
     size = F.col("p_size")
     name = F.concat(F.lit("/in/"), F.col("p_partkey").cast("string"), F.lit(".mp4"))
-    return table(spark, d, "part").select(
+    return spread_rows(table(spark, d, "part")).select(
         F.col("p_partkey").alias("idx"),
         F.col("p_name").alias("caption"),
         F.struct(

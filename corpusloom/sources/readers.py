@@ -31,8 +31,21 @@ def spread(df: DataFrame) -> DataFrame:
     cores is redistributed; a large one has more and is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    tasks = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df if tasks >= cores else df.repartition(cores)
+    return df if n_tasks(df) >= cores else df.repartition(cores)
+
+
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Deal out narrow rows of which much is made each.
+
+    A file is split by its bytes, but one task reads all rows of a row group: a
+    narrow table can have many tasks of which one has all rows.
+    """
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, n_tasks(df)))
+
+
+def n_tasks(df: DataFrame) -> int:
+    """How many tasks compute ``df``."""
+    return df._jdf.queryExecution().toRdd().getNumPartitions()
 
 
 def asset_listing(
