@@ -43,6 +43,14 @@ def _flat(rows: DataFrame, *meta: str) -> DataFrame:
     )
 
 
+def _delivered(spark: SparkSession, rows: DataFrame, deliveries: int) -> DataFrame:
+    """A stream to which ``rows`` arrive in no order, in so many deliveries. A
+    delivery is as many files as bound one by what a task of ``rows`` holds."""
+    folder, n = fresh_path(spark, "arrivals"), -(-readers.n_tasks(rows) // deliveries)
+    rows.repartition(deliveries * n).write.parquet(folder)
+    return flows.arrivals(spark, folder, rows.schema, files_per_batch=n)
+
+
 # -- sources ---------------------------------------------------------------
 
 
@@ -760,9 +768,8 @@ def catalog_assets(spark: SparkSession, d: str) -> DataFrame:
 def catalog_append(spark: SparkSession, d: str) -> DataFrame:
     """Documents arrive as files and are gated and added as a stream."""
     raw = inputs.raw_text(spark, d)
-    folder, out = fresh_path(spark, "arrivals"), fresh_path(spark, "catalog")
-    raw.repartition(3).write.parquet(folder)
-    stream = flows.arrivals(spark, folder, raw.schema, files_per_batch=1)
+    out = fresh_path(spark, "catalog")
+    stream = _delivered(spark, raw, 3)
 
     def rows(batch: DataFrame) -> DataFrame:
         marked = quality.mark(
@@ -1065,11 +1072,10 @@ def copy_rate(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def freshness(spark: SparkSession, d: str) -> DataFrame:
-    """Events arrive in four files, one batch each, in no order of time."""
+    """Events arrive in four deliveries, one batch each, in no order of time."""
     events = readers.table(spark, d, "events")
-    folder, out = fresh_path(spark, "arrivals"), fresh_path(spark, "windows")
-    events.repartition(4).write.parquet(folder)
-    stream = flows.arrivals(spark, folder, events.schema, files_per_batch=1)
+    out = fresh_path(spark, "windows")
+    stream = _delivered(spark, events, 4)
     flows.run(flows.window_counts(stream, "ts", out, "1 day", [F.col("event_type")]))
     return flows.read_windows(spark, out, ["event_type"]).select(
         F.date_format("window_start", "yyyy-MM-dd").alias("day"),
@@ -1081,11 +1087,10 @@ def freshness(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def stream_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
-    """Documents arrive in three files, in no order."""
+    """Documents arrive in three deliveries, in no order."""
     raw = inputs.raw_text(spark, d)
-    folder, out = fresh_path(spark, "arrivals"), fresh_path(spark, "firsts")
-    raw.repartition(3).write.parquet(folder)
-    stream = flows.arrivals(spark, folder, raw.schema, files_per_batch=1)
+    out = fresh_path(spark, "firsts")
+    stream = _delivered(spark, raw, 3)
     flows.run(flows.first_by_hash(con.text_manifest(stream), out))
     return flows.read_firsts(spark, out)
 

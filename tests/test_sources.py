@@ -2,6 +2,7 @@ import hashlib
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom import schemas
 from corpusloom.plans import inputs
@@ -193,3 +194,38 @@ def test_asset_listing(spark, tmp_path):
     listed = readers.asset_listing(spark, str(tmp_path))
     assert listed.count() == 2
     assert "content" not in listed._jdf.queryExecution().optimizedPlan().toString().split("Relation")[0]
+
+
+def test_deliveries_are_many_files(spark):
+    """Three deliveries, whose files grow in number with the tasks of the input."""
+    from corpusloom.plans import registry
+
+    rows = spark.range(0, 2000, 1, 10).withColumnRenamed("id", "idx")
+    stream, seen = registry._delivered(spark, rows, 3), []
+
+    def each(batch, _):
+        seen.append((batch.count(), batch.select(F.input_file_name()).distinct().count(), batch.agg(F.sum("idx")).first()[0]))
+
+    registry.flows.run(registry.flows._start(stream, each, None))
+    assert len(seen) == 3 and sum(n for n, _, _ in seen) == 2000
+    assert sum(total for _, _, total in seen) == 1999 * 1000
+    assert [files for _, files, _ in seen] == [4, 4, 4]
+
+
+def test_a_narrow_table_of_one_row_group_is_dealt_out(spark, tmp_path):
+    """Many tasks by bytes, of which one reads all rows."""
+    one = tmp_path / "one.parquet"
+    spark.range(0, 20_000, 1, 1).write.parquet(str(one))
+    size, tasks = "spark.sql.files.maxPartitionBytes", spark.sparkContext.defaultParallelism
+    spark.conf.set(size, "2k")
+    try:
+        held = readers.spread_rows(spark.read.parquet(str(one)))
+        counts = held.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset(size)
+    assert len(counts) >= tasks and max(r["count"] for r in counts) < 20_000 / tasks * 2
+
+
+def test_frame_names_have_three_digits_or_more(spark):
+    made = spark.range(1).select(con.frame_paths("/f/", F.lit("c"), F.lit(1001))).first()[0]
+    assert made == [f"/f/c/frame_{i:03d}.jpg" for i in range(1, 1002)]
