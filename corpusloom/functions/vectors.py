@@ -43,10 +43,14 @@ def has_dim(v: Column, dim: int) -> Column:
     return F.coalesce(F.size(v) == dim, F.lit(False))
 
 
+def zeros(dim: int) -> Column:
+    """The zero vector."""
+    return F.array_repeat(F.lit(0.0).cast("float"), dim)
+
+
 def sanitize(v: Column, dim: int) -> Column:
     """``v`` when it has the right length, else the zero vector."""
-    zeros = F.array_repeat(F.lit(0.0).cast("float"), dim)
-    return F.when(has_dim(v, dim), v.cast("array<float>")).otherwise(zeros)
+    return F.when(has_dim(v, dim), v.cast("array<float>")).otherwise(zeros(dim))
 
 
 def checksum(v: Column) -> Column:

@@ -13,6 +13,7 @@ from corpusloom.functions import licenses, paths, vectors
 from corpusloom.operators import snapshots
 from corpusloom.operators.ranking import first_per_key
 from corpusloom.operators.search import CLIP_SPACE, TEXT_SPACE
+from corpusloom.session import stage_table
 
 
 def last_vectors(embedded: DataFrame) -> DataFrame:
@@ -67,6 +68,28 @@ def build_catalog(
     )
 
 
+def stage_catalog(
+    catalog: DataFrame, text_dim: int = vectors.TEXT_DIM, clip_dim: int = vectors.CLIP_DIM
+) -> DataFrame:
+    """``stage_table`` of catalog rows, in which a zero vector is one bit.
+
+    Every row has at least one, of more values than all its other columns. They are
+    filled in where they are read; all other vectors, null ones too, are kept as given.
+    """
+    blank = {"text_vector": vectors.zeros(text_dim), "clip_vector": vectors.zeros(clip_dim)}
+    marked = catalog.select(
+        *[F.when(_differs(c, blank[c]), F.col(c)).alias(c) if c in blank else c for c in catalog.columns],
+        *[(~_differs(c, zero)).alias(f"_no_{c}") for c, zero in blank.items()],
+    )
+    staged = stage_table(marked, "catalog")
+    filled = {c: F.when(F.col(f"_no_{c}"), zero).otherwise(F.col(c)) for c, zero in blank.items()}
+    return staged.withColumns(filled).select(*catalog.columns)
+
+
+def _differs(column: str, zero: Column) -> Column:
+    return F.coalesce(F.col(column) != zero, F.lit(True))
+
+
 def tag_license(df: DataFrame) -> DataFrame:
     """Add ``license`` from the source; a licence already present is kept."""
     own = F.col("license") if "license" in df.columns else None

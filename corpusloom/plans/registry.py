@@ -591,7 +591,7 @@ def search_groups(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _search(spark: SparkSession, d: str) -> DataFrame:
-    table = stage_table(inputs.catalog(spark, d), "catalog")
+    table = cat.stage_catalog(inputs.catalog(spark, d))
     return search.search_texts(
         table, inputs.probes(spark, d), inputs.text_model(), inputs.clip_model()
     )
@@ -600,7 +600,7 @@ def _search(spark: SparkSession, d: str) -> DataFrame:
 @query
 def search_isolation(spark: SparkSession, d: str) -> DataFrame:
     """Image queries of a wrong length fail; the other lists stay whole."""
-    table = stage_table(inputs.catalog(spark, d), "catalog")
+    table = cat.stage_catalog(inputs.catalog(spark, d))
     asked = search.text_queries(inputs.probes(spark, d), inputs.text_model(), inputs.clip_model())
     cut = F.when(F.col("modality") == "image", F.slice("vec", 1, 100)).otherwise(F.col("vec"))
     hits, told = search.search_each(table, stage_table(asked.withColumn("vec", cut), "asked"))
@@ -708,7 +708,7 @@ def catalog_build(spark: SparkSession, d: str) -> DataFrame:
 def catalog_versions(spark: SparkSession, d: str) -> DataFrame:
     """A catalog replaced, appended to and rolled back: rows of every version."""
     path = fresh_path(spark, "catalog")
-    rows = stage_table(inputs.catalog(spark, d, with_vectors=False), "catalog-rows")
+    rows = cat.stage_catalog(inputs.catalog(spark, d, with_vectors=False))
     cat.replace_catalog(rows.where("modality = 'text'"), path)
     cat.append_catalog(rows.where("modality = 'image'"), path)
     snapshots.replace(
@@ -822,7 +822,7 @@ def version_inputs(spark: SparkSession, d: str) -> DataFrame:
 @query
 def version_list(spark: SparkSession, d: str) -> DataFrame:
     root = fresh_path(spark, "versions")
-    table = stage_table(inputs.catalog(spark, d, with_vectors=False), "catalog")
+    table = cat.stage_catalog(inputs.catalog(spark, d, with_vectors=False))
     versions.create_version(table, root, "v001", quality_filter=False)
     versions.create_version(table, root, "v002")
     heads = versions.read_header(spark, root, "v001").unionByName(
@@ -843,7 +843,7 @@ def version_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _two(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    table = stage_table(inputs.catalog(spark, d, with_vectors=False), "catalog")
+    table = cat.stage_catalog(inputs.catalog(spark, d, with_vectors=False))
     every = versions.select_items(table, "v001", quality_filter=False, modalities=["text", "image"])
     return every, versions.select_items(table, "v002")
 
@@ -856,7 +856,7 @@ def version_compare(spark: SparkSession, d: str) -> DataFrame:
 @query
 def version_report(spark: SparkSession, d: str) -> DataFrame:
     """What two versions hold and leave out of the catalog they were cut from."""
-    table = stage_table(inputs.catalog(spark, d, with_vectors=False), "catalog")
+    table = cat.stage_catalog(inputs.catalog(spark, d, with_vectors=False))
     a = versions.select_items(table, "a", modalities=["text", "image"], quality_filter=False)
     b = versions.select_items(table, "b")
     return versions.compare_reports(a, b, table)
@@ -906,7 +906,7 @@ def epoch_resume(spark: SparkSession, d: str) -> DataFrame:
 @query
 def datasheet(spark: SparkSession, d: str) -> DataFrame:
     root = fresh_path(spark, "versions")
-    table = stage_table(inputs.catalog(spark, d, with_vectors=False), "catalog")
+    table = cat.stage_catalog(inputs.catalog(spark, d, with_vectors=False))
     header = versions.create_version(table, root, "v001", config={"clip_seconds": 8.0})
     items = versions.load_version(spark, root, "v001")
     return reports.datasheet(header, items, table)
@@ -918,7 +918,7 @@ def datasheet(spark: SparkSession, d: str) -> DataFrame:
 def _plan(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """All rows are in the version; the catalog lost the failing ones since."""
     rows, files = inputs.catalog_and_listing(spark, d, with_vectors=False)
-    table = stage_table(rows, "catalog")
+    table = cat.stage_catalog(rows)
     items = stage_table(versions.select_items(table, "v001", quality_filter=False), "items")
     present = table.where("quality_status = 'pass'")
     return items, shards.plan_members(items, present, 100, files)
@@ -941,7 +941,7 @@ def shard_manifest(spark: SparkSession, d: str) -> DataFrame:
 def shard_scan(spark: SparkSession, d: str) -> DataFrame:
     """Passing rows written as tar shards and read back: items, and from their
     records a checksum and the bytes of text."""
-    every = stage_table(inputs.catalog(spark, d, with_vectors=False), "catalog")
+    every = cat.stage_catalog(inputs.catalog(spark, d, with_vectors=False))
     table = every.where("quality_status = 'pass'")
     items = versions.select_items(table, "v001")
     path = fresh_path(spark, "shards")

@@ -332,3 +332,27 @@ def test_jobs_and_eval(spark):
     assert (out["v1"].query_count, out["v1"].hit_rate_at_5, out["v1"].empty_result_count) == (2, 0.5, 1)
     assert out["v1"].mean_keyword_overlap_at_5 == 0.125 and out["v1"].mean_distance_at_5 == 1.0
     assert out["v2"].empty_result_count == 2
+
+
+def _bare_catalog(spark):
+    none, zero = [0.0, 0.0], [0.0, 0.0, 0.0]
+    rows = [
+        ("a", "text", [1.0, 2.0], zero, True),
+        ("b", "image", none, [0.0, 3.0, 0.0], True),
+        ("c", "text", none, zero, False),
+        ("d", "text", None, [0.0], False),
+        ("e", "audio", [], None, False),
+    ]
+    kind = "id string, modality string, text_vector array<float>, clip_vector array<float>, has_embedding boolean"
+    return spark.createDataFrame(rows, kind)
+
+
+def test_staged_catalog_holds_no_zero_vector(spark):
+    rows = _bare_catalog(spark)
+    staged = cat.stage_catalog(rows, 2, 3)
+    assert staged.schema.names == rows.schema.names
+    assert sorted(map(tuple, staged.collect())) == sorted(map(tuple, rows.collect()))
+    held = spark.read.parquet(*staged.inputFiles())
+    zeros = "forall(text_vector, x -> x = 0) and size(text_vector) = 2"
+    assert held.where(zeros).count() == 0
+    assert held.where("forall(clip_vector, x -> x = 0) and size(clip_vector) = 3").count() == 0
