@@ -356,3 +356,19 @@ def test_staged_catalog_holds_no_zero_vector(spark):
     zeros = "forall(text_vector, x -> x = 0) and size(text_vector) = 2"
     assert held.where(zeros).count() == 0
     assert held.where("forall(clip_vector, x -> x = 0) and size(clip_vector) = 3").count() == 0
+
+
+def test_members_are_placed_without_their_zero_vectors(spark):
+    items = spark.createDataFrame(
+        [("v", i, x, "text", "s", "h") for i, x in enumerate("abcde")], schemas.VERSION_ITEMS
+    )
+    table = _bare_catalog(spark).select(
+        "*",
+        *[F.lit("x").alias(c) for c in ("source", "content_hash", "quality_status", "license")],
+        *[F.lit("").alias(c) for c in ("caption", "content_path", "metadata_json")],
+    )
+    members = shards.plan_members(items, table, 2)
+    got = {r.id: r.embedding for r in members.collect()}
+    assert got == {"a": [1.0, 2.0], "b": [0.0, 3.0, 0.0], "c": [0.0, 0.0], "d": [], "e": []}
+    ranked = members._jdf.queryExecution().optimizedPlan().toString().split("Window", 1)[1]
+    assert "_zeros" in ranked.split("\n", 1)[1]
