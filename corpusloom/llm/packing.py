@@ -23,9 +23,11 @@ columns are read. An empty table gives an empty result.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +53,8 @@ MAX_OPEN = 4096
 MEMO = 300_000
 _TEXTS = 512
 _OUT_ROWS = 20_000
+# A blank with a word behind it and no other blank.
+_WORD = re.compile(r" [^\s\x85][^ ]*\Z")
 
 
 class Piece:
@@ -191,6 +195,16 @@ def _ranked(path: str):
     return tiktoken.Encoding("ranked", pat_str=PIECES, mergeable_ranks=ranks, special_tokens={})
 
 
+@lru_cache(maxsize=2)
+def _sizes(path: str) -> np.ndarray:
+    """How many bytes each id of ``_ranked`` stands for."""
+    ranked = _ranked(path)
+    out = np.zeros(ranked.n_vocab, np.int64)
+    for token in ranked.token_byte_values():
+        out[ranked.encode_single_token(token)] = len(token)
+    return out
+
+
 class Encoder:
     """Ids of texts as the tokenizers library gives them. Each block of text
     that is remembered is encoded once; texts with special strings go through
@@ -199,22 +213,39 @@ class Encoder:
     def __init__(self, path: str, memo: int = MEMO):
         self.library, self.ranked = _tokenizer(path), _ranked(path)
         self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.n_bytes = None if self.ranked is None else _sizes(path)
         self.memo = Memo(memo)
 
     def _by_library(self, texts: list[str]) -> list[bytes]:
         made = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in made]
 
-    def _ids(self, block: str) -> bytes:
-        return np.array(self.ranked.encode_ordinary(block), "<u4").tobytes()
+    def _by_rank(self, blocks: list[str]) -> Iterator[bytes]:
+        """Ids of each block. Blocks of a blank and a word stand in a text as they do
+        one after the other, so all of them are encoded as one text and their ids are
+        told apart by the bytes they cover."""
+        ends = np.fromiter(accumulate((len(x.encode()) for x in blocks), initial=0), np.int64)
+        ids = np.array(self.ranked.encode_ordinary("".join(blocks)), "<u4")
+        covered = np.concatenate([[0], np.cumsum(self.n_bytes[ids])])
+        at = np.searchsorted(covered, ends)
+        if not np.array_equal(covered[at], ends):
+            raise AssertionError("an id crosses two blocks")
+        data = ids.tobytes()
+        return (data[a:b] for a, b in pairwise((4 * at).tolist()))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         has_special = [any(s in t for s in self.special) for t in texts]
         parts = [blocks(t) if t and not x else [] for t, x in zip(texts, has_special)]
-        fresh = self.memo.missing(x for part in parts for x in part)
-        made = self._by_library(fresh) if self.ranked is None else map(self._ids, fresh)
-        self.memo.add(fresh, made)
+        fresh = self.memo.missing(chain.from_iterable(parts))
+        if self.ranked is None:
+            self.memo.add(fresh, self._by_library(fresh))
+        else:
+            words, others = [], []
+            for block in fresh:
+                (words if _WORD.match(block) else others).append(block)
+            self.memo.add(words, self._by_rank(words))
+            self.memo.add(others, (next(self._by_rank([x])) for x in others))
         known = self.memo.new.__getitem__
         out = [b"".join(map(known, part)) for part in parts]
         for i in np.flatnonzero(has_special):

@@ -72,13 +72,12 @@ class Memo:
     def missing(self, keys) -> list[str]:
         """The distinct ``keys`` that are not known; known ones are kept."""
         out = []
-        for key in set(keys):
-            if key not in self.new:
-                value = self.old.get(key)
-                if value is None:
-                    out.append(key)
-                else:
-                    self.new[key] = value
+        for key in set(keys).difference(self.new):
+            value = self.old.get(key)
+            if value is None:
+                out.append(key)
+            else:
+                self.new[key] = value
         return out
 
     def add(self, keys, values) -> None:

@@ -349,6 +349,23 @@ def test_ids_of_random_strings():
     assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(part)] == want
 
 
+def test_new_words_are_encoded_in_one_call():
+    class Counting:
+        def __init__(self, inner):
+            self.inner, self.calls = inner, 0
+
+        def encode_ordinary(self, text):
+            self.calls += 1
+            return self.inner.encode_ordinary(text)
+
+    encoder = packing.Encoder(pretokens.vocabulary_path())
+    encoder.ranked = Counting(encoder.ranked)
+    texts = ["".join(f" wörd{n}'s\n{i}" for n in range(500)) for i in range(3)]
+    want = [ids_of(t, library()) for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in encoder.encode(texts)] == want
+    assert encoder.ranked.calls == 1
+
+
 def test_counts_of_random_strings():
     rng = random.Random(2)
     letters = "ab cdé\n\t.,'1 0日☃ st ll"
