@@ -93,43 +93,30 @@ def _collapse_copies(rows: DataFrame) -> DataFrame:
     return rows.groupBy("vec").agg(F.min("pos").alias("pos")).select("pos", "vec")
 
 
-def _lowest(held: dict, keys: np.ndarray, values: np.ndarray) -> None:
-    """Keep the lowest value per key."""
-    if not len(keys):
-        return
-    order = np.lexsort((values, keys))
-    keys, values = keys[order], values[order]
-    first = np.r_[True, keys[1:] != keys[:-1]]
-    for key, value in zip(keys[first].tolist(), values[first].tolist()):
-        if value < held.get(key, _NEVER):
-            held[key] = value
-
-
 def _earlier(block: pivot_cells.Block, part: pd.DataFrame | None) -> Iterator[pd.DataFrame]:
     """``pos, kept, wait`` per undecided row of the pairs that meet in a block."""
-    kept, wait = {}, {}
+    met = [block.pos] if part is None else [block.pos, part["pos"].to_numpy()]
+    lowest = [(pos, *(np.full(len(pos), _NEVER) for _ in range(2))) for pos in met]
     for a, b, pos, open_ in block.pairs(part):
-        swap = pos[a] < block.pos[b]
-        late = np.where(swap, block.pos[b], pos[a])
-        early = np.where(swap, pos[a], block.pos[b])
-        waits = np.where(swap, open_[a], block.open[b])
-        _lowest(wait, late[waits], early[waits])
-        _lowest(kept, late[~waits], early[~waits])
-    found = list(kept.keys() | wait.keys())
-    if found:
-        yield pd.DataFrame(
-            {
-                "pos": np.array(found, np.int64),
-                "kept": np.array([kept.get(p, _NEVER) for p in found], np.int64),
-                "wait": np.array([wait.get(p, _NEVER) for p in found], np.int64),
-            }
-        )
-
-
-def _earliest(state: DataFrame, threshold: float, cells: pivot_cells.Cells) -> DataFrame:
+        home = pos[a] < block.pos[b]
+        for late, early, waits, (_, kept, wait) in (
+            (b[home], pos[a[home]], open_[a[home]], lowest[0]),
+            (a[~home], block.pos[b[~home]], block.open[b[~home]], lowest[-1]),
+        ):
+            np.minimum.at(wait, late[waits], early[waits])
+            np.minimum.at(kept, late[~waits], early[~waits])
+    for pos, kept, wait in lowest:
+        found = np.minimum(kept, wait) != _NEVER
+        if found.any():
+            yield pd.DataFrame({"pos": pos[found], "kept": kept[found], "wait": wait[found]})
+
+
+def _earliest(
+    state: DataFrame, threshold: float, cells: pivot_cells.Cells, few_open: bool
+) -> DataFrame:
     """``pos, kept, wait`` of undecided rows: the first earlier similar row that
     is kept, and that is undecided (``_NEVER`` for none)."""
-    dealt = pivot_cells.gathered(pivot_cells.deal(state, cells))
+    dealt = pivot_cells.gathered(pivot_cells.deal(state, cells, few_open))
     met = dealt.mapInPandas(
         pivot_cells.meet(threshold, _earlier), "pos bigint, kept bigint, wait bigint"
     )
@@ -166,9 +153,9 @@ def _run_rounds(
     state = todo.select("pos", "vec", never.alias("best"), F.lit(True).alias("open"))
     cells = pivot_cells.fit(todo, threshold, block_rows)
     rounds = [spark.createDataFrame([], _ROUND)]
-    n_open = None
+    n_open, few_open = None, False
     while cells is not None and n_open != 0:
-        found = _earliest(state, threshold, cells)
+        found = _earliest(state, threshold, cells, few_open)
         judged = state.where("open").join(found, "pos", "left").select(
             "pos",
             "vec",
@@ -181,7 +168,8 @@ def _run_rounds(
         judged = stage_table(judged, "round")
         rounds.append(judged.where(stays | goes))
         state = judged.where(~goes).select("pos", "vec", "best", (~stays).alias("open"))
-        n_open = state.where("open").count()
+        n_rows, n_open = state.agg(F.count("*"), F.count_if("open")).first()
+        few_open = 2 * n_open < n_rows
     return reduce(DataFrame.unionByName, rounds).select(
         "pos",
         F.when(goes, F.col("best")).alias("dup_of"),

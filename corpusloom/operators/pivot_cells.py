@@ -23,8 +23,8 @@ bundles, so that none gets more visitors than others. Rows of a bundle come befo
 its visitors, which stream past in batches.
 
 Pairs are screened in single precision, for long vectors and high thresholds by the
-products of 64 rotated leading components and the Cauchy-Schwarz bound of what is
-left; hits are confirmed in double.
+products along the 64 directions that hold most of a block and the Cauchy-Schwarz
+bound of what is left; what is close to the threshold is confirmed in double.
 """
 
 from __future__ import annotations
@@ -51,9 +51,14 @@ _SAMPLE_PER_PIVOT = 8
 _LLOYD = 3
 # Slack for the single-precision screen and for angles.
 SLACK = 1e-4
-_STRIPE = 512
-_BLOCK = 2048
+_STRIPE = 256
+_BLOCK = 1024
+# Pairs near the threshold whose vectors are held in double at a time.
+_CONFIRM = 4096
+# Components of the screen, home rows it is fitted to, and spots that order rows.
 _LEADING = 64
+_FITTED = 2048
+_SPOTS = 32
 _SEED = 5
 
 
@@ -62,8 +67,12 @@ def block_rows_of(dim: int) -> int:
 
 
 def unit_of(batch: pd.DataFrame) -> np.ndarray:
-    dim = len(batch["vec"].iloc[0]) if len(batch) else 0
-    return vectors.unit_rows(vectors.matrix(batch["vec"], dim))
+    """Unit rows of ``vec``: lists, or the bytes of single-precision components."""
+    first = batch["vec"].iloc[0] if len(batch) else []
+    if isinstance(first, bytes):
+        rows = np.frombuffer(b"".join(batch["vec"]), np.float32).reshape(len(batch), -1)
+        return vectors.unit_rows(rows.astype(np.float64))
+    return vectors.unit_rows(vectors.matrix(batch["vec"], len(first)))
 
 
 def mixed(pos: np.ndarray) -> np.ndarray:
@@ -119,16 +128,23 @@ class Cells:
         ends = np.cumsum(np.bincount(np.repeat(row, n), minlength=len(open_)))
         return np.split(found, ends[:-1])
 
-    def dealt(self, unit: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Per row its bundle of blocks and those it visits so that each pair meets once."""
+    def dealt(
+        self, unit: np.ndarray, pos: np.ndarray, goes: np.ndarray | None = None
+    ) -> tuple[np.ndarray, list[np.ndarray]]:
+        """Per row its bundle of blocks and those it visits so that each pair meets once.
+        With ``goes`` those rows visit all bundles and the others none: pairs of the
+        others alone do not meet."""
         dots, home = self.place(unit)
         open_ = self.open(dots, home)
         own = self._bundle[self.own_block(home, pos)]
         row, bundle = np.nonzero(open_ @ self._holds)
         n = self._holds.shape[1]
-        ahead = (bundle - own[row]) % n
-        turn = (ahead > 0) & (2 * ahead < n)
-        turn |= (2 * ahead == n) & (bundle > own[row])
+        if goes is None:
+            ahead = (bundle - own[row]) % n
+            turn = (ahead > 0) & (2 * ahead < n)
+            turn |= (2 * ahead == n) & (bundle > own[row])
+        else:
+            turn = goes[row] & (bundle != own[row])
         ends = np.cumsum(np.bincount(row[turn], minlength=len(home)))
         return own, np.split(bundle[turn], ends[:-1])
 
@@ -242,16 +258,20 @@ def fit(rows: DataFrame, threshold: float, block_rows: int) -> Cells | None:
     return measured(cells, held, threshold, block_rows).bundled(block_rows)
 
 
-def deal(state: DataFrame, cells: Cells) -> DataFrame:
-    """``pos, vec, open, home, visits``: the bundle of each row and those it visits."""
+def deal(state: DataFrame, cells: Cells, few_open: bool = False) -> DataFrame:
+    """``pos, vec, open, home, visits``: the bundle of each row and those it visits,
+    with ``vec`` as bytes. Where few rows are undecided, these visit and the others
+    stay where they live."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                own, visits = cells.dealt(unit_of(batch), batch["pos"].to_numpy())
-                yield batch.assign(home=own, visits=visits)
+                goes = batch["open"].to_numpy() if few_open else None
+                own, visits = cells.dealt(unit_of(batch), batch["pos"].to_numpy(), goes)
+                packed = [np.asarray(v, np.float32).tobytes() for v in batch["vec"]]
+                yield batch.assign(vec=packed, home=own, visits=visits)
 
-    schema = "pos bigint, vec array<float>, open boolean, home int, visits array<int>"
+    schema = "pos bigint, vec binary, open boolean, home int, visits array<int>"
     return state.select("pos", "vec", "open").mapInPandas(run, schema)
 
 
@@ -272,33 +292,50 @@ def gathered(placed: DataFrame) -> DataFrame:
 # -- inside a block ----------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class _Side:
+    """Some rows in an order in which near ones are close together: their places,
+    themselves, and what bounds their products (None: nothing does)."""
+
+    at: np.ndarray
+    rows: np.ndarray
+    bound: np.ndarray | None
+
+    def some(self, which) -> _Side:
+        bound = None if self.bound is None else self.bound[which]
+        return _Side(self.at[which], self.rows[which], bound)
+
+
 class _Screen:
-    """Which pairs of two sets of unit rows may be over the threshold."""
+    """Which pairs with the home rows of a block may be over the threshold. The bound
+    is taken along the directions in which the home rows are longest."""
 
-    def __init__(self, dim: int, threshold: float):
+    def __init__(self, home: np.ndarray, threshold: float):
         self.least = threshold - SLACK
         self.turn = None
-        if dim >= 2 * _LEADING and threshold >= 0.8:
-            noise = np.random.default_rng(_SEED).standard_normal((dim, _LEADING))
-            self.turn = np.linalg.qr(noise)[0]
+        if home.shape[1] >= 2 * _LEADING and threshold >= 0.8 and len(home) >= _BLOCK:
+            some = home[:: -(-len(home) // _FITTED)]
+            self.turn = np.linalg.eigh(some.T @ some)[1][:, -_LEADING:]
+            self._spots = some[:: -(-len(some) // _SPOTS)] @ self.turn
 
-    def load(self, rows: np.ndarray) -> tuple:
+    def load(self, rows: np.ndarray) -> _Side:
         if self.turn is None:
-            return rows.astype(np.float32), None, None
+            return _Side(np.arange(len(rows)), rows.astype(np.float32), None)
         lead = rows @ self.turn
+        order = np.argsort((lead @ self._spots.T).argmax(axis=1), kind="stable")
+        lead = lead[order]
         rest = np.sqrt(np.maximum(1 - (lead * lead).sum(axis=1), 0))
-        return rows.astype(np.float32), lead.astype(np.float32), rest.astype(np.float32)
-
-    def near(self, a: tuple, b: tuple) -> tuple[np.ndarray, np.ndarray]:
-        if self.turn is not None:
-            some = a[1] @ b[1].T + a[2][:, None] * b[2] > self.least
-            if some.sum() * 8 < some.size:
-                return np.nonzero(some)
-        return np.nonzero(a[0] @ b[0].T > self.least)
+        bound = np.column_stack([lead, rest]).astype(np.float32)
+        return _Side(order, rows[order].astype(np.float32), bound)
 
-
-def _part(loaded: tuple, start: int, stop: int) -> tuple:
-    return tuple(None if x is None else x[start:stop] for x in loaded)
+    def near(self, a: _Side, b: _Side) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of pairs that may be over the threshold, and their products."""
+        if a.bound is not None:
+            may = a.bound @ b.bound.T > self.least
+            a, b = a.some(may.any(axis=1)), b.some(may.any(axis=0))
+        products = a.rows @ b.rows.T
+        i, j = np.nonzero(products > self.least)
+        return a.at[i], b.at[j], products[i, j]
 
 
 class Block:
@@ -308,7 +345,7 @@ class Block:
     def __init__(self, threshold: float):
         self.threshold = threshold
         self.rows, self.pos, self.open = None, np.zeros(0, np.int64), np.zeros(0, bool)
-        self._loaded = self._screen = None
+        self._loaded = self._undecided = self._screen = None
 
     def live(self, part: pd.DataFrame) -> None:
         rows = unit_of(part)
@@ -320,31 +357,53 @@ class Block:
     def pairs(self, part: pd.DataFrame | None) -> Iterator[tuple]:
         """``a, b, pos, open``: places of pairs among ``part``, or among the home
         rows each once when it is None, and in the home rows; positions and states
-        of what ``a`` points at."""
+        of what ``a`` points at. The later row of a pair is undecided."""
         if self.rows is None:
             return
         if self._loaded is None:
-            self._screen = _Screen(self.rows.shape[1], self.threshold)
+            self._screen = _Screen(self.rows, self.threshold)
             self._loaded = self._screen.load(self.rows)
+            self._undecided = self._loaded.some(self.open[self._loaded.at])
         same = part is None
         rows = self.rows if same else unit_of(part)
         pos = self.pos if same else part["pos"].to_numpy()
         open_ = self.open if same else part["open"].to_numpy()
-        mine = self._loaded if same else self._screen.load(rows)
-        for i in range(0, len(rows), _STRIPE):
-            some = _part(mine, i, i + _STRIPE)
-            for j in range(0, len(self.rows), _BLOCK):
-                if same and j + _BLOCK <= i:
-                    continue
-                a, b = self._screen.near(some, _part(self._loaded, j, j + _BLOCK))
-                a, b = a + i, b + j
-                if same:
-                    a, b = a[a < b], b[a < b]
+        # What is decided already is only compared with what is not.
+        if same:
+            sides = [(self._undecided, self._loaded)]
+        else:
+            mine = self._screen.load(rows)
+            waits = open_[mine.at]
+            sides = [(mine.some(waits), self._loaded), (mine.some(~waits), self._undecided)]
+        for left, right in sides:
+            for a, b, product in self._near(left, right, same):
                 later = np.where(pos[a] > self.pos[b], open_[a], self.open[b])
-                a, b = a[later], b[later]
-                sure = np.einsum("ij,ij->i", rows[a], self.rows[b]) > self.threshold
+                a, b, product = a[later], b[later], product[later]
+                sure = product > self.threshold + SLACK
+                for k in range(0, len(a), _CONFIRM):
+                    i = np.flatnonzero(~sure[k : k + _CONFIRM]) + k
+                    exact = np.einsum("ij,ij->i", rows[a[i]], self.rows[b[i]])
+                    sure[i] = exact > self.threshold
                 yield a[sure], b[sure], pos, open_
 
+    def _near(self, left: _Side, right: _Side, same: bool) -> Iterator[tuple]:
+        turn = np.empty(len(self.rows), np.int64)
+        turn[self._loaded.at] = np.arange(len(self.rows))
+        for i in range(0, len(left.at), _STRIPE):
+            some = left.some(slice(i, i + _STRIPE))
+            for j in range(0, len(right.at), _BLOCK):
+                other = right.some(slice(j, j + _BLOCK))
+                if not same:
+                    yield self._screen.near(some, other)
+                    continue
+                # Two undecided rows meet both ways; one of them is taken.
+                if turn[other.at[-1]] < turn[some.at[0]] and self.open[other.at].all():
+                    continue
+                a, b, product = self._screen.near(some, other)
+                once = (turn[a] < turn[b]) | ~self.open[b]
+                a, b, product = a[once], b[once], product[once]
+                yield np.minimum(a, b), np.maximum(a, b), product
+
 
 def meet(threshold: float, found):
     """Goes through gathered rows block by block; ``found(block, part)`` yields

@@ -88,3 +88,41 @@ def test_nothing_to_deal(spark):
     assert tuple(pivot_cells.dealing(frame_of(spark, np.zeros((0, 3))), 0.9, 10).first()) == (0, 0, 0, 0)
     frame = frame_of(spark, np.ones((1, 3)))
     assert values(pivot_cells.dealing(frame, 0.9, 10)) == [(1, 1, 1, 1)]
+
+
+def test_many_pairs_of_a_block_take_little_memory():
+    """Pairs well over the threshold are not compared again in double, the rest a few
+    at a time: also where every pair of long rows is over it."""
+    import tracemalloc
+
+    import pandas as pd
+
+    noise = np.random.default_rng(7).standard_normal((1500, 384))
+    rows = (np.ones(384) + 0.05 * noise).astype(np.float32)
+    block = pivot_cells.Block(0.92)
+    block.live(pd.DataFrame({"pos": np.arange(1500), "vec": list(rows), "open": True}))
+    tracemalloc.start()
+    found = sum(len(a) for a, *_ in block.pairs(None))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == 1500 * 1499 // 2 and most < 200_000_000, most
+
+
+def test_decided_rows_are_not_compared_with_each_other():
+    """They stay in their bundle, and a block only pairs them with undecided ones."""
+    import pandas as pd
+
+    rows = clustered(600, 256, seed=4)
+    open_ = np.arange(600) % 9 == 0
+    part = pd.DataFrame({"pos": np.arange(600), "vec": [r.tobytes() for r in rows], "open": open_})
+    block = pivot_cells.Block(0.85)
+    block.live(part)
+    near = np.triu(unit(rows) @ unit(rows).T > 0.85, 1) & open_[None, :]
+    found = [(a, b) for a, b, *_ in block.pairs(None) for a, b in zip(a.tolist(), b.tolist())]
+    assert len(found) == len(set(found)) == near.sum() > 0
+    assert set(found) == set(map(tuple, np.argwhere(near).tolist()))
+    bare = pivot_cells.bare(unit(rows[:50]))
+    cells = bare.with_rows(np.full(50, 12), np.zeros(50), np.full(50, np.pi), 1000, 0.0).bundled(1000)
+    _, visits = cells.dealt(unit(rows), np.arange(600), open_)
+    assert not any(len(v) for v, goes in zip(visits, open_) if not goes)
+    assert all(len(v) == cells.bundle.max() for v, goes in zip(visits, open_) if goes)
