@@ -112,12 +112,14 @@ def with_listing(manifest: DataFrame, listing: DataFrame) -> DataFrame:
 
     Inline texts have no file and are long, so only rows that name a file take
     part in the join; those without a path would all meet in one task. Every
-    row is in exactly one half, also with a null modality or path.
+    row is in exactly one half, also with a null modality or path. A listing grows
+    with the files and is never sent out whole: of one that is made of clips, Spark
+    guesses the size of the videos.
     """
     content = F.col("payload.content")
     named = (F.col("modality") != "text") & (content != "")
     has_file = F.coalesce(named, F.lit(False))
-    files = listing.select(F.col("path").alias("_path")).distinct()
+    files = listing.select(F.col("path").alias("_path")).distinct().hint("merge")
     inline = manifest.where(~has_file).withColumn("asset_exists", F.lit(False))
     backed = manifest.where(has_file).join(
         files, F.col("payload.content") == F.col("_path"), "left"

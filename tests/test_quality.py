@@ -118,3 +118,14 @@ def test_extended_safety_and_contract(spark):
     assert pairs(quality.license_contract(lic).select("id", "quality_reason")) == {
         "a": "", "b": "unlabeled", "c": "unlabeled", "d": "unlabeled",
     }
+
+
+def test_a_listing_is_not_sent_out_whole(spark):
+    """Spark guesses a listing made of few rows to be small, however many come of each."""
+    made = spark.range(3).select(F.explode(F.sequence(F.lit(1), F.lit(50))).alias("n"), "id")
+    path = F.concat_ws("/", "id", "n")
+    listing = made.where("n > 10").select(path.alias("path"))
+    rows = made.select(F.lit("video").alias("modality"), F.struct(path.alias("content")).alias("payload"))
+    found = quality.with_listing(rows, listing)
+    assert "BroadcastHashJoin" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.groupBy("asset_exists").count().sort("asset_exists").collect() == [(False, 30), (True, 120)]

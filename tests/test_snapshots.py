@@ -140,3 +140,24 @@ def test_compaction_keeps_the_rows_in_one_part(spark, tmp_path):
     assert ids(spark, path) == [0, 1, 2]
     got = snapshots.read(spark, path)
     assert sorted(got.columns) == ["id", "kind"] and got.count() == 3
+
+
+def test_partitions_are_written_without_a_sort(spark, tmp_path):
+    """Rows of one task stay in their order in each partition; the setting does not stay."""
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    rows = spark.range(0, 1000, 1, 1).selectExpr("id", "cast(id % 3 as string) as kind")
+    seen = []
+    writer = type(rows.write)
+    parquet = writer.parquet
+
+    def noted(self, *args, **kwargs):
+        seen.append(spark.conf.get(name))
+        return parquet(self, *args, **kwargs)
+
+    before = spark.conf.get(name)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(writer, "parquet", noted)
+        snapshots.replace(rows, str(tmp_path / "t"), "kind")
+    assert int(seen[0]) > 1 and spark.conf.get(name) == before
+    held = snapshots.read(spark, str(tmp_path / "t"), rows.schema)
+    assert held.exceptAll(rows).count() == 0 and held.count() == 1000
