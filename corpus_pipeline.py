@@ -21,23 +21,29 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm import mixing, packing, quality, queries, secrets, simhash
 from corpusloom.llm.rows import lasting, without
-from corpusloom.session import fresh_path, ship_package, stage_table
+from corpusloom.session import fresh_path, release, ship_package, stage_table
 
 # The share of the tokens that the mix keeps.
 SHARE = 0.9
 
 
+def _begin(spark: SparkSession) -> None:
+    """A stage begins without what the one before left in the driver."""
+    ship_package(spark)
+    release(spark)
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored good, empty and null texts by their own score; without
     labels see ``quality.fit``."""
-    ship_package(spark)
+    _begin(spark)
     model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return docs.where(quality.score(model) >= quality.CUT)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near copies, the one of the smallest id."""
-    ship_package(spark)
+    _begin(spark)
     docs = lasting(docs)
     found = simhash.near_dedup(docs, scheme=simhash.SIMILAR)
     gone = stage_table(simhash.repeats(found), "near-copies")
@@ -46,7 +52,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a live-looking credential; null and empty texts stay."""
-    ship_package(spark)
+    _begin(spark)
     docs = lasting(docs)
     found = secrets.scan(docs, F.col("source"), F.concat_ws("/", "source", "lang"))
     return without(docs, stage_table(secrets.leaking(found), "leaking"))
@@ -54,7 +60,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the mix takes tokens from; texts without words go."""
-    ship_package(spark)
+    _begin(spark)
     return mixing.select_documents(
         docs, queries.mix_levels(), queries.WEIGHTS, share=SHARE, max_epochs=1
     )
@@ -62,7 +68,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents; a null text is one piece of one id."""
-    ship_package(spark)
+    _begin(spark)
     return packing.pack(docs)
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.rows import salted_join
-from corpusloom.session import discard, fresh_path, stage_at
+from corpusloom.session import discard, fresh_path, release, stage_at
 
 # A hub's links are dealt to so many tasks.
 _SPREAD = 8
@@ -38,6 +38,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         stars = stage_at(_small_star(_large_star(pairs)), next_path)
         discard(spark, path)
         after = _mark(stars)
+        # Every round is a plan of its own.
+        release(spark)
         if after == before:
             return stars.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 stars.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()

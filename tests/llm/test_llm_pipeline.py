@@ -136,3 +136,18 @@ def test_all_queries_are_registered():
     assert set(queries.QUERIES) | {"pipeline"} <= set(known)
     assert len([q for q in known if q.startswith("op") and q[2].isdigit()]) == 13
     assert pretokens.vocabulary_path().endswith("byte_bpe_50k.json")
+
+
+def test_the_driver_gives_back_what_rounds_and_stages_left(spark, monkeypatch):
+    from corpusloom.llm import components as stars
+
+    calls = []
+    monkeypatch.setattr(stars, "release", calls.append)
+    chain = spark.createDataFrame([(i, i + 1) for i in range(6)], "a bigint, b bigint")
+    found = {r["node"]: r["root"] for r in stars.components(chain).collect()}
+    assert found == {i: 0 for i in range(7)} and len(calls) > 1
+    monkeypatch.setattr(corpus_pipeline, "release", calls.append)
+    docs = spark.createDataFrame([(1, "a b", "s", "en")], "doc_id bigint, text string, source string, lang string")
+    before = len(calls)
+    corpus_pipeline.packing_stage(spark, docs, "")
+    assert len(calls) == before + 1
