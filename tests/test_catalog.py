@@ -1,6 +1,8 @@
 import hashlib
 import io
 import json
+import os
+import re
 import tarfile
 
 import pytest
@@ -10,6 +12,8 @@ from corpusloom import schemas
 from corpusloom.operators import assets, reports, shards, versions
 from corpusloom.operators import catalog as cat
 from corpusloom.operators.ranking import limit_per_group, with_position
+from corpusloom.plans import registry
+from corpusloom.session import discard, scratch
 from corpusloom.sources import readers, tarshard
 from conftest import pairs, values
 
@@ -257,6 +261,105 @@ def test_thousands_of_shards_take_few_tasks(spark, tmp_path):
     assert stats.where("items = 1").count() == n
 
 
+def test_shards_are_dealt_out_some_at_a_time(spark, tmp_path, monkeypatch):
+    """No shuffle holds all rows beside the archives; every shard is whole, once."""
+    n = 200
+    kind = "shard_idx bigint, pos bigint, embedding array<float>, " + ", ".join(
+        f"{c} string" for c in (*shards.RECORD[:-1], "content_path")
+    )
+    rows = [
+        {"shard_idx": i // 3, "pos": i, "id": f"i{i}", "asset": "", "text": "t" * i, "embedding": [0.0]}
+        for i in range(3 * n)
+    ]
+    members = spark.createDataFrame(rows, kind)
+    waves, write = [], tarshard._write_tasks
+
+    def noted(*given):
+        waves.append(given[4])
+        write(*given)
+
+    monkeypatch.setattr(tarshard, "_write_tasks", noted)
+    out = str(tmp_path / "shards")
+    shards.write_shards(members, out, shard_size=3, task_bytes=1 << 15)
+    assert len(waves) > 2 and max(waves) == spark.sparkContext.defaultParallelism
+    listed = shards.shard_files(spark, out)
+    assert listed.count() == n == listed.select("shard").distinct().count()
+    got = shards.read_shards(spark, out).select("shard", F.get_json_object("json", "$.id").alias("id"))
+    assert {(r.shard, r.id) for r in got.collect()} == {
+        (f"shard-{i // 3:06d}.tar", f"i{i}") for i in range(3 * n)
+    }
+    with tarfile.open(listed.where("shard = 'shard-000007.tar'").first().file) as tar:
+        assert tar.getnames() == ["i21.json", "i22.json", "i23.json"]
+
+
+def test_placed_members_stand_alone(spark, tmp_path):
+    """Members that were written need neither catalog nor items any more; they hold
+    no zero vector and no text twice."""
+    n = 40
+    rows = [
+        (f"id{i:03d}", "s", "text" if i % 2 else "video", "h", "pass", "mit", f"cap {i}", f"body {i}", "{}",
+         [0.0, 0.0], [0.0, 1.0] if i % 4 else [0.0, 0.0])
+        for i in range(n)
+    ]
+    kind = "id string, source string, modality string, content_hash string, quality_status string," \
+        " license string, caption string, content_path string, metadata_json string," \
+        " text_vector array<float>, clip_vector array<float>"
+    spark.createDataFrame(rows, kind).write.parquet(str(tmp_path / "catalog"))
+    items = [("v", i, f"id{i:03d}", "text", "s", "h") for i in range(n)]
+    spark.createDataFrame(items, schemas.VERSION_ITEMS).write.parquet(str(tmp_path / "items"))
+    read = [spark.read.parquet(str(tmp_path / name)) for name in ("items", "catalog")]
+    want = sorted(values(shards.plan_members(*read, 7)))
+    members = shards.plan_members(*read, 7, None, str(tmp_path / "members"))
+    for name in ("items", "catalog"):
+        discard(spark, str(tmp_path / name))
+    assert sorted(values(members)) == want and len(want) == n
+    held = spark.read.parquet(str(tmp_path / "members"))
+    assert not {"text", "embedding"} & set(held.columns)
+    assert held.where("_vec is not null").count() == sum(r[2] == "video" and r[10] != [0.0, 0.0] for r in rows)
+
+
+def test_record_bytes_are_about_right(spark):
+    vectors = [[0.0] * 512, [0.1234567 * (i + 1) for i in range(384)], [], None]
+    kind = "embedding array<float>, " + ", ".join(f"{c} string" for c in shards.RECORD[:-1])
+    rows = [{"embedding": v, "id": "x", "text": "word " * 300} for v in vectors]
+    sizes = spark.createDataFrame(rows, kind).select(
+        shards._record_bytes(), F.octet_length(shards.record_json())
+    )
+    assert all(0.7 < about / size < 1.5 for about, size in values(sizes))
+
+
+def test_scan_frees_the_disk_for_its_archives(spark, tmp_path, monkeypatch):
+    """When the archives are written only their members are staged, and after it nothing."""
+    tables = {
+        "documents": [(i, f"{i} " + "some words of a text " * 9, 190) for i in range(12)],
+        "pages": [(i, f"http://h/{i}", f"<title>A title of some length {i}</title>") for i in range(9)],
+        "part": [(i, f"name {i}", "Brand", "TYPE", 5 + i) for i in range(20)],
+        "conversations": [(i, 0, "user", f"a spoken turn that is long enough to pass {i} " * 2) for i in range(9)],
+    }
+    kinds = {
+        "documents": "doc_id bigint, text string, n_chars bigint",
+        "pages": "page_id bigint, url string, html string",
+        "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int",
+        "conversations": "conv_id bigint, turn int, role string, text string",
+    }
+    for name, rows in tables.items():
+        spark.createDataFrame(rows, kinds[name]).write.parquet(str(tmp_path / f"{name}.parquet"))
+    held, write = [], tarshard.write
+
+    def noted(*given):
+        held.extend(os.path.relpath(d, folder) for d, _, names in os.walk(folder) if names)
+        write(*given)
+
+    monkeypatch.setattr(tarshard, "write", noted)
+    with scratch(spark) as folder:
+        found = registry.QUERIES["shard_scan"](spark, str(tmp_path))
+        left = os.listdir(folder)
+        assert found.agg(F.sum("items")).first()[0] > 50
+    labels = {re.sub("-[0-9a-f]{32}", "", d) for d in held}
+    assert labels == {"scratch/members", "scratch/places", "scratch/scratch/shards"}
+    assert len(left) == 1 and left[0].startswith("shards-")
+
+
 @pytest.mark.parametrize("size", [0, 1, 400, 512, 1024, 3000])
 def test_entries_end_in_a_zero(size):
     data = tarshard.entry("i", "x" * size, "f.bin", b"y" * size)
